@@ -12,11 +12,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressloom.functions.base import col, literal_table
-from pressloom.functions.urls import amp_candidates, host_suffixes, resolve_url
+from pressloom.functions.urls import amp_candidates, host_suffixes, resolve_url, scrape_domain
 
 # Page checks of the fetch stage.
 BLOCKED_PAGE = r"(?i)(blocked|access denied|just a moment|cf-chl|cloudflare|perimeterx|you are being redirected)"
 THIN_PAGE_CHARS = 2000
+SHELL_DOMAIN = "shobserver.com"
+OFFLINE_TEXT = "此文章不存在或已下线"
 VARIANT_MIN_CHARS = 1200
 META_REFRESH = (
     r"""(?i)<meta[^>]+http-equiv=["']?refresh["']?[^>]+content=["']?[^"'>]*url=([^"';>]+)"""
@@ -35,6 +37,12 @@ def is_thin(html: Column | str) -> Column:
     return F.length(col(html)) < THIN_PAGE_CHARS
 
 
+def is_template_shell(url: Column | str, html: Column | str, domain: str = SHELL_DOMAIN) -> Column:
+    """Page of ``domain`` whose template was never filled, or that says it is offline."""
+    shell = col(html).rlike(r"\{\{[^}]+\}\}") | F.contains(col(html), F.lit(OFFLINE_TEXT))
+    return F.coalesce((scrape_domain(url) == domain) & shell, F.lit(False))
+
+
 def last_wins(df: DataFrame, key: str, order: str, *values: str) -> DataFrame:
     """One row per key, the values of its last row; a NULL there wins too."""
     row = F.max_by(F.struct(*values), F.col(order))
@@ -137,8 +145,7 @@ def follow_redirects(pages: DataFrame, corpus: DataFrame) -> DataFrame:
     moved = (
         marked.filter(F.col("_to").isNotNull())
         .join(target, F.col("_to") == F.col("_url"), "left")
-        .withColumn("html", F.when(longer, F.col("_html")).otherwise(F.col("html")))
-        .withColumn("followed", longer)
+        .withColumns({"html": F.when(longer, F.col("_html")).otherwise(F.col("html")), "followed": longer})
     )
     kept = marked.filter(F.col("_to").isNull()).withColumn("followed", F.lit(False))
     names = [*pages.columns, "followed"]
