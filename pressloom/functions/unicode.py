@@ -6,27 +6,28 @@ Each works on whole Arrow batches; nothing else in the text functions leaves the
 from __future__ import annotations
 
 import html
+import unicodedata
 
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _compose(text: pa.Array) -> pa.Array:
-    # NFKC is NFC after NFKD; Arrow's own "NFKC" leaves letters decomposed
-    return pc.utf8_normalize(pc.utf8_normalize(text, form="NFKD"), form="NFC")
+def _nfkc(text: pa.Array) -> pa.Array:
+    # Arrow's own NFKC kernel leaves letters decomposed, so the standard library does it
+    done = [None if t is None else unicodedata.normalize("NFKC", t) for t in text.to_pylist()]
+    return pa.array(done, pa.string())
 
 
 @F.arrow_udf(T.StringType())
 def nfkc(text: pa.Array) -> pa.Array:
-    return _compose(text)
+    return _nfkc(text)
 
 
 @F.arrow_udf(T.ArrayType(T.StringType()))
 def nfkc_all(texts: pa.Array) -> pa.Array:
-    flat = _compose(texts.values)
+    flat = _nfkc(texts.values)
     return pa.ListArray.from_arrays(texts.offsets, flat, mask=texts.is_null())
 
 
