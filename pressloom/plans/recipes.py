@@ -113,3 +113,27 @@ def media_master(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit("C"), (pid % 7).cast("string")).alias("country"),
         F.concat(F.lit("S"), (pid % 4).cast("string")).alias("source"),
     )
+
+
+# One date source per page, by page number: none, meta, two metas, JSON-LD, page properties, text.
+DATE_MARKS = [
+    ("<head>", '<head><meta property="article:published_time" content="2025-07-15T09:00:00+09:00">'),
+    ("<head>", '<head><meta name="date" content="2025-07-16"><meta property="og:updated_time" content="2025-07-17T00:00:00Z">'),
+    ("<head>", '<head><script type="application/ld+json">{"@graph":[{"datePublished":"2025-07-18"}]}</script>'),
+    ("<head>", '<head><script id="__NEXT_DATA__" type="application/json">'
+               '{"props":{"pageProps":{"publication_date":"2025-07-19"}}}</script>'),
+    ("<article>", "<article><p>2025年7月20日</p>"),
+]
+DATED_SQL = "dated AS (SELECT page_id, url, CASE page_id % 6 " + " ".join(
+    f"WHEN {i} THEN replace(html, '{a}', '{b}')" for i, (a, b) in enumerate(DATE_MARKS, 1)) + " ELSE html END AS html FROM pages)"
+DATE_OF_SQL = (
+    "CASE page_id % 6 WHEN 1 THEN '2025-07-15 00:00:00' WHEN 2 THEN '2025-07-17 00:00:00' WHEN 3 THEN '2025-07-18 00:00:00' "
+    "WHEN 4 THEN '2025-07-19 00:00:00' WHEN 5 THEN '2025-07-20 00:00:00' END"
+)
+
+
+def dated_pages(spark: SparkSession, folder: str) -> DataFrame:
+    html = F.col("html")
+    for i, (a, b) in enumerate(DATE_MARKS, 1):
+        html = F.when(F.col("page_id") % 6 == i, F.replace("html", F.lit(a), F.lit(b))).otherwise(html)
+    return table(spark, folder, "pages").withColumn("html", html)
