@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pressloom.functions.base import col, strip
-from pressloom.functions.nodes import let
+from pressloom.functions.nodes import filled, let
 
 # Markers and line patterns of the wire-service pages.
 NEWS_INFO = r"(?iU)\bNEWS\s*INFO\b"
@@ -90,10 +90,10 @@ def story_body(raw: Column, title: Column) -> Column:
         tail = F.when(place > 0, F.substring(t, place, F.length(t))).otherwise(F.lit(""))
         return F.concat(F.regexp_replace(head, COURTESY_BLOCK, ""), tail)
 
-    t = drop_leading(before_marker(raw, NEWS_INFO), title)
+    t = let(before_marker(raw, NEWS_INFO), lambda x: drop_leading(x, title))
     t = F.replace(F.replace(t, F.lit(HUB_NOTICE), F.lit("")), F.lit(TOGGLE), F.lit(" "))
     t = let(t, without_courtesy)
-    t = let(t, lambda x: F.coalesce(F.nullif(F.regexp_extract(x, f"(?s){DATELINE}.*", 0), F.lit("")), x))
+    t = let(t, lambda x: F.coalesce(filled(F.regexp_extract(x, f"(?s){DATELINE}.*", 0)), x))
     kept = F.filter(skip_after_byline(lines_of(t)), lambda s: ~is_dropped_line(s, title))
     joined = strip(F.array_join(let(kept, start_at_dateline), "\n"))
     return let(joined, lambda b: F.when(F.length(b) > MIN_STORY, b))
@@ -104,9 +104,9 @@ def photo_caption(text: Column) -> Column:
     t = before_marker(F.replace(text, F.lit("\u00a0"), F.lit(" ")), SHARE_LABEL)
     t = F.regexp_replace(t, r"(?iU)\b(?:Download|Downloads?)\s*:\s*.*$", "")
     t = F.regexp_replace(t, r"(?iU)\bFull\s*Size\b\s*\([^)]*\)", "")
-    return F.nullif(strip(F.regexp_replace(t, r"(?U)\s*\|\s*$", "")), F.lit(""))
+    return filled(strip(F.regexp_replace(t, r"(?U)\s*\|\s*$", "")))
 
 
 def caption_pattern(text: Column | str) -> Column:
     """Video caption with its credit, found by pattern in the whole text; NULL when there is none."""
-    return F.nullif(F.regexp_extract(col(text), CAPTION, 0), F.lit(""))
+    return filled(F.regexp_extract(col(text), CAPTION, 0))

@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pressloom.functions.base import col, strip
-from pressloom.functions.nodes import attr, let, script_texts, visible_text
+from pressloom.functions.nodes import attr, first, let, script_texts
 
 # Where pages state their date, best source first: (tag, attribute, value, read from).
 DATE_META = [
@@ -63,16 +63,14 @@ SHAPES = [
 ]
 
 
-def _month(text: Column) -> Column:
-    place = F.instr(F.lit(MONTHS), F.lower(F.substring(text, 1, 3)))
-    return F.when(text.rlike(r"^\d"), text).otherwise(F.floor((place + 3) / 4).cast("string"))
-
-
-def _by_shape(text: Column, pattern: str, groups: tuple[int, ...]) -> Column:
-    year, month, day, clock, zone = [F.regexp_extract(text, pattern, g) for g in groups]
-    zone = F.regexp_replace(F.replace(F.upper(zone), F.lit("GMT"), F.lit("UTC")), r"([+-]\d{2})(\d{2})$", "$1:$2")
-    whole = F.concat(year, F.lit("-"), _month(month), F.lit("-"), day, F.lit(" "), clock, zone)
-    return F.when(year != "", F.trim(whole).try_cast("timestamp"))
+def _timestamp(fields: Column) -> Column:
+    """TIMESTAMP of ``[year, month (number or name), day, clock, zone]``, NULL when out of range."""
+    year, month, day, clock, zone = [F.get(fields, F.lit(i)) for i in range(5)]
+    place = F.instr(F.lit(MONTHS), F.lower(F.substring(month, 1, 3)))
+    number = F.when(month.rlike(r"^\d"), month).otherwise(F.floor((place + 3) / 4).cast("string"))
+    seconds = F.regexp_replace(clock, r"^(\d{1,2}:\d{2})$", "$1:00")
+    offset = F.regexp_replace(F.regexp_replace(zone, "(?i)GMT", "UTC"), r"([+-]\d{2})(\d{2})$", "$1:$2")
+    return F.concat(year, F.lit("-"), number, F.lit("-"), day, F.lit(" "), seconds, offset)
 
 
 def parse_date(raw: Column | str) -> Column:
@@ -80,18 +78,28 @@ def parse_date(raw: Column | str) -> Column:
 
     Day and month numbers alone are read month first, then day first.
     """
-    raw = col(raw)
-    return F.when(raw.rlike(r"\d{4}"), F.coalesce(*[_by_shape(raw, p, g) for p, g in SHAPES]))
+    def by_shape(text: Column) -> Column:
+        found = F.array(*[
+            F.when(text.rlike(p), F.regexp_replace(
+                text, f"(?s)^.*?{p}.*$", "\t".join(f"${g}" for g in groups)))
+            for p, groups in SHAPES
+        ])
+        fields = F.transform(F.filter(found, lambda f: f.isNotNull()), lambda f: F.split(f, "\t"))
+        stamps = F.transform(fields, lambda f: F.trim(_timestamp(f)).try_cast("timestamp"))
+        return first(stamps)
+
+    return let(col(raw), lambda text: F.when(text.rlike(r"\d{4}"), by_shape(text)))
 
 
 # ---- page sources ------------------------------------------------------------------------
+# Each source yields its raw texts in order; they are parsed together, once.
 
-def _first_parsed(raws: Column) -> Column:
-    return F.get(F.filter(F.transform(raws, parse_date), lambda d: d.isNotNull()), F.lit(0))
+def first_parsed(raws: Column) -> Column:
+    return first(F.transform(raws, parse_date))
 
 
-def date_from_meta(nodes: Column) -> Column:
-    """Best-ranked meta or time element with a parsable date, document order within a source."""
+def meta_raws(nodes: Column) -> Column:
+    """Date texts of meta and time elements, best source first, document order within a source."""
     def ranked(n: Column) -> Column:
         rank = F.lit(None).cast("int")
         for i, (tag, key, value, _) in reversed(list(enumerate(DATE_META))):
@@ -102,7 +110,7 @@ def date_from_meta(nodes: Column) -> Column:
 
     dated = F.filter(nodes, lambda n: n.getField("tag").isin("meta", "time"))
     sources = F.filter(F.transform(dated, ranked), lambda s: s.getField("rank").isNotNull() & s.getField("raw").isNotNull())
-    return _first_parsed(F.transform(F.array_sort(sources), lambda s: s.getField("raw")))
+    return F.transform(F.array_sort(sources), lambda s: s.getField("raw"))
 
 
 def _script(nodes: Column, key: str, value: str) -> Column:
@@ -113,37 +121,48 @@ def next_data(nodes: Column) -> Column:
     return F.get(_script(nodes, "id", "__NEXT_DATA__"), F.lit(0)).getField("text")
 
 
-def date_from_next_data(nodes: Column) -> Column:
+def next_data_raws(nodes: Column) -> Column:
     """Dates among the page properties of a ``__NEXT_DATA__`` script."""
-    return let(F.try_parse_json(next_data(nodes)), lambda v: F.coalesce(*[
-        parse_date(F.try_variant_get(v, f"$.props.pageProps.{k}", "string")) for k in NEXT_DATA_KEYS]))
+    return let(F.try_parse_json(next_data(nodes)), lambda v: F.array(*[
+        F.try_variant_get(v, f"$.props.pageProps.{k}", "string") for k in NEXT_DATA_KEYS]))
 
 
-def _jsonld_raws(v: Column) -> Column:
-    one = lambda e: F.coalesce(*[F.nullif(F.try_variant_get(e, f"$.{k}", "string"), F.lit("")) for k in JSONLD_KEYS])
-    graph = F.coalesce(F.try_variant_get(v, "$['@graph']", "variant"), v)
-    return let(graph, lambda g: F.coalesce(
-        F.transform(F.try_variant_get(g, "$", "array<variant>"), one), F.array(one(g))))
+def jsonld(nodes: Column) -> Column:
+    """Parsed JSON-LD scripts."""
+    texts = F.transform(_script(nodes, "type", "application/ld+json"), lambda n: n.getField("text"))
+    return F.filter(F.transform(texts, lambda t: F.try_parse_json(common_entities(t))), lambda v: v.isNotNull())
 
 
-def jsonld_texts(nodes: Column) -> Column:
-    """Contents of the JSON-LD scripts, still escaped."""
-    return F.transform(_script(nodes, "type", "application/ld+json"), lambda n: n.getField("text"))
+def jsonld_raws(nodes: Column) -> Column:
+    """``datePublished``, else ``dateCreated``, of each JSON-LD object."""
+    def of_script(v: Column) -> Column:
+        one = lambda e: first(F.array(*[F.try_variant_get(e, f"$.{k}", "string") for k in JSONLD_KEYS]), lambda t: t != "")
+        graph = F.coalesce(F.try_variant_get(v, "$['@graph']", "variant"), v)
+        return let(graph, lambda g: F.transform(
+            F.coalesce(F.try_variant_get(g, "$", "array<variant>"), F.array(g)), one))
 
-
-def date_from_jsonld(nodes: Column) -> Column:
-    """``datePublished``, else ``dateCreated``, of the first JSON-LD object that has a parsable one."""
-    parsed = F.transform(jsonld_texts(nodes), lambda t: F.try_parse_json(_common_entities(t)))
-    return _first_parsed(F.flatten(F.transform(F.filter(parsed, lambda v: v.isNotNull()), _jsonld_raws)))
+    return F.flatten(F.transform(jsonld(nodes), of_script))
 
 
-def _common_entities(text: Column) -> Column:
-    # inside arrays no Arrow function can run; scripts only ever escape these five
+def common_entities(text: Column) -> Column:
+    # inside arrays no Arrow function can run; scripts only ever escape these
     for name, char in (("&quot;", '"'), ("&#34;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
         text = F.replace(text, F.lit(name), F.lit(char))
     return text
 
 
+def date_from_meta(nodes: Column) -> Column:
+    return first_parsed(meta_raws(nodes))
+
+
+def date_from_next_data(nodes: Column) -> Column:
+    return first_parsed(next_data_raws(nodes))
+
+
+def date_from_jsonld(nodes: Column) -> Column:
+    return first_parsed(jsonld_raws(nodes))
+
+
 def date_from_text(text: Column | str) -> Column:
     """The first date-shaped piece of a text."""
     return parse_date(F.regexp_extract(col(text), TEXT_DATE, 1))
@@ -157,22 +176,19 @@ def latest_text_date(text: Column | str, as_of: Column) -> Column:
 
 def published_date(nodes: Column, text: Column, as_of: Column) -> Column:
     """Meta, page properties, JSON-LD, first date in the text, latest date in the text."""
-    return F.coalesce(
-        date_from_meta(nodes), date_from_next_data(nodes), date_from_jsonld(nodes), date_from_text(text),
-        latest_text_date(text, as_of),
-    )
+    none = F.array().cast("array<string>")
+    stated = F.concat(*[F.coalesce(r, none) for r in (meta_raws(nodes), next_data_raws(nodes), jsonld_raws(nodes))])
+    return F.coalesce(first_parsed(stated), date_from_text(text), latest_text_date(text, as_of))
 
 
 def recovered_only(nodes: Column, text: Column) -> Column:
     """Further sources: any dated key of ``__NEXT_DATA__``, ``<time>``, more text shapes."""
     walk = rf"""(?i)"(?:{'|'.join(WALK_KEYS)})"\s*:\s*"([^"]+)\""""
-    keyed = _first_parsed(F.regexp_extract_all(next_data(nodes), F.lit(walk), F.lit(1)))
-    times = F.filter(nodes, lambda n: (n.getField("tag") == "time") & attr(n, "datetime").isNotNull())
-    return F.coalesce(
-        keyed,
-        parse_date(attr(F.get(times, F.lit(0)), "datetime")),
-        *[parse_date(F.regexp_extract(text, p, 0)) for p in RECOVERY_DATES],
-    )
+    times = first(nodes, lambda n: (n.getField("tag") == "time") & attr(n, "datetime").isNotNull())
+    none = F.array().cast("array<string>")
+    return first_parsed(F.concat(
+        F.coalesce(F.regexp_extract_all(next_data(nodes), F.lit(walk), F.lit(1)), none),
+        F.array(attr(times, "datetime"), *[F.regexp_extract(text, p, 0) for p in RECOVERY_DATES])))
 
 
 def recovered_date(nodes: Column, text: Column, as_of: Column) -> Column:
@@ -180,22 +196,17 @@ def recovered_date(nodes: Column, text: Column, as_of: Column) -> Column:
     return F.coalesce(published_date(nodes, text, as_of), recovered_only(nodes, text))
 
 
-def dated_script_value(nodes: Column) -> Column:
-    """A date under one of four keys in any script."""
+def script_raws(nodes: Column) -> Column:
+    """Date texts under one of four keys in any script."""
     pattern = r'"(?:datePublished|publishTime|releaseTime|time)"\s*:\s*"([^"]{10,})"'
-    return _first_parsed(F.transform(script_texts(nodes), lambda t: F.regexp_extract(t, pattern, 1)))
+    return F.transform(script_texts(nodes), lambda t: F.regexp_extract(t, pattern, 1))
 
 
-def labelled_date(texts: Column) -> Column:
+def labelled_raw(texts: Column) -> Column:
     """``MM.dd.yyyy [HH:mm]`` of the first text that begins with a posting label."""
     shape = r"\d{2}\.\d{2}\.\d{4}(?:\s+\d{2}:\d{2})?"
-    hits = F.filter(texts, lambda t: t.rlike(r"^(Date Posted:|Date Taken:)") & t.rlike(shape))
-    return parse_date(F.regexp_extract(F.get(hits, F.lit(0)), shape, 0))
-
-
-def last_modified(header: Column | str) -> Column:
-    """The HTTP ``Last-Modified`` header."""
-    return parse_date(header)
+    return F.regexp_extract(first(
+        texts, lambda t: t.rlike(r"^(Date Posted:|Date Taken:)") & t.rlike(shape)), shape, 0)
 
 
 # ---- Japan time --------------------------------------------------------------------------
@@ -207,7 +218,8 @@ def jst_epoch_ms(text: Column | str, strict: bool = True) -> Column:
     """
     text = F.replace(strip(text), F.lit("T"), F.lit(" "))
     ok = text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}( \d{1,2}:\d{1,2}(:\d{1,2})?)?$")
-    dated = F.when(text.rlike(":"), text).otherwise(F.concat(text, F.lit(" 00:00")))
+    dated = F.when(text.rlike(":.*:"), text).when(text.rlike(":"), F.concat(text, F.lit(":00"))).otherwise(
+        F.concat(text, F.lit(" 00:00:00")))
     millis = F.when(ok, F.unix_millis(F.concat(dated, F.lit("+09:00")).try_cast("timestamp")))
     if not strict:
         return millis
@@ -226,7 +238,3 @@ def jst_day_label(time: Column | str, is_text: bool = False) -> Column:
     else:
         local = F.convert_timezone(F.lit("UTC"), F.lit(TOKYO), time.cast("timestamp_ntz"))
     return F.concat(F.month(local).cast("string"), F.lit("月"), F.dayofmonth(local).cast("string"), F.lit("日"))
-
-
-def page_text(nodes: Column) -> Column:
-    return visible_text(nodes, " ")

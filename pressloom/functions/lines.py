@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressloom.functions.base import col, is_filled, strip
+from pressloom.functions.nodes import first, let
 from pressloom.functions.text import TAG, html_to_text, is_noise, letters_only, strip_fence
 from pressloom.functions.unicode import nfkc, nfkc_all
 
@@ -20,12 +21,11 @@ TEXT_KEYS = ["content", "text", "body", "article"]
 
 def tolerant_json(text: Column | str) -> Column:
     """VARIANT of the whole text, else of its outermost ``[...]``, else ``{...}``, else NULL."""
-    t = strip_fence(text)
-    return F.coalesce(
+    return let(strip_fence(text), lambda t: F.coalesce(
         F.try_parse_json(t),
         F.try_parse_json(F.regexp_extract(t, r"(?s)\[.*\]", 0)),
         F.try_parse_json(F.regexp_extract(t, r"(?s)\{.*\}", 0)),
-    )
+    ))
 
 
 def _kind(v: Column) -> Column:
@@ -38,20 +38,22 @@ def parse_labels(raw: Column | str) -> Column:
     The answer may be a list or an object with ``lines``.  Any other shape, or a
     line that is no object, gives NULL.
     """
-    v = tolerant_json(raw)
-    items = F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.try_variant_get(v, "$.lines", "array<variant>"))
-    text = lambda e: F.when(
-        _kind(F.try_variant_get(e, "$.text", "variant")) == "STRING", F.try_variant_get(e, "$.text", "string")
-    )
-    lines = F.transform(items, lambda e, i: F.struct(
-        F.coalesce(F.try_variant_get(e, "$.index", "int"), F.lit(0)).alias("index"),
-        i.alias("pos"),
-        F.coalesce(text(e), F.lit("")).alias("text"),
-        F.lower(strip(F.coalesce(F.try_variant_get(e, "$.label", "string"), F.lit("")))).alias("label"),
-        F.coalesce(F.try_variant_get(e, "$.confidence", "double"), F.lit(0.0)).alias("confidence"),
-    ))
-    odd = F.exists(items, lambda e: ~_kind(e).startswith("OBJECT"))
-    return F.when(~odd, F.array_sort(lines))
+    def line(e: Column, i: Column) -> Column:
+        kind = _kind(F.try_variant_get(e, "$.text", "variant"))
+        return F.struct(
+            F.coalesce(F.try_variant_get(e, "$.index", "int"), F.lit(0)).alias("index"),
+            i.alias("pos"),
+            F.when(kind == "STRING", F.try_variant_get(e, "$.text", "string")).otherwise("").alias("text"),
+            F.lower(strip(F.coalesce(F.try_variant_get(e, "$.label", "string"), F.lit("")))).alias("label"),
+            F.coalesce(F.try_variant_get(e, "$.confidence", "double"), F.lit(0.0)).alias("confidence"),
+        )
+
+    def lines(items: Column) -> Column:
+        objects = F.forall(items, lambda e: _kind(e).startswith("OBJECT"))
+        return F.when(objects, F.array_sort(F.transform(items, line)))
+
+    return let(let(tolerant_json(raw), lambda v: F.coalesce(
+        F.try_variant_get(v, "$", "array<variant>"), F.try_variant_get(v, "$.lines", "array<variant>"))), lines)
 
 
 def order_lines(lines: Column, index: str = "index") -> Column:
@@ -67,17 +69,16 @@ def keep_body_lines(df: DataFrame, lines: str, title: str, out: str) -> DataFram
         "_norms": nfkc_all(F.transform(F.col(lines), lambda e: e.getField("text"))),
         "_title": nfkc(F.col(title)),
     })
-    named = F.coalesce(F.length(title) > 0, F.lit(False))
-    is_title = lambda i: named & (
-        letters_only(F.get(F.col("_norms"), i)) == letters_only(F.col("_title"))
-    )
-    kept = F.filter(F.col(lines), lambda e, i: (
-        (e.getField("label") == BODY_LABEL)
-        & (e.getField("confidence") >= MIN_CONFIDENCE)
-        & is_filled(e.getField("text"))
-        & ~is_noise(e.getField("text"))
-        & ~F.coalesce(is_title(i), F.lit(False))
-    ))
+    # an empty title is no title; NULL makes every comparison below pass
+    wanted = F.when(F.length(title) > 0, letters_only(F.col("_title")))
+    kept = let(F.struct(F.col("_norms").alias("norms"), wanted.alias("title")), lambda c: F.filter(
+        F.col(lines), lambda e, i: (
+            (e.getField("label") == BODY_LABEL)
+            & (e.getField("confidence") >= MIN_CONFIDENCE)
+            & is_filled(e.getField("text"))
+            & ~is_noise(e.getField("text"))
+            & F.coalesce(letters_only(F.get(c.getField("norms"), i)) != c.getField("title"), F.lit(True))
+        )))
     return df.withColumn(out, kept).drop("_norms", "_title")
 
 
@@ -99,8 +100,7 @@ def _text_of(v: Column) -> Column:
         inner = F.try_variant_get(v, path, "variant")
         return F.when(_kind(inner) == "STRING", F.try_variant_get(v, path, "string"))
 
-    keyed = [F.when(is_filled(string_at(f"$.{k}")), string_at(f"$.{k}")) for k in TEXT_KEYS]
-    return F.coalesce(string_at("$"), *keyed)
+    return F.coalesce(string_at("$"), first(F.array(*[string_at(f"$.{k}") for k in TEXT_KEYS]), is_filled))
 
 
 def first_text(value: Column | str) -> Column:
@@ -108,9 +108,10 @@ def first_text(value: Column | str) -> Column:
 
     HTML is turned into text; '' when nothing is usable.
     """
+    def usable(v: Column) -> Column:
+        listed = first(F.transform(F.try_variant_get(v, "$", "array<variant>"), _text_of), is_filled)
+        return F.coalesce(_text_of(v), listed)
+
     value = col(value)
-    v = F.try_parse_json(value)
-    items = F.try_variant_get(v, "$", "array<variant>")
-    listed = F.get(F.filter(F.transform(items, _text_of), is_filled), F.lit(0))
-    found = strip(F.when(v.isNull(), value).otherwise(F.coalesce(_text_of(v), listed)))
+    found = strip(let(F.try_parse_json(value), lambda v: F.when(v.isNull(), value).otherwise(usable(v))))
     return F.coalesce(F.when(found.rlike(TAG), html_to_text(found)).otherwise(found), F.lit(""))

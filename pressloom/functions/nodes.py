@@ -27,6 +27,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def filled(value: Column) -> Column:
+    """The value, or NULL for ''."""
+    return let(value, lambda v: F.when(v != "", v))
+
+
+def first(values: Column, test: Callable[[Column], Column] | None = None) -> Column:
+    """First element that passes ``test`` (by default: is not NULL)."""
+    return F.get(F.filter(values, test or (lambda v: v.isNotNull())), F.lit(0))
+
+
 # ---- selectors ---------------------------------------------------------------------------
 
 def simple_selector(css: str) -> tuple[str | None, str | None, str | None, str | None]:
@@ -209,14 +219,15 @@ def prune_struct(css: Iterable[str]) -> Column:
 
 def _is_pruned(nodes: Column, n: Column, p: Column) -> Column:
     cls, dom_id = attr(n, "class"), attr(n, "id")
-    by_attr = n.getField("attr").isNotNull() & (
-        F.arrays_overlap(F.split(F.coalesce(cls, F.lit("")), r"\s+"), p.getField("classes"))
-        | F.coalesce(F.array_contains(p.getField("ids"), dom_id), F.lit(False))
-        | F.coalesce(F.exists(p.getField("class_like"), lambda v: F.contains(cls, v)), F.lit(False))
-        | F.coalesce(F.exists(p.getField("id_like"), lambda v: F.contains(dom_id, v)), F.lit(False))
-        | F.exists(p.getField("other"), lambda s: matches(nodes, n, s))
+    by_class = cls.isNotNull() & (
+        F.arrays_overlap(F.split(cls, r"\s+"), p.getField("classes"))
+        | F.exists(p.getField("class_like"), lambda v: F.contains(cls, v))
+    )
+    by_id = dom_id.isNotNull() & (
+        F.array_contains(p.getField("ids"), dom_id) | F.exists(p.getField("id_like"), lambda v: F.contains(dom_id, v))
     )
-    return F.coalesce(F.array_contains(p.getField("tags"), n.getField("tag")) | by_attr, F.lit(False))
+    other = F.exists(p.getField("other"), lambda s: matches(nodes, n, s))
+    return F.coalesce(F.array_contains(p.getField("tags"), n.getField("tag")) | by_class | by_id | other, F.lit(False))
 
 
 def prune(nodes: Column, p: Column) -> Column:
@@ -276,13 +287,12 @@ def largest_block(nodes: Column, min_block: int = 120, min_part: int = 25) -> Co
 
 def meta_content(nodes: Column, key: str, name: str) -> Column:
     """Trimmed content of the first ``<meta key=name>`` that has one; NULL when none or empty."""
-    hit = F.filter(nodes, lambda n: (n.getField("tag") == "meta") & (attr(n, key) == name))
-    return F.nullif(strip(attr(F.get(hit, F.lit(0)), "content")), F.lit(""))
+    hit = first(nodes, lambda n: (n.getField("tag") == "meta") & (attr(n, key) == name))
+    return filled(strip(attr(hit, "content")))
 
 
 def first_tag_text(nodes: Column, tag: str) -> Column:
-    hit = F.get(F.filter(nodes, lambda n: n.getField("tag") == tag), F.lit(0))
-    return F.nullif(let(hit, lambda n: node_text(nodes, n)), F.lit(""))
+    return filled(let(first(nodes, lambda n: n.getField("tag") == tag), lambda n: node_text(nodes, n)))
 
 
 def script_texts(nodes: Column) -> Column:
@@ -313,5 +323,4 @@ def chunks_after(nodes: Column, anchor: Callable[[Column], Column], stop: str) -
             F.array_position(F.transform(r, lambda t: t.rlike(stop)), True),
             lambda p: F.when(p > 0, F.slice(r, 1, (p - 1).cast("int"))).otherwise(r)))
 
-    hit = F.get(F.filter(nodes, anchor), F.lit(0))
-    return F.when(hit.isNotNull(), let(hit, chunks))
+    return let(first(nodes, anchor), lambda a: F.when(a.isNotNull(), chunks(a)))

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from pressloom.functions.base import col, strip
 from pressloom.functions.nodes import (
-    _inside, attr, first_tag_text, let, meta_content, node_text, selector_array, select_first, visible_text,
+    _inside, attr, filled, first, first_tag_text, let, meta_content, node_text, selector_array, select_first,
+    visible_text,
 )
 from pressloom.functions.text import longest
 
@@ -61,8 +62,6 @@ def strip_brand(title: Column | str, tokens: Column, strict: bool = False) -> Co
     Hyphens inside words separate too, so ``F-35`` comes out as ``F - 35``;
     ``strict`` splits at separators with white space around them only.
     """
-    title = col(title)
-
     def is_brand(part: Column) -> Column:
         low = F.lower(strip(part))
         related = F.exists(tokens, lambda t: F.contains(t, low) | F.contains(low, t))
@@ -72,15 +71,14 @@ def strip_brand(title: Column | str, tokens: Column, strict: bool = False) -> Co
         kept = F.filter(F.sequence(F.lit(0), F.size(parts) - 1), lambda i: (i == 0) | ~is_brand(F.get(parts, i)))
         return F.slice(parts, 1, F.array_max(kept) + 1)
 
-    parts = F.split(strip(title), SPACED_SEPARATOR if strict else SEPARATOR)
+    parts = F.split(strip(col(title)), SPACED_SEPARATOR if strict else SEPARATOR)
     joined = strip(F.array_join(let(parts, cut), " - "))
-    joined = F.regexp_replace(joined, SEPARATOR + "$", "")
-    return F.when(title == "", title).otherwise(F.regexp_replace(joined, r"(?U)\s{2,}", " "))
+    return F.regexp_replace(F.regexp_replace(joined, SEPARATOR + "$", ""), r"(?U)\s{2,}", " ")
 
 
 def _headings(nodes: Column) -> list[Column]:
     """First heading text per place, best place first."""
-    def first(tag: str, *boxes: str) -> Column:
+    def heading(tag: str, *boxes: str) -> Column:
         def fits(n: Column) -> Column:
             ok = n.getField("tag") == tag
             if len(boxes) == 1:
@@ -90,10 +88,10 @@ def _headings(nodes: Column) -> list[Column]:
                     nodes, lambda m: (m.getField("tag") == boxes[0]) & _inside(a, m)))
             return F.coalesce(ok, F.lit(False))
 
-        return let(F.get(F.filter(nodes, fits), F.lit(0)), lambda n: node_text(nodes, n))
+        return let(first(nodes, fits), lambda n: node_text(nodes, n))
 
     places = [("h1", "article"), ("h1", "main", "article"), ("h1", "main"), ("h1",), ("h2", "article"), ("h2",)]
-    return [first(*p) for p in places]
+    return [heading(*p) for p in places]
 
 
 def page_title(nodes: Column, tokens: Column) -> Column:
@@ -111,12 +109,7 @@ def page_title(nodes: Column, tokens: Column) -> Column:
 
 def trim_prefix(title: Column | str) -> Column:
     """Remove one listing prefix and the separators after it."""
-    title = col(title)
-    out = title
-    for p in LISTING_PREFIXES:
-        rest = F.regexp_replace(F.substring(title, len(p) + 1, 1_000_000_000), r"^[ \-|–—]+", "")
-        out = F.when(title.startswith(p), rest).otherwise(out)
-    return out
+    return F.regexp_replace(col(title), rf"^(?:{'|'.join(LISTING_PREFIXES)})[ \-|–—]*", "")
 
 
 def _title_candidates(nodes: Column) -> Column:
@@ -125,29 +118,28 @@ def _title_candidates(nodes: Column) -> Column:
     heads = F.filter(nodes, lambda n: F.coalesce(
         n.getField("tag").isin("h1", "h2", "h3") | attr(n, "class").rlike("title|headline|subject"), F.lit(False)))
     texts = F.transform(heads, lambda n: node_text(nodes, n))
-    return longest(F.filter(texts, lambda t: (F.length(t) >= MIN_HEADING) & ~F.coalesce(t == shell, F.lit(False))))
+    return let(shell, lambda title: longest(F.filter(
+        texts, lambda t: (F.length(t) >= MIN_HEADING) & F.coalesce(t != title, F.lit(True)))))
 
 
 def _boxed_heading(nodes: Column) -> Column:
     """First ``h1`` inside the detail box, the article or the main part."""
-    def inside_of(css: str) -> Column:
-        return let(select_first(nodes, selector_array([css])), lambda box: F.nullif(let(
-            F.get(F.filter(nodes, lambda n: (n.getField("tag") == "h1") & _inside(n, box)), F.lit(0)),
-            lambda n: node_text(nodes, n)), F.lit("")))
-
-    return F.coalesce(*[inside_of(c) for c in ("#newsDetail", "article", "main article", "main")])
+    boxes = F.transform(F.array(*map(selector_array, [["#newsDetail"], ["article"], ["main article"], ["main"]])),
+                        lambda s: select_first(nodes, s))
+    heads = F.transform(boxes, lambda box: let(
+        first(nodes, lambda n: (n.getField("tag") == "h1") & _inside(n, box)), lambda n: node_text(nodes, n)))
+    return first(heads, lambda t: t != "")
 
 
 def _classed_heading(nodes: Column) -> Column:
     named = F.filter(nodes, lambda n: F.coalesce(
         F.arrays_overlap(F.split(attr(n, "class"), r"\s+"), F.array(*map(F.lit, ["title", "news-title", "article-title"])))
         | F.contains(attr(n, "class"), F.lit("headline")), F.lit(False)))
-    return F.get(F.filter(F.transform(named, lambda n: node_text(nodes, n)), lambda t: t != ""), F.lit(0))
+    return first(F.transform(named, lambda n: node_text(nodes, n)), lambda t: t != "")
 
 
 def _first_heading(nodes: Column) -> Column:
-    hit = F.get(F.filter(nodes, lambda n: n.getField("tag").isin("h1", "h2")), F.lit(0))
-    return F.nullif(let(hit, lambda n: node_text(nodes, n)), F.lit(""))
+    return filled(let(first(nodes, lambda n: n.getField("tag").isin("h1", "h2")), lambda n: node_text(nodes, n)))
 
 
 def _first_line(nodes: Column) -> Column:
@@ -171,32 +163,44 @@ TITLE_SOURCES = {
 }
 
 
-def _from_sources(nodes: Column, sources: list[str]) -> Column:
-    return F.coalesce(*[TITLE_SOURCES[s](nodes) for s in sources])
+def _by_order(nodes: Column, order: Column) -> Column:
+    """First source of ``order`` (an array of source names) that yields a title."""
+    def value(name: Column) -> Column:
+        out = F.lit(None).cast("string")
+        for source, expression in TITLE_SOURCES.items():
+            out = F.when(name == source, expression(nodes)).otherwise(out)
+        return out
+
+    return first(F.transform(order, value))
+
+
+def _order_of(domain: Column, site_titles: dict[str, list[str]]) -> Column:
+    order = F.lit(None).cast("array<string>")
+    for site, sources in LATE_TITLES.items():
+        order = F.when(domain.endswith(site), F.array(*map(F.lit, sources))).otherwise(order)
+    for site, sources in site_titles.items():
+        order = F.when(domain == site, F.array(*map(F.lit, sources))).otherwise(order)
+    return order
 
 
 def site_title(
-    nodes: Column, domain: Column | str, url_tokens: Column, site_titles: dict[str, list[str]] | None = None
+    nodes: Column, domain: Column | str, tokens: Column, site_titles: dict[str, list[str]] | None = None
 ) -> Column:
     """Final title of a page: generic choice, prefix trim, site order, brand strip, late site order."""
     domain = col(domain)
-    site_titles = SITE_TITLES if site_titles is None else site_titles
-    title = trim_prefix(F.coalesce(F.nullif(page_title(nodes, url_tokens), F.lit("")), F.lit(NO_TITLE)))
-
-    def by_site(t: Column) -> Column:
-        own = F.lit(None).cast("string")
-        for site, sources in site_titles.items():
-            here = domain == site
-            if site in WEAK_ONLY:
-                here &= (t == NO_TITLE) | F.contains(t, F.lit(WEAK_ONLY[site]))
-            own = F.when(here, _from_sources(nodes, sources)).otherwise(own)
-        return strip_brand(F.coalesce(own, t), url_tokens)
-
-    def late(t: Column) -> Column:
-        own = F.lit(None).cast("string")
-        for site, sources in LATE_TITLES.items():
-            weak = (t == NO_TITLE) | (F.length(t) < LATE_MIN)
-            own = F.when(domain.endswith(site) & weak, _from_sources(nodes, sources)).otherwise(own)
-        return F.coalesce(own, t)
-
-    return let(let(title, by_site), late)
+    generic = trim_prefix(F.coalesce(filled(page_title(nodes, tokens)), F.lit(NO_TITLE)))
+    own = _by_order(nodes, _order_of(domain, SITE_TITLES if site_titles is None else site_titles))
+    is_late = F.lit(False)
+    for site in LATE_TITLES:
+        is_late |= domain.endswith(site)
+
+    def choose(t: Column, o: Column) -> Column:
+        allowed = ~is_late
+        for site, name in WEAK_ONLY.items():
+            allowed &= (domain != site) | (t == NO_TITLE) | F.contains(t, F.lit(name))
+        early = strip_brand(F.coalesce(F.when(allowed, o), t), tokens)
+        return let(early, lambda e: F.when(
+            is_late & ((e == NO_TITLE) | (F.length(e) < LATE_MIN)), F.coalesce(o, e)).otherwise(e))
+
+    both = F.struct(generic.alias("generic"), own.alias("own"))
+    return let(both, lambda b: choose(b.getField("generic"), b.getField("own")))

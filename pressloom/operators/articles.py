@@ -15,8 +15,8 @@ from pressloom.functions import cleanup as cl
 from pressloom.functions import dates
 from pressloom.functions.base import strip
 from pressloom.functions.nodes import (
-    attr, chunks_after, climb, first_tag_text, inside, largest_block, let, meta_content, node_text, paragraphs, prune,
-    script_texts, select_first, selector_array, texts_of, visible_text, whole,
+    attr, chunks_after, climb, filled, first, inside, largest_block, let, meta_content, node_text, paragraphs, prune,
+    prune_struct, script_texts, select_first, selector_array, texts_of, visible_text, whole,
 )
 from pressloom.functions.text import MIN_ARTICLE_CHARS, flatten_body, postprocess_body
 from pressloom.functions.titles import brand_tokens, site_title
@@ -34,8 +34,6 @@ FALLBACK_TAIL = r"(?isU)\b(Tags?|Related|Share)\b.*$"
 
 def rule_literal(rule: SiteRule) -> Column:
     """A rule as a constant struct column."""
-    from pressloom.functions.nodes import prune_struct
-
     strings = lambda v: F.array(*map(F.lit, v)).cast("array<string>")
     name, kind, prefix, regex, nofb, *_ = rule_row(rule)
     return F.struct(
@@ -79,7 +77,7 @@ def blocks_body(nodes: Column, rule: Column) -> Column:
 def text_body(nodes: Column, rule: Column) -> Column:
     """Visible text of the container, one piece per line; NULL without a container."""
     return _boxed(nodes, rule, lambda clean, box: F.when(
-        box.getField("rank") >= 0, F.nullif(node_text(clean, box, "\n"), F.lit(""))))
+        box.getField("rank") >= 0, filled(node_text(clean, box, "\n"))))
 
 
 def text_or_page_body(nodes: Column, rule: Column) -> Column:
@@ -90,7 +88,7 @@ def text_or_blocks_body(nodes: Column, rule: Column) -> Column:
     """Text of the body box, else the container's paragraphs, else the container's text."""
     return _boxed(nodes, rule, lambda clean, box: let(_body_box(clean, box, rule), lambda b: F.when(
         b.isNotNull(), node_text(clean, b, "\n")).otherwise(F.coalesce(
-            F.nullif(_joined(clean, box, rule), F.lit("")), node_text(clean, box, "\n")))))
+            filled(_joined(clean, box, rule)), node_text(clean, box, "\n")))))
 
 
 def headline_box_body(nodes: Column, rule: Column) -> Column:
@@ -111,15 +109,13 @@ def headline_box_body(nodes: Column, rule: Column) -> Column:
 
 def descriptions(nodes: Column, twitter: bool = False) -> Column:
     """``og:description``, (``twitter:description``,) ``description``, then JSON-LD ``description``."""
-    ld = F.transform(dates.jsonld_texts(nodes), lambda t: F.try_parse_json(dates._common_entities(t)))
-    ld_text = F.transform(ld, lambda v: F.coalesce(
-        F.try_variant_get(v, "$.description", "string"), F.try_variant_get(v, "$['@graph'].description", "string"),
-        F.try_variant_get(v, "$['@graph'][0].description", "string"), F.try_variant_get(v, "$[0].description", "string")))
-    first_ld = F.get(F.filter(F.transform(ld_text, strip), lambda t: F.coalesce(t != "", F.lit(False))), F.lit(0))
+    paths = ["$.description", "$['@graph'].description", "$['@graph'][0].description", "$[0].description"]
+    stated = F.transform(dates.jsonld(nodes), lambda v: F.coalesce(*[F.try_variant_get(v, p, "string") for p in paths]))
     metas = [meta_content(nodes, "property", "og:description")]
     if twitter:
         metas.append(meta_content(nodes, "name", "twitter:description"))
-    return F.coalesce(*metas, meta_content(nodes, "name", "description"), first_ld)
+    return F.coalesce(*metas, meta_content(nodes, "name", "description"),
+                      first(F.transform(stated, strip), lambda t: t != ""))
 
 
 LEAD_BOXES = [
@@ -134,7 +130,7 @@ def lead_body(nodes: Column, rule: Column) -> Column:
         b.isNotNull(), _at_least(_joined(clean, b, rule), rule.getField("min_total")))))
     lead = let(select_first(nodes, selector_array(LEAD_BOXES)), lambda b: F.when(
         b.isNotNull(), strip(F.regexp_replace(node_text(nodes, b, "\n"), FALLBACK_TAIL, ""))))
-    return F.coalesce(body, descriptions(nodes), F.nullif(lead, F.lit("")))
+    return F.coalesce(body, descriptions(nodes), filled(lead))
 
 
 def script_json_body(nodes: Column) -> Column:
@@ -147,11 +143,11 @@ def script_json_body(nodes: Column) -> Column:
         for code, char in ((r"(?i)\\u003c", "<"), (r"(?i)\\u003e", ">"), (r"(?i)\\u0026", "&"), (r"\\n", "\n"),
                            (r"\\t", "\t"), (r"\\r", "\n"), (r"\\/", "/")):
             v = F.regexp_replace(v, code, char)
-        v = dates._common_entities(F.replace(v, F.lit('\\"'), F.lit('"')))
+        v = dates.common_entities(F.replace(v, F.lit('\\"'), F.lit('"')))
         pieces = F.transform(F.split(F.regexp_replace(v, r"<[^>]+>", "\x1f"), "\x1f"), strip)
         return F.array_join(F.filter(pieces, lambda p: p != ""), "\n")
 
-    return F.get(F.filter(F.transform(bearing, plain), lambda t: F.length(t) >= MIN_SCRIPT_BODY), F.lit(0))
+    return first(F.transform(bearing, plain), lambda t: F.length(t) >= MIN_SCRIPT_BODY)
 
 
 def blocks_or_script_body(nodes: Column, rule: Column) -> Column:
@@ -162,7 +158,7 @@ def image_body(nodes: Column, rule: Column) -> Column:
     """The declared description, else the caption box."""
     box = select_first(nodes, rule.getField("containers"))
     return F.coalesce(meta_content(nodes, "property", "og:description"),
-                      let(box, lambda b: F.when(b.isNotNull(), F.nullif(node_text(nodes, b), F.lit("")))))
+                      let(box, lambda b: F.when(b.isNotNull(), filled(node_text(nodes, b)))))
 
 
 def video_body(nodes: Column, rule: Column) -> Column:
@@ -185,7 +181,7 @@ def photo_body(nodes: Column, rule: Column) -> Column:
     caption = F.coalesce(
         meta_content(nodes, "property", "og:description"), meta_content(nodes, "name", "twitter:description"),
         in_box(20, [", ".join(CAPTION_PARAGRAPHS)]),
-        let(box, lambda b: F.when(b.isNotNull(), F.nullif(node_text(nodes, b), F.lit("")))),
+        let(box, lambda b: F.when(b.isNotNull(), filled(node_text(nodes, b)))),
         in_box(40, ["article"]), in_box(40, ["main"]),
     )
     return F.coalesce(let(caption, cl.photo_caption), let(visible_text(nodes, "\n"), cl.photo_caption))
@@ -214,7 +210,7 @@ def transcript(texts: Column) -> Column:
     usable = F.filter(texts, lambda t: ~F.contains(t, F.lit(cl.EMBED_HELP[0])) & ~F.contains(t, F.lit(cl.EMBED_HELP[1])))
     kept = F.filter(cl.lines_of(F.array_join(usable, "\n")), lambda s: ~s.rlike(cl.AUDIO_CHROME))
     text = F.array_join(kept, "\n")
-    return let(let(text, lambda t: F.coalesce(F.nullif(F.regexp_extract(t, r"(?isU)\bWELCOME\b.*", 0), F.lit("")), t)),
+    return let(let(text, lambda t: F.coalesce(filled(F.regexp_extract(t, r"(?isU)\bWELCOME\b.*", 0)), t)),
                lambda t: F.when(F.length(t) > 80, t))
 
 
@@ -236,11 +232,11 @@ def audio_body(nodes: Column, rule: Column) -> Column:
             F.contains(attr(n, "class"), F.lit("transcript")) | F.contains(attr(n, "id"), F.lit("transcript")), F.lit(False)))
         scripted = F.get(F.filter(F.transform(named, lambda n: node_text(page, n, "\n")), lambda t: F.length(t) > 80), F.lit(0))
         box = let(select_first(page, rule.getField("bodies")), lambda b: F.when(
-            b.isNotNull(), F.nullif(before(node_text(page, b, "\n")), F.lit(""))))
+            b.isNotNull(), filled(before(node_text(page, b, "\n")))))
         return F.coalesce(
             transcript(audio_chunks(page)), near, scripted, box,
             meta_content(page, "property", "og:description"), meta_content(page, "name", "description"),
-            F.nullif(before(visible_text(page, "\n")), F.lit("")))
+            filled(before(visible_text(page, "\n"))))
 
     return let(prune(nodes, rule.getField("page_prune")), parts)
 
@@ -259,16 +255,15 @@ def lines_body(nodes: Column, rule: Column) -> Column:
 
     def rest(lines: Column) -> Column:
         skip = F.when(is_row(F.get(lines, F.lit(1))), 2).when(is_row(F.get(lines, F.lit(0))), 1).otherwise(0)
-        return F.nullif(strip(F.array_join(F.slice(lines, skip + 1, F.greatest(F.size(lines), F.lit(1))), "\n")), F.lit(""))
+        return filled(strip(F.array_join(F.slice(lines, skip + 1, F.greatest(F.size(lines), F.lit(1))), "\n")))
 
     return let(lines_of_page(nodes), rest)
 
 
-def lines_date(nodes: Column) -> Column:
+def lines_raw(nodes: Column) -> Column:
     """Date and time in one of the first six lines."""
     shape = r"\d{4}-\d{2}-\d{2}\s+\d{2}:\d{2}:\d{2}"
-    hits = F.filter(F.slice(lines_of_page(nodes), 1, 6), lambda s: s.rlike(shape))
-    return dates.parse_date(F.regexp_extract(F.get(hits, F.lit(0)), shape, 0))
+    return F.regexp_extract(first(F.slice(lines_of_page(nodes), 1, 6), lambda s: s.rlike(shape)), shape, 0)
 
 
 BODIES = {
@@ -284,54 +279,52 @@ def rule_body(nodes: Column, rule: Column, kinds: Iterable[str] | None = None) -
     out = F.lit(None).cast("string")
     for kind in BODIES if kinds is None else kinds:
         out = F.when(rule.getField("kind") == kind, BODIES[kind](nodes, rule)).otherwise(out)
-    return F.nullif(out, F.lit(""))
+    return filled(out)
 
 
 def generic_body(nodes: Column) -> Column:
-    return F.nullif(blocks_body(nodes, rule_literal(GENERIC)), F.lit(""))
+    return let(rule_literal(GENERIC), lambda rule: filled(blocks_body(nodes, rule)))
 
 
 # ---- dates of single sites --------------------------------------------------------------------
 
-def site_date(nodes: Column, rule: Column, url: Column) -> Column:
-    """The dates only single sites show: labelled rows, header lines, attributes, URL parts."""
-    text = lambda: visible_text(nodes, " ")
-    kind, name = rule.getField("kind"), rule.getField("name")
-    time_attr = lambda: attr(F.get(F.filter(nodes, lambda n: (n.getField("tag") == "time") & attr(
-        n, "datetime").isNotNull()), F.lit(0)), "datetime")
-    iso_attr = attr(F.get(F.filter(nodes, lambda n: attr(n, "data-iso-date").isNotNull()), F.lit(0)), "data-iso-date")
-    return (
-        F.when(kind.isin("image", "video"), dates.labelled_date(texts_of(nodes)))
-        .when(kind == "lines", lines_date(nodes))
-        .when(kind == "lead", F.coalesce(dates.parse_date(iso_attr), dates.parse_date(time_attr())))
-        .when(kind == "text_or_page", release_date(nodes))
+def site_date(nodes: Column, rule: Column) -> Column:
+    """The dates only single sites show: labelled rows, header lines, attributes."""
+    dated = lambda key, *tags: attr(first(nodes, lambda n: attr(n, key).isNotNull() & (
+        n.getField("tag").isin(*tags) if tags else F.lit(True))), key)
+    kind = rule.getField("kind")
+    raws = (
+        F.when(kind.isin("image", "video"), F.array(dates.labelled_raw(texts_of(nodes))))
+        .when(kind == "lines", F.array(lines_raw(nodes)))
+        .when(kind == "lead", F.array(dated("data-iso-date"), dated("datetime", "time")))
+        .when(kind == "text_or_page", F.array(release_raw(nodes)))
     )
+    return dates.first_parsed(raws)
 
 
-def release_date(nodes: Column) -> Column:
+def release_raw(nodes: Column) -> Column:
     """``.release-date``, else ``time[datetime]``, else ``span.date``: its attribute, else its text."""
     hit = select_first(nodes, selector_array([".release-date", "time[datetime]", "span.date"]))
-    raw = let(hit, lambda b: F.when(b.isNotNull(), let(F.get(nodes, b.getField("id")), lambda n: F.coalesce(
+    return let(hit, lambda b: F.when(b.isNotNull(), let(F.get(nodes, b.getField("id")), lambda n: F.coalesce(
         attr(n, "datetime"), node_text(nodes, n, "")))))
-    return dates.parse_date(raw)
 
 
-def late_date(nodes: Column, rule: Column, url: Column, last_modified: Column) -> Column:
-    """Sources tried when the page itself gave no date."""
+def late_date(nodes: Column, text: Column, rule: Column, url: Column, last_modified: Column) -> Column:
+    """Sources tried when the page itself gave no date: site habits, then the HTTP header."""
     name = rule.getField("name")
-    header = lambda: visible_text(nodes, " ")
-    slashed = F.regexp_extract(header(), r"(?U)\b\d{1,2}/\d{1,2}/\d{4}\b", 0)
-    spelled = F.regexp_extract(header(), r"(?U)\b\d{1,2}\s+[A-Z][a-z]{2}\s+\d{4}(?:\s+\d{1,2}:\d{2})?\b", 0)
+    slashed = F.regexp_extract(text, r"(?U)\b\d{1,2}/\d{1,2}/\d{4}\b", 0)
+    spelled = F.regexp_extract(text, r"(?U)\b\d{1,2}\s+[A-Z][a-z]{2}\s+\d{4}(?:\s+\d{1,2}:\d{2})?\b", 0)
     classed = F.filter(nodes, lambda n: F.coalesce(
         attr(n, "class").rlike("time|date") | attr(n, "id").rlike("time|date"), F.lit(False)))
     in_url = F.regexp_extract(url_fragment(url), r"\d{4}-\d{2}-\d{2}(?:[ T]\d{2}:\d{2}(?::\d{2})?)?", 0)
     own = (
-        F.when(name == "vietnam.vn", dates.parse_date(slashed))
-        .when(name == "moreover:ct", dates.parse_date(spelled))
-        .when(name.startswith("shobserver"), dates._first_parsed(F.transform(classed, lambda n: node_text(nodes, n))))
-        .when(name == "cankaoxiaoxi", F.coalesce(dates.dated_script_value(nodes), dates.parse_date(in_url)))
+        F.when(name == "vietnam.vn", F.array(slashed))
+        .when(name == "moreover:ct", F.array(spelled))
+        .when(name.startswith("shobserver"), F.transform(classed, lambda n: node_text(nodes, n)))
+        .when(name == "cankaoxiaoxi", F.concat(F.coalesce(
+            dates.script_raws(nodes), F.array().cast("array<string>")), F.array(in_url)))
     )
-    return F.coalesce(own, dates.last_modified(last_modified))
+    return dates.first_parsed(F.concat(F.coalesce(own, F.array().cast("array<string>")), F.array(last_modified)))
 
 
 # ---- the job ----------------------------------------------------------------------------------
@@ -368,7 +361,7 @@ def extract_articles(
         "tokens": brand_tokens("domain", nodes),
         "dated": dates.published_date(nodes, F.col("text"), as_of),
         "own_body": rule_body(nodes, rule, kinds),
-        "own_date": site_date(nodes, rule, F.col("url")),
+        "own_date": site_date(nodes, rule),
     })
     step = step.withColumns({
         "recovered": F.coalesce("dated", dates.recovered_only(nodes, F.col("text"))),
@@ -382,7 +375,7 @@ def extract_articles(
     published = F.coalesce(
         F.when(rule.isNotNull(), F.coalesce("own_date", "dated")),
         F.when(F.col("fallback").isNotNull(), F.col("recovered")),
-        late_date(nodes, rule, F.col("url"), F.col("last_modified")),
+        late_date(nodes, F.col("text"), rule, F.col("url"), F.col("last_modified")),
     )
     had_page = F.coalesce("had_page", F.lit(False))
     return step.select(

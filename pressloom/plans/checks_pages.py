@@ -56,7 +56,7 @@ ARTICLE_SQL = "regexp_extract(html, '(?s)<article>(.*?)</article>', 1)"
 
 def paragraphs_sql(html: str, min_chars: int = 25) -> str:
     """Texts of the ``<p>`` elements of some article HTML."""
-    pieces = f"list_transform(string_split({html}, '<p>')[2:], lambda p: array_to_string({texts_sql('p')}, ' '))"
+    pieces = f"list_transform(string_split({html}, '<p>')[2:], lambda p: array_to_string({texts_sql("split_part(p, '</p>', 1)")}, ' '))"
     return f"list_filter({pieces}, lambda t: length(t) >= {min_chars})"
 
 
@@ -122,7 +122,7 @@ WITH b AS (SELECT page_id, trim({UNESCAPE_SQL.format(RAW_TITLE_SQL)}, {WS}) || {
 SELECT page_id, CASE WHEN page_id % 2 = 0 AND length(t) >= 160 THEN t END AS text FROM b""")
 def script_json_body(spark, folder):
     title = F.replace(F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1), F.lit('"'), F.lit("&quot;"))
-    value = F.concat(F.lit(r'<p class=\"x\">'), title, F.lit(r"<\/p><p>"), "url", F.lit(r"<\/p><p>"), "url",
+    value = F.concat(F.lit("<p>"), title, F.lit(r"<\/p><p>"), "url", F.lit(r"<\/p><p>"), "url",
                      F.lit(r"<\/p><p>"), "url", F.lit(r"<\/p>"))
     script = F.concat(F.lit('<head><script>window.state={"id":1,"contentHtml":"'), value, F.lit(
         '","note":"' + "-" * 100 + '"}</script>'))
@@ -417,8 +417,9 @@ def date_fallbacks(spark, folder):
     df = pages(spark, folder).select("page_id", url.alias("url"), html.alias("html"), header.alias("last_modified"))
     df = df.withColumns({"domain": scrape_domain("url"), "path": url_path("url")})
     df = pick_site_rule(df, SITE_RULES).withColumn(NODES, shred("html"))
-    found = F.coalesce(ar.site_date(F.col(NODES), F.col("rule"), F.col("url")),
-                       ar.late_date(F.col(NODES), F.col("rule"), F.col("url"), F.col("last_modified")))
+    df = df.withColumn("text", nd.visible_text(F.col(NODES), " "))
+    found = F.coalesce(ar.site_date(F.col(NODES), F.col("rule")), ar.late_date(
+        F.col(NODES), F.col("text"), F.col("rule"), F.col("url"), F.col("last_modified")))
     return df.select("page_id", stamp(found).alias("published"))
 
 
@@ -508,8 +509,8 @@ def custom_rule(spark, folder):
     mine = SiteRule("mine", "spam-farm.example.org", containers=("article",), tags=("h1",), min_chars=6, priority=99)
     df = pages(spark, folder).withColumns({"domain": scrape_domain("url"), "path": url_path("url")})
     df = pick_site_rule(df, [*SITE_RULES, mine]).withColumn(NODES, shred("html"))
-    body = ar.rule_body(F.col(NODES), F.col("rule"), ["blocks"])
-    return df.select("page_id", F.col("rule.name").alias("rule"), body.alias("content"))
+    df = df.withColumn("content", ar.rule_body(F.col(NODES), F.col("rule"), ["blocks"]))
+    return df.select("page_id", F.col("rule.name").alias("rule"), "content")
 
 
 @check("best_rendering", """

@@ -19,7 +19,8 @@ def build_session(app_name: str = "pressloom", master: str | None = None, **conf
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
-        builder = builder.master(master).config("spark.ui.enabled", "false")
+        builder = builder.master(master).config("spark.ui.enabled", "false").config(
+            "spark.ui.showConsoleProgress", "false")
     settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
