@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from pressloom.functions.base import col, strip
-from pressloom.functions.nodes import filled, let
+from pressloom.functions.sqltext import F, Sql, column_function, filled, let, strip
 
 # Markers and line patterns of the wire-service pages.
 NEWS_INFO = r"(?iU)\bNEWS\s*INFO\b"
@@ -32,21 +28,24 @@ SKIP_AFTER_BYLINE = 2
 LONG_CAPTION, LONG_LINE, DASH_LINE, MIN_STORY = 200, 140, 40, 120
 
 
-def before_marker(text: Column | str, marker: str) -> Column:
+@column_function
+def before_marker(text: Sql, marker: str) -> Sql:
     """Text before the first match of ``marker``, trimmed; the whole text when there is none."""
-    return strip(F.get(F.split(col(text), marker, 2), F.lit(0)))
+    return strip(F.get(F.split(text, marker, 2), F.lit(0)))
 
 
-def lines_of(text: Column | str) -> Column:
+@column_function
+def lines_of(text: Sql) -> Sql:
     """Trimmed, non-blank lines."""
-    return F.filter(F.transform(F.split(col(text), LINE_BREAK), strip), lambda s: s != "")
+    return F.filter(F.transform(F.split(text, LINE_BREAK), strip), lambda s: s != "")
 
 
-def skip_after_byline(lines: Column) -> Column:
+@column_function
+def skip_after_byline(lines: Sql) -> Sql:
     """A byline drops itself and the next two lines; dropped lines start no new skip."""
-    start = F.struct(F.lit(0).alias("skip"), F.array().cast("array<string>").alias("kept"))
+    start = F.struct(F.lit(0).alias("skip"), F.empty().alias("kept"))
 
-    def step(acc: Column, line: Column) -> Column:
+    def step(acc: Sql, line: Sql) -> Sql:
         skip, kept = acc.getField("skip"), acc.getField("kept")
         left = F.when(skip > 0, skip - 1).when(line.rlike(BYLINE), F.lit(SKIP_AFTER_BYLINE)).otherwise(F.lit(0))
         keep = (skip == 0) & ~line.rlike(BYLINE)
@@ -55,7 +54,8 @@ def skip_after_byline(lines: Column) -> Column:
     return F.aggregate(lines, start, step).getField("kept")
 
 
-def is_dropped_line(line: Column, title: Column) -> Column:
+@column_function
+def is_dropped_line(line: Sql, title: Sql) -> Sql:
     """Title copies, courtesy and date rows, capital place names, interface words, long captions."""
     caption = (F.length(line) > LONG_CAPTION) & F.contains(line, F.lit("(")) & line.endswith(")") & ~F.contains(
         line, F.lit(" — "))
@@ -65,7 +65,8 @@ def is_dropped_line(line: Column, title: Column) -> Column:
     )
 
 
-def start_at_dateline(lines: Column) -> Column:
+@column_function
+def start_at_dateline(lines: Sql) -> Sql:
     """Lines from the first dateline, else from the first sentence-like line, else all."""
     dateline = lambda s: F.contains(s, F.lit(" — ")) & F.contains(F.substring_index(s, " — ", 1), F.lit(","))
     sentence = lambda s: (
@@ -76,15 +77,16 @@ def start_at_dateline(lines: Column) -> Column:
     return F.slice(lines, place, F.greatest(F.size(lines), F.lit(1)))
 
 
-def drop_leading(text: Column, title: Column) -> Column:
+def drop_leading(text: Sql, title: Sql) -> Sql:
     """Text without a copy of the title in front and the colons, blanks or breaks after it."""
     rest = F.regexp_replace(F.substring(text, F.length(title) + 1, F.length(text)), r"^[ :\n]+", "")
     return F.when(F.coalesce((F.length(title) > 0) & text.startswith(title), F.lit(False)), rest).otherwise(text)
 
 
-def story_body(raw: Column, title: Column) -> Column:
+@column_function
+def story_body(raw: Sql, title: Sql) -> Sql:
     """Body of a wire-service story, or NULL when it is too short to be one."""
-    def without_courtesy(t: Column) -> Column:
+    def without_courtesy(t: Sql) -> Sql:
         place = F.instr(t, " — ")
         head = F.when(place > 0, F.substring(t, F.lit(1), place - 1)).otherwise(t)
         tail = F.when(place > 0, F.substring(t, place, F.length(t))).otherwise(F.lit(""))
@@ -99,7 +101,8 @@ def story_body(raw: Column, title: Column) -> Column:
     return let(joined, lambda b: F.when(F.length(b) > MIN_STORY, b))
 
 
-def photo_caption(text: Column) -> Column:
+@column_function
+def photo_caption(text: Sql) -> Sql:
     """Photo caption without share labels, download links and trailing bars."""
     t = before_marker(F.replace(text, F.lit("\u00a0"), F.lit(" ")), SHARE_LABEL)
     t = F.regexp_replace(t, r"(?iU)\b(?:Download|Downloads?)\s*:\s*.*$", "")
@@ -107,6 +110,7 @@ def photo_caption(text: Column) -> Column:
     return filled(strip(F.regexp_replace(t, r"(?U)\s*\|\s*$", "")))
 
 
-def caption_pattern(text: Column | str) -> Column:
+@column_function
+def caption_pattern(text: Sql) -> Sql:
     """Video caption with its credit, found by pattern in the whole text; NULL when there is none."""
-    return filled(F.regexp_extract(col(text), CAPTION, 0))
+    return filled(F.regexp_extract(text, CAPTION, 0))

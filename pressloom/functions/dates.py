@@ -1,4 +1,4 @@
-"""Dates: parsing, page date sources, text scans, Japan-time labels.
+"""Dates: parsing, page date sources, text scans.
 
 A parsed date is a TIMESTAMP; text without zone is read as UTC.  Only complete
 dates count: missing parts are never filled from today.
@@ -6,11 +6,8 @@ dates count: missing parts are never filled from today.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from pressloom.functions.base import col, strip
-from pressloom.functions.nodes import attr, first, let, script_texts
+from pressloom.functions.nodes import attr, script_texts
+from pressloom.functions.sqltext import F, Sql, column_function, first, let
 
 # Where pages state their date, best source first: (tag, attribute, value, read from).
 DATE_META = [
@@ -50,7 +47,6 @@ MONTH_NAME = (
 )
 CLOCK = r"(\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?)"
 ZONE = r"(Z|UTC|GMT|[+-]\d{2}:?\d{2})"
-TOKYO = "Asia/Tokyo"
 
 # Date shapes and the groups that hold year, month, day, clock, zone.
 SHAPES = [
@@ -63,7 +59,7 @@ SHAPES = [
 ]
 
 
-def _timestamp(fields: Column) -> Column:
+def _timestamp(fields: Sql) -> Sql:
     """TIMESTAMP of ``[year, month (number or name), day, clock, zone]``, NULL when out of range."""
     year, month, day, clock, zone = [F.get(fields, F.lit(i)) for i in range(5)]
     place = F.instr(F.lit(MONTHS), F.lower(F.substring(month, 1, 3)))
@@ -73,12 +69,13 @@ def _timestamp(fields: Column) -> Column:
     return F.concat(year, F.lit("-"), number, F.lit("-"), day, F.lit(" "), seconds, offset)
 
 
-def parse_date(raw: Column | str) -> Column:
+@column_function
+def parse_date(raw: Sql) -> Sql:
     """First complete date in a short text, by the shapes in order; NULL when there is none.
 
     Day and month numbers alone are read month first, then day first.
     """
-    def by_shape(text: Column) -> Column:
+    def by_shape(text: Sql) -> Sql:
         found = F.array(*[
             F.when(text.rlike(p), F.regexp_replace(
                 text, f"(?s)^.*?{p}.*$", "\t".join(f"${g}" for g in groups)))
@@ -88,20 +85,21 @@ def parse_date(raw: Column | str) -> Column:
         stamps = F.transform(fields, lambda f: F.trim(_timestamp(f)).try_cast("timestamp"))
         return first(stamps)
 
-    return let(col(raw), lambda text: F.when(text.rlike(r"\d{4}"), by_shape(text)))
+    return let(raw, lambda text: F.when(text.rlike(r"\d{4}"), by_shape(text)))
 
 
 # ---- page sources ------------------------------------------------------------------------
 # Each source yields its raw texts in order; they are parsed together, once.
 
-def first_parsed(raws: Column) -> Column:
+@column_function
+def first_parsed(raws: Sql) -> Sql:
     return first(F.transform(raws, parse_date))
 
 
-def meta_raws(nodes: Column) -> Column:
+def meta_raws(nodes: Sql) -> Sql:
     """Date texts of meta and time elements, best source first, document order within a source."""
-    def ranked(n: Column) -> Column:
-        rank = F.lit(None).cast("int")
+    def ranked(n: Sql) -> Sql:
+        rank = F.nothing("int")
         for i, (tag, key, value, _) in reversed(list(enumerate(DATE_META))):
             hit = attr(n, key).isNotNull() if value is None else attr(n, key) == value
             rank = F.when((n.getField("tag") == tag) & hit, F.lit(i)).otherwise(rank)
@@ -113,29 +111,29 @@ def meta_raws(nodes: Column) -> Column:
     return F.transform(F.array_sort(sources), lambda s: s.getField("raw"))
 
 
-def _script(nodes: Column, key: str, value: str) -> Column:
+def _script(nodes: Sql, key: str, value: str) -> Sql:
     return F.filter(nodes, lambda n: (n.getField("tag") == "script") & (attr(n, key) == value))
 
 
-def next_data(nodes: Column) -> Column:
+def next_data(nodes: Sql) -> Sql:
     return F.get(_script(nodes, "id", "__NEXT_DATA__"), F.lit(0)).getField("text")
 
 
-def next_data_raws(nodes: Column) -> Column:
+def next_data_raws(nodes: Sql) -> Sql:
     """Dates among the page properties of a ``__NEXT_DATA__`` script."""
     return let(F.try_parse_json(next_data(nodes)), lambda v: F.array(*[
         F.try_variant_get(v, f"$.props.pageProps.{k}", "string") for k in NEXT_DATA_KEYS]))
 
 
-def jsonld(nodes: Column) -> Column:
+def jsonld(nodes: Sql) -> Sql:
     """Parsed JSON-LD scripts."""
     texts = F.transform(_script(nodes, "type", "application/ld+json"), lambda n: n.getField("text"))
     return F.filter(F.transform(texts, lambda t: F.try_parse_json(common_entities(t))), lambda v: v.isNotNull())
 
 
-def jsonld_raws(nodes: Column) -> Column:
+def jsonld_raws(nodes: Sql) -> Sql:
     """``datePublished``, else ``dateCreated``, of each JSON-LD object."""
-    def of_script(v: Column) -> Column:
+    def of_script(v: Sql) -> Sql:
         one = lambda e: first(F.array(*[F.try_variant_get(e, f"$.{k}", "string") for k in JSONLD_KEYS]), lambda t: t != "")
         graph = F.coalesce(F.try_variant_get(v, "$['@graph']", "variant"), v)
         return let(graph, lambda g: F.transform(
@@ -144,97 +142,74 @@ def jsonld_raws(nodes: Column) -> Column:
     return F.flatten(F.transform(jsonld(nodes), of_script))
 
 
-def common_entities(text: Column) -> Column:
+def common_entities(text: Sql) -> Sql:
     # inside arrays no Arrow function can run; scripts only ever escape these
     for name, char in (("&quot;", '"'), ("&#34;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
         text = F.replace(text, F.lit(name), F.lit(char))
     return text
 
 
-def date_from_meta(nodes: Column) -> Column:
+@column_function
+def date_from_meta(nodes: Sql) -> Sql:
     return first_parsed(meta_raws(nodes))
 
 
-def date_from_next_data(nodes: Column) -> Column:
+@column_function
+def date_from_next_data(nodes: Sql) -> Sql:
     return first_parsed(next_data_raws(nodes))
 
 
-def date_from_jsonld(nodes: Column) -> Column:
+@column_function
+def date_from_jsonld(nodes: Sql) -> Sql:
     return first_parsed(jsonld_raws(nodes))
 
 
-def date_from_text(text: Column | str) -> Column:
+@column_function
+def date_from_text(text: Sql) -> Sql:
     """The first date-shaped piece of a text."""
-    return parse_date(F.regexp_extract(col(text), TEXT_DATE, 1))
+    return parse_date(F.regexp_extract(text, TEXT_DATE, 1))
 
 
-def latest_text_date(text: Column | str, as_of: Column) -> Column:
+@column_function
+def latest_text_date(text: Sql, as_of: Sql) -> Sql:
     """The latest date in a text that is not after ``as_of``."""
-    found = F.transform(F.regexp_extract_all(col(text), F.lit(TEXT_DATE), F.lit(1)), parse_date)
+    found = F.transform(F.regexp_extract_all(text, F.lit(TEXT_DATE), F.lit(1)), parse_date)
     return F.array_max(F.filter(found, lambda d: d <= as_of))
 
 
-def published_date(nodes: Column, text: Column, as_of: Column) -> Column:
+@column_function
+def published_date(nodes: Sql, text: Sql, as_of: Sql) -> Sql:
     """Meta, page properties, JSON-LD, first date in the text, latest date in the text."""
-    none = F.array().cast("array<string>")
+    none = F.empty()
     stated = F.concat(*[F.coalesce(r, none) for r in (meta_raws(nodes), next_data_raws(nodes), jsonld_raws(nodes))])
     return F.coalesce(first_parsed(stated), date_from_text(text), latest_text_date(text, as_of))
 
 
-def recovered_only(nodes: Column, text: Column) -> Column:
+@column_function
+def recovered_only(nodes: Sql, text: Sql) -> Sql:
     """Further sources: any dated key of ``__NEXT_DATA__``, ``<time>``, more text shapes."""
     walk = rf"""(?i)"(?:{'|'.join(WALK_KEYS)})"\s*:\s*"([^"]+)\""""
     times = first(nodes, lambda n: (n.getField("tag") == "time") & attr(n, "datetime").isNotNull())
-    none = F.array().cast("array<string>")
+    none = F.empty()
     return first_parsed(F.concat(
         F.coalesce(F.regexp_extract_all(next_data(nodes), F.lit(walk), F.lit(1)), none),
         F.array(attr(times, "datetime"), *[F.regexp_extract(text, p, 0) for p in RECOVERY_DATES])))
 
 
-def recovered_date(nodes: Column, text: Column, as_of: Column) -> Column:
+@column_function
+def recovered_date(nodes: Sql, text: Sql, as_of: Sql) -> Sql:
     """:func:`published_date`, then :func:`recovered_only`."""
     return F.coalesce(published_date(nodes, text, as_of), recovered_only(nodes, text))
 
 
-def script_raws(nodes: Column) -> Column:
+def script_raws(nodes: Sql) -> Sql:
     """Date texts under one of four keys in any script."""
     pattern = r'"(?:datePublished|publishTime|releaseTime|time)"\s*:\s*"([^"]{10,})"'
     return F.transform(script_texts(nodes), lambda t: F.regexp_extract(t, pattern, 1))
 
 
-def labelled_raw(texts: Column) -> Column:
+def labelled_raw(texts: Sql) -> Sql:
     """``MM.dd.yyyy [HH:mm]`` of the first text that begins with a posting label."""
     shape = r"\d{2}\.\d{2}\.\d{4}(?:\s+\d{2}:\d{2})?"
     return F.regexp_extract(first(
         texts, lambda t: t.rlike(r"^(Date Posted:|Date Taken:)") & t.rlike(shape)), shape, 0)
-
-
-# ---- Japan time --------------------------------------------------------------------------
-
-def jst_epoch_ms(text: Column | str, strict: bool = True) -> Column:
-    """Epoch milliseconds of a Japan-time text: date, date and minute, or date and second.
-
-    Other text is an error, or NULL when not ``strict``.
-    """
-    text = F.replace(strip(text), F.lit("T"), F.lit(" "))
-    ok = text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}( \d{1,2}:\d{1,2}(:\d{1,2})?)?$")
-    dated = F.when(text.rlike(":.*:"), text).when(text.rlike(":"), F.concat(text, F.lit(":00"))).otherwise(
-        F.concat(text, F.lit(" 00:00:00")))
-    millis = F.when(ok, F.unix_millis(F.concat(dated, F.lit("+09:00")).try_cast("timestamp")))
-    if not strict:
-        return millis
-    bad = F.raise_error(F.concat(F.lit("not a Japan-time date: "), text)).cast("bigint")
-    return F.when(F.length(text) > 0, F.coalesce(millis, bad))
-
-
-def jst_day_label(time: Column | str, is_text: bool = False) -> Column:
-    """``M月d日`` in Japan time, without leading zeros; NULL when there is no time.
-
-    TIMESTAMP is an instant, TIMESTAMP_NTZ is read as UTC, ISO text as UTC unless it names a zone.
-    """
-    time = col(time)
-    if is_text:
-        local = F.convert_timezone(None, F.lit(TOKYO), time.try_cast("timestamp").cast("timestamp_ntz"))
-    else:
-        local = F.convert_timezone(F.lit("UTC"), F.lit(TOKYO), time.cast("timestamp_ntz"))
-    return F.concat(F.month(local).cast("string"), F.lit("月"), F.dayofmonth(local).cast("string"), F.lit("日"))

@@ -8,8 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressloom.functions.base import col, is_filled, strip
-from pressloom.functions.nodes import first, let
+from pressloom.functions.base import col, first, is_filled, let, strip
 from pressloom.functions.text import TAG, html_to_text, is_noise, letters_only, strip_fence
 from pressloom.functions.unicode import nfkc, nfkc_all
 

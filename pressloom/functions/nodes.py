@@ -1,4 +1,4 @@
-"""Column expressions on the node array of a page.
+"""Sql expressions on the node array of a page.
 
 ``id`` is a node's position, so the subtree of a node is a slice.  Pruning blanks
 nodes instead of removing them, which keeps positions valid.
@@ -9,10 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from pressloom.functions.base import strip
+from pressloom.functions.sqltext import F, Sql, column_function, filled, first, let, strip
 
 _SIMPLE = re.compile(
     r"^(?P<tag>[a-z][a-z0-9]*|\*)?(?:\.(?P<cls>[\w-]+)|#(?P<id>[\w-]+)"
@@ -22,21 +19,6 @@ SELECTOR = "struct<rank:int,tag:string,attr:string,op:string,val:string,above:ar
 ABOVE_SEPARATOR = "\t"
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and use it as often as ``body`` likes."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def filled(value: Column) -> Column:
-    """The value, or NULL for ''."""
-    return let(value, lambda v: F.when(v != "", v))
-
-
-def first(values: Column, test: Callable[[Column], Column] | None = None) -> Column:
-    """First element that passes ``test`` (by default: is not NULL)."""
-    return F.get(F.filter(values, test or (lambda v: v.isNotNull())), F.lit(0))
-
-
 # ---- selectors ---------------------------------------------------------------------------
 
 def simple_selector(css: str) -> tuple[str | None, str | None, str | None, str | None]:
@@ -66,30 +48,30 @@ def selectors(ranked: Iterable[str]) -> list[tuple]:
     return rows
 
 
-def selector_array(ranked: Iterable[str]) -> Column:
+def selector_array(ranked: Iterable[str]) -> Sql:
     """Literal array of selector rows."""
     def text(v):
         return F.lit(v).cast("string")
 
     rows = [
         F.struct(
-            F.lit(rank).alias("rank"), text(tag).alias("tag"), text(attr).alias("attr"), text(op).alias("op"),
-            text(val).alias("val"), F.array(*[F.lit(a) for a in above]).cast("array<string>").alias("above"),
+            F.lit(rank).alias("rank"), text(tag).alias("tag"), text(key).alias("attr"), text(op).alias("op"),
+            text(val).alias("val"), F.array(*above).cast("array<string>").alias("above"),
         )
-        for rank, tag, attr, op, val, above in selectors(ranked)
+        for rank, tag, key, op, val, above in selectors(ranked)
     ]
-    return F.array(*rows) if rows else F.array().cast(f"array<{SELECTOR}>")
+    return F.array(*rows) if rows else F.empty(SELECTOR)
 
 
-def attr(node: Column, name: str | Column) -> Column:
-    return F.try_element_at(node.getField("attr"), F.lit(name) if isinstance(name, str) else name)
+def attr(node: Sql, name: str | Sql) -> Sql:
+    return F.try_element_at(node.getField("attr"), name)
 
 
-def has_class(node: Column, name: Column) -> Column:
+def has_class(node: Sql, name: Sql) -> Sql:
     return F.coalesce(F.array_contains(F.split(attr(node, "class"), r"\s+"), name), F.lit(False))
 
 
-def _fits(node: Column, tag: Column, key: Column, op: Column, val: Column) -> Column:
+def _fits(node: Sql, tag: Sql, key: Sql, op: Sql, val: Sql) -> Sql:
     value = attr(node, key)
     test = (
         F.when(op.isNull(), node.getField("tag") != "#text")
@@ -101,16 +83,16 @@ def _fits(node: Column, tag: Column, key: Column, op: Column, val: Column) -> Co
     return (tag.isNull() | (node.getField("tag") == tag)) & F.coalesce(test, F.lit(False))
 
 
-def _inside(node: Column, outer: Column) -> Column:
+def _inside(node: Sql, outer: Sql) -> Sql:
     return (node.getField("id") > outer.getField("id")) & (node.getField("id") <= outer.getField("end"))
 
 
-def _fits_above(node: Column, packed: Column) -> Column:
+def _fits_above(node: Sql, packed: Sql) -> Sql:
     part = lambda i: F.nullif(F.split_part(packed, F.lit(ABOVE_SEPARATOR), F.lit(i)), F.lit(""))
     return _fits(node, part(1), part(2), part(3), part(4))
 
 
-def matches(nodes: Column, node: Column, sel: Column) -> Column:
+def matches(nodes: Sql, node: Sql, sel: Sql) -> Sql:
     """Whether ``node`` fits ``sel``, its (at most two) outer selectors included."""
     own = _fits(node, *[sel.getField(k) for k in ("tag", "attr", "op", "val")])
     above = sel.getField("above")
@@ -123,7 +105,8 @@ def matches(nodes: Column, node: Column, sel: Column) -> Column:
     return own & chain
 
 
-def select_first(nodes: Column, sels: Column) -> Column:
+@column_function
+def select_first(nodes: Sql, sels: Sql) -> Sql:
     """``struct<rank, id, end>`` of the best-ranked, then first matching node, or NULL."""
     hits = F.transform(sels, lambda s: F.transform(
         F.slice(F.filter(nodes, lambda n: matches(nodes, n, s)), 1, 1),
@@ -132,30 +115,30 @@ def select_first(nodes: Column, sels: Column) -> Column:
     return F.array_min(F.flatten(hits))
 
 
-def whole(nodes: Column) -> Column:
+def whole(nodes: Sql) -> Sql:
     """The page itself in the shape of a selected node."""
     return F.struct(F.lit(-1).alias("rank"), F.lit(-1).alias("id"), (F.size(nodes) - 1).alias("end"))
 
 
-def subtree(nodes: Column, node: Column) -> Column:
+def subtree(nodes: Sql, node: Sql) -> Sql:
     """The node and everything inside it."""
     start = F.greatest(node.getField("id"), F.lit(0))
     return F.slice(nodes, start + 1, node.getField("end") - start + 1)
 
 
-def inside(nodes: Column, node: Column) -> Column:
+def inside(nodes: Sql, node: Sql) -> Sql:
     """Everything inside the node, without itself."""
     return F.slice(nodes, node.getField("id") + 2, node.getField("end") - node.getField("id"))
 
 
-def ancestors(nodes: Column, node: Column) -> Column:
+def ancestors(nodes: Sql, node: Sql) -> Sql:
     """Open elements around the node, the nearest first."""
     return F.reverse(F.filter(nodes, lambda a: _inside(node, a)))
 
 
-def climb(nodes: Column, node: Column, tags: list[str], steps: int) -> Column:
+def climb(nodes: Sql, node: Sql, tags: list[str], steps: int) -> Sql:
     """The topmost of the node's unbroken chain of ``tags`` parents (at most ``steps``), else the node."""
-    def top(chain: Column) -> Column:
+    def top(chain: Sql) -> Sql:
         fits = F.transform(chain, lambda a: a.getField("tag").isin(tags))
         broken = F.array_position(fits, False)
         n = F.when(broken == 0, F.size(chain)).otherwise(broken - 1).cast("int")
@@ -166,17 +149,20 @@ def climb(nodes: Column, node: Column, tags: list[str], steps: int) -> Column:
 
 # ---- text --------------------------------------------------------------------------------
 
-def texts_of(nodes: Column) -> Column:
+@column_function
+def texts_of(nodes: Sql) -> Sql:
     """Trimmed, non-empty texts of visible text nodes."""
     visible = F.filter(nodes, lambda n: n.getField("tag") == "#text")
     return F.filter(F.transform(visible, lambda n: strip(n.getField("text"))), lambda t: t != "")
 
 
-def visible_text(nodes: Column, separator: str) -> Column:
+@column_function
+def visible_text(nodes: Sql, separator: str) -> Sql:
     return F.array_join(texts_of(nodes), separator)
 
 
-def node_text(nodes: Column, node: Column, separator: str = " ") -> Column:
+@column_function
+def node_text(nodes: Sql, node: Sql, separator: str = " ") -> Sql:
     return visible_text(subtree(nodes, node), separator)
 
 
@@ -208,16 +194,16 @@ PRUNE = (
 )
 
 
-def prune_struct(css: Iterable[str]) -> Column:
+def prune_struct(css: Iterable[str]) -> Sql:
     sets = prune_sets(css)
     strings = [
-        F.array(*[F.lit(v) for v in sets[k]]).cast("array<string>").alias(k)
+        F.array(*sets[k]).cast("array<string>").alias(k)
         for k in ("tags", "classes", "ids", "class_like", "id_like")
     ]
     return F.struct(*strings, selector_array(sets["other"]).alias("other"))
 
 
-def _is_pruned(nodes: Column, n: Column, p: Column) -> Column:
+def _is_pruned(nodes: Sql, n: Sql, p: Sql) -> Sql:
     cls, dom_id = attr(n, "class"), attr(n, "id")
     by_class = cls.isNotNull() & (
         F.arrays_overlap(F.split(cls, r"\s+"), p.getField("classes"))
@@ -230,16 +216,17 @@ def _is_pruned(nodes: Column, n: Column, p: Column) -> Column:
     return F.coalesce(F.array_contains(p.getField("tags"), n.getField("tag")) | by_class | by_id | other, F.lit(False))
 
 
-def prune(nodes: Column, p: Column) -> Column:
+@column_function
+def prune(nodes: Sql, p: Sql) -> Sql:
     """Blank every node inside a pruned element (tag, attributes and text become NULL)."""
     roots = F.filter(nodes, lambda n: (n.getField("tag") != "#text") & _is_pruned(nodes, n, p))
     spans = F.transform(roots, lambda n: F.struct(n.getField("id").alias("id"), n.getField("end").alias("end")))
 
-    def blank(n: Column) -> Column:
+    def blank(n: Sql) -> Sql:
         return F.struct(
             n.getField("id").alias("id"), n.getField("end").alias("end"), n.getField("depth").alias("depth"),
-            F.lit(None).cast("string").alias("tag"), F.lit(None).cast("map<string,string>").alias("attr"),
-            F.lit(None).cast("string").alias("text"),
+            F.nothing().alias("tag"), F.nothing("map<string,string>").alias("attr"),
+            F.nothing().alias("text"),
         )
 
     return let(spans, lambda s: F.transform(nodes, lambda n: F.when(
@@ -248,9 +235,10 @@ def prune(nodes: Column, p: Column) -> Column:
 
 # ---- blocks ------------------------------------------------------------------------------
 
+@column_function
 def paragraphs(
-    nodes: Column, box: Column, tags: Column, min_chars: Column, wrappers: Column, min_heading: int = 60
-) -> Column:
+    nodes: Sql, box: Sql, tags: Sql, min_chars: Sql, wrappers: Sql, min_heading: int = 60
+) -> Sql:
     """Texts of the given tags inside ``box``.
 
     Texts under ``min_chars`` are dropped.  ``div`` and ``span`` count only if they
@@ -258,7 +246,7 @@ def paragraphs(
     """
     found = F.filter(inside(nodes, box), lambda n: F.coalesce(F.array_contains(tags, n.getField("tag")), F.lit(False)))
 
-    def is_wrapper(n: Column) -> Column:
+    def is_wrapper(n: Sql) -> Sql:
         nested = F.exists(inside(nodes, n), lambda m: F.array_contains(wrappers, m.getField("tag")))
         return n.getField("tag").isin("div", "span") & F.coalesce(nested, F.lit(False))
 
@@ -269,7 +257,8 @@ def paragraphs(
     return F.transform(kept, lambda t: t.getField("text"))
 
 
-def largest_block(nodes: Column, min_block: int = 120, min_part: int = 25) -> Column:
+@column_function
+def largest_block(nodes: Sql, min_block: int = 120, min_part: int = 25) -> Sql:
     """Parts of the longest ``div``/``section``/``article``/``main`` text, at least two, or NULL.
 
     Blocks that look like interface elements by class or id are left out.
@@ -285,32 +274,35 @@ def largest_block(nodes: Column, min_block: int = 120, min_part: int = 25) -> Co
                lambda parts: F.when(F.size(parts) >= 2, F.array_join(parts, "\n")))
 
 
-def meta_content(nodes: Column, key: str, name: str) -> Column:
+@column_function
+def meta_content(nodes: Sql, key: str, name: str) -> Sql:
     """Trimmed content of the first ``<meta key=name>`` that has one; NULL when none or empty."""
     hit = first(nodes, lambda n: (n.getField("tag") == "meta") & (attr(n, key) == name))
     return filled(strip(attr(hit, "content")))
 
 
-def first_tag_text(nodes: Column, tag: str) -> Column:
+@column_function
+def first_tag_text(nodes: Sql, tag: str) -> Sql:
     return filled(let(first(nodes, lambda n: n.getField("tag") == tag), lambda n: node_text(nodes, n)))
 
 
-def script_texts(nodes: Column) -> Column:
+def script_texts(nodes: Sql) -> Sql:
     return F.transform(
         F.filter(nodes, lambda n: (n.getField("tag") == "script") & n.getField("text").isNotNull()),
         lambda n: n.getField("text"),
     )
 
 
-def chunks_after(nodes: Column, anchor: Callable[[Column], Column], stop: str) -> Column:
+@column_function
+def chunks_after(nodes: Sql, anchor: Callable[[Sql], Sql], stop: str) -> Sql:
     """Texts of the siblings after the first ``anchor`` node, then after its parent, up to ``stop``.
 
     NULL when there is no anchor.  A chunk that matches ``stop`` ends the list and is not part of it.
     """
-    def after(n: Column, of: Column) -> Column:
+    def after(n: Sql, of: Sql) -> Sql:
         return (n.getField("id") > of.getField("end")) & (n.getField("depth") == of.getField("depth"))
 
-    def chunks(a: Column) -> Column:
+    def chunks(a: Sql) -> Sql:
         around = ancestors(nodes, a)
         parent, grand = F.get(around, F.lit(0)), F.get(around, F.lit(1))
         last = F.size(nodes) - 1
@@ -324,3 +316,10 @@ def chunks_after(nodes: Column, anchor: Callable[[Column], Column], stop: str) -
             lambda p: F.when(p > 0, F.slice(r, 1, (p - 1).cast("int"))).otherwise(r)))
 
     return let(first(nodes, anchor), lambda a: F.when(a.isNotNull(), chunks(a)))
+
+
+@column_function
+def longest(texts: Sql) -> Sql:
+    """Longest text of an array, the earliest among equals."""
+    ranked = F.transform(texts, lambda t, i: F.struct(F.length(t).alias("n"), (-i).alias("i"), t.alias("t")))
+    return F.array_max(ranked).getField("t")

@@ -140,9 +140,3 @@ def min_fields(df, url: str = "url"):
         "content": F.coalesce(strip("content"), F.lit("")),
         "published": F.date_format("published", "yyyy-MM-dd'T'HH:mm:ss"),
     })
-
-
-def longest(texts: Column) -> Column:
-    """Longest text of an array, the earliest among equals."""
-    ranked = F.transform(texts, lambda t, i: F.struct(F.length(t).alias("n"), (-i).alias("i"), t.alias("t")))
-    return F.array_max(ranked).getField("t")

@@ -2,15 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from pressloom.functions.base import col, strip
 from pressloom.functions.nodes import (
-    _inside, attr, filled, first, first_tag_text, let, meta_content, node_text, selector_array, select_first,
-    visible_text,
+    _inside, attr, first_tag_text, longest, meta_content, node_text, selector_array, select_first, visible_text,
 )
-from pressloom.functions.text import longest
+from pressloom.functions.sqltext import F, Sql, column_function, filled, first, let, strip
 
 NO_TITLE = "NO TITLE"
 MIN_HEADING = 6
@@ -36,16 +31,17 @@ LATE_TITLES = {"crntt.com": ["og", "meta", "heading", "line"]}
 LATE_MIN = 4
 
 
-def brand_tokens(domain: Column | str, nodes: Column) -> Column:
+@column_function
+def brand_tokens(domain: Sql, nodes: Sql) -> Sql:
     """Lower-case spellings of the site's name: host, first label, declared names, common endings."""
-    host = F.replace(col(domain), F.lit("www."), F.lit(""))
+    host = F.replace(domain, F.lit("www."), F.lit(""))
     names = F.array(
         host, F.get(F.split(host, ":"), F.lit(0)),
         F.when(F.contains(host, F.lit(".")), F.get(F.split(host, r"\."), F.lit(0))),
         meta_content(nodes, "property", "og:site_name"), meta_content(nodes, "name", "application-name"),
     )
 
-    def spellings(t: Column) -> Column:
+    def spellings(t: Sql) -> Sql:
         t = F.lower(t)
         plain = F.array(t, *[F.replace(t, F.lit(c), F.lit(" ")) for c in ".-_"])
         ended = F.array(*[F.concat(t, F.lit(e)) for e in (".com", ".net", ".org")])
@@ -56,30 +52,31 @@ def brand_tokens(domain: Column | str, nodes: Column) -> Column:
     return F.filter(F.array_distinct(F.flatten(F.transform(known, spellings))), lambda t: t != "")
 
 
-def strip_brand(title: Column | str, tokens: Column, strict: bool = False) -> Column:
+@column_function
+def strip_brand(title: Sql, tokens: Sql, strict: bool = False) -> Sql:
     """Drop site and section names from a title's right end.
 
     Hyphens inside words separate too, so ``F-35`` comes out as ``F - 35``;
     ``strict`` splits at separators with white space around them only.
     """
-    def is_brand(part: Column) -> Column:
+    def is_brand(part: Sql) -> Sql:
         low = F.lower(strip(part))
         related = F.exists(tokens, lambda t: F.contains(t, low) | F.contains(low, t))
         return (low != "") & (related | low.rlike(SECTION_NAME))
 
-    def cut(parts: Column) -> Column:
+    def cut(parts: Sql) -> Sql:
         kept = F.filter(F.sequence(F.lit(0), F.size(parts) - 1), lambda i: (i == 0) | ~is_brand(F.get(parts, i)))
         return F.slice(parts, 1, F.array_max(kept) + 1)
 
-    parts = F.split(strip(col(title)), SPACED_SEPARATOR if strict else SEPARATOR)
+    parts = F.split(strip(title), SPACED_SEPARATOR if strict else SEPARATOR)
     joined = strip(F.array_join(let(parts, cut), " - "))
     return F.regexp_replace(F.regexp_replace(joined, SEPARATOR + "$", ""), r"(?U)\s{2,}", " ")
 
 
-def _headings(nodes: Column) -> list[Column]:
+def _headings(nodes: Sql) -> list[Sql]:
     """First heading text per place, best place first."""
-    def heading(tag: str, *boxes: str) -> Column:
-        def fits(n: Column) -> Column:
+    def heading(tag: str, *boxes: str) -> Sql:
+        def fits(n: Sql) -> Sql:
             ok = n.getField("tag") == tag
             if len(boxes) == 1:
                 ok &= F.exists(nodes, lambda a: (a.getField("tag") == boxes[0]) & _inside(n, a))
@@ -94,9 +91,10 @@ def _headings(nodes: Column) -> list[Column]:
     return [heading(*p) for p in places]
 
 
-def page_title(nodes: Column, tokens: Column) -> Column:
+@column_function
+def page_title(nodes: Sql, tokens: Sql) -> Sql:
     """A real heading, else a title meta, else ``<title>``; the last two without brand; NULL when none."""
-    def accepted(text: Column) -> Column:
+    def accepted(text: Sql) -> Sql:
         return let(text, lambda t: F.when(
             (F.length(t) >= MIN_HEADING) & ~F.array_contains(tokens, F.lower(strip(t))), t))
 
@@ -107,12 +105,13 @@ def page_title(nodes: Column, tokens: Column) -> Column:
     return F.coalesce(*[accepted(h) for h in _headings(nodes)], strip_brand(declared, tokens))
 
 
-def trim_prefix(title: Column | str) -> Column:
+@column_function
+def trim_prefix(title: Sql) -> Sql:
     """Remove one listing prefix and the separators after it."""
-    return F.regexp_replace(col(title), rf"^(?:{'|'.join(LISTING_PREFIXES)})[ \-|–—]*", "")
+    return F.regexp_replace(title, rf"^(?:{'|'.join(LISTING_PREFIXES)})[ \-|–—]*", "")
 
 
-def _title_candidates(nodes: Column) -> Column:
+def _title_candidates(nodes: Sql) -> Sql:
     """Longest heading-like text of at least six characters that is not the shell's ``<title>``."""
     shell = first_tag_text(nodes, "title")
     heads = F.filter(nodes, lambda n: F.coalesce(
@@ -122,7 +121,7 @@ def _title_candidates(nodes: Column) -> Column:
         texts, lambda t: (F.length(t) >= MIN_HEADING) & F.coalesce(t != title, F.lit(True)))))
 
 
-def _boxed_heading(nodes: Column) -> Column:
+def _boxed_heading(nodes: Sql) -> Sql:
     """First ``h1`` inside the detail box, the article or the main part."""
     boxes = F.transform(F.array(*map(selector_array, [["#newsDetail"], ["article"], ["main article"], ["main"]])),
                         lambda s: select_first(nodes, s))
@@ -131,18 +130,18 @@ def _boxed_heading(nodes: Column) -> Column:
     return first(heads, lambda t: t != "")
 
 
-def _classed_heading(nodes: Column) -> Column:
+def _classed_heading(nodes: Sql) -> Sql:
     named = F.filter(nodes, lambda n: F.coalesce(
-        F.arrays_overlap(F.split(attr(n, "class"), r"\s+"), F.array(*map(F.lit, ["title", "news-title", "article-title"])))
+        F.arrays_overlap(F.split(attr(n, "class"), r"\s+"), F.array("title", "news-title", "article-title"))
         | F.contains(attr(n, "class"), F.lit("headline")), F.lit(False)))
     return first(F.transform(named, lambda n: node_text(nodes, n)), lambda t: t != "")
 
 
-def _first_heading(nodes: Column) -> Column:
+def _first_heading(nodes: Sql) -> Sql:
     return filled(let(first(nodes, lambda n: n.getField("tag").isin("h1", "h2")), lambda n: node_text(nodes, n)))
 
 
-def _first_line(nodes: Column) -> Column:
+def _first_line(nodes: Sql) -> Sql:
     """First visible line that is no interface token, print link, time row or site name."""
     ui = r"〖[^〗]+〗|打印|\d{4}-\d{2}-\d{2}\s+\d{2}:\d{2}:\d{2}|(?i:CRNTT)"
     lines = F.filter(F.transform(F.split(visible_text(nodes, "\n"), "\n"), strip), lambda t: (t != "") & ~t.rlike(ui))
@@ -163,10 +162,10 @@ TITLE_SOURCES = {
 }
 
 
-def _by_order(nodes: Column, order: Column) -> Column:
+def _by_order(nodes: Sql, order: Sql) -> Sql:
     """First source of ``order`` (an array of source names) that yields a title."""
-    def value(name: Column) -> Column:
-        out = F.lit(None).cast("string")
+    def value(name: Sql) -> Sql:
+        out = F.nothing()
         for source, expression in TITLE_SOURCES.items():
             out = F.when(name == source, expression(nodes)).otherwise(out)
         return out
@@ -174,27 +173,27 @@ def _by_order(nodes: Column, order: Column) -> Column:
     return first(F.transform(order, value))
 
 
-def _order_of(domain: Column, site_titles: dict[str, list[str]]) -> Column:
-    order = F.lit(None).cast("array<string>")
+def _order_of(domain: Sql, site_titles: dict[str, list[str]]) -> Sql:
+    order = F.nothing("array<string>")
     for site, sources in LATE_TITLES.items():
-        order = F.when(domain.endswith(site), F.array(*map(F.lit, sources))).otherwise(order)
+        order = F.when(domain.endswith(site), F.array(*sources)).otherwise(order)
     for site, sources in site_titles.items():
-        order = F.when(domain == site, F.array(*map(F.lit, sources))).otherwise(order)
+        order = F.when(domain == site, F.array(*sources)).otherwise(order)
     return order
 
 
+@column_function
 def site_title(
-    nodes: Column, domain: Column | str, tokens: Column, site_titles: dict[str, list[str]] | None = None
-) -> Column:
+    nodes: Sql, domain: Sql, tokens: Sql, site_titles: dict[str, list[str]] | None = None
+) -> Sql:
     """Final title of a page: generic choice, prefix trim, site order, brand strip, late site order."""
-    domain = col(domain)
     generic = trim_prefix(F.coalesce(filled(page_title(nodes, tokens)), F.lit(NO_TITLE)))
     own = _by_order(nodes, _order_of(domain, SITE_TITLES if site_titles is None else site_titles))
     is_late = F.lit(False)
     for site in LATE_TITLES:
         is_late |= domain.endswith(site)
 
-    def choose(t: Column, o: Column) -> Column:
+    def choose(t: Sql, o: Sql) -> Sql:
         allowed = ~is_late
         for site, name in WEAK_ONLY.items():
             allowed &= (domain != site) | (t == NO_TITLE) | F.contains(t, F.lit(name))

@@ -11,6 +11,7 @@ from pressloom.functions.base import col
 AMP_SUFFIXES = ["/amp", "/amp/", "?amp", "?amp=1", ".amp", ".amp.html", "?mode=amp"]
 AMP_HTML_HOST = "nytimes.com"
 
+FRAGMENT = r"#(.*)$"
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:"
 _AUTHORITY = _SCHEME + r"//([^/?#]*)"
 
@@ -34,7 +35,7 @@ def url_path(url: Column | str) -> Column:
 
 
 def url_fragment(url: Column | str) -> Column:
-    return F.regexp_extract(col(url), r"#(.*)$", 1)
+    return F.regexp_extract(col(url), FRAGMENT, 1)
 
 
 def is_web_url(url: Column | str) -> Column:

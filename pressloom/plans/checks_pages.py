@@ -6,12 +6,16 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from pressloom.functions import bodies, dates, titles
 from pressloom.functions import cleanup as cl
-from pressloom.functions import dates, titles
+from pressloom.functions import japan_time as jt
 from pressloom.functions import nodes as nd
+from pressloom.functions.rules import SITE_RULES, SiteRule
+from pressloom.functions.sqltext import F as S
+from pressloom.functions.sqltext import column
 from pressloom.functions.urls import scrape_domain, url_path
 from pressloom.operators import articles as ar
-from pressloom.operators.rules import SITE_RULES, SiteRule, pick_site_rule
+from pressloom.operators.rules import pick_site_rule
 from pressloom.operators.shred import shred
 from pressloom.plans import recipes as r
 from pressloom.plans.checks_text import NL, POST_SQL, UNESCAPE_SQL, docs, pages
@@ -23,10 +27,6 @@ WS = "' ' || chr(9) || chr(10) || chr(13)"
 NODES = "nodes"
 
 
-def as_of():
-    return F.lit(AS_OF).cast("timestamp")
-
-
 def shredded(df):
     return df.select("page_id", "url", shred("html").alias(NODES))
 
@@ -84,7 +84,8 @@ CHROMELESS_SQL = (
 @check("prune_chrome", f"SELECT page_id, array_to_string({texts_sql(CHROMELESS_SQL)}, {NL}) AS text FROM pages")
 def prune_chrome(spark, folder):
     clean = nd.prune(F.col(NODES), nd.prune_struct(["nav", "footer", ".ad", "script, style"]))
-    return shredded(pages(spark, folder)).select("page_id", nd.let(clean, lambda n: nd.visible_text(n, "\n")).alias("text"))
+    df = shredded(pages(spark, folder)).withColumn("clean", clean)
+    return df.select("page_id", nd.visible_text(F.col("clean"), "\n").alias("text"))
 
 
 @check("pick_container", f"SELECT page_id, 1 AS rank, array_to_string({texts_sql(ARTICLE_SQL)}, {NL}) AS text FROM pages")
@@ -98,9 +99,9 @@ def pick_container(spark, folder):
 SELECT page_id, array_to_string({paragraphs_sql(ARTICLE_SQL)}, {NL}) AS text FROM pages""")
 def collect_paragraphs(spark, folder):
     box = nd.select_first(F.col(NODES), nd.selector_array(["article"]))
-    ps = nd.let(box, lambda b: nd.paragraphs(
-        F.col(NODES), b, F.array(F.lit("p")), F.lit(25), F.array().cast("array<string>")))
-    return shredded(pages(spark, folder)).select("page_id", F.array_join(ps, "\n").alias("text"))
+    df = shredded(pages(spark, folder)).withColumn("box", box)
+    ps = nd.paragraphs(F.col(NODES), F.col("box"), S.array("p"), 25, S.empty())
+    return df.select("page_id", F.array_join(ps, "\n").alias("text"))
 
 
 @check("largest_block", f"""
@@ -128,7 +129,7 @@ def script_json_body(spark, folder):
         '","note":"' + "-" * 100 + '"}</script>'))
     html = F.when(F.col("page_id") % 2 == 0, F.replace("html", F.lit("<head>"), script)).otherwise(F.col("html"))
     return shredded(pages(spark, folder).withColumn("html", html)).select(
-        "page_id", ar.script_json_body(F.col(NODES)).alias("text"))
+        "page_id", bodies.script_json_body(F.col(NODES)).alias("text"))
 
 
 @check("meta_description", "SELECT page_id, CASE WHEN page_id % 5 < 4 THEN 'D ' || url END AS text FROM pages")
@@ -141,7 +142,7 @@ def meta_description(spark, folder):
         new = F.concat(F.lit("<head>" + a), "url", F.lit(b))
         html = F.when(F.col("page_id") % 5 == i, F.replace("html", F.lit("<head>"), new)).otherwise(html)
     return shredded(pages(spark, folder).withColumn("html", html)).select(
-        "page_id", ar.descriptions(F.col(NODES), twitter=True).alias("text"))
+        "page_id", bodies.descriptions(F.col(NODES), twitter=True).alias("text"))
 
 
 @check("text_after_anchor", f"""
@@ -154,7 +155,7 @@ def text_after_anchor(spark, folder):
                      F.lit("</article>"), F.lit("<div>Audio Info</div><p>more</p></article>"))
     html = F.when(F.col("page_id") % 2 == 0, html).otherwise(F.col("html"))
     out = shredded(pages(spark, folder).withColumn("html", html))
-    return out.select("page_id", F.array_join(ar.audio_chunks(F.col(NODES)), "\n").alias("text"))
+    return out.select("page_id", F.array_join(bodies.audio_chunks(F.col(NODES)), "\n").alias("text"))
 
 
 # ---- lines of stories ----------------------------------------------------------------------------
@@ -165,8 +166,10 @@ def cut_at_marker(spark, folder):
     k = F.col("doc_id") % 3
     t = F.when(k == 0, F.concat("text", F.lit("\nNews  INFO "), "text")).when(
         k == 1, F.concat("text", F.lit(" audio info: "), "text")).otherwise(F.col("text"))
+    df = docs(spark, folder).select("doc_id", t.alias("t"))
+    t = F.col("t")
     cut = F.when(k == 0, cl.before_marker(t, cl.NEWS_INFO)).otherwise(cl.before_marker(t, cl.AUDIO_INFO))
-    return docs(spark, folder).select("doc_id", cut.alias("text"))
+    return df.select("doc_id", cut.alias("text"))
 
 
 DOC_LINES_SQL = f"list_filter(list_transform(string_split(text, {NL}), lambda x: trim(x, {WS})), lambda x: x <> '')"
@@ -186,7 +189,8 @@ SELECT doc_id, array_to_string(list_reduce(ls, lambda a, x: {{
   SELECT doc_id, list_transform(ls, lambda x: x) AS ls FROM l) t""")
 def skip_after_byline(spark, folder):
     marked = F.transform(doc_lines(), lambda x, i: F.when(i % 5 < 2, F.concat(F.lit("By "), x)).otherwise(x))
-    return docs(spark, folder).select("doc_id", F.array_join(cl.skip_after_byline(marked), "\n").alias("text"))
+    df = docs(spark, folder).select("doc_id", marked.alias("marked"))
+    return df.select("doc_id", F.array_join(cl.skip_after_byline(F.col("marked")), "\n").alias("text"))
 
 
 @check("drop_lines", f"""
@@ -203,8 +207,9 @@ def drop_lines(spark, folder):
                          .when(k(i) == 2, F.lit("FORT TOWN")).when(k(i) == 3, F.concat(x, F.lit(" 05.26.2025")))
                          .when(k(i) == 4, F.lit("Web Views: 3")).when(k(i) == 5, F.lit("read more"))
                          .when(k(i) == 6, F.concat(F.lit("(a) "), x, F.lit(")"))).otherwise(x))
-    kept = F.filter(marked, lambda s: ~cl.is_dropped_line(s, F.lit("Title")))
-    return docs(spark, folder).select("doc_id", F.array_join(kept, "\n").alias("text"))
+    df = docs(spark, folder).select("doc_id", marked.alias("marked"))
+    kept = S.filter(S.col("marked"), lambda s: ~cl.is_dropped_line(s, "Title"))
+    return df.select("doc_id", column(S.array_join(kept, "\n")).alias("text"))
 
 
 @check("start_at_dateline", f"""
@@ -217,7 +222,8 @@ def start_at_dateline(spark, folder):
     even = F.col("doc_id") % 2 == 0
     marked = F.transform(doc_lines(), lambda x, i: F.when(even & (i == 2), F.concat(F.lit("MANILA, Philippines — "), x))
                          .when(i == 0, F.regexp_replace(x, r"[.!?]+$", "")).otherwise(x))
-    return docs(spark, folder).select("doc_id", F.array_join(nd.let(marked, cl.start_at_dateline), "\n").alias("text"))
+    df = docs(spark, folder).select("doc_id", marked.alias("marked"))
+    return df.select("doc_id", F.array_join(cl.start_at_dateline(F.col("marked")), "\n").alias("text"))
 
 
 @check("caption_pattern", """
@@ -228,7 +234,8 @@ def caption_pattern(spark, folder):
     t = F.when(F.col("doc_id") % 2 == 0, F.concat(
         F.lit("See U.S. "), F.replace("text", F.lit("\n"), F.lit(" ")), F.lit(" (U.S. Army video by Jane Doe) and more"))
     ).otherwise(F.col("text"))
-    return docs(spark, folder).select("doc_id", cl.caption_pattern(t).alias("caption"))
+    df = docs(spark, folder).select("doc_id", t.alias("t"))
+    return df.select("doc_id", cl.caption_pattern(F.col("t")).alias("caption"))
 
 
 # ---- titles ---------------------------------------------------------------------------------------
@@ -254,8 +261,8 @@ def strip_brand_sql(title: str) -> str:
 
 @check("brand_tokens", f"WITH src AS (SELECT * FROM pages), {TOKENS_SQL} SELECT page_id, array_to_string(toks, '|') AS tokens FROM tokens")
 def brand_tokens(spark, folder):
-    toks = titles.brand_tokens(scrape_domain("url"), F.col(NODES))
-    return shredded(pages(spark, folder)).select("page_id", F.array_join(F.array_sort(toks), "|").alias("tokens"))
+    toks = titles.brand_tokens(F.col("domain"), F.col(NODES))
+    return shredded(pages(spark, folder)).withColumn("domain", scrape_domain("url")).select("page_id", F.array_join(F.array_sort(toks), "|").alias("tokens"))
 
 
 H1_SQL = f"array_to_string({texts_sql("regexp_extract(html, '(?s)<article>.*?<h1>(.*?)</h1>', 1)")}, ' ')"
@@ -272,8 +279,8 @@ def page_title(spark, folder):
     new = F.replace(F.replace("html", F.lit("<h1>"), F.lit("<h3>")), F.lit("</title>"),
                     F.concat(F.lit(" | "), scrape_domain("url"), F.lit("</title>")))
     html = F.when(F.col("page_id") % 3 == 0, new).otherwise(F.col("html"))
-    df = shredded(pages(spark, folder).withColumn("html", html))
-    toks = titles.brand_tokens(scrape_domain("url"), F.col(NODES))
+    df = shredded(pages(spark, folder).withColumn("html", html)).withColumn("domain", scrape_domain("url"))
+    toks = titles.brand_tokens(F.col("domain"), F.col(NODES))
     return df.withColumn("toks", toks).select("page_id", titles.page_title(F.col(NODES), F.col("toks")).alias("title"))
 
 
@@ -288,9 +295,10 @@ def strip_brand(spark, folder):
     k, dom = F.col("page_id") % 4, scrape_domain("url")
     tail = (F.when(k == 0, F.concat(F.lit(" - "), dom, F.lit(" | News"))).when(k == 1, F.lit(" · World"))
             .when(k == 2, F.concat(F.lit(" — F-35 — "), F.get(F.split(dom, r"\."), F.lit(0)))).otherwise(F.lit("")))
-    df = shredded(pages(spark, folder)).withColumn("toks", titles.brand_tokens(dom, F.col(NODES)))
-    return df.select("page_id", titles.strip_brand(
-        F.concat(nd.first_tag_text(F.col(NODES), "title"), tail), F.col("toks")).alias("title"))
+    df = shredded(pages(spark, folder)).withColumn("domain", dom)
+    df = df.withColumns({"toks": titles.brand_tokens(F.col("domain"), F.col(NODES)),
+                         "long": F.concat(nd.first_tag_text(F.col(NODES), "title"), tail)})
+    return df.select("page_id", titles.strip_brand(F.col("long"), F.col("toks")).alias("title"))
 
 
 SITES = ["rfi.fr", "ct.moreover.com", "cankaoxiaoxi.com", "shobserver.com", "vietnam.vn", "elsewhere.example"]
@@ -311,18 +319,19 @@ def site_title(spark, folder):
     og = F.concat(F.lit('<head><meta property="og:title" content="OG headline '), pid.cast("string"), F.lit('">'))
     html = F.when((pid % 6 < 4) & (pid % 12 < 6), F.replace("html", F.lit("<head>"), og)).otherwise(F.col("html"))
     df = shredded(pages(spark, folder).withColumn("html", html)).withColumn("domain", domain)
-    df = df.withColumn("toks", titles.brand_tokens("domain", F.col(NODES)))
-    return df.select("page_id", titles.site_title(F.col(NODES), "domain", F.col("toks")).alias("title"))
+    df = df.withColumn("toks", titles.brand_tokens(F.col("domain"), F.col(NODES)))
+    return df.select("page_id", titles.site_title(F.col(NODES), F.col("domain"), F.col("toks")).alias("title"))
 
 
 @check("title_prefix", f"""
 SELECT page_id, CASE WHEN page_id % 5 < 4 THEN ltrim({DECLARED_SQL}, ' -|–—') ELSE {DECLARED_SQL} END AS title FROM pages""")
 def title_prefix(spark, folder):
     k = F.col("page_id") % 5
-    title = nd.first_tag_text(F.col(NODES), "title")
+    title = F.col("declared")
     for i, p in enumerate(titles.LISTING_PREFIXES):
-        title = F.when(k == i, F.concat(F.lit(p + " – "), nd.first_tag_text(F.col(NODES), "title"))).otherwise(title)
-    return shredded(pages(spark, folder)).select("page_id", titles.trim_prefix(title).alias("title"))
+        title = F.when(k == i, F.concat(F.lit(p + " – "), "declared")).otherwise(title)
+    df = shredded(pages(spark, folder)).withColumn("declared", nd.first_tag_text(F.col(NODES), "title"))
+    return df.withColumn("title", title).select("page_id", titles.trim_prefix(F.col("title")).alias("title"))
 
 
 # ---- dates -----------------------------------------------------------------------------------------
@@ -344,7 +353,8 @@ def parse_dates(spark, folder):
     raw = F.lit(None).cast("string")
     for i, (fmt, *_) in enumerate(STYLES):
         raw = F.when(F.col("event_id") % 10 == i, F.date_format("ts", fmt)).otherwise(raw)
-    return table(spark, folder, "events").select("event_id", stamp(dates.parse_date(raw)).alias("at"))
+    df = table(spark, folder, "events").select("event_id", raw.alias("raw"))
+    return df.select("event_id", stamp(dates.parse_date(F.col("raw"))).alias("at"))
 
 
 def dated(spark, folder):
@@ -372,14 +382,14 @@ def date_from_jsonld(spark, folder):
 
 @check("date_from_text", date_sql(5))
 def date_from_text(spark, folder):
-    text = nd.visible_text(F.col(NODES), " ")
-    return dated(spark, folder).select("page_id", stamp(dates.date_from_text(text)).alias("published"))
+    df = dated(spark, folder).withColumn("text", nd.visible_text(F.col(NODES), " "))
+    return df.select("page_id", stamp(dates.date_from_text(F.col("text"))).alias("published"))
 
 
 @check("published_date", date_sql(1, 2, 3, 4, 5))
 def published_date(spark, folder):
     df = dated(spark, folder).withColumn("text", nd.visible_text(F.col(NODES), " "))
-    return df.select("page_id", stamp(dates.recovered_date(F.col(NODES), F.col("text"), as_of())).alias("published"))
+    return df.select("page_id", stamp(dates.recovered_date(F.col(NODES), F.col("text"), AS_OF)).alias("published"))
 
 
 @check("latest_text_date", """
@@ -388,7 +398,8 @@ def latest_text_date(spark, folder):
     k = F.col("doc_id") % 3
     t = F.when(k == 0, F.concat(F.lit("2025年3月4日 "), "text", F.lit(" March 1, 2025 and 2026-01-05"))).when(
         k == 1, F.concat("text", F.lit(" 2025/11/09 10:30 ("), F.lit("2024.1.2)"))).otherwise(F.col("text"))
-    return docs(spark, folder).select("doc_id", stamp(dates.latest_text_date(t, as_of())).alias("latest"))
+    df = docs(spark, folder).select("doc_id", t.alias("t"))
+    return df.select("doc_id", stamp(dates.latest_text_date(F.col("t"), AS_OF)).alias("latest"))
 
 
 DATE_SITES = [
@@ -418,7 +429,7 @@ def date_fallbacks(spark, folder):
     df = df.withColumns({"domain": scrape_domain("url"), "path": url_path("url")})
     df = pick_site_rule(df, SITE_RULES).withColumn(NODES, shred("html"))
     df = df.withColumn("text", nd.visible_text(F.col(NODES), " "))
-    found = F.coalesce(ar.site_date(F.col(NODES), F.col("rule")), ar.late_date(
+    found = F.coalesce(bodies.site_date(F.col(NODES), F.col("rule")), bodies.late_date(
         F.col(NODES), F.col("text"), F.col("rule"), F.col("url"), F.col("last_modified")))
     return df.select("page_id", stamp(found).alias("published"))
 
@@ -430,7 +441,7 @@ def jst_epoch_ms(spark, folder):
     k = F.col("event_id") % 3
     text = F.when(k == 0, F.date_format("ts", "yyyy-MM-dd")).when(
         k == 1, F.date_format("ts", "yyyy-MM-dd HH:mm")).otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
-    return table(spark, folder, "events").select("event_id", dates.jst_epoch_ms(text).alias("ms"))
+    return table(spark, folder, "events").select("event_id", jt.jst_epoch_ms(text).alias("ms"))
 
 
 @check("jst_day_label", """
@@ -438,7 +449,7 @@ SELECT event_id, CASE WHEN event_id % 9 <> 0 THEN CAST(month(ts + INTERVAL 9 HOU
        || CAST(day(ts + INTERVAL 9 HOUR) AS VARCHAR) || '日' END AS label FROM events""")
 def jst_day_label(spark, folder):
     text = F.when(F.col("event_id") % 9 == 0, F.lit("soon")).otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-    return table(spark, folder, "events").select("event_id", dates.jst_day_label(text, is_text=True).alias("label"))
+    return table(spark, folder, "events").select("event_id", jt.jst_day_label(text, is_text=True).alias("label"))
 
 
 # ---- articles ----------------------------------------------------------------------------------------
@@ -474,13 +485,13 @@ extracted AS (
 @check("accept_fallback", f"WITH {r.DATED_SQL}, {PARTS_SQL} SELECT page_id, generic AS content FROM bodies")
 def accept_fallback(spark, folder):
     df = dated(spark, folder).withColumn("text", nd.visible_text(F.col(NODES), " "))
-    df = df.withColumn("d", dates.recovered_date(F.col(NODES), F.col("text"), as_of()))
-    return df.select("page_id", ar.accept_fallback(ar.generic_body(F.col(NODES)), F.col("d")).alias("content"))
+    df = df.withColumn("d", dates.recovered_date(F.col(NODES), F.col("text"), AS_OF))
+    return df.select("page_id", ar.accept_fallback(bodies.generic_body(F.col(NODES)), F.col("d")).alias("content"))
 
 
 @check("extract_articles", f"WITH {r.DATED_SQL}, {PARTS_SQL} SELECT page_id, rule, content FROM extracted")
 def extract_articles(spark, folder):
-    out = ar.extract_articles(r.dated_pages(spark, folder), TEST_RULES, as_of())
+    out = ar.extract_articles(r.dated_pages(spark, folder), TEST_RULES, AS_OF)
     return out.select("page_id", "rule", "content")
 
 
@@ -496,7 +507,7 @@ final AS (
 SELECT page_id, url, rule, title, content, CASE WHEN content <> '' THEN 'ok' ELSE 'empty' END AS status,
        CASE WHEN rule IS NOT NULL OR content <> '' THEN {r.DATE_OF_SQL} END AS published FROM final""")
 def articles(spark, folder):
-    out = ar.articles(r.dated_pages(spark, folder), TEST_RULES, as_of())
+    out = ar.articles(r.dated_pages(spark, folder), TEST_RULES, AS_OF)
     return out.select("page_id", "url", "rule", "title", "content", "status", stamp("published").alias("published"))
 
 
@@ -509,7 +520,7 @@ def custom_rule(spark, folder):
     mine = SiteRule("mine", "spam-farm.example.org", containers=("article",), tags=("h1",), min_chars=6, priority=99)
     df = pages(spark, folder).withColumns({"domain": scrape_domain("url"), "path": url_path("url")})
     df = pick_site_rule(df, [*SITE_RULES, mine]).withColumn(NODES, shred("html"))
-    df = df.withColumn("content", ar.rule_body(F.col(NODES), F.col("rule"), ["blocks"]))
+    df = df.withColumn("content", bodies.rule_body(F.col(NODES), F.col("rule"), ["blocks"]))
     return df.select("page_id", F.col("rule.name").alias("rule"), "content")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pressloom.functions import lines as ln
 from pressloom.functions import text as tx
 from pressloom.functions import urls
+from pressloom.functions.nodes import longest
 from pressloom.functions.unicode import unescape
 from pressloom.operators import lookups
 from pressloom.plans import recipes as r
@@ -465,7 +466,8 @@ SELECT doc_id, line AS longest FROM (
   FROM (SELECT doc_id, unnest(string_split(text, {NL})) AS line,
                generate_subscripts(string_split(text, {NL}), 1) AS pos FROM documents) d) t WHERE rn = 1""")
 def longest_candidate(spark, folder):
-    return docs(spark, folder).select("doc_id", tx.longest(F.split("text", "\n")).alias("longest"))
+    lines = docs(spark, folder).select("doc_id", F.split("text", "\n").alias("lines"))
+    return lines.select("doc_id", longest(F.col("lines")).alias("longest"))
 
 
 @check("noise_lines", f"""
