@@ -31,6 +31,15 @@ def accept_fallback(body: Column, published: Column, limit: int = MIN_ARTICLE_CH
     return F.when((F.length(body) >= limit) & published.isNotNull(), body)
 
 
+def spread(pages: DataFrame, key: str = "url") -> DataFrame:
+    """Give every core pages to work on when the input has fewer files than there are cores.
+
+    Larger inputs split well on their own and are left unshuffled.
+    """
+    cores = pages.sparkSession.sparkContext.defaultParallelism
+    return pages.repartition(cores, key) if len(pages.inputFiles()) < cores else pages
+
+
 def shredded(pages: DataFrame, html: str = "html") -> DataFrame:
     """Pages with their node array in place of the HTML text."""
     return pages.withColumn("nodes", shred(html)).drop(html)
@@ -51,7 +60,7 @@ def extract_articles(
     kinds = sorted({r.kind for r in rules})
     as_of = as_of or dt.datetime.now(dt.timezone.utc)
     nodes, rule, text = F.col("nodes"), F.col("rule"), F.col("text")
-    keyed = pages.withColumns({
+    keyed = spread(pages).withColumns({
         "domain": scrape_domain("url"), "path": url_path("url"), "had_page": F.length("html") > 0})
     step = shredded(pick_site_rule(keyed, rules)).withColumn("text", visible_text(nodes, " "))
     step = step.withColumns({

@@ -81,27 +81,29 @@ def top_unmatched(unmatched: DataFrame, publisher: str = "publisherName", n: int
 
 def attach_translations(df: DataFrame, translations: DataFrame, pairs: dict[str, str]) -> DataFrame:
     """Add translated columns from a table ``(text, translated)``; missing ones are ``''``.
-
-    The join key is a 64-bit hash next to the text itself: the short key sorts
-    fast, the text decides.  Empty texts stay out of the join, so they cannot
-    pile up on one key.
     """
-    lookup = translations.groupBy("text").agg(F.min("translated").alias("_ja")).withColumn("_h", F.xxhash64("text"))
+    lookup = translations.groupBy("text").agg(F.min("translated").alias("_ja")).withColumnRenamed("text", "_text")
     for source, target in pairs.items():
-        side = lookup.select(F.col("text").alias("_text"), "_ja", "_h")
         wanted = F.when(F.length(F.trim(F.col(source))) > 0, F.col(source))
-        # rows without text match nothing; a hash of the whole row spreads them over all tasks
-        keyed = df.withColumn("_want", wanted).withColumn(
-            "_k", F.when(F.col("_want").isNull(), F.xxhash64(*df.columns)).otherwise(F.xxhash64("_want"))
-        )
-        df = (
-            keyed.join(side, (F.col("_k") == F.col("_h")) & (F.col("_want") == F.col("_text")), "left")
-            .withColumn(target, F.coalesce(F.col("_ja"), F.lit("")))
-            .drop("_want", "_k", "_text", "_ja", "_h")
-        )
+        joined = spread_left_join(df, lookup, wanted, "_text")
+        df = joined.withColumn(target, F.coalesce(F.col("_ja"), F.lit(""))).drop("_text", "_ja")
     return df
 
 
+def spread_left_join(df: DataFrame, right: DataFrame, key: Column, right_key: str) -> DataFrame:
+    """Left join on a text ``key`` that many rows may lack.
+
+    The rows meet on a 64-bit hash, and the texts decide.  A row without key
+    gets a hash of the whole row instead: it matches nothing, and such rows spread
+    over all tasks rather than pile up on NULL.
+    """
+    left = df.withColumn("_key", key).withColumn("_hash", F.coalesce(
+        F.when(F.col("_key").isNotNull(), F.xxhash64("_key")), F.xxhash64(*df.columns)))
+    hashed = right.withColumn("_right_hash", F.xxhash64(right_key))
+    same = (F.col("_hash") == F.col("_right_hash")) & (F.col("_key") == F.col(right_key))
+    return left.join(hashed, same, "left").drop("_key", "_hash", "_right_hash")
+
+
 def registered_domains(hosts: DataFrame, host: str, suffixes: Iterable[str] | DataFrame) -> DataFrame:
     """``(host, domain)``: the longest public suffix plus one label, else the host itself.
 

@@ -19,8 +19,10 @@ def build_session(app_name: str = "pressloom", master: str | None = None, **conf
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
-        builder = builder.master(master).config("spark.ui.enabled", "false").config(
-            "spark.ui.showConsoleProgress", "false")
+        local = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"}
+        builder = builder.master(master)
+        for key, value in local.items():
+            builder = builder.config(key, value)
     settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
