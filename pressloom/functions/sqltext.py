@@ -23,12 +23,19 @@ from pyspark.sql import functions as spark_functions
 _names = itertools.count()
 
 
+# Binding strength of SQL operators; brackets are written only where needed, as the
+# parser is slow on nested ones.
+RANK = {"OR": 1, "AND": 2, "NOT": 3, "TEST": 4, "+": 5, "-": 5, "*": 6, "/": 6, "%": 6}
+ATOM = 9
+
+
 class Sql:
     """The text of one SQL expression."""
 
-    def __init__(self, text: str, name: str | None = None) -> None:
+    def __init__(self, text: str, name: str | None = None, rank: int = ATOM) -> None:
         self.text = text
         self.name = name
+        self.rank = rank  # binding strength of the outermost operator
 
     __hash__ = None  # type: ignore[assignment]
 
@@ -39,26 +46,30 @@ class Sql:
         return _infix(self, "<>", other)
 
     def __invert__(self) -> "Sql":
-        return Sql(f"(NOT {self.text})")
+        return Sql(f"NOT {self.at(RANK['NOT'])}", rank=RANK["NOT"])
 
     def __neg__(self) -> "Sql":
-        return Sql(f"(- {self.text})")
+        return Sql(f"(- {self.at(ATOM)})")
 
     def __rsub__(self, other: Any) -> "Sql":
         return _infix(sql(other), "-", self)
 
     def alias(self, name: str) -> "Sql":
-        return Sql(self.text, name)
+        return Sql(self.text, name, self.rank)
+
+    def at(self, rank: int) -> str:
+        """The text for a place that binds at least as strongly as ``rank``."""
+        return self.text if self.rank >= rank else f"({self.text})"
 
     def getField(self, name: str) -> "Sql":  # noqa: N802 - Column's name
         base = self.text if re.fullmatch(r"[\w.`]+", self.text) else f"({self.text})"
         return Sql(f"{base}.`{name}`")
 
     def isNull(self) -> "Sql":  # noqa: N802
-        return Sql(f"({self.text} IS NULL)")
+        return Sql(f"{self.at(RANK['TEST'] + 1)} IS NULL", rank=RANK["TEST"])
 
     def isNotNull(self) -> "Sql":  # noqa: N802
-        return Sql(f"({self.text} IS NOT NULL)")
+        return Sql(f"{self.at(RANK['TEST'] + 1)} IS NOT NULL", rank=RANK["TEST"])
 
     def rlike(self, pattern: str) -> "Sql":
         return _infix(self, "RLIKE", pattern)
@@ -71,10 +82,11 @@ class Sql:
 
     def isin(self, *values: Any) -> "Sql":
         values = values[0] if len(values) == 1 and isinstance(values[0], list) else values
-        return Sql(f"({self.text} IN ({', '.join(sql(v).text for v in values)}))")
+        return Sql(f"{self.at(RANK['TEST'] + 1)} IN ({', '.join(sql(v).text for v in values)})", rank=RANK["TEST"])
 
     def between(self, low: Any, high: Any) -> "Sql":
-        return Sql(f"({self.text} BETWEEN {sql(low).text} AND {sql(high).text})")
+        inner = RANK["TEST"] + 1
+        return Sql(f"{self.at(inner)} BETWEEN {sql(low).at(inner)} AND {sql(high).at(inner)}", rank=RANK["TEST"])
 
     def cast(self, kind: str) -> "Sql":
         return Sql(f"CAST({self.text} AS {kind})")
@@ -101,7 +113,9 @@ class _Case(Sql):
 
 
 def _infix(left: Any, op: str, right: Any) -> Sql:
-    return Sql(f"({sql(left).text} {op} {sql(right).text})")
+    rank = RANK.get(op, RANK["TEST"])
+    loose = rank if op in RANK else rank + 1
+    return Sql(f"{sql(left).at(loose)} {op} {sql(right).at(rank + (op not in ('AND', 'OR')))}", rank=rank)
 
 
 for _method, _op in {

@@ -2,19 +2,14 @@
 
 from __future__ import annotations
 
-import datetime as dt
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pressloom.functions.base import is_filled, strip
 from pressloom.functions.japan_time import jst_day_label
 from pressloom.functions.lines import body_from_labels
-from pressloom.functions.rules import SITE_RULES, SiteRule
 from pressloom.functions.text import html_title, html_to_text
 from pressloom.operators import feed as fd
-from pressloom.operators.articles import articles
 from pressloom.operators.lookups import attach_translations, enrich_master, spread_left_join
 from pressloom.operators.numbering import number_rows
 
@@ -36,22 +31,21 @@ def final_sheet(df: DataFrame, headings: bool = False) -> DataFrame:
     return df.select(*[cell(n).alias(h if headings else n) for n, h in SHEET.items()])
 
 
-def page_bodies(pages: DataFrame, labelled: DataFrame, rules: Iterable[SiteRule] = tuple(SITE_RULES),
-                as_of: dt.datetime | None = None) -> DataFrame:
+def page_bodies(found: DataFrame, answers: DataFrame | None = None) -> DataFrame:
     """Per URL what recovery needs: ``url, has_article, page_body, plain_body``.
 
-    ``labelled(url, article_raw, plain_raw)`` holds the model's answers about the
-    extracted article and about the page's plain text.
+    ``found(url, title, content)`` are extracted articles.  ``article_raw`` and
+    ``plain_raw`` are the model's answers about the article and about the page's
+    plain text; they are columns of ``found`` or of ``answers(url, ...)``.
     """
-    found = articles(pages, rules, as_of).select("url", "title", F.col("content").alias("article"))
-    both = found.join(labelled, "url", "left")
-    both = body_from_labels(both, "article_raw", "title", "_from_article")
-    both = body_from_labels(both, "plain_raw", "title", "_from_plain")
-    has = F.col("article") != ""
+    both = found if answers is None else found.join(answers, "url", "left")
+    has = F.col("content") != ""
+    # one answer counts per page, so one column is parsed
+    both = both.withColumn("_raw", F.when(has, F.col("article_raw")).otherwise(F.col("plain_raw")))
+    both = body_from_labels(both, "_raw", "title", "_body").withColumn("_body", strip("_body"))
     return both.select(
         "url", has.alias("has_article"),
-        F.when(has, strip("_from_article")).alias("page_body"),
-        F.when(~has, strip("_from_plain")).alias("plain_body"),
+        F.when(has, F.col("_body")).alias("page_body"), F.when(~has, F.col("_body")).alias("plain_body"),
     )
 
 

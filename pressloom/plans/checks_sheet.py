@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 
 
+from pressloom.functions.text import html_to_text
 from pressloom.operators import sheet as sh
 from pressloom.operators.articles import articles
 from pressloom.plans import recipes as r
@@ -17,26 +18,22 @@ from pressloom.plans.registry import check
 from pressloom.sources.tables import table
 
 
-def page_answers(spark: SparkSession, folder: str) -> DataFrame:
-    """Answers a model could give about pages: the whole text as one body line.
+def page_bodies(spark: SparkSession, folder: str) -> DataFrame:
+    """Articles with answers a model could give: the whole text as one body line.
 
     For every third page with an article the answer holds no body line.
     """
-    pages = r.dated_pages(spark, folder)
-    plain = sh.plain_texts(pages).select("url", F.col("text").alias("plain"))
-    found = articles(pages, TEST_RULES, AS_OF).select("page_id", "url", F.col("content").alias("article"))
+    pages = r.dated_pages(spark, folder).withColumn("plain", html_to_text("html"))
+    found = articles(pages, TEST_RULES, AS_OF)
 
     def answer(text: str, label):
-        return F.to_json(F.array(F.struct(F.col(text).alias("text"), label.alias("label"), F.lit(0.95).alias("confidence"),
-                                          F.lit(0).alias("index"))))
+        line = F.struct(F.col(text).alias("text"), label.alias("label"), F.lit(0.95).alias("confidence"),
+                        F.lit(0).alias("index"))
+        return F.to_json(F.array(line))
 
     label = F.when(F.col("page_id") % 3 == 0, "nav").otherwise("body")
-    return found.join(plain, "url").select(
-        "url", answer("article", label).alias("article_raw"), answer("plain", F.lit("body")).alias("plain_raw"))
-
-
-def page_bodies(spark: SparkSession, folder: str) -> DataFrame:
-    return sh.page_bodies(r.dated_pages(spark, folder), page_answers(spark, folder), TEST_RULES, AS_OF)
+    return sh.page_bodies(found.withColumns({
+        "article_raw": answer("content", label), "plain_raw": answer("plain", F.lit("body"))}))
 
 
 BODIES_SQL = f"""{ARTICLES_SQL},
