@@ -1,12 +1,14 @@
 """Byte-level BPE encoding and decoding with a hierarchical-bitmap rank queue.
 
 A piece's adjacent pairs wait in one bucket per merge rank.  Which buckets hold
-anything is kept in a bitmap with summary levels above it, so "the lowest rank"
+anything is kept in a bitmap with a summary level above it, so "the lowest rank"
 is a find-first-set from the top level down.  Buckets hold positions in a linked
 list of parts; an entry whose parts have changed since is stale and skipped.  A
-piece of n bytes takes O(n log n), so texts without any boundary stay cheap.
+merge makes a longer token, so it never refills its own bucket.  A piece of n
+bytes takes O(n log n), so texts without any boundary stay cheap.
 
-Each distinct piece of a chunk of texts is merged once; the ids of the texts
+The distinct new pieces of a chunk of texts share one queue: pieces don't touch,
+so the lowest rank of all is also the lowest of its piece.  The ids of the texts
 are then put together from the pieces' ids.
 
 Rows: a null text counts as empty and gives no ids; repeated rows, ids and other
@@ -18,7 +20,6 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Callable, Iterator
-from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -45,11 +46,12 @@ def read_ranks(spark: SparkSession, path: str) -> dict[bytes, int]:
 
 
 class Encoder:
-    """Ids of single pieces; the ranks are the vocabulary.
+    """Ids of many pieces at once; the ranks are the vocabulary.
 
-    The bitmap has two levels: words of WORD bits with a bit per rank, and one
-    summary word with a bit per word that isn't zero.  Both are Python integers,
-    so find-first-set is ``x & -x``.  Between pieces they are all zero.
+    All pieces lie in one row of parts; links never cross a piece's end.  The
+    bitmap has two levels: words of WORD bits with a bit per rank, and a summary
+    with a bit per word that isn't zero.  Both are Python integers, so
+    find-first-set is ``x & -x``.
     """
 
     WORD = 9
@@ -60,64 +62,95 @@ class Encoder:
             raise ValueError(f"the vocabulary lacks single bytes: {missing[:5]}")
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
-        self.words = [0] * ((max(ranks.values()) >> self.WORD) + 1)
-        self.bits = [1 << i for i in range(1 << self.WORD)]
+        self.base = max(ranks.values()) + 1
+        #: left * base + right: the rank of the two parts joined
+        self.pairs = {
+            ranks[t[:i]] * self.base + ranks[t[i:]]: rank for t, rank in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks
+        }
+        self.bytes = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        self.byte_pairs = np.full(1 << 16, -1, np.int64)
+        for t, rank in ranks.items():
+            if len(t) == 2:
+                self.byte_pairs[t[0] << 8 | t[1]] = rank
 
     def encode(self, piece: bytes) -> list[int]:
-        ranks = self.ranks
-        if (whole := ranks.get(piece)) is not None:
-            return [whole]
-        rank_of, words, bits, shift, low = ranks.get, self.words, self.bits, self.WORD, (1 << self.WORD) - 1
-        n = len(piece)
-        # part i is piece[i:end[i]], 0 once it has gone; before[i] is where the part in front of it starts
-        end = list(range(1, n + 1))
-        before = list(range(-1, n - 1))
-        buckets: dict[int, list[int]] = {}
+        return self.encode_many([piece])[0]
+
+    def encode_many(self, pieces: list[bytes]) -> list[list[int]]:
+        out = [[self.ranks[p]] if p in self.ranks else None for p in pieces]
+        open_ = [i for i, x in enumerate(out) if x is None]
+        edges = offsets([len(pieces[i]) for i in open_])
+        if len(open_):
+            ids, stops = self._merge(np.frombuffer(b"".join([pieces[i] for i in open_]), np.uint8), edges)
+            for i, a, b in zip(open_, stops[:-1].tolist(), stops[1:].tolist()):
+                out[i] = ids[a:b]
+        return out
+
+    def _merge(self, data: np.ndarray, edges: np.ndarray) -> tuple[list[int], np.ndarray]:
+        """Ids of all pieces, and where each piece's ids start.  ``edges``: offsets of the pieces in ``data``."""
+        n, pair, base, shift, low = len(data), self.pairs.get, self.base, self.WORD, (1 << self.WORD) - 1
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        after[edges[1:][edges[1:] > 0] - 1] = -1
+        before[edges[:-1][edges[:-1] < n]] = -1
+        rank = np.full(n, -1, np.int64)
+        rank[:-1] = self.byte_pairs[data[:-1].astype(np.int64) << 8 | data[1:]]
+        rank[after < 0] = -1
+        # one bucket per rank; the positions in it rise
+        at = np.flatnonzero(rank >= 0)
+        at = at[np.argsort(rank[at], kind="stable")]
+        filled, first = np.unique(rank[at], return_index=True)
+        places, stops = at.tolist(), [*first[1:].tolist(), len(at)]
+        buckets = {r: places[a:b] for r, a, b in zip(filled.tolist(), first.tolist(), stops)}
+        words = [0] * ((base >> shift) + 1)
         summary = 0
-        for i in range(n - 1):
-            if (rank := rank_of(piece[i : i + 2])) is not None:
-                if (bucket := buckets.get(rank)) is not None:
-                    bucket.append(i)  # positions rise, so the list is a heap
-                else:
-                    buckets[rank] = [i]
-                    words[rank >> shift] |= bits[rank & low]
-                    summary |= 1 << (rank >> shift)
+        for r in buckets:
+            words[r >> shift] |= 1 << (r & low)
+            summary |= 1 << (r >> shift)
+        part, after, before = self.bytes[data].tolist(), after.tolist(), before.tolist()  # a part that has gone: -1
         while summary:
-            at = (summary & -summary).bit_length() - 1
-            word = words[at]
-            rank = (at << shift) | ((word & -word).bit_length() - 1)
-            bucket = buckets[rank]
-            i = heappop(bucket)
-            if not bucket:
-                del buckets[rank]
-                words[at] = word = word & (word - 1)
-                if not word:
-                    summary &= summary - 1
-            j = end[i]
-            # stale: a part has gone or ends the piece, or the two no longer make this token
-            if not j or j == n or rank_of(piece[i : end[j]]) != rank:
-                continue
-            k = end[i] = end[j]
-            end[j] = 0
-            if k < n:
-                before[k] = i
-                pairs = ((i, piece[i : end[k]]), (before[i], piece[before[i] : k])) if i else ((i, piece[i : end[k]]),)
-            else:
-                pairs = ((before[i], piece[before[i] : k]),) if i else ()
-            for h, pair in pairs:
-                if (rank := rank_of(pair)) is not None:
-                    if (bucket := buckets.get(rank)) is not None:
-                        heappush(bucket, h)
-                    else:
-                        buckets[rank] = [h]
-                        words[rank >> shift] |= bits[rank & low]
-                        summary |= 1 << (rank >> shift)
-        out, i = [], 0
-        while i < n:
-            j = end[i]
-            out.append(ranks[piece[i:j]])
-            i = j
-        return out
+            w = (summary & -summary).bit_length() - 1
+            word = words[w]
+            rank = w << shift | ((word & -word).bit_length() - 1)
+            words[w] = word & (word - 1)
+            if not words[w]:
+                summary &= summary - 1
+            bucket = buckets.pop(rank)
+            bucket.sort()
+            for done, i in enumerate(bucket):
+                j, left = after[i], part[i]
+                # stale: the part has gone, ends its piece, or no longer makes this token with the next
+                if left < 0 or j < 0 or pair(left * base + part[j]) != rank:
+                    continue
+                part[i], part[j] = rank, -1
+                after[i] = k = after[j]
+                lower = False
+                if k >= 0:
+                    before[k] = i
+                    if (new := pair(rank * base + part[k])) is not None:
+                        if (held := buckets.get(new)) is not None:
+                            held.append(i)
+                        else:
+                            buckets[new] = [i]
+                            words[new >> shift] |= 1 << (new & low)
+                            summary |= 1 << (new >> shift)
+                            lower = new < rank
+                if (h := before[i]) >= 0:
+                    if (new := pair(part[h] * base + rank)) is not None:
+                        if (held := buckets.get(new)) is not None:
+                            held.append(h)
+                        else:
+                            buckets[new] = [h]
+                            words[new >> shift] |= 1 << (new & low)
+                            summary |= 1 << (new >> shift)
+                            lower = lower or new < rank
+                if lower and done + 1 < len(bucket):  # a lower rank has come up: the rest waits behind it
+                    buckets[rank] = bucket[done + 1 :]
+                    words[rank >> shift] |= 1 << (rank & low)
+                    summary |= 1 << (rank >> shift)
+                    break
+        left = np.array(part, np.int64)
+        alive = np.flatnonzero(left >= 0)
+        return left[alive].tolist(), np.searchsorted(alive, edges)
 
 
 def encoder(path: str) -> Encoder:
@@ -160,7 +193,7 @@ def encode_bpe(docs: DataFrame, ranks_path: str, text: str = "text", ids: str =
         bpe = encoder(ranks_path)
 
         def merged(new: list[str]) -> list[list[int]]:
-            return [bpe.encode(p.encode()) for p in new]
+            return bpe.encode_many([p.encode() for p in new])
 
         for batch in batches:
             for a, b in chunks(texts := [t or "" for t in batch.column(text).to_pylist()], 4 * CHUNK_CHARS):
@@ -184,7 +217,8 @@ def decode_bpe(encoded: DataFrame, ranks_path: str, ids: str = "ids", into: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = encoder(ranks_path).tokens.__getitem__
         for batch in batches:
-            column = pa.array([b"".join(map(token, x or ())) for x in batch.column(ids).to_pylist()], pa.binary())
+            # one row's ids at a time as Python integers
+            column = pa.array([b"".join(map(token, x.as_py() or ())) for x in batch.column(ids)], pa.binary())
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in keep), column], names=schema.fieldNames())
 
     return encoded.mapInArrow(run, schema)
@@ -197,12 +231,12 @@ def bpe_digests(docs: DataFrame, ranks_path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.column("ids").to_pylist()
+            ids = batch.column("ids")
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
-                    pa.array([len(x) for x in rows], pa.int64()),
-                    pa.array([hashlib.sha256(" ".join(map(str, x)).encode()).hexdigest() for x in rows], pa.string()),
+                    ids.value_lengths().cast(pa.int64()),
+                    pa.array([hashlib.sha256(" ".join(map(str, x.as_py())).encode()).hexdigest() for x in ids], pa.string()),
                     pa.array([hashlib.sha256(x.as_py()).hexdigest() for x in batch.column("decoded")], pa.string()),
                 ],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
