@@ -42,8 +42,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def slice_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Rabin-Karp hash of every slice values[start:end], equal for equal slices wherever they stand."""
+def slice_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = 1 << 20) -> np.ndarray:
+    """Rabin-Karp hash of every slice values[start:end], equal for equal slices wherever they stand.
+
+    ``starts`` and ``ends`` rise.  Works on about ``block`` values at a time, so memory doesn't follow the text's length.
+    """
+    if len(starts) and ends[-1] - starts[0] > block and len(starts) > 1:
+        out, i = np.empty(len(starts), np.uint64), 0
+        while i < len(starts):
+            j = max(i + 1, int(np.searchsorted(ends, starts[i] + block, side="right")))
+            out[i:j] = slice_hashes(values[starts[i] : ends[j - 1]], starts[i:j] - starts[i], ends[i:j] - starts[i], 1 << 62)
+            i = j
+        return out
     up, down = powers(len(values))
     sums = np.zeros(len(values) + 1, np.uint64)
     # value 0 must differ from no value, so every value counts one more

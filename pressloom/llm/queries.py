@@ -7,7 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from pressloom.llm import mixing
 from pressloom.llm.bpe import bpe_digests
+from pressloom.llm.mixing import mix_sources
+from pressloom.llm.quality import with_quality
+from pressloom.llm.substring_dedup import repeat_digests
 from pressloom.llm.token_files import token_file_digests
 from pressloom.sources.tables import table
 
@@ -23,7 +27,22 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"), RANKS)
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_digests(table(spark, sf_dir, "documents"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = table(spark, sf_dir, "labels").filter("quality = 1")
+    scored = with_quality(table(spark, sf_dir, "documents").select("doc_id", "text"), trusted)
+    return scored.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_token_files, op5_bpe)
+    f.__name__: f for f in (op4_token_files, op5_bpe, op6_mixing, op7_substring_dedup, op8_quality)
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op6_mixing": mixing.SQL}
