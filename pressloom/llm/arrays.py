@@ -7,7 +7,9 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
+PART_BYTES = 4_000_000
 # Odd, so that it has an inverse modulo 2**64 and prefix sums give the hash of any slice.
 BASE = 0x9E3779B97F4A7C15
 
@@ -91,6 +93,15 @@ def chunks(texts: list[str], chars: int) -> Iterator[tuple[int, int]]:
         yield first, len(texts)
 
 
+def parts(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of about PART_BYTES of text; a longer text stands alone."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+    stops = np.flatnonzero(np.diff(np.cumsum(sizes, dtype=np.int64) // PART_BYTES, prepend=0)).tolist()
+    for a, b in zip([0, *stops], [*stops, batch.num_rows]):
+        if a < b:
+            yield batch.slice(a, b - a)
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column (null: empty) and the offsets of its rows."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column

@@ -18,29 +18,28 @@ columns are passed on; every column of the input but the text's is kept.
 from __future__ import annotations
 
 import base64
-import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pressloom.llm.arrays import chunks, offsets, worker_cache
+from pressloom.llm.arrays import chunks, offsets, parts, worker_cache
 from pressloom.llm.pretokens import pieces
 
 # Distinct pieces that a Python worker remembers, and characters it handles at a time.
-REMEMBERED_PIECES = 600_000
+REMEMBERED_PIECES = 500_000
 CHUNK_CHARS = 800_000
 
 
-def read_ranks(spark: SparkSession, path: str) -> dict[bytes, int]:
+def read_ranks(path: str) -> dict[bytes, int]:
     """Ranks of a ``.tiktoken`` file.
 
     A vocabulary is part of the installation, like a library: each machine
     has the file, and tasks open it at ``path``.
     """
-    del spark
     with open(path, "rb") as lines:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
@@ -74,20 +73,14 @@ class Encoder:
                 self.byte_pairs[t[0] << 8 | t[1]] = rank
 
     def encode(self, piece: bytes) -> list[int]:
-        return self.encode_many([piece])[0]
-
-    def encode_many(self, pieces: list[bytes]) -> list[list[int]]:
-        out = [[self.ranks[p]] if p in self.ranks else None for p in pieces]
-        open_ = [i for i, x in enumerate(out) if x is None]
-        edges = offsets([len(pieces[i]) for i in open_])
-        if len(open_):
-            ids, stops = self._merge(np.frombuffer(b"".join([pieces[i] for i in open_]), np.uint8), edges)
-            for i, a, b in zip(open_, stops[:-1].tolist(), stops[1:].tolist()):
-                out[i] = ids[a:b]
-        return out
-
-    def _merge(self, data: np.ndarray, edges: np.ndarray) -> tuple[list[int], np.ndarray]:
-        """Ids of all pieces, and where each piece's ids start.  ``edges``: offsets of the pieces in ``data``."""
+        return self.encode_many([piece])[0].tolist()
+
+    def encode_many(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces, one after the other, and their offsets."""
+        return self._merge(np.frombuffer(b"".join(pieces), np.uint8), offsets([len(p) for p in pieces]))
+
+    def _merge(self, data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``edges``: offsets of the pieces in ``data``."""
         n, pair, base, shift, low = len(data), self.pairs.get, self.base, self.WORD, (1 << self.WORD) - 1
         after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
         after[edges[1:][edges[1:] > 0] - 1] = -1
@@ -150,25 +143,35 @@ class Encoder:
                     break
         left = np.array(part, np.int64)
         alive = np.flatnonzero(left >= 0)
-        return left[alive].tolist(), np.searchsorted(alive, edges)
+        return left[alive].astype(np.uint32), np.searchsorted(alive, edges)
 
 
 def encoder(path: str) -> Encoder:
     """The worker's encoder for the rank file at ``path``."""
     held = worker_cache("encoders", 8)
     if path not in held:
-        held[path] = Encoder(read_ranks(None, path))
+        held[path] = Encoder(read_ranks(path))
     return held[path]
 
 
-def encode_texts(texts: list[str], encode: Callable[[list[str]], list[list[int]]], key: str) -> Iterator[np.ndarray]:
-    """Ids of each text, in order.  ``encode`` turns new pieces into ids; ``key`` names the worker's memory of them."""
+def decoder(path: str) -> dict[int, bytes]:
+    """The worker's tokens of the rank file at ``path``, by rank."""
+    held = worker_cache("decoders", 8)
+    if path not in held:
+        held[path] = {rank: token for token, rank in read_ranks(path).items()}
+    return held[path]
+
+
+def encode_texts(texts: list[str], encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], key: str) -> Iterator[np.ndarray]:
+    """Ids of each text, in order.  ``encode`` gives new pieces' ids and their offsets; ``key`` names the worker's memory of them."""
     for a, b in chunks(texts, CHUNK_CHARS):
         some = pieces(texts[a:b])
         known = worker_cache(key, REMEMBERED_PIECES)
         new = [p for p in some.distinct if p not in known]
-        for piece, ids in zip(new, encode(new)):
-            known[piece] = np.array(ids, np.uint32).tobytes()
+        ids, stops = encode(new)
+        packed, stops = ids.tobytes(), (4 * stops).tolist()
+        for piece, i, j in zip(new, stops[:-1], stops[1:]):
+            known[piece] = packed[i:j]
         parts = [known[p] for p in some.distinct]
         flat = np.frombuffer(b"".join(parts), np.uint32)
         size = np.array([len(p) // 4 for p in parts], np.int64)
@@ -184,7 +187,7 @@ def encode_texts(texts: list[str], encode: Callable[[list[str]], list[list[int]]
 def encode_bpe(docs: DataFrame, ranks_path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """``docs`` with the array column ``ids`` (int) of each whole text; special tokens' strings are ordinary text.
 
-    The column takes the place of one of the same name.  No shuffle.
+    The column takes the place of one of the same name.  No shuffle; a null text stays null.
     """
     keep = [f for f in docs.schema.fields if f.name.lower() != ids.lower()]
     schema = T.StructType([*keep, T.StructField(ids, T.ArrayType(T.IntegerType(), False), False)])
@@ -192,15 +195,15 @@ def encode_bpe(docs: DataFrame, ranks_path: str, text: str = "text", ids: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(ranks_path)
 
-        def merged(new: list[str]) -> list[list[int]]:
+        def merged(new: list[str]) -> tuple[np.ndarray, np.ndarray]:
             return bpe.encode_many([p.encode() for p in new])
 
         for batch in batches:
-            for a, b in chunks(texts := [t or "" for t in batch.column(text).to_pylist()], 4 * CHUNK_CHARS):
-                found = list(encode_texts(texts[a:b], merged, f"pieces:{ranks_path}"))
+            for part in parts(batch, text):
+                found = list(encode_texts([t or "" for t in part.column(text).to_pylist()], merged, f"pieces:{ranks_path}"))
                 flat = np.concatenate(found).astype(np.int32)
                 column = pa.ListArray.from_arrays(pa.array(offsets([len(x) for x in found]), pa.int32()), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([*(batch.column(f.name).slice(a, b - a) for f in keep), column], names=schema.fieldNames())
+                yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in keep), column], names=schema.fieldNames())
 
     return docs.mapInArrow(run, schema)
 
@@ -215,7 +218,7 @@ def decode_bpe(encoded: DataFrame, ranks_path: str, ids: str = "ids", into: str
     schema = T.StructType([*keep, T.StructField(into, T.BinaryType(), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = encoder(ranks_path).tokens.__getitem__
+        token = decoder(ranks_path).__getitem__
         for batch in batches:
             # one row's ids at a time as Python integers
             column = pa.array([b"".join(map(token, x.as_py() or ())) for x in batch.column(ids)], pa.binary())
@@ -227,19 +230,9 @@ def decode_bpe(encoded: DataFrame, ranks_path: str, ids: str = "ids", into: str
 def bpe_digests(docs: DataFrame, ranks_path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every document, through encoding and decoding."""
     coded = decode_bpe(encode_bpe(docs.select("doc_id", "text"), ranks_path), ranks_path)
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column("ids")
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    ids.value_lengths().cast(pa.int64()),
-                    pa.array([hashlib.sha256(" ".join(map(str, x.as_py())).encode()).hexdigest() for x in ids], pa.string()),
-                    pa.array([hashlib.sha256(x.as_py()).hexdigest() for x in batch.column("decoded")], pa.string()),
-                ],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    return coded.select("doc_id", "ids", "decoded").mapInArrow(run, schema)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )

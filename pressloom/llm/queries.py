@@ -7,10 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pressloom.llm import mixing
+from pressloom.llm import chat, mixing
 from pressloom.llm.bpe import bpe_digests
+from pressloom.llm.chat import chat_digests
 from pressloom.llm.mixing import mix_sources
+from pressloom.llm.ngram_join import jaccard_components
 from pressloom.llm.quality import with_quality
+from pressloom.llm.sharding import shard_digests
 from pressloom.llm.substring_dedup import repeat_digests
 from pressloom.llm.token_files import token_file_digests
 from pressloom.sources.tables import table
@@ -19,6 +22,14 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_digests(table(spark, sf_dir, "documents"))
+
+
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digests(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -42,7 +53,13 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
 
 
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = r"\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return chat_digests(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_token_files, op5_bpe, op6_mixing, op7_substring_dedup, op8_quality)
+    f.__name__: f for f in (op1_sharding, op3_ngram_join, op4_token_files, op5_bpe, op6_mixing, op7_substring_dedup, op8_quality, op10_chat)
 }
-SQL: dict[str, str] = {"op6_mixing": mixing.SQL}
+SQL: dict[str, str] = {"op6_mixing": mixing.SQL, "op10_chat": chat.SQL}

@@ -23,17 +23,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pressloom.llm.arrays import offsets, slice_hashes, text_bytes, word_spans
+from pressloom.llm.arrays import offsets, parts, slice_hashes, text_bytes, word_spans
 from pressloom.llm.stages import free_name
 
-# Windows that a task holds before it sends them on, and characters it hashes at a time.
+# Windows that a task holds before it sends them on.
 HELD_WINDOWS = 2_000_000
-CHUNK_CHARS = 4_000_000
 LAST_ID = (1 << 63) - 1
 
 BLOCKS = "slot int, payload binary, doc long, same long, starts binary"
@@ -136,26 +135,20 @@ def repeated_windows(docs: DataFrame, window: int = 20, partitions: int | None =
                     yield rows([(s, pack(hashes[own], row[own], place[own], doc, same), None, None, None)])
 
         many = 0
-        for batch in batches:
-            texts = batch.column("text")
-            sizes = pa.compute.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
-            stops = np.flatnonzero(np.diff(np.cumsum(sizes) // CHUNK_CHARS, prepend=0)).tolist()
-            for a, b in zip([0, *stops], [*stops, len(texts)]):
-                if a == b:
-                    continue
-                hashes, row, place = windows_of(texts.slice(a, b - a), window)
-                held.append((batch.column("doc").slice(a, b - a).to_numpy(), batch.column("same").slice(a, b - a).to_numpy(), hashes, row, place))
-                many += len(hashes)
-                if many >= HELD_WINDOWS:
-                    yield from flush()
-                    many = 0
+        for part in (p for batch in batches for p in parts(batch, "text")):
+            hashes, row, place = windows_of(part.column("text"), window)
+            held.append((part.column("doc").to_numpy(), part.column("same").to_numpy(), hashes, row, place))
+            many += len(hashes)
+            if many >= HELD_WINDOWS:
+                yield from flush()
+                many = 0
         if many:
             yield from flush()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = []
         for batch in batches:
-            known = batch.filter(pa.compute.is_valid(batch.column("starts")))
+            known = batch.filter(pc.is_valid(batch.column("starts")))
             if known.num_rows:
                 yield known.select(["doc", "same", "starts"])
             blocks += [unpack(x) for x in batch.column("payload").drop_null().to_pylist()]

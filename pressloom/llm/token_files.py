@@ -24,7 +24,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import islice
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from pressloom.llm.arrays import worker_cache
+from pressloom.llm.arrays import offsets, parts, worker_cache
 from pressloom.llm.bpe import encode_texts
 from pressloom.llm.stages import staged
 
@@ -185,11 +185,9 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, shard_i
         docs_in: list[int | None] = []
         held = 0
 
-        def encode(new: list[str]) -> Iterator[list[int]]:
-            todo = iter(new)
-            while some := list(islice(todo, 4096)):
-                for x in encoder.encode_batch_fast(some, add_special_tokens=False):
-                    yield x.ids
+        def encode(new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            found = [x.ids for a in range(0, len(new), 4096) for x in encoder.encode_batch_fast(new[a : a + 4096], add_special_tokens=False)]
+            return np.fromiter(chain.from_iterable(found), np.uint32), offsets([len(x) for x in found])
 
         def shard() -> pa.RecordBatch:
             flat = np.concatenate(ids)
@@ -198,9 +196,9 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, shard_i
             names = ["part", "seq", "n_docs", "n_ids", "doc_ids", "lengths", "payload"]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names=names)
 
-        for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for doc_id, found in zip(batch.column("doc_id").to_pylist(), encode_texts(texts, encode, f"pieces:{tokenizer_path}")):
+        for part_of in (p for batch in batches for p in parts(batch, "text")):
+            texts = [t or "" for t in part_of.column("text").to_pylist()]
+            for doc_id, found in zip(part_of.column("doc_id").to_pylist(), encode_texts(texts, encode, f"pieces:{tokenizer_path}")):
                 ids.append(np.append(found, np.uint32(end_id)))
                 docs_in.append(doc_id)
                 held += len(ids[-1])
