@@ -30,7 +30,7 @@ from pressloom.llm.arrays import chunks, offsets, parts, worker_cache
 from pressloom.llm.pretokens import pieces
 
 # Distinct pieces that a Python worker remembers, and characters it handles at a time.
-REMEMBERED_PIECES = 500_000
+REMEMBERED_PIECES = 400_000
 CHUNK_CHARS = 800_000
 
 

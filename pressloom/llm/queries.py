@@ -10,11 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pressloom.llm import chat, mixing
 from pressloom.llm.bpe import bpe_digests
 from pressloom.llm.chat import chat_digests
+from pressloom.llm.embedding_dedup import embedding_components
 from pressloom.llm.mixing import mix_sources
 from pressloom.llm.ngram_join import jaccard_components
 from pressloom.llm.quality import with_quality
 from pressloom.llm.sharding import shard_digests
 from pressloom.llm.substring_dedup import repeat_digests
+from pressloom.llm.toxicity import toxicity_scores
 from pressloom.llm.token_files import token_file_digests
 from pressloom.sources.tables import table
 
@@ -26,6 +28,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_digests(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -53,6 +59,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_components(table(spark, sf_dir, "embeddings"))
+
+
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
     more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -60,6 +70,6 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sharding, op3_ngram_join, op4_token_files, op5_bpe, op6_mixing, op7_substring_dedup, op8_quality, op10_chat)
+    f.__name__: f for f in (op1_sharding, op2_toxicity, op3_ngram_join, op4_token_files, op5_bpe, op6_mixing, op7_substring_dedup, op8_quality, op9_embedding_dedup, op10_chat)
 }
 SQL: dict[str, str] = {"op6_mixing": mixing.SQL, "op10_chat": chat.SQL}
