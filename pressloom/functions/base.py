@@ -7,10 +7,6 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Literal tables are shipped with the plan, so their length is checked.
-LITERAL_ROWS_LIMIT = 10_000
-
-
 def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -40,11 +36,8 @@ def count_of(c: Column, piece: str) -> Column:
 
 
 def literal_table(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
-    """Broadcast table made of values written in the program; refuses large input."""
-    rows = list(rows)
-    if len(rows) > LITERAL_ROWS_LIMIT:
-        raise ValueError(f"{len(rows)} rows are too many for a literal table; pass a DataFrame")
-    return F.broadcast(spark.createDataFrame(rows, schema))
+    """Table of values written in the program; Spark knows its size and chooses the join by it."""
+    return spark.createDataFrame(list(rows), schema)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -42,6 +42,8 @@ def selectors(ranked: Iterable[str]) -> list[tuple]:
     for rank, group in enumerate(ranked):
         for css in (c.strip() for c in group.split(",")):
             *above, last = css.split()
+            if len(above) > 2:
+                raise ValueError(f"{css!r}: at most two outer selectors")
             tag, attr, op, val = simple_selector(last)
             outer = [ABOVE_SEPARATOR.join(x or "" for x in simple_selector(a)) for a in above]
             rows.append((rank, tag, attr, op, val, outer))

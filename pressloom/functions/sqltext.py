@@ -133,7 +133,10 @@ def literal(value: Any) -> str:
     if isinstance(value, (int, float)):
         return repr(value)
     if isinstance(value, dt.datetime):
-        return f"TIMESTAMP '{value:%Y-%m-%d %H:%M:%S}'"
+        zone = ""
+        if value.tzinfo:
+            value, zone = value.astimezone(dt.timezone.utc), "+00:00"
+        return f"TIMESTAMP '{value:%Y-%m-%d %H:%M:%S.%f}{zone}'"
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 

@@ -31,22 +31,13 @@ def accept_fallback(body: Column, published: Column, limit: int = MIN_ARTICLE_CH
     return F.when((F.length(body) >= limit) & published.isNotNull(), body)
 
 
-def spread(pages: DataFrame, key: str = "url") -> DataFrame:
-    """Give every core pages to work on when the input has fewer files than there are cores.
-
-    Larger inputs split well on their own and are left unshuffled.
-    """
-    cores = pages.sparkSession.sparkContext.defaultParallelism
-    return pages.repartition(cores, key) if len(pages.inputFiles()) < cores else pages
-
-
 def shredded(pages: DataFrame, html: str = "html") -> DataFrame:
     """Pages with their node array in place of the HTML text."""
     return pages.withColumn("nodes", shred(html)).drop(html)
 
 
 def extract_articles(
-    pages: DataFrame, rules: Iterable[SiteRule] = tuple(SITE_RULES), as_of: dt.datetime | None = None
+    pages: DataFrame, as_of: dt.datetime, rules: Iterable[SiteRule] = tuple(SITE_RULES)
 ) -> DataFrame:
     """``pages(url, html, ...)`` plus ``rule``, ``title``, ``published`` and the raw ``content``.
 
@@ -58,9 +49,8 @@ def extract_articles(
     kept = [c for c in pages.columns if c not in ("html", "last_modified")]
     rules = list(rules)
     kinds = sorted({r.kind for r in rules})
-    as_of = as_of or dt.datetime.now(dt.timezone.utc)
     nodes, rule, text = F.col("nodes"), F.col("rule"), F.col("text")
-    keyed = spread(pages).withColumns({
+    keyed = pages.withColumns({
         "domain": scrape_domain("url"), "path": url_path("url"), "had_page": F.length("html") > 0})
     step = shredded(pick_site_rule(keyed, rules)).withColumn("text", visible_text(nodes, " "))
     step = step.withColumns({
@@ -95,13 +85,15 @@ def extract_articles(
 
 
 def articles(
-    pages: DataFrame, rules: Iterable[SiteRule] = tuple(SITE_RULES), as_of: dt.datetime | None = None
+    pages: DataFrame, as_of: dt.datetime, rules: Iterable[SiteRule] = tuple(SITE_RULES)
 ) -> DataFrame:
     """The whole job: exactly one clean record per page.
 
+    A date after ``as_of`` is not believed; it is given, so that reruns agree.
+
     ``status`` is ``ok``, ``empty`` (no body found) or ``no_page`` (no HTML given).
     """
-    raw = extract_articles(pages, rules, as_of)
+    raw = extract_articles(pages, as_of, rules)
     body = F.coalesce(flatten_body(postprocess_body("content"), "title"), F.lit(""))
     clean = raw.withColumn("content", body)
     return clean.withColumn("status", F.when(

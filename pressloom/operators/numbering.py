@@ -2,31 +2,36 @@
 
 from __future__ import annotations
 
-import os
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pressloom.session import staged
+
+# monotonically_increasing_id: the task above this bit, the place within it below.
+PLACE_BITS = 33
+
 
 def number_rows(df: DataFrame, *order: str | Column, name: str = "no", start: int = 1) -> DataFrame:
-    """Number the rows of ``df`` in ``order`` from ``start``, result sorted.
+    """Number the rows of ``df`` in ``order`` from ``start``; sort by the number where order is needed.
 
-    A ranged sort spreads the rows over all tasks; the distributed index then
-    counts each sorted partition and adds its offset.  No task sees all rows.
-    ``order`` must be unique, or equal rows are numbered in no fixed order.
+    A ranged sort spreads the rows over all tasks and is written to the shared
+    folder; each task's rows are then counted and its offset added.  No task sees
+    all rows.  ``order`` must be unique, or equal rows are numbered in no fixed order.
     """
-    os.environ.setdefault("PYARROW_IGNORE_TIMEZONE", "1")
-    import pyspark.pandas as ps
-
-    with ps.option_context("compute.default_index_type", "distributed-sequence"):
-        indexed = df.orderBy(*order).pandas_api().to_spark(index_col=name)
-    return indexed.withColumn(name, F.col(name) + F.lit(start))
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = staged(ranged.withColumn("_id", F.monotonically_increasing_id()), "numbered")
+    placed = placed.withColumn("_task", F.shiftright("_id", PLACE_BITS))
+    counts = placed.groupBy("_task").agg(F.count("*").alias("_rows"))  # one row per task of the sort
+    before = counts.select("_task", (F.sum("_rows").over(Window.orderBy("_task")) - F.col("_rows")).alias("_before"))
+    number = F.col("_before") + F.col("_id").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)) + F.lit(start)
+    numbered = placed.join(before, "_task").withColumn("_number", number.cast("long"))
+    return numbered.select(F.col("_number").alias(name), *df.columns)
 
 
 def shard_rows(df: DataFrame, shards: int, *order: str | Column, name: str = "shard") -> DataFrame:
     """Contiguous, even shards of the ordered rows: shard i holds rows [N*i/c, N*(i+1)/c)."""
-    total = df.agg(F.count("*")).scalar()
     numbered = number_rows(df, *order, name="_r", start=0)
+    total = numbered.agg(F.max("_r") + 1).scalar()  # of the written rows: the input is not read again
     shard = F.floor(((F.col("_r") + 1) * F.lit(shards) - 1) / total)
     return numbered.withColumn(name, shard.cast("long")).drop("_r")
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pressloom.functions.base import col, literal_table
+from pressloom.functions.base import col
 from pressloom.functions.urls import host_suffixes
 
 # Dimension names the spec treats specially, and histogram steps.
@@ -25,8 +25,6 @@ TOPIC_DIMENSION = "TOPIC_IDS"
 QUERY_DIMENSION = "QUERY"
 INTERVALS = {"1d": "DAY", "1w": "WEEK"}
 
-# Longer value lists become a broadcast semi join instead of an IN expression.
-IN_LIST_LIMIT = 1_000
 
 
 def _instant(df: DataFrame, time_col: str, millis: int) -> Column:
@@ -45,16 +43,17 @@ def time_range(df: DataFrame, time_col: str, start_ms: int | None, end_ms: int |
     return df
 
 
-def in_filter(df: DataFrame, dimension: Column | str, values: Iterable) -> DataFrame:
-    """Keep rows whose dimension is in ``values``; an empty list keeps every row."""
+def in_filter(df: DataFrame, dimension: Column | str, values: Iterable | DataFrame) -> DataFrame:
+    """Keep rows whose dimension is in ``values``; an empty list keeps every row.
+
+    A list becomes an expression, whatever its length or type.  Values that are a
+    table already (one column) are joined; an empty table keeps no row.
+    """
+    if isinstance(values, DataFrame):
+        wanted = values.toDF("_value")
+        return df.withColumn("_dim", col(dimension)).join(wanted, F.col("_dim") == F.col("_value"), "left_semi").drop("_dim")
     values = [v for v in values if v not in (None, "")]
-    if not values:
-        return df
-    if len(values) <= IN_LIST_LIMIT:
-        return df.filter(col(dimension).isin(values))
-    kind = "string" if isinstance(values[0], str) else "long"
-    ids = literal_table(df.sparkSession, sorted({(v,) for v in values}), f"_value {kind}")
-    return df.withColumn("_dim", col(dimension)).join(ids, F.col("_dim") == F.col("_value"), "left_semi").drop("_dim")
+    return df.filter(col(dimension).isin(values)) if values else df
 
 
 def topic_filter(df: DataFrame, topic: Column | str, ids: Iterable) -> DataFrame:
@@ -157,7 +156,8 @@ def report_query(
     add_message_id: bool = False,
     page: int | None = None,
 ) -> DataFrame:
-    """Evaluate ``spec``.  All pages by default; ``page`` asks for a single one.
+    """Evaluate ``spec``, its sorts included.  All pages by default; ``page`` asks for a single one
+    of the spec's ``pageSize``.
 
     ``stream_fields`` adds one representative value per group, that of the row
     with the smallest ``first_by``.
@@ -175,7 +175,7 @@ def report_query(
     aggregates = sum_columns(spec, measures) + extra
     keyed = df.groupBy(*groups)
     out = keyed.agg(*aggregates) if aggregates else df.select(*groups).distinct()
-    if page is None:
-        return out
     ties = out.columns[: len(groups)]
+    if page is None:
+        return out.orderBy(*sort_columns(spec, out.columns, ties)) if spec.get("sorts") else out
     return page_of(out, sort_columns(spec, out.columns, ties), page, int(spec.get("pageSize", 20)))

@@ -12,6 +12,7 @@ from pressloom.functions.text import html_title, html_to_text
 from pressloom.operators import feed as fd
 from pressloom.operators.lookups import attach_translations, enrich_master, spread_left_join
 from pressloom.operators.numbering import number_rows
+from pressloom.session import staged
 
 # The sheet's columns in order, with their headings.
 SHEET = {
@@ -41,7 +42,9 @@ def page_bodies(found: DataFrame, answers: DataFrame | None = None) -> DataFrame
     both = found if answers is None else found.join(answers, "url", "left")
     has = F.col("content") != ""
     # one answer counts per page, so one column is parsed
-    both = both.withColumn("_raw", F.when(has, F.col("article_raw")).otherwise(F.col("plain_raw")))
+    both = both.select("url", "title", "content", F.when(has, F.col("article_raw")).otherwise(F.col("plain_raw")).alias("_raw"))
+    # extraction ends here: what follows is planned on plain columns and never repeats it
+    both = staged(both, "articles")
     both = body_from_labels(both, "_raw", "title", "_body").withColumn("_body", strip("_body"))
     return both.select(
         "url", has.alias("has_article"),

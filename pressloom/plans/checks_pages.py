@@ -491,7 +491,7 @@ def accept_fallback(spark, folder):
 
 @check("extract_articles", f"WITH {r.DATED_SQL}, {PARTS_SQL} SELECT page_id, rule, content FROM extracted")
 def extract_articles(spark, folder):
-    out = ar.extract_articles(r.dated_pages(spark, folder), TEST_RULES, AS_OF)
+    out = ar.extract_articles(r.dated_pages(spark, folder), AS_OF, TEST_RULES)
     return out.select("page_id", "rule", "content")
 
 
@@ -507,7 +507,7 @@ final AS (
 SELECT page_id, url, rule, title, content, CASE WHEN content <> '' THEN 'ok' ELSE 'empty' END AS status,
        CASE WHEN rule IS NOT NULL OR content <> '' THEN {r.DATE_OF_SQL} END AS published FROM final""")
 def articles(spark, folder):
-    out = ar.articles(r.dated_pages(spark, folder), TEST_RULES, AS_OF)
+    out = ar.articles(r.dated_pages(spark, folder), AS_OF, TEST_RULES)
     return out.select("page_id", "url", "rule", "title", "content", "status", stamp("published").alias("published"))
 
 

@@ -24,7 +24,7 @@ def page_bodies(spark: SparkSession, folder: str) -> DataFrame:
     For every third page with an article the answer holds no body line.
     """
     pages = r.dated_pages(spark, folder).withColumn("plain", html_to_text("html"))
-    found = articles(pages, TEST_RULES, AS_OF)
+    found = articles(pages, AS_OF, TEST_RULES)
 
     def answer(text: str, label):
         line = F.struct(F.col(text).alias("text"), label.alias("label"), F.lit(0.95).alias("confidence"),

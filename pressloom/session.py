@@ -6,10 +6,17 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-# Page rows are large: small Arrow batches keep a Python worker's memory bounded.
-PAGE_BATCH_ROWS = "200"
+# Pages and documents are large rows: small Arrow batches keep a Python worker's memory bounded.
+BATCH_ROWS = "1000"
+# What results and memory depend on; set on every session that runs a query.
+PINNED = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": BATCH_ROWS,
+}
 
 
 def build_session(app_name: str = "pressloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -23,22 +30,15 @@ def build_session(app_name: str = "pressloom", master: str | None = None, **conf
         builder = builder.master(master)
         for key, value in local.items():
             builder = builder.config(key, value)
-    settings = {
-        "spark.sql.session.timeZone": "UTC",
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.execution.arrow.maxRecordsPerBatch": PAGE_BATCH_ROWS,
-        **conf,
-    }
-    for key, value in settings.items():
+    for key, value in {**PINNED, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
 def pin_session(spark: SparkSession) -> SparkSession:
-    """Pin the two session settings results depend on: UTC clock, adaptive plans."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    """Give a session the pinned settings."""
+    for key, value in PINNED.items():
+        spark.conf.set(key, value)
     return spark
 
 
@@ -56,7 +56,12 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Give the context a checkpoint folder where the cluster named none (local runs)."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark, "checkpoints"))
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a new folder below the shared one and read back.
+
+    The rows and their order inside each file are fixed from here on, and plans
+    above start from plain columns.
+    """
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

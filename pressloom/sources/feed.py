@@ -89,6 +89,6 @@ def truncate_feed(
     return pages.join(ends, F.col(batch).eqNullSafe(F.col("_batch"))).filter(keep).select(*pages.columns)
 
 
-def part_scan(spark, path: str) -> DataFrame:
-    """Rows of every part file of a folder; damaged files are skipped."""
-    return spark.read.option("ignoreCorruptFiles", "true").option("mergeSchema", "true").parquet(path)
+def part_scan(spark, path: str, skip_damaged: bool = False) -> DataFrame:
+    """Rows of every part file of a folder.  A damaged file is an error, or skipped if asked for."""
+    return spark.read.option("ignoreCorruptFiles", str(skip_damaged).lower()).option("mergeSchema", "true").parquet(path)

@@ -16,8 +16,9 @@ from pressloom.functions.urls import is_web_url, url_host
 MASTER_URL, MASTER_OFFICIAL, MASTER_COUNTRY, MASTER_SOURCE = "URL", "オフィシャル度", "国", "資料源"
 MASTER_SCHEMA = f"`{MASTER_URL}` string, `{MASTER_OFFICIAL}` string, `{MASTER_COUNTRY}` string, `{MASTER_SOURCE}` string"
 
-# A charset is looked for in this many first bytes.
+# Where a page's own charset is looked for by default: its first bytes.
 CHARSET_SCAN_BYTES = 2048
+# Fixed values.
 UTF8_NAMES = ["utf-8", "utf8", "us-ascii", "ascii"]
 LATIN1_NAMES = ["iso-8859-1", "latin-1", "latin1", "iso8859-1", "iso_8859-1"]
 
@@ -59,9 +60,9 @@ def read_url_list(
     return out
 
 
-def page_charset(raw: Column | str, content_type: Column | str, guess: Column | None = None) -> Column:
-    """Charset of a page: the header's, else the one in its first bytes, else a guess, else UTF-8."""
-    head = F.decode(F.substring(col(raw), 1, CHARSET_SCAN_BYTES), "ISO-8859-1")
+def page_charset(raw: Column | str, content_type: Column | str, guess: Column | None = None, scan_bytes: int = CHARSET_SCAN_BYTES) -> Column:
+    """Charset of a page: the header's, else the one in its first ``scan_bytes``, else a guess, else UTF-8."""
+    head = F.decode(F.substring(col(raw), 1, scan_bytes), "ISO-8859-1")
     header = F.regexp_extract(col(content_type), r"(?i)charset\s*=\s*([A-Za-z0-9_\-]+)", 1)
     inside = F.regexp_extract(head, r"""(?i)charset=['"]?\s*([A-Za-z0-9_\-]+)""", 1)
     found = [F.nullif(header, F.lit("")), F.nullif(inside, F.lit(""))] + ([guess] if guess is not None else [])
@@ -86,13 +87,12 @@ def _decode_other(raw: pd.Series, charset: pd.Series) -> pd.Series:
 def decode_pages(pages: DataFrame, raw: str = "raw", content_type: str = "content_type") -> DataFrame:
     """Add ``charset`` and ``html``; bytes that do not decode become U+FFFD.
 
-    UTF-8 and Latin-1 stay in the JVM; only pages in other charsets reach Python.
+    One scan.  UTF-8 and Latin-1 are decoded in the JVM; of such pages Python gets no bytes.
     """
     named = pages.withColumn("charset", page_charset(raw, content_type))
     common = F.col("charset").isin(UTF8_NAMES + LATIN1_NAMES)
-    html = F.when(F.col("charset").isin(LATIN1_NAMES), F.decode(raw, "ISO-8859-1")).otherwise(
-        F.make_valid_utf8(F.col(raw).cast("string"))
+    named = named.withColumn("_other", _decode_other(F.when(~common, F.col(raw)), "charset"))
+    html = F.when(F.col("charset").isin(LATIN1_NAMES), F.decode(raw, "ISO-8859-1")).when(
+        F.col("charset").isin(UTF8_NAMES), F.make_valid_utf8(F.col(raw).cast("string"))
     )
-    jvm = named.filter(common).withColumn("html", html)
-    other = named.filter(~common).withColumn("html", _decode_other(raw, "charset"))
-    return jvm.unionByName(other)
+    return named.withColumn("html", html.otherwise(F.col("_other"))).drop("_other")
