@@ -35,7 +35,7 @@ from pressloom.llm.stages import free_name
 HELD_WINDOWS = 2_000_000
 LAST_ID = (1 << 63) - 1
 
-BLOCKS = "slot int, payload binary, doc long, same long, starts binary"
+BLOCKS = "slot int, payload binary, repeats binary"
 REPEATS = "doc long, same long, starts binary"
 
 
@@ -75,17 +75,33 @@ def unpack(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     return hashes, np.repeat(doc, count), np.repeat(same, count), place
 
 
-def by_document(doc: np.ndarray, same: np.ndarray, place: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
-    """(doc, same, packed starts) of each document among some windows."""
-    order = np.lexsort((place, same, doc))
-    doc, same, place = doc[order], same[order], place[order].astype(np.int32)
-    new = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (same[1:] != same[:-1])) if len(doc) else [])
-    for a, b in zip(new.tolist(), np.append(new[1:], len(doc)).tolist()):
-        yield int(doc[a]), int(same[a]), place[a:b].tobytes()
+def packed_repeats(doc: np.ndarray, same: np.ndarray, place: np.ndarray, slots: int) -> Iterator[tuple[int, bytes]]:
+    """Some windows, in one block for each slot that owns some of their documents."""
+    slot = ((doc ^ same) % slots).astype(np.int32)
+    order = np.lexsort((place, same, doc, slot))
+    doc, same, place, slot = doc[order], same[order], place[order], slot[order]
+    edges = np.searchsorted(slot, np.arange(slots + 1)).tolist()
+    for s, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
+        if a < b:
+            new = np.flatnonzero(np.append(True, (doc[a + 1 : b] != doc[a : b - 1]) | (same[a + 1 : b] != same[a : b - 1])))
+            count = np.diff(np.append(new, b - a)).astype(np.int32)
+            parts_of = (np.array([len(new)], np.int64), doc[a:b][new], same[a:b][new], count, place[a:b].astype(np.int32))
+            yield s, zlib.compress(b"".join(x.tobytes() for x in parts_of), 1)
+
+
+def unpacked_repeats(block: bytes) -> Iterator[tuple[int, int, bytes]]:
+    """(doc, same, packed starts) of the documents of a block."""
+    data = zlib.decompress(block)
+    n = int(np.frombuffer(data, np.int64, 1)[0])
+    doc, same = np.frombuffer(data, np.int64, n, 8).tolist(), np.frombuffer(data, np.int64, n, 8 + 8 * n).tolist()
+    first = 8 + 20 * n
+    stops = (first + 4 * offsets(np.frombuffer(data, np.int32, n, 8 + 16 * n))).tolist()
+    for d, s, a, b in zip(doc, same, stops[:-1], stops[1:]):
+        yield d, s, data[a:b]
 
 
 def repeated_windows(docs: DataFrame, window: int = 20, partitions: int | None = None) -> DataFrame:
-    """``doc long, same long, starts binary`` (int32 places): windows that start earlier elsewhere.
+    """``doc, same, starts`` (packed int32 places), a row per document with windows that start earlier elsewhere.
 
     ``docs`` has the columns doc, text and same (hash of the text).  A document may
     have several rows.  Give ``partitions`` so that about 20 million windows fall to each.
@@ -96,9 +112,9 @@ def repeated_windows(docs: DataFrame, window: int = 20, partitions: int | None =
         held: list[tuple] = []
 
         def rows(values: list[tuple]) -> pa.RecordBatch:
-            kinds = [pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.binary()]
+            kinds = [pa.int32(), pa.binary(), pa.binary()]
             columns = [pa.array(list(c), k) for c, k in zip(zip(*values), kinds)]
-            return pa.RecordBatch.from_arrays(columns, names=["slot", "payload", "doc", "same", "starts"])
+            return pa.RecordBatch.from_arrays(columns, names=["slot", "payload", "repeats"])
 
         def flush() -> Iterator[pa.RecordBatch]:
             doc, same = (np.concatenate([x[i] for x in held]) for i in (0, 1))
@@ -122,9 +138,8 @@ def repeated_windows(docs: DataFrame, window: int = 20, partitions: int | None =
             ranked = hashes[order]
             late = np.zeros(len(hashes), np.bool_)
             late[order[1:][ranked[1:] == ranked[:-1]]] = True
-            out = [(int(d ^ s) % slots, None, d, s, starts) for d, s, starts in by_document(doc[row[late]], same[row[late]], place[late])]
-            if out:
-                yield rows(out)
+            for s, block in packed_repeats(doc[row[late]], same[row[late]], place[late], slots):
+                yield rows([(s, None, block)])
             hashes, row, place = hashes[~late], row[~late], place[~late]
             slot = ((hashes >> np.uint64(32)) * np.uint64(slots) >> np.uint64(32)).astype(np.int32)
             order = np.argsort(slot, kind="stable")
@@ -132,7 +147,7 @@ def repeated_windows(docs: DataFrame, window: int = 20, partitions: int | None =
             for s in range(slots):
                 own = order[edges[s] : edges[s + 1]]
                 if len(own):
-                    yield rows([(s, pack(hashes[own], row[own], place[own], doc, same), None, None, None)])
+                    yield rows([(s, pack(hashes[own], row[own], place[own], doc, same), None)])
 
         many = 0
         for part in (p for batch in batches for p in parts(batch, "text")):
@@ -148,9 +163,9 @@ def repeated_windows(docs: DataFrame, window: int = 20, partitions: int | None =
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = []
         for batch in batches:
-            known = batch.filter(pc.is_valid(batch.column("starts")))
+            known = batch.filter(pc.is_valid(batch.column("repeats")))
             if known.num_rows:
-                yield known.select(["doc", "same", "starts"])
+                yield known.select(["slot", "repeats"])
             blocks += [unpack(x) for x in batch.column("payload").drop_null().to_pylist()]
         if not blocks:
             return
@@ -169,20 +184,30 @@ def repeated_windows(docs: DataFrame, window: int = 20, partitions: int | None =
         head = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
         head = np.repeat(head, np.diff(np.append(head, len(hashes))))
         late = (doc != doc[head]) | (same != same[head]) | (place != place[head])
-        found = list(by_document(doc[late], same[late], place[late]))
-        for a in range(0, len(found), 10_000):
-            columns = list(zip(*found[a : a + 10_000]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.binary())], names=["doc", "same", "starts"]
-            )
+        for slot, block in packed_repeats(doc[late], same[late], place[late], slots):
+            yield pa.RecordBatch.from_arrays([pa.array([slot], pa.int32()), pa.array([block], pa.binary())], names=["slot", "repeats"])
+
+    def deliver(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        starts: dict[tuple[int, int], list[bytes]] = {}
+        for batch in batches:
+            for block in batch.column("repeats").to_pylist():
+                for doc, same, places in unpacked_repeats(block):
+                    starts.setdefault((doc, same), []).append(places)
+        found = list(starts.items())
+        for a in range(0, len(found), 2000):
+            keys, values = zip(*found[a : a + 2000])
+            doc, same = zip(*keys)
+            columns = [pa.array(doc, pa.int64()), pa.array(same, pa.int64()), pa.array([b"".join(v) for v in values], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc", "same", "starts"])
 
     sent = docs.select("doc", "same", "text").mapInArrow(send, BLOCKS)
-    return sent.repartitionById(slots, "slot").mapInArrow(count, REPEATS)
+    counted = sent.repartitionById(slots, "slot").mapInArrow(count, "slot int, repeats binary")
+    return counted.repartitionById(slots, "slot").mapInArrow(deliver, REPEATS)
 
 
-def merged(starts: list[np.ndarray], window: int) -> tuple[np.ndarray, np.ndarray]:
+def merged(starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     """Maximal intervals of words, starts and ends, that the windows at ``starts`` cover."""
-    place = np.unique(np.concatenate(starts)) if starts else np.zeros(0, np.int32)
+    place = np.unique(starts)
     if not len(place):
         return place, place
     new = np.append(True, place[1:] > place[:-1] + window)
@@ -201,8 +226,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, partitions: int | None = N
     keyed = docs.select(*[docs[f.name] for f in keep]).withColumn(doc, F.coalesce(F.col("doc_id"), F.lit(LAST_ID)).cast("long")).withColumn(same, F.xxhash64(F.coalesce("text", F.lit(""))))
     found = repeated_windows(keyed.select(F.col(doc).alias("doc"), F.col(same).alias("same"), "text"), window, partitions)
     starts = free_name(docs, "_starts")
-    found = found.groupBy(F.col("doc").alias(doc), F.col("same").alias(same)).agg(F.collect_list("starts").alias(starts))
-    joined = keyed.join(found, [doc, same], "left")
+    joined = keyed.join(found.toDF(doc, same, starts), [doc, same], "left")
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
     schema = T.StructType(
         [*keep, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("removed", T.ArrayType(span))]
@@ -215,8 +239,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, partitions: int | None = N
             for i in range(batch.num_rows):
                 data, rows = text_bytes(texts.slice(i, 1))
                 at, _, words = word_spans(data, rows)
-                own = [np.frombuffer(x, np.int32) for x in all_starts[i].as_py() or ()]
-                low, high = merged(own, window)
+                low, high = merged(np.frombuffer(all_starts[i].as_py() or b"", np.int32), window)
                 whole, pieces, done = data.tobytes(), [], 0
                 edge = np.append(at, len(whole))
                 for a, b in zip(low.tolist(), high.tolist()):
