@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 # The bound of the trusted sample: so many ids at most are broadcast.
 TRUSTED_DOCS = 20_000
 BUCKETS = 10_000
-THRESHOLD = -0.12
+THRESHOLD = -0.025
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept")
