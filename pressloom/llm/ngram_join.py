@@ -2,9 +2,9 @@
 
 Tokens (hashed n-grams) stand in one order, rare ones first.  Two sets with a Jaccard
 similarity of at least t share two tokens among the first ``n - ceil(t n) + 2`` of
-each.  If one of these is rare, the sets meet under that single token; if all are
-frequent, they meet under a pair of them, which far fewer sets hold than any one
-frequent token.  Large sets have too many pairs: from ``pair_sets`` tokens on, frequent
+each.  If the first they share is rare, the sets meet under that single token; if not, the
+first two are both frequent and the sets meet under that pair, which far fewer sets hold
+than any one frequent token.  Large sets have too many pairs: from ``pair_sets`` tokens on, frequent
 tokens are indexed singly, and around that size a set is indexed both ways, so every
 pair of linkable sizes has a way in common.
 
@@ -136,13 +136,14 @@ def signatures(docs: DataFrame, size: int, num: int, den: int, counts: np.ndarra
                 place = np.arange(len(row)) - edges[row]
                 prefix = (n - (num * n + den - 1) // den + 2)[row]
                 first = np.flatnonzero(place < prefix)
-                order, row, place = order[first], row[first], place[first]
+                order, row, place, prefix = order[first], row[first], place[first], prefix[first]
                 grams, frequent = grams[order], seen[order] >= frequent_from
-                single = ~frequent | (n[row] >= pair_sets)
+                leads = place < prefix - 1  # may be the first token that two sets share
+                single = leads & (~frequent | (n[row] >= pair_sets))
                 keys, rows, places = [grams[single]], [row[single]], [place[single]]
                 paired = np.flatnonzero(frequent & (n[row] <= pairs_upto))
                 # frequent tokens close a prefix, so those of a set lie side by side
-                left = np.searchsorted(row[paired], row[paired], side="right") - np.arange(len(paired)) - 1
+                left = (np.searchsorted(row[paired], row[paired], side="right") - np.arange(len(paired)) - 1) * leads[paired]
                 a = np.repeat(np.arange(len(paired)), left)
                 b = a + 1 + np.arange(len(a)) - np.repeat(offsets(left)[:-1], left)
                 a, b = paired[a], paired[b]
@@ -159,8 +160,13 @@ def signatures(docs: DataFrame, size: int, num: int, den: int, counts: np.ndarra
 
 
 def may_link(num: int, den: int) -> Column:
-    """Size filter and position filter of the pair (n, place) and (m, at)."""
-    most = F.least("place", "at") + 1 + F.least(F.col("n") - F.col("place"), F.col("m") - F.col("at")) - 1
+    """Size filter and position filter of the pair (n, place) and (m, at).
+
+    Every pair of linked sets also meets under its first shared token (or under the
+    pair of its first two), so a meeting counts as if it were that one: what stands
+    before the place in either set is not shared.
+    """
+    most = F.least(F.col("n") - F.col("place"), F.col("m") - F.col("at"))
     return (den * F.least("n", "m") >= num * F.greatest("n", "m")) & ((num + den) * most >= num * (F.col("n") + F.col("m")))
 
 
