@@ -51,11 +51,12 @@ LEET = {
 }
 SEPARATORS = ".-_*'~/ "
 # Log probabilities of the channel.
-STANDS_FOR, AS_IT_IS, DROPPED_SEPARATOR, DROPPED_REPEAT = -1.0, -0.4, -1.5, -0.7
+STANDS_FOR, AS_IT_IS, DROPPED_SEPARATOR, DROPPED_REPEAT = -1.0, -2.0, -1.5, -0.7
 
 SPACED = re.compile(r"(?<!\S)(?:[^\W_] ){2,}[^\W_](?!\S)")
 PULLED = re.compile(r"([^\W\d_])\1\1")
 SPELLED = re.compile(r"(?:[^\W_]|[@$!|+€(])(?:[.\-_*'~/]+(?:[^\W_]|[@$!|+€(]))+")
+LAST_SIGNS = re.compile(r"[$@]{1,2}(?![$@])")  # may be letters; a longer row of them is decoration
 RIGHT_EDGE = "!?.,;:)]}\"'*%&#~|+<>=/-_$@€("
 LEFT_EDGE = "([{\"'*%&#~<>=/-_.,;:?"
 
@@ -165,7 +166,7 @@ class Decoder:
             edges += [(c, STANDS_FOR) for c in LEET.get(seen, "")]
             if seen in SEPARATORS:
                 edges.append(("", DROPPED_SEPARATOR))
-            elif i and seen == stretch[i - 1]:
+            elif i and seen == stretch[i - 1] and seen.isalpha():
                 edges.append(("", DROPPED_REPEAT))
             after: dict[str, tuple[float, tuple]] = {}
             for context, (score, path) in states.items():
@@ -187,15 +188,16 @@ class Decoder:
         while path:
             path, c = path
             out.append(c)
-        return "".join(reversed(out))
+        return "".join(reversed(out)).rstrip(RIGHT_EDGE)
 
     def word(self, word: str) -> str:
         """The word, without marks at its edges, restored if it looks hidden."""
-        plain = word.strip(LEFT_EDGE).rstrip(RIGHT_EDGE)
-        if plain.isalpha():
-            return self.decode(plain) if PULLED.search(plain) else plain
         held = word.lstrip(LEFT_EDGE)
-        held = held[: len(held.rstrip(RIGHT_EDGE))]
+        plain = held.rstrip(RIGHT_EDGE)
+        last = LAST_SIGNS.match(held, len(plain))
+        if plain.isalpha() and not last:
+            return self.decode(plain) if PULLED.search(plain) else plain
+        held = plain + (last[0] if last else "")
         if any(c.isalpha() for c in held) and (any(c in LEET for c in held) or PULLED.search(held) or SPELLED.fullmatch(held)):
             return self.decode(held)
         return plain
