@@ -54,7 +54,7 @@ SEPARATORS = ".-_*'~/ "
 STANDS_FOR, AS_IT_IS, DROPPED_SEPARATOR, DROPPED_REPEAT = -1.0, -2.0, -1.5, -0.7
 
 SPACED = re.compile(r"(?<!\S)(?:[^\W_] ){2,}[^\W_](?!\S)")
-PULLED = re.compile(r"([^\W\d_])\1\1")
+PULLED = re.compile(r"([^\W\d_])\1\1+")
 SPELLED = re.compile(r"(?:[^\W_]|[@$!|+€(])(?:[.\-_*'~/]+(?:[^\W_]|[@$!|+€(]))+")
 LAST_SIGNS = re.compile(r"[$@]{1,2}(?![$@])")  # may be letters; a longer row of them is decoration
 RIGHT_EDGE = "!?.,;:)]}\"'*%&#~|+<>=/-_$@€("
@@ -159,6 +159,8 @@ class Decoder:
 
     def decode(self, stretch: str) -> str:
         """The likeliest letters behind a lower-case stretch; what is no letter stays only as itself."""
+        # double letters are common; three and more may be one or two
+        again = {i for m in PULLED.finditer(stretch) for i in range(m.start() + 1, m.end())}
         # a state is the last characters of the path; a node keeps each state's best path
         states: dict[str, tuple[float, tuple]] = {" ": (0.0, ())}
         for i, seen in enumerate(stretch):
@@ -166,7 +168,7 @@ class Decoder:
             edges += [(c, STANDS_FOR) for c in LEET.get(seen, "")]
             if seen in SEPARATORS:
                 edges.append(("", DROPPED_SEPARATOR))
-            elif i and seen == stretch[i - 1] and seen.isalpha():
+            elif i in again:
                 edges.append(("", DROPPED_REPEAT))
             after: dict[str, tuple[float, tuple]] = {}
             for context, (score, path) in states.items():
@@ -305,16 +307,20 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS)
             np.add.at(counts[kind], np.array(found[kind], np.int64), 1)
         yield table_slices(counts)
 
-    counts = summed_tables(taught.mapInArrow(count, SLICES), 2, size).astype(np.float64)
+    counts = summed_tables(taught.mapInArrow(count, SLICES), 2, size)
     kinds = {r["toxic"] > 0: r["n"] for r in taught.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_clean, n_toxic = float(kinds.get(False, 0)), float(kinds.get(True, 0))
-    clean, toxic = counts
+    best = np.flatnonzero(counts[1] >= 2)
+    clean, toxic = counts[:, best].astype(np.float64)
+    del counts
+    leans = toxic * n_clean > clean * n_toxic
+    best, clean, toxic = best[leans], clean[leans], toxic[leans]
     rate = (clean + toxic) / max(1.0, n_clean + n_toxic)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        surprise = 2 * (np.where(toxic > 0, toxic * np.log(toxic / (rate * n_toxic)), 0) + np.where(clean > 0, clean * np.log(clean / (rate * n_clean)), 0))
-    surprise[(toxic < 2) | (toxic * n_clean <= clean * n_toxic)] = 0
-    best = np.argsort(-surprise, kind="stable")[:SELECTED_FEATURES]
-    best = best[surprise[best] >= 8]
+    surprise = 2 * toxic * np.log(toxic / (rate * n_toxic))
+    some = clean > 0
+    surprise[some] += 2 * clean[some] * np.log(clean[some] / (rate[some] * n_clean))
+    order = np.argsort(-surprise, kind="stable")[:SELECTED_FEATURES]
+    best = best[order[surprise[order] >= 8]]
     wanted = {int(x): i for i, x in enumerate(best)}
     sent = context.broadcast(wanted)
 
