@@ -9,8 +9,8 @@ all vectors.  Cosines are computed in double precision, so no pair below the thr
 links; what the search may miss is bounded by the audit.  Linked vectors are united.
 
 Equal vectors of a label are one point of the graph, with a count.  A task holds two
-shards, whatever the label's size; of the links it reports a count per vector and a
-spanning forest, not all pairs.
+shards, whatever the label's size; of the links it reports a count and one tie per
+vector, not all pairs.
 
 Rows: vectors that are null, empty, zero or hold null or non-finite components, and those
 without a label, link with nothing.  A null vec_id counts as 2**63-1.  Repeated rows are
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import io
 from collections.abc import Iterator
+from functools import cached_property
 from heapq import heappop, heappush, heapreplace
 
 import numpy as np
@@ -134,24 +135,34 @@ class Graph:
                 heappush(todo, (-s, k))
         return sorted(found, reverse=True)
 
-    def within(self, q: np.ndarray, least: float, width: int) -> list[int]:
+    @cached_property
+    def table(self) -> np.ndarray:
+        """Neighbours on level 0, a row per point; free places hold one past the last point."""
+        size = np.array([len(self.links[0][i]) for i in range(len(self.points))])
+        out = np.full((len(self.points), max(1, size.max())), len(self.points))
+        out[np.arange(out.shape[1]) < size[:, None]] = [k for i in range(len(self.points)) for k in self.links[0][i]]
+        return out
+
+    def within(self, q: np.ndarray, least: float, width: int) -> np.ndarray:
         """Points whose cosine with ``q`` reaches ``least``, as far as a beam of ``width`` leads to them."""
         if width >= len(self.points):
-            return np.flatnonzero(self.points @ q >= least).tolist()
+            return np.flatnonzero(self.points @ q >= least)
         at = self.entry
         for level in range(len(self.links) - 1, 0, -1):
             at = self._walk(q, at, level)
         seen: set[int] = set()
-        out = [j for s, j in self._beam(q, [at], width, 0, seen) if s >= least]
-        todo, links = list(out), self.links[0]
-        while todo:
-            new = [k for k in links[todo.pop()] if k not in seen]
-            if new:
-                seen.update(new)
-                reach = [k for s, k in zip((self.points[new] @ q).tolist(), new) if s >= least]
-                out += reach
-                todo += reach
-        return out
+        found = [j for s, j in self._beam(q, [at], width, 0, seen) if s >= least]
+        visited = np.zeros(len(self.points), np.bool_)
+        visited[list(seen)] = True
+        front, out = np.array(found, np.int64), [np.array(found, np.int64)]
+        while len(front):  # all neighbours of a whole front at once
+            reached = np.zeros(len(self.points) + 1, np.bool_)
+            reached[self.table[front]] = True
+            new = np.flatnonzero(reached[:-1] & ~visited)
+            visited[new] = True
+            front = new[self.points[new] @ q >= least]
+            out.append(front)
+        return np.concatenate(out)
 
     def to_bytes(self, **more: np.ndarray) -> bytes:
         held = {"points": self.points, "entry": np.array([self.entry]), "levels": np.array([len(self.links)])} | more
@@ -174,8 +185,11 @@ class Graph:
         return out, held
 
 
-def linked(graph: Graph, queries: np.ndarray, least: float, same: bool) -> list[list[int]]:
-    """For each query, the graph's points that reach ``least``; ``same``: the queries are the points themselves."""
+def linked(graph: Graph, queries: np.ndarray, least: float, same: bool) -> np.ndarray:
+    """Which of the graph's points reach ``least``, a row per query; ``same``: the queries are the points themselves.
+
+    A byte per pair of a shard's points bounds the memory, however many links there are.
+    """
     n = len(queries)
     audit = np.unique(np.linspace(0, n - 1, min(n, AUDITED)).astype(int))
     # vectors that have links at all tell more than those that have none
@@ -183,29 +197,39 @@ def linked(graph: Graph, queries: np.ndarray, least: float, same: bool) -> list[
     wanted = sum(len(x) for x in truth.values()) - same * len(truth)
     width = FIRST_BEAM
     while width < len(graph.points):
-        found = sum(len(x & set(graph.within(queries[i], least, width))) for i, x in truth.items()) - same * len(truth)
+        found = sum(len(x.intersection(graph.within(queries[i], least, width).tolist())) for i, x in truth.items()) - same * len(truth)
         if found >= WANTED_RECALL * wanted:
             break
         width *= 2
-    return [graph.within(q, least, width) for q in queries]
+    out = np.zeros((n, len(graph.points)), np.bool_)
+    for i, q in enumerate(queries):
+        out[i, graph.within(q, least, width)] = True
+    if same:  # a pair counts for both, whichever of the two has found it
+        out |= out.T
+        np.fill_diagonal(out, False)
+    return out
 
 
-def forest(pairs: Iterator[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Of the pairs, those that join what the ones before had left apart."""
-    root: dict[int, int] = {}
+def weighed(links: np.ndarray, copies: np.ndarray) -> np.ndarray:
+    """Copies of the points that each row of ``links`` names."""
+    blocks = [links[i : i + 512].astype(np.float64) @ copies for i in range(0, len(links), 512)]
+    return np.concatenate(blocks).astype(np.int64)
 
-    def find(x: int) -> int:
-        while (up := root.setdefault(x, x)) != x:
-            root[x] = x = root[up] if up in root else up
-        return x
 
-    out = []
-    for a, b in pairs:
-        x, y = find(a), find(b)
-        if x != y:
-            root[max(x, y)] = min(x, y)
-            out.append((a, b))
-    return out
+def first_of_group(links: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """For each row and each column, the first row that links lead to (itself, -1 for a column without any)."""
+    rows, columns = np.arange(len(links)), np.full(links.shape[1], -1)
+    seen, met = np.zeros(len(links), np.bool_), np.zeros(links.shape[1], np.bool_)
+    for i in range(len(links)):
+        front = np.array([i])
+        while len(front) and not seen[front[0]]:
+            seen[front] = True
+            rows[front] = i
+            reached = np.flatnonzero(links[front].any(0) & ~met)
+            met[reached] = True
+            columns[reached] = i
+            front = reached[~seen[reached]] if same else np.flatnonzero(links[:, reached].any(1) & ~seen)
+    return rows, columns
 
 
 def embedding_components(vectors: DataFrame, least: float = 0.93, shard_rows: int = SHARD_ROWS) -> DataFrame:
@@ -243,22 +267,18 @@ def embedding_components(vectors: DataFrame, least: float = 0.93, shard_rows: in
                 same = batch.column("shard")[row] == batch.column("its")[row]
                 asking = of if same else Graph.from_bytes(batch.column("queries")[row].as_py())[1]
                 found = linked(graph, asking["points"], least, same)
-                a = np.repeat(np.arange(len(found)), [len(f) for f in found])
-                b = np.array([j for f in found for j in f], np.int64)
-                if same:  # a pair counts for both, whichever of the two has found it
-                    a, b = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b))), axis=1)
-                    a, b = a[a != b], b[a != b]
-                ids, counts = [], []
-                for own, mine, theirs, others in ((asking, a, b, of), (of, b, a, asking)):
-                    ids.append(own["ids"])
-                    counts.append(np.bincount(mine, others["copies"][theirs], len(own["ids"])).astype(np.int64))
-                ids, counts = np.concatenate(ids), np.concatenate(counts)
-                some = counts > 0
-                yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.nulls(int(some.sum()), pa.int64()), pa.array(counts[some])], names=["a", "b", "n"])
-                ties = forest(zip(asking["ids"][a].tolist(), of["ids"][b].tolist()))
-                if ties:
-                    left, right = zip(*ties)
-                    yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64()), pa.nulls(len(ties), pa.int64())], names=["a", "b", "n"])
+                counts = [(asking["ids"], weighed(found, of["copies"]))]
+                if not same:
+                    counts.append((of["ids"], weighed(found.T, asking["copies"])))
+                rows, columns = first_of_group(found, same)
+                ties = [(asking["ids"], rows)] + [(of["ids"], columns)] * (not same)
+                for ids, n in counts:
+                    some = n > 0
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.nulls(int(some.sum()), pa.int64()), pa.array(n[some])], names=["a", "b", "n"])
+                for ids, first in ties:  # one tie per point
+                    some = first >= 0
+                    left, right = ids[some], asking["ids"][first[some]]
+                    yield pa.RecordBatch.from_arrays([pa.array(left), pa.array(right), pa.nulls(len(left), pa.int64())], names=["a", "b", "n"])
 
     found = staged(pairs.select("shard", "its", "graph", "queries").mapInArrow(search, "a long, b long, n long"), "vector-links")
     counts = found.filter("n IS NOT NULL").groupBy(F.col("a").alias("point")).agg(F.sum("n").alias("n"))
