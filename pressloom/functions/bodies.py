@@ -31,6 +31,7 @@ def rule_literal(rule: SiteRule) -> Sql:
         prune_struct(rule.prune).alias("prune"), selector_array(rule.bodies).alias("bodies"),
         strings(rule.tags).alias("tags"), strings(rule.wrappers).alias("wrappers"),
         F.lit(rule.min_chars).alias("min_chars"), F.lit(rule.min_total).alias("min_total"),
+        strings(rule.skip_like).alias("skip_like"),
     )
 
 
@@ -53,7 +54,8 @@ def _body_box(clean: Sql, box: Sql, rule: Sql) -> Sql:
 
 def _joined(clean: Sql, box: Sql, rule: Sql) -> Sql:
     return F.array_join(paragraphs(
-        clean, box, rule.getField("tags"), rule.getField("min_chars"), rule.getField("wrappers")), "\n")
+        clean, box, rule.getField("tags"), rule.getField("min_chars"), rule.getField("wrappers"),
+        skip_like=rule.getField("skip_like")), "\n")
 
 
 @column_function

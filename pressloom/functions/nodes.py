@@ -237,16 +237,29 @@ def prune(nodes: Sql, p: Sql) -> Sql:
 
 # ---- blocks ------------------------------------------------------------------------------
 
+# In a class or id these mark an interface element.
+UI_TOKENS = (
+    "share", "tag", "breadcrumb", "nav", "comment", "meta", "byline", "author", "toolbar", "footer", "banner",
+)
+
+
+def _class_and_id(n: Sql) -> Sql:
+    return F.lower(F.concat_ws(" ", attr(n, "class"), attr(n, "id")))
+
+
 @column_function
 def paragraphs(
-    nodes: Sql, box: Sql, tags: Sql, min_chars: Sql, wrappers: Sql, min_heading: int = 60
+    nodes: Sql, box: Sql, tags: Sql, min_chars: Sql, wrappers: Sql, min_heading: int = 60, skip_like: Sql | None = None
 ) -> Sql:
     """Texts of the given tags inside ``box``.
 
     Texts under ``min_chars`` are dropped.  ``div`` and ``span`` count only if they
     hold none of the ``wrappers``; ``h2`` and ``h3`` only if longer than ``min_heading``.
+    Elements whose class or id contains one of ``skip_like`` are left out.
     """
     found = F.filter(inside(nodes, box), lambda n: F.coalesce(F.array_contains(tags, n.getField("tag")), F.lit(False)))
+    if skip_like is not None:
+        found = F.filter(found, lambda n: ~F.exists(skip_like, lambda t: F.contains(_class_and_id(n), t)))
 
     def is_wrapper(n: Sql) -> Sql:
         nested = F.exists(inside(nodes, n), lambda m: F.array_contains(wrappers, m.getField("tag")))
@@ -265,9 +278,9 @@ def largest_block(nodes: Sql, min_block: int = 120, min_part: int = 25) -> Sql:
 
     Blocks that look like interface elements by class or id are left out.
     """
-    ui = "share|tag|breadcrumb|nav|comment|meta|byline|author|toolbar|footer|banner"
-    blocks = F.filter(nodes, lambda n: n.getField("tag").isin("div", "section", "article", "main") & ~F.lower(
-        F.concat_ws(" ", attr(n, "class"), attr(n, "id"))).rlike(ui))
+    ui = "|".join(UI_TOKENS)
+    blocks = F.filter(nodes, lambda n: n.getField("tag").isin("div", "section", "article", "main")
+                      & ~_class_and_id(n).rlike(ui))
     sized = F.transform(blocks, lambda n: node_text(nodes, n))
     best = F.array_max(F.transform(
         F.filter(sized, lambda t: F.length(t) > min_block), lambda t: F.struct(F.length(t).alias("n"), t.alias("t"))))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pressloom.functions.nodes import PRUNE, SELECTOR, prune_sets, selectors
+from pressloom.functions.nodes import PRUNE, SELECTOR, UI_TOKENS, prune_sets, selectors
 
 
 @dataclass(frozen=True)
@@ -29,6 +29,7 @@ class SiteRule:
     wrappers: tuple[str, ...] = ()             # div/span holding one of these is no paragraph
     min_chars: int = 1
     min_total: int = 1
+    skip_like: tuple[str, ...] = ()            # elements with one of these in class or id are no paragraphs
 
 
 # ---- fixed values: selector lists and rules of the known sites ------------------------------
@@ -130,7 +131,7 @@ SITE_RULES = [
                 "[class*='article-content'], [class*='article__content'], [class*='content__article']",
                 "[class*='rich'], [class*='text'], [class*='txt'], [class*='content']"),
         tags=("p", "li", "div", "span"), wrappers=("section", "article", "figure", "ul", "ol"), min_chars=25,
-        min_total=160),
+        min_total=160, skip_like=UI_TOKENS),
     SiteRule(
         "shobserver:detail", "shobserver.com", path_prefix="/staticsg/res/html/web/newsDetail.html", priority=80,
         containers=("#newsDetail", "article", "main article", "[role='main'] article", "main"), prune=_TEMPLATE,
@@ -152,7 +153,7 @@ GENERIC = SiteRule(
 RULE = (
     "struct<name:string,kind:string,path_prefix:string,path_regex:string,no_fallback:boolean,"
     f"page_prune:{PRUNE},containers:array<{SELECTOR}>,prune:{PRUNE},bodies:array<{SELECTOR}>,"
-    "tags:array<string>,wrappers:array<string>,min_chars:int,min_total:int>"
+    "tags:array<string>,wrappers:array<string>,min_chars:int,min_total:int,skip_like:array<string>>"
 )
 
 
@@ -164,5 +165,5 @@ def _prune_row(css: Iterable[str]) -> tuple:
 def rule_row(r: SiteRule) -> tuple:
     return (
         r.name, r.kind, r.path_prefix, r.path_regex, r.no_fallback, _prune_row(r.page_prune), selectors(r.containers),
-        _prune_row(r.prune), selectors(r.bodies), list(r.tags), list(r.wrappers), r.min_chars, r.min_total,
+        _prune_row(r.prune), selectors(r.bodies), list(r.tags), list(r.wrappers), r.min_chars, r.min_total, list(r.skip_like),
     )

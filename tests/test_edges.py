@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from pressloom.functions import lines, nodes, sqltext, text
-from pressloom.functions.rules import SITE_RULES
-from pressloom.operators import feed, numbering, report
+from pressloom.functions.rules import SITE_RULES, SiteRule
+from pressloom.operators import articles, feed, numbering, report
 from pressloom.sources import files
 
 
@@ -83,3 +83,14 @@ def test_deep_selectors_are_refused():
     with pytest.raises(ValueError, match="at most two"):
         nodes.selectors(["a b c d"])
     assert SITE_RULES
+
+
+def test_interface_elements_are_no_paragraphs(spark):
+    html = "<html><body><article><p class='Byline'>By somebody of the paper, today</p><p>The first real paragraph of the text.</p><div id='toolbar-1'>Print this page or send it on</div></article></body></html>"
+    rules = [
+        SiteRule("all", "a.com", "blocks", containers=("article",), tags=("p", "div"), min_chars=5),
+        SiteRule("some", "b.com", "blocks", containers=("article",), tags=("p", "div"), min_chars=5, skip_like=("byline", "toolbar")),
+    ]
+    pages = spark.createDataFrame([("http://a.com/x", html), ("http://b.com/x", html)], "url string, html string")
+    out = {r["rule"]: r["content"] for r in articles.extract_articles(pages, dt.datetime(2025, 1, 1), rules).collect()}
+    assert out["some"] == "The first real paragraph of the text." and out["all"].count("\n") == 2
