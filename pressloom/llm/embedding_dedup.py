@@ -2,7 +2,8 @@
 
 Vectors of one label (and dimension) are dealt into shards by a hash of their id; each
 shard is one graph.  Every vector queries every shard of its label: a beam search finds
-the way in, then the search goes on along all neighbours that reach the threshold.  Per
+the way in, then the search goes on from every point it has met that reaches the
+threshold, along all neighbours that do.  Per
 pair of shards, some vectors' links are also found by comparing with all; while the beam
 has missed too many of them it is doubled, and a beam as wide as the shard compares with
 all vectors.  Cosines are computed in double precision, so no pair below the threshold
@@ -151,10 +152,13 @@ class Graph:
         for level in range(len(self.links) - 1, 0, -1):
             at = self._walk(q, at, level)
         seen: set[int] = set()
-        found = [j for s, j in self._beam(q, [at], width, 0, seen) if s >= least]
+        self._beam(q, [at], width, 0, seen)
+        met = np.array(sorted(seen), np.int64)
         visited = np.zeros(len(self.points), np.bool_)
-        visited[list(seen)] = True
-        front, out = np.array(found, np.int64), [np.array(found, np.int64)]
+        visited[met] = True
+        # all that the beam has met, not only the nearest that it keeps
+        front = met[self.points[met] @ q >= least]
+        out = [front]
         while len(front):  # all neighbours of a whole front at once
             reached = np.zeros(len(self.points) + 1, np.bool_)
             reached[self.table[front]] = True

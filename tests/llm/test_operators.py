@@ -346,6 +346,21 @@ def test_embedding_links(spark):
     assert embedding_dedup.embedding_components(frame_of.limit(0)).count() == 0
 
 
+def unit(x):
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def test_a_group_wider_than_the_beam_is_found_across_shards():
+    rng = np.random.default_rng(0)
+    x = unit(np.concatenate([rng.normal(size=16) + rng.normal(size=(400, 16)) * 0.22, rng.normal(size=(600, 16))]))[rng.permutation(1000)]
+    one, other = x[:500], x[500:]
+    graph, truth = embedding_dedup.Graph.build(one, 0), other @ one.T >= 0.93
+    assert truth.sum(1).max() > 5 * embedding_dedup.FIRST_BEAM
+    found = [graph.within(q, 0.93, embedding_dedup.FIRST_BEAM) for q in other]
+    assert all(truth[i, f].all() and len(set(f.tolist())) == len(f) for i, f in enumerate(found))
+    assert sum(map(len, found)) >= 0.98 * truth.sum()
+
+
 def test_components_of_a_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(100, 160)] + [(500, 500 + i) for i in range(1, 50)] + [(7, 7)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
