@@ -3,10 +3,11 @@
 Vectors of one label (and dimension) are dealt into shards by a hash of their id; each
 shard is one graph.  Every vector queries every shard of its label: a beam search finds
 the way in, then the search goes on from every point it has met that reaches the
-threshold, along all neighbours that do.  Per
-pair of shards, some vectors' links are also found by comparing with all; while the beam
-has missed too many of them it is doubled, and a beam as wide as the shard compares with
-all vectors.  Cosines are computed in double precision, so no pair below the threshold
+threshold, along all neighbours that do.  Per pair of shards, vectors in random order
+are first compared with all points, until enough with links and enough groups of them
+are known; while the beam misses too many of theirs it is doubled, and a beam as wide as
+the shard compares with all.  Where links are too sparse for an audit, all vectors are
+compared.  Cosines are computed in double precision, so no pair below the threshold
 links; what the search may miss is bounded by the audit.  Linked vectors are united.
 
 Equal vectors of a label are one point of the graph, with a count.  A task holds two
@@ -38,7 +39,7 @@ LAST_ID = (1 << 63) - 1
 SHARD_ROWS = 8192
 NEIGHBOURS, WIDEST_LEVEL = 12, 8
 BUILD_BEAM, FIRST_BEAM = 40, 16
-AUDITED, WANTED_RECALL = 48, 0.98
+AUDITED, AUDIT_BLOCK, WANTED_RECALL = 48, 256, 0.98
 
 
 class Graph:
@@ -189,25 +190,52 @@ class Graph:
         return out, held
 
 
+def recall(graph: Graph, queries: np.ndarray, truth: np.ndarray, least: float, width: int, *audits: list[int]) -> float:
+    """The least of the audits' recalls: of all their links, and as the mean of their vectors."""
+    found = {i: int(truth[i, graph.within(queries[i], least, width)].sum()) for i in sorted(set().union(*audits))}
+    wanted = {i: int(truth[i].sum()) for i in found}
+    of_links = [sum(found[i] for i in x) / sum(wanted[i] for i in x) for x in audits]
+    of_vectors = [sum(found[i] / wanted[i] for i in x) / len(x) for x in audits]
+    return min(of_links + of_vectors)
+
+
 def linked(graph: Graph, queries: np.ndarray, least: float, same: bool) -> np.ndarray:
     """Which of the graph's points reach ``least``, a row per query; ``same``: the queries are the points themselves.
 
+    The audit holds AUDITED vectors that have links, and one vector of each of at least
+    AUDITED groups.  Where so many groups aren't to be found, all vectors have been
+    compared with all points and nothing is left to search.
     A byte per pair of a shard's points bounds the memory, however many links there are.
     """
     n = len(queries)
-    audit = np.unique(np.linspace(0, n - 1, min(n, AUDITED)).astype(int))
-    # vectors that have links at all tell more than those that have none
-    truth = {i: set(np.flatnonzero(graph.points @ queries[i] >= least).tolist()) for i in audit.tolist()}
-    wanted = sum(len(x) for x in truth.values()) - same * len(truth)
-    width = FIRST_BEAM
-    while width < len(graph.points):
-        found = sum(len(x.intersection(graph.within(queries[i], least, width).tolist())) for i, x in truth.items()) - same * len(truth)
-        if found >= WANTED_RECALL * wanted:
-            break
-        width *= 2
     out = np.zeros((n, len(graph.points)), np.bool_)
-    for i, q in enumerate(queries):
-        out[i, graph.within(q, least, width)] = True
+    # vectors in random order are compared with all points until enough groups of links are known
+    order = np.random.default_rng(n).permutation(n)
+    met = np.zeros(len(graph.points), np.bool_)
+    first_ones: list[int] = []
+    one_a_group: list[int] = []
+    for k in range(0, n, AUDIT_BLOCK):
+        if len(one_a_group) >= AUDITED:
+            break
+        some = order[k : k + AUDIT_BLOCK]
+        out[some] = queries[some] @ graph.points.T >= least
+        if same:
+            out[some, some] = False
+        for i in some[out[some].any(1)].tolist():
+            if len(first_ones) < AUDITED:
+                first_ones.append(i)
+            if not met[out[i]].any() and not (same and met[i]):
+                one_a_group.append(i)
+            met |= out[i]
+            if same:
+                met[i] = True
+        compared = k + len(some)
+    if compared < n:
+        width = FIRST_BEAM
+        while width < len(graph.points) and recall(graph, queries, out, least, width, first_ones, one_a_group) < WANTED_RECALL:
+            width *= 2
+        for i in order[compared:].tolist():
+            out[i, graph.within(queries[i], least, width)] = True
     if same:  # a pair counts for both, whichever of the two has found it
         out |= out.T
         np.fill_diagonal(out, False)

@@ -361,6 +361,21 @@ def test_a_group_wider_than_the_beam_is_found_across_shards():
     assert sum(map(len, found)) >= 0.98 * truth.sum()
 
 
+@pytest.mark.parametrize("giant, pairs", [(0, 12), (600, 300)])
+def test_the_audit_sees_sparse_links_and_small_groups(giant, pairs):
+    rng = np.random.default_rng(5)
+    near = rng.normal(size=(pairs, 64))
+    centre = rng.normal(size=64)
+    one, other = (unit(np.concatenate([near + rng.normal(size=near.shape) * 0.15, centre + rng.normal(size=(giant, 64)) * 0.1, rng.normal(size=(1500, 64))])) for _ in range(2))
+    truth = other @ one.T >= 0.93
+    got = embedding_dedup.linked(embedding_dedup.Graph.build(one, 0), other, 0.93, False)
+    assert truth[:pairs].sum() >= pairs and not (got & ~truth).any()
+    assert got[:pairs].sum() >= 0.98 * truth[:pairs].sum()
+    assert got.sum() >= 0.98 * truth.sum()
+    same = embedding_dedup.linked(embedding_dedup.Graph.build(one, 0), one, 0.93, True)
+    assert same.sum() >= 0.98 * ((one @ one.T >= 0.93).sum() - len(one)) and not same.diagonal().any()
+
+
 def test_components_of_a_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(100, 160)] + [(500, 500 + i) for i in range(1, 50)] + [(7, 7)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
