@@ -3,7 +3,10 @@
 Writers hide words by leetspeak (``1d10t``), spacing (``i d i o t``, ``i.d.i.o.t``) and
 repetition (``idiooot``).  Each suspicious stretch becomes a lattice: a sign may stand
 for itself or for a letter, a separator for itself or nothing, a repeated letter for
-itself or nothing.  Viterbi decoding finds the path that is likeliest under the
+itself or nothing.  Signs without any letter (``455``) are read as a word only if the
+whole of it is likelier than the number.  Repeated are signs that stand three times in a
+row, or twice and more if none of a word's stands alone; otherwise doubled letters are
+ordinary spelling (``w0rthl3ss``), so ``iddiot`` stays.  Viterbi decoding finds the path that is likeliest under the
 channel and a character language model (orders 1 to 4) counted over all documents.
 
 The restored text's words and word beginnings are features of a logistic regression.
@@ -53,9 +56,12 @@ SEPARATORS = ".-_*'~/ "
 # Log probabilities of the channel.
 STANDS_FOR, AS_IT_IS, DROPPED_SEPARATOR, DROPPED_REPEAT = -1.0, -2.0, -1.5, -0.7
 
-SPACED = re.compile(r"(?<!\S)(?:[^\W_] ){2,}[^\W_](?!\S)")
+SIGN = r"(?:[^\W_]|[@$!|+€(])"
+SPACED = re.compile(rf"(?<!\S){SIGN}(?:\s+{SIGN}){{2,}}(?!\S)")
 PULLED = re.compile(r"([^\W\d_])\1\1+")
-SPELLED = re.compile(r"(?:[^\W_]|[@$!|+€(])(?:[.\-_*'~/]+(?:[^\W_]|[@$!|+€(]))+")
+REPEATED = re.compile(rf"({SIGN})\1\1+")
+DOUBLED = re.compile(rf"(?:({SIGN})\1+){{2,}}")
+SPELLED = re.compile(rf"{SIGN}(?:[.\-_*'~/]+{SIGN})+")
 LAST_SIGNS = re.compile(r"[$@]{1,2}(?![$@])")  # may be letters; a longer row of them is decoration
 RIGHT_EDGE = "!?.,;:)]}\"'*%&#~|+<>=/-_$@€("
 LEFT_EDGE = "([{\"'*%&#~<>=/-_.,;:?"
@@ -159,8 +165,10 @@ class Decoder:
 
     def decode(self, stretch: str) -> str:
         """The likeliest letters behind a lower-case stretch; what is no letter stays only as itself."""
-        # double letters are common; three and more may be one or two
-        again = {i for m in PULLED.finditer(stretch) for i in range(m.start() + 1, m.end())}
+        # double letters are common; three and more may be one or two, and so may two if none stands alone
+        again = {i for m in REPEATED.finditer(stretch) for i in range(m.start() + 1, m.end())}
+        if DOUBLED.fullmatch(stretch):
+            again = {i for i in range(1, len(stretch)) if stretch[i] == stretch[i - 1]}
         # a state is the last characters of the path; a node keeps each state's best path
         states: dict[str, tuple[float, tuple]] = {" ": (0.0, ())}
         for i, seen in enumerate(stretch):
@@ -173,6 +181,8 @@ class Decoder:
             after: dict[str, tuple[float, tuple]] = {}
             for context, (score, path) in states.items():
                 for c, cost in edges:
+                    if not c and i in again and context[-1] == " ":
+                        continue  # a row of digits that stand for themselves is no repeated letter
                     if c:
                         sign = c if c.isalpha() else " "
                         if sign == " " and context[-1] == " ":
@@ -198,16 +208,33 @@ class Decoder:
         plain = held.rstrip(RIGHT_EDGE)
         last = LAST_SIGNS.match(held, len(plain))
         if plain.isalpha() and not last:
-            return self.decode(plain) if PULLED.search(plain) else plain
+            return self.decode(plain) if PULLED.search(plain) or DOUBLED.fullmatch(plain) else plain
         held = plain + (last[0] if last else "")
-        if any(c.isalpha() for c in held) and (any(c in LEET for c in held) or PULLED.search(held) or SPELLED.fullmatch(held)):
+        if not any(c.isalpha() for c in held):
+            return self.signs(held) or plain
+        if any(c in LEET for c in held) or PULLED.search(held) or SPELLED.fullmatch(held):
             return self.decode(held)
         return plain
 
     def restore(self, text: str) -> str:
         """The whole text, lower-cased and restored; white space between words becomes one blank."""
-        text = SPACED.sub(lambda m: self.decode(m[0]), text.lower())
-        return " ".join(map(self.word, text.split()))
+        return " ".join(map(self.word, self.unspaced(text.lower()).split()))
+
+    def signs(self, stretch: str) -> str:
+        """What signs without a letter spell; nothing if a number is likelier."""
+        if not all(c in LEET or c in SEPARATORS for c in stretch):
+            return ""
+        out = self.decode(stretch)
+        return out if out.replace(" ", "").isalpha() else ""
+
+    def unspaced(self, text: str) -> str:
+        """The text with its rows of single signs decoded, whatever blanks stand between them."""
+
+        def row(m: re.Match) -> str:
+            stretch = " ".join(m[0].split())
+            return self.decode(stretch) if any(c.isalpha() for c in stretch) else self.signs(stretch) or m[0]
+
+        return SPACED.sub(row, text)
 
 
 def word_features(restored: str) -> list[int]:
@@ -223,9 +250,7 @@ def word_features(restored: str) -> list[int]:
 
 def text_features(text: str, decoder: Decoder, known: dict[str, tuple[int, ...]], wanted: dict[int, int] | None = None) -> set[int]:
     """Distinct features of a whole text.  ``wanted``: only these, by their numbers.  ``known``: words met before."""
-    text = text.lower()
-    if SPACED.search(text):
-        text = SPACED.sub(lambda m: decoder.decode(m[0]), text)
+    text = decoder.unspaced(text.lower())
     out: set[int] = set()
     for word in set(text.split()):
         if (found := known.get(word)) is None:

@@ -100,6 +100,22 @@ def test_hidden_words_are_restored(model, hidden):
     assert decoder.restore(f"The {hidden} there, ok.") == f"the {plain[hidden]} there ok"
 
 
+@pytest.mark.parametrize("hidden", ["i d ! o t", "1  d 1\t0 t", "i  d  i  o  t", "i\nd\ni\no\nt", "idi000t", "id111ot", "iiddiioott", "11ddii00tt"])
+def test_signs_and_repeats_hide_nothing(model, hidden):
+    assert toxicity.Decoder(model.grams).restore(f"The {hidden} there, ok.") == "the idiot there ok"
+
+
+@pytest.mark.parametrize("plain", ["4.0", "555-7713", "2017", "1 2 3", "000", "letter", "committee"])
+def test_numbers_and_doubled_letters_stay(model, plain):
+    assert toxicity.Decoder(model.grams).restore(f"some {plain} there") == f"some {plain} there"
+
+
+@pytest.mark.parametrize("hidden", ["4$$", "455", "@ s s", "4 $ $"])
+def test_words_of_signs_only(spark, hidden):
+    decoder = toxicity.Decoder(toxicity.count_grams(spark.createDataFrame([("ass " * 2000,)], "text string")))
+    assert decoder.restore(f"{hidden} and") == "ass and" and decoder.restore("2017") == "2017"
+
+
 def test_toxicity_edges(spark, edges, empty, model):
     rows = toxicity.with_toxicity(edges, model, restored="restored").collect()
     assert len(rows) == edges.count() and all(0 <= r["score"] <= 1 for r in rows)
