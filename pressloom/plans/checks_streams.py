@@ -18,7 +18,7 @@ def _parts(spark, folder):
     path = shared_folder(spark, "event-parts")
     table(spark, folder, "events").select(
         F.col("event_id").cast("long").alias("event_id"), F.col("user_id").cast("long").alias("user_id"),
-        F.col("ts").cast("timestamp").alias("ts"), "event_type").repartition(3, "event_id").write.parquet(path)
+        F.col("ts").cast("timestamp").alias("ts"), "event_type").write.parquet(path)
     return forms.stream_parts(spark, path, EVENTS)
 
 
@@ -37,14 +37,18 @@ def stream_dedup(spark, folder):
 SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events
 WHERE date_trunc('day', ts) + INTERVAL 3 DAY <= (SELECT max(ts) FROM events) GROUP BY ALL""")
 def stream_histogram(spark, folder):
-    # one file: its rows' order doesn't decide what is late
-    path = shared_folder(spark, "event-parts")
-    table(spark, folder, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type").coalesce(1).write.parquet(path)
-    stream = forms.stream_parts(spark, path, "ts timestamp, event_type string")
+    stream = _parts(spark, folder).select("ts", "event_type")
     out = forms.run_to_table(forms.stream_histogram(stream, "ts", "1 day", "2 days", "event_type"), "histogram")
     return out.select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "n")
 
 
+@check("stream_histogram_days", """
+SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY ALL""")
+def stream_histogram_days(spark, folder):
+    out = forms.whole_histogram(_parts(spark, folder).select("ts", "event_type"), "histogram-days", "ts", "1 day", "2 days", "event_type")
+    return out.select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "n")
+
+
 @check("udf_result_shapes", """
 SELECT doc_id::VARCHAR AS url, CASE WHEN doc_id % 5 IN (1, 2) THEN 'T' || doc_id ELSE '' END AS title,
        CASE WHEN doc_id % 5 = 1 THEN '2025-07-' || lpad((doc_id % 28 + 1)::VARCHAR, 2, '0') END AS published,

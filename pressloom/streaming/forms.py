@@ -29,11 +29,24 @@ def stream_histogram(stream: DataFrame, time: str, interval: str, lateness: str,
     return counted.select(F.col("window.start").alias("start"), *groups, "n")
 
 
-def run_to_table(stream: DataFrame, name: str) -> DataFrame:
-    """Run ``stream`` over all that is there and return what it wrote."""
+def whole_histogram(stream: DataFrame, name: str, time: str, interval: str, lateness: str, *groups: str) -> DataFrame:
+    """The histogram of all that is there: intervals that were emitted, and those still open as they stand in the state."""
+    spark = stream.sparkSession
+    state = shared_folder(spark, f"{name}-state")
+    closed = run_to_table(stream_histogram(stream, time, interval, lateness, *groups), name, state)
+    held = spark.read.format("statestore").load(state)
+    still = held.select(F.col("key.window.start").alias("start"), *[F.col(f"key.{g}").alias(g) for g in groups], F.col("value.count").alias("n"))
+    return closed.unionByName(still)
+
+
+def run_to_table(stream: DataFrame, name: str, state: str | None = None) -> DataFrame:
+    """Run ``stream`` over all that is there and return what it wrote.
+
+    All files are one batch, so their order doesn't decide what is late.
+    """
     spark, path = stream.sparkSession, shared_folder(stream.sparkSession, name)
     query = (
-        stream.writeStream.format("parquet").option("checkpointLocation", shared_folder(spark, f"{name}-state"))
+        stream.writeStream.format("parquet").option("checkpointLocation", state or shared_folder(spark, f"{name}-state"))
         .trigger(availableNow=True).start(path)
     )
     query.awaitTermination()

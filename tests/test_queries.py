@@ -42,6 +42,11 @@ def test_query_equals_its_sql(spark, data, tables, name):
     assert sorted(tuple(map(plain, r)) for r in got.select(*names).collect()) == sorted(tuple(map(plain, r)) for r in expected)
 
 
+def test_the_histogram_counts_the_last_days_too(spark, data, tables):
+    test_query_equals_its_sql(spark, data, tables, "stream_histogram_days")
+    assert tables.sql(f"SELECT sum(n) FROM ({entry.oracle_sql()['stream_histogram_days']})").fetchall() == tables.sql("SELECT count(*) FROM events").fetchall()
+
+
 def test_entry_is_the_news_sheet(spark):
     assert entry.entry(spark).columns[0] == "no"
 
