@@ -3,16 +3,17 @@
 Vectors of one label (and dimension) are dealt into shards by a hash of their id; each
 shard is one graph.  Every vector queries every shard of its label: a beam search finds
 the way in, then the search goes on from every point it has met that reaches the
-threshold, along all neighbours that do.  Per pair of shards, vectors in random order
-are first compared with all points, until enough with links and enough groups of them
+threshold, along all neighbours that do.  The audit of a pair of shards compares vectors
+in random order with all points, until enough with links and enough groups of them
 are known; while the beam misses too many of theirs it is doubled, and a beam as wide as
-the shard compares with all.  Where links are too sparse for an audit, all vectors are
-compared.  Cosines are computed in double precision, so no pair below the threshold
-links; what the search may miss is bounded by the audit.  Linked vectors are united.
+the shard compares with all.  What the audit has seen is added to what the searches
+found, so links too sparse for a small audit are not lost either.  Cosines are computed
+in double precision, so no pair below the threshold links; what the search may miss is
+bounded by the audit.  Linked vectors are united.
 
-Equal vectors of a label are one point of the graph, with a count.  A task holds two
-shards, whatever the label's size; of the links it reports a count and one tie per
-vector, not all pairs.
+Equal vectors of a label are one point of the graph, with a count.  A task holds one
+graph and the points of another shard, whatever the label's size; of the links it
+reports a count and one tie per vector, not all pairs.
 
 Rows: vectors that are null, empty, zero or hold null or non-finite components, and those
 without a label, link with nothing.  A null vec_id counts as 2**63-1.  Repeated rows are
@@ -202,9 +203,9 @@ def recall(graph: Graph, queries: np.ndarray, truth: np.ndarray, least: float, w
 def linked(graph: Graph, queries: np.ndarray, least: float, same: bool) -> np.ndarray:
     """Which of the graph's points reach ``least``, a row per query; ``same``: the queries are the points themselves.
 
-    The audit holds AUDITED vectors that have links, and one vector of each of at least
-    AUDITED groups.  Where so many groups aren't to be found, all vectors have been
-    compared with all points and nothing is left to search.
+    Every query searches the graph.  The audit holds AUDITED vectors that have links, and
+    one vector of each of at least AUDITED groups; where there are not so many, it ends
+    when all vectors have been compared.
     A byte per pair of a shard's points bounds the memory, however many links there are.
     """
     n = len(queries)
@@ -229,13 +230,11 @@ def linked(graph: Graph, queries: np.ndarray, least: float, same: bool) -> np.nd
             met |= out[i]
             if same:
                 met[i] = True
-        compared = k + len(some)
-    if compared < n:
-        width = FIRST_BEAM
-        while width < len(graph.points) and recall(graph, queries, out, least, width, first_ones, one_a_group) < WANTED_RECALL:
-            width *= 2
-        for i in order[compared:].tolist():
-            out[i, graph.within(queries[i], least, width)] = True
+    width = FIRST_BEAM
+    while first_ones and width < len(graph.points) and recall(graph, queries, out, least, width, first_ones, one_a_group) < WANTED_RECALL:
+        width *= 2
+    for i in range(n):
+        out[i, graph.within(queries[i], least, width)] = True
     if same:  # a pair counts for both, whichever of the two has found it
         out |= out.T
         np.fill_diagonal(out, False)
@@ -283,21 +282,23 @@ def embedding_components(vectors: DataFrame, least: float = 0.93, shard_rows: in
         # neighbours in id are often copies; a fixed shuffle spreads them over the build
         order = np.random.default_rng(len(rows)).permutation(len(rows))
         graph = Graph.build(at[order], seed=int(rows["shard"].iloc[0]))
-        packed = graph.to_bytes(ids=rows["point"].to_numpy()[order], copies=rows["copies"].to_numpy()[order])
-        return pd.DataFrame({c: rows[c].iloc[:1] for c in ("label", "dim", "shard")} | {"graph": [packed]})
+        own = {"ids": rows["point"].to_numpy()[order], "copies": rows["copies"].to_numpy()[order]}
+        np.savez(points := io.BytesIO(), points=at[order], **own)
+        return pd.DataFrame({c: rows[c].iloc[:1] for c in ("label", "dim", "shard")} | {"graph": [graph.to_bytes(**own)], "points": [points.getvalue()]})
 
     label = dict(vectors.dtypes)["label"]
     shards = dealt.select("label", "dim", "shard", "point", "copies", "v").groupBy("label", "dim", "shard")
-    shards = staged(shards.applyInPandas(build, f"label {label}, dim int, shard long, graph binary"), "graphs")
-    other = shards.select("label", "dim", F.col("shard").alias("its"), F.col("graph").alias("queries"))
-    pairs = shards.join(other, ["label", "dim"]).filter("shard <= its").repartition("label", "dim", "shard", "its")
+    shards = staged(shards.applyInPandas(build, f"label {label}, dim int, shard long, graph binary, points binary"), "graphs")
+    # the shard that asks sends its points, not its graph
+    other = shards.select("label", "dim", F.col("shard").alias("its"), F.col("points").alias("queries"))
+    pairs = shards.drop("points").join(other, ["label", "dim"]).filter("shard <= its").repartition("label", "dim", "shard", "its")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
                 graph, of = Graph.from_bytes(batch.column("graph")[row].as_py())
                 same = batch.column("shard")[row] == batch.column("its")[row]
-                asking = of if same else Graph.from_bytes(batch.column("queries")[row].as_py())[1]
+                asking = of if same else dict(np.load(io.BytesIO(batch.column("queries")[row].as_py())))
                 found = linked(graph, asking["points"], least, same)
                 counts = [(asking["ids"], weighed(found, of["copies"]))]
                 if not same:

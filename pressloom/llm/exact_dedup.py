@@ -10,8 +10,8 @@ decide which rows of a hash are equal and a collision never joins two texts.  Ea
 first merges its own equal rows: a group of any size sends one row per task.  Groups are
 named by both hashes (MD5 and SHA-256) from there on; texts no longer travel.
 
-Groups that hold more than one row in ``1 / HOT_GROUPS`` of all can be no more than
-HOT_GROUPS, so they are broadcast; rows of all others meet their group by a join.
+The few groups that hold a large share of all rows are broadcast (``join_groups``); rows of
+all others meet their group by a join.
 
 Rows: a null or empty text counts as empty, and all empty texts are equal.  A null
 doc_id comes after all others.  Repeated rows are rows of their own, of which one stays.
@@ -25,10 +25,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressloom.llm.stages import free_name, staged
+from pressloom.llm.stages import free_name, join_groups, staged
 
 BLANKS = "[\\x20\\x09-\\x0D]"
-HOT_GROUPS = 1024
 ADDED = ("keep_id", "group_size", "kept", "text_sha256")
 
 
@@ -60,15 +59,10 @@ def mark_copies(docs: DataFrame, content_hash: Callable[[Column], Column] = F.md
     order = F.struct((-F.col(points)).alias("points"), F.col("doc_id").isNull().alias("late"), F.col("doc_id").alias("id"), F.col(row).alias("row"))
     groups = rows.groupBy(key, sha, normalised("text").alias(plain)).agg(F.count("*").alias(size), F.min(order).alias(best))
     groups = staged(groups.select(key, sha, size, best), "groups")
-    shared = groups.filter(F.col(size) > 1)
-    total = groups.agg(F.sum(size)).first()[0] or 0
-    is_hot = F.col(size) * HOT_GROUPS > total
-    hot = F.broadcast(shared.filter(is_hot))
-    in_hot = rows.join(hot, [key, sha])
-    others = rows.join(hot, [key, sha], "left_anti").join(shared.filter(~is_hot), [key, sha], "left")
+    out = join_groups(rows, groups.filter(F.col(size) > 1), [key, sha], size)
 
     alone = F.col(size).isNull()
-    return in_hot.unionByName(others).select(
+    return out.select(
         *own,
         F.when(alone, F.col("doc_id")).otherwise(F.col(f"{best}.id")).alias("keep_id"),
         F.coalesce(F.col(size), F.lit(1)).cast("long").alias("group_size"),

@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pressloom.llm.stages import free_name
+
 WEIGHTS = (1, 2, 3)
 ADDED = ("size", "source_size", "target", "copies", "taken")
 
@@ -58,40 +60,44 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
 def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.0, cap: float = 3.0, seed: str = "mix", salts: int = 32) -> DataFrame:
     """``docs`` with size, source_size, target, copies (how often the mix emits the row) and taken (words it takes)."""
     rows = docs.drop(*[c for c in docs.columns if c.lower() in ADDED])
+    source, mark, of_size, salt, rank, before, each, offset, held, words = (
+        free_name(docs, n) for n in ("_source", "_mark", "_class", "_salt", "_rank", "_before", "_each", "_offset", "_rows", "_words")
+    )
     # code points of UTF-8 strings sort as their bytes do; '0' before a source, '1' for none
-    source = F.when(F.col("source").isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col("source")))
-    rows = rows.withColumns({"size": word_count("text"), "_source": source})
-    mark = F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(seed), F.coalesce("text", F.lit("")))
-    rows = rows.withColumn("_mark", F.md5(mark.cast("binary")))
+    name = F.when(F.col("source").isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col("source")))
+    rows = rows.withColumns({"size": word_count("text"), source: name})
+    text = F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(seed), F.coalesce("text", F.lit("")))
+    rows = rows.withColumn(mark, F.md5(text.cast("binary")))
     bits = F.bin("size")
     rows = rows.withColumns(
         {
-            "_class": F.concat(F.lpad(F.length(bits).cast("string"), 2, "0"), F.substring(bits, 1, 4)),
-            "_salt": (F.conv(F.substring("_mark", 1, 8), 16, 10).cast("long") % salts).cast("int"),
+            of_size: F.concat(F.lpad(F.length(bits).cast("string"), 2, "0"), F.substring(bits, 1, 4)),
+            salt: (F.conv(F.substring(mark, 1, 8), 16, 10).cast("long") % salts).cast("int"),
         }
     )
-    cell = ["_source", "_class", "_salt"]
-    cells = rows.groupBy(*cell).agg(F.count("*").alias("_rows"), F.sum("size").alias("_size"))
-    sizes = cells.groupBy("_source").agg(F.sum("_size").alias("source_size"))
-    targets = source_targets(sizes, weights, share, cap).withColumns(
+    cell = [source, of_size, salt]
+    cells = rows.groupBy(*cell).agg(F.count("*").alias(held), F.sum("size").alias(words))
+    sizes = cells.groupBy(F.col(source).alias("_source")).agg(F.sum(words).alias("source_size"))
+    targets = source_targets(sizes, weights, share, cap).withColumnRenamed("_source", source).withColumns(
         {
-            "_each": F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)),
-            "_offset": _digest_number(F.concat_ws("|", F.lit(seed), F.col("_source"))) / F.lit(4294967296.0),
+            each: F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)),
+            offset: _digest_number(F.concat_ws("|", F.lit(seed), F.col(source))) / F.lit(4294967296.0),
         }
     )
-    running = F.sum("_rows").over(Window.partitionBy("_source").orderBy("_class", "_salt")) - F.col("_rows")
-    places = cells.withColumn("_before", running).drop("_rows", "_size").join(targets, "_source")
-    rank = F.row_number().over(Window.partitionBy(*cell).orderBy("size", "_mark"))
-    out = rows.withColumn("_rank", rank).join(places, cell).withColumn("_rank", F.col("_rank") + F.col("_before"))
-    crossed = F.floor(F.col("_rank") * F.col("_each") + F.col("_offset")) - F.floor((F.col("_rank") - 1) * F.col("_each") + F.col("_offset"))
+    running = F.sum(held).over(Window.partitionBy(source).orderBy(of_size, salt)) - F.col(held)
+    places = cells.withColumn(before, running).drop(held, words).join(targets, source)
+    place = F.row_number().over(Window.partitionBy(*cell).orderBy("size", mark))
+    out = rows.withColumn(rank, place).join(places, cell).withColumn(rank, F.col(rank) + F.col(before))
+    crossed = F.floor(F.col(rank) * F.col(each) + F.col(offset)) - F.floor((F.col(rank) - 1) * F.col(each) + F.col(offset))
     out = out.withColumn("copies", crossed.cast("long")).withColumn("taken", F.col("copies") * F.col("size"))
     return out.select(*[c for c in docs.columns if c.lower() not in ADDED], *ADDED)
 
 
 def emit_copies(mixed: DataFrame) -> DataFrame:
     """The mix itself: every row as often as its ``copies`` say, without the added columns."""
+    copy = free_name(mixed, "_copy")
     often = F.explode(F.array_repeat(F.lit(True), F.col("copies").cast("int")))
-    return mixed.filter("copies > 0").withColumn("_copy", often).drop("_copy", *ADDED)
+    return mixed.filter("copies > 0").withColumn(copy, often).drop(copy, *ADDED)
 
 
 SQL = """

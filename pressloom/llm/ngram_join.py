@@ -20,9 +20,11 @@ between components is lost.
 Sets and tokens are told apart by 64-bit hashes: among N of them, one is mistaken with
 probability below N / 2**64.  Verification compares whole hashed sets.
 
-Rows: a text without words (or null) has an empty set and no link.  A null doc_id counts
-as 2**63-1.  Rows that repeat a doc_id are one document as far as components go.  Only
-doc_id and text are used.
+Rows: a text without words (or null) has an empty set and no link.  Rows are told apart by
+doc_id and a hash of the text; rows that repeat a doc_id with another text are one
+document as far as component_id goes, so their links unite.  A null doc_id is no id: such
+rows are documents of their own and come after all others as smallest doc_id.  Other
+columns are only passed on.
 """
 
 from __future__ import annotations
@@ -37,7 +39,7 @@ from pyspark.sql import functions as F
 
 from pressloom.llm.arrays import mix, offsets, parts, slice_hashes, text_bytes, word_spans
 from pressloom.llm.components import components
-from pressloom.llm.stages import staged
+from pressloom.llm.stages import free_name, join_groups, staged
 
 LAST_ID = (1 << 63) - 1
 # The histogram has 2**BUCKET_BITS counts, sent in slices: its size never follows the data.
@@ -71,11 +73,11 @@ def set_nodes(grams: np.ndarray, edges: np.ndarray) -> np.ndarray:
 
 
 def survey(docs: DataFrame, size: int) -> DataFrame:
-    """A row per document (doc, n, node), and slices of the token histogram (slice, counts)."""
+    """A row per document (doc, same, n, node), and slices of the token histogram (slice, counts)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << BUCKET_BITS, np.uint32)
-        kinds = {"doc": pa.int64(), "n": pa.int64(), "node": pa.int64(), "slice": pa.int32(), "counts": pa.binary()}
+        kinds = {"doc": pa.int64(), "same": pa.int64(), "n": pa.int64(), "node": pa.int64(), "slice": pa.int32(), "counts": pa.binary()}
 
         def out(**columns: object) -> pa.RecordBatch:
             rows = len(next(iter(columns.values())))
@@ -86,12 +88,12 @@ def survey(docs: DataFrame, size: int) -> DataFrame:
                 grams, edges = token_sets(part.column("text"), size)
                 bucket, times = np.unique((grams >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), return_counts=True)
                 counts[bucket] += times.astype(np.uint32)
-                yield out(doc=part.column("doc"), n=np.diff(edges), node=set_nodes(grams, edges))
+                yield out(doc=part.column("doc"), same=part.column("same"), n=np.diff(edges), node=set_nodes(grams, edges))
         filled = [(i, x) for i, x in enumerate(np.split(counts, 1 << (BUCKET_BITS - SLICE_BITS))) if x.any()]
         if filled:
             yield out(slice=[i for i, _ in filled], counts=[zlib.compress(x.tobytes(), 1) for _, x in filled])
 
-    return docs.mapInArrow(run, "doc long, n long, node long, slice int, counts binary")
+    return docs.mapInArrow(run, "doc long, same long, n long, node long, slice int, counts binary")
 
 
 def histogram(surveyed: DataFrame) -> np.ndarray:
@@ -193,25 +195,30 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, num: int, den: int)
 
 
 def packed_texts(docs: DataFrame, of: DataFrame) -> DataFrame:
-    """``node, packed`` (deflated text) of the nodes in ``of`` (node, doc)."""
+    """``node, packed`` (deflated text) of the nodes in ``of`` (node, doc, same); a row per document that has the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             packed = pa.array([zlib.compress((x.as_py() or "").encode(), 1) for x in batch.column("text")], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("node"), packed], names=["node", "packed"])
 
-    return docs.join(of, "doc").select("node", "text").mapInArrow(run, "node long, packed binary")
+    return docs.join(of, ["doc", "same"]).select("node", "text").mapInArrow(run, "node long, packed binary")
 
 
-def jaccard_components(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, pair_sets: int = 256) -> DataFrame:
-    """doc_id, n_shingles (long) and component_id of every row of ``docs``.
+def keyed_texts(docs: DataFrame) -> DataFrame:
+    """doc, same (hash of the text) and text of every row."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return docs.select(F.coalesce(F.col("doc_id"), F.lit(LAST_ID)).cast("long").alias("doc"), F.xxhash64(text).alias("same"), text.alias("text"))
 
-    Documents link when den * intersection >= num * union of their n-gram sets;
-    component_id is the smallest doc_id that links lead to, the document's own included.
+
+def linked_sets(docs: DataFrame, size: int, num: int, den: int, pair_sets: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``docs`` as doc, same, n and node, and the links of their sets as components (node, component).
+
+    Nodes without a link to another have no row in the second table.
     """
-    keyed = docs.select(F.coalesce(F.col("doc_id"), F.lit(LAST_ID)).cast("long").alias("doc"), "text")
+    keyed = keyed_texts(docs)
     surveyed = staged(survey(keyed, size), "ngram-survey")
-    nodes = surveyed.filter("doc IS NOT NULL").select("doc", "n", "node")
+    nodes = surveyed.filter("doc IS NOT NULL").select("doc", "same", "n", "node")
     counts = histogram(surveyed)
 
     index = signatures(keyed, size, num, den, counts, pair_sets)
@@ -223,7 +230,7 @@ def jaccard_components(docs: DataFrame, size: int = 3, num: int = 90, den: int =
     stars = staged(stars.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct(), "ngram-stars")
 
     # a node stands for one set, whichever row has it
-    one = nodes.filter("n > 0").groupBy("node").agg(F.min("doc").alias("doc"))
+    one = nodes.filter("n > 0").groupBy("node").agg(F.min(F.struct("doc", "same")).alias("r")).select("node", "r.doc", "r.same")
     wanted = index.select("node").distinct().join(one, "node")
     texts = staged(packed_texts(keyed, wanted).dropDuplicates(["node"]), "ngram-texts")
     links = staged(verified(stars, texts, size, num, den), "ngram-links")
@@ -236,14 +243,54 @@ def jaccard_components(docs: DataFrame, size: int = 3, num: int = 90, den: int =
     met = known.join(other, "key").filter((F.col("node") < F.col("other")) & (F.col("component") != F.col("its")) & may_link(num, den))
     met = met.select(F.col("node").alias("a"), F.col("other").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
     more = staged(verified(met, texts, size, num, den), "ngram-links")
-    # a document whose rows differ ties its nodes together
-    same = nodes.groupBy("doc").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a < b")
-    ties = nodes.join(same.select("doc", F.col("a").alias("low")), "doc").select(F.col("low").alias("a"), F.col("node").alias("b"))
-    of = components(links.union(more).union(ties)).select("node", "component")
+    return nodes, links.union(more)
+
+
+def grouped_sets(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """``nodes`` with component, its first row (least: doc, same), and how many rows the node has (rows).
+
+    Equal sets are merged before anything else, and the largest groups are broadcast, so
+    a group with most of the rows is no single task.
+    """
+    sets = nodes.filter("n > 0").groupBy("node").agg(F.count("*").alias("rows"), F.min(F.struct("doc", "same")).alias("first"))
+    sets = sets.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    sets = staged(sets, "ngram-sets")
+    whole = sets.groupBy("component").agg(F.count("*").alias("sets"), F.min("first").alias("least"))
+    sets = staged(join_groups(sets, staged(whole, "ngram-groups"), ["component"], "sets").select("node", "rows", "component", "least"), "ngram-sets")
+    grouped = join_groups(nodes.filter("n > 0"), sets, ["node"], "rows")
+    return grouped.unionByName(nodes.filter("n = 0"), allowMissingColumns=True)
+
 
-    placed = nodes.join(of, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    smallest = placed.filter("n > 0").groupBy("component").agg(F.min("doc").alias("least"))
-    out = placed.join(smallest, "component", "left")
+def jaccard_components(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, pair_sets: int = 256) -> DataFrame:
+    """doc_id, n_shingles (long) and component_id of every row of ``docs``.
+
+    Documents link when den * intersection >= num * union of their n-gram sets;
+    component_id is the smallest doc_id that links lead to, the document's own included.
+    """
+    nodes, links = linked_sets(docs, size, num, den, pair_sets)
+    # a document whose rows differ ties its nodes together
+    ids = nodes.filter((F.col("n") > 0) & (F.col("doc") != LAST_ID))
+    same = ids.groupBy("doc").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
+    ties = ids.join(same.select("doc", "low"), "doc").select(F.col("low").alias("a"), F.col("node").alias("b"))
+    placed = grouped_sets(nodes, links.union(ties))
     own = F.nullif(F.col("doc"), F.lit(LAST_ID))
-    least = F.when(F.col("n") > 0, F.nullif(F.col("least"), F.lit(LAST_ID))).otherwise(own)
-    return out.select(own.alias("doc_id"), F.col("n").alias("n_shingles"), least.alias("component_id"))
+    least = F.when(F.col("n") > 0, F.nullif(F.col("least.doc"), F.lit(LAST_ID))).otherwise(own)
+    return placed.select(own.alias("doc_id"), F.col("n").alias("n_shingles"), least.alias("component_id"))
+
+
+def drop_near_copies(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, pair_sets: int = 256) -> DataFrame:
+    """``docs`` with one row of each group that links join: that of the smallest doc_id, then of the smallest text hash.
+
+    Rows without words link with nothing and all stay.  Rows of one doc_id or of none are
+    judged by their texts alone; of rows equal in doc_id and text one stays.
+    """
+    nodes, links = linked_sets(docs, size, num, den, pair_sets)
+    placed = grouped_sets(nodes, links)
+    gone = placed.filter((F.col("n") > 0) & ((F.col("doc") != F.col("least.doc")) | (F.col("same") != F.col("least.same"))))
+    doc, same = free_name(docs, "_doc"), free_name(docs, "_same")
+    gone = gone.select(F.col("doc").alias(doc), F.col("same").alias(same)).distinct()
+    keys = {doc: F.coalesce(F.col("doc_id"), F.lit(LAST_ID)).cast("long"), same: F.xxhash64(F.coalesce("text", F.lit("")))}
+    marked = docs.withColumns(keys)
+    worded = F.coalesce(F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
+    kept = marked.filter(worded).join(gone, [doc, same], "left_anti").dropDuplicates([doc, same])
+    return kept.unionByName(marked.filter(~worded)).select(*docs.columns)

@@ -23,6 +23,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pressloom.llm.stages import free_name
+
 # The bound of the trusted sample: so many ids at most are broadcast.
 TRUSTED_DOCS = 20_000
 BUCKETS = 10_000
@@ -42,30 +44,31 @@ def repeat_words(tokens: Column, n: Column) -> Column:
     return F.array_sort(windows)
 
 
-def with_measures(docs: DataFrame) -> DataFrame:
-    """``docs`` with the base measures and ``_words``."""
+def with_measures(docs: DataFrame, tokens: str) -> DataFrame:
+    """``docs`` with the base measures and the words in the column ``tokens``."""
+    found, windows, at = (free_name(docs, n) for n in ("_lines", "_windows", "_places"))
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: F.translate(x, BLANKS, "") != "")
-    out = docs.withColumn("_words", words(text)).withColumns(
+    out = docs.withColumn(tokens, words(text)).withColumns(
         {
-            "n_words": F.size("_words").cast("long"),
+            "n_words": F.size(tokens).cast("long"),
             "word_chars": F.length(F.translate(text, BLANKS, "")).cast("long"),
             "n_symbols": (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long"),
-            "_lines": lines,
+            found: lines,
         }
     )
     out = out.withColumns(
         {
-            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-            "_windows": repeat_words(F.col("_words"), F.size("_words")),
+            "n_dup_lines": (F.size(found) - F.size(F.array_distinct(found))).cast("long"),
+            windows: repeat_words(F.col(tokens), F.size(tokens)),
         }
-    ).drop("_lines")
-    sorted_windows = F.col("_windows")
+    ).drop(found)
+    sorted_windows = F.col(windows)
     again = F.filter(sorted_windows, lambda x, i: (F.get(sorted_windows, i + 1)["h"] == x["h"]) | ((i > 0) & (F.get(sorted_windows, i - 1)["h"] == x["h"])))
-    out = out.withColumn("_places", F.array_sort(F.transform(again, lambda x: x["p"]))).drop("_windows")
-    places = F.col("_places")
+    out = out.withColumn(at, F.array_sort(F.transform(again, lambda x: x["p"]))).drop(windows)
+    places = F.col(at)
     covered = F.aggregate(F.transform(places, lambda p, i: F.least(F.lit(3), F.coalesce(F.get(places, i + 1) - p, F.lit(3)))), F.lit(0), lambda a, x: a + x)
-    out = out.withColumn("n_repeat_words", covered.cast("long")).drop("_places")
+    out = out.withColumn("n_repeat_words", covered.cast("long")).drop(at)
     return out.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
@@ -101,9 +104,10 @@ def with_quality(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHO
     """``docs`` with the base measures, base_failed, score and kept."""
     rows = docs.drop(*[c for c in docs.columns if c.lower() in MEASURES])
     weights = F.split(F.lit(",".join(f"{w:.6f}" for w in bucket_weights(rows, trusted, buckets))), ",").cast("array<double>")
+    tokens, grams = free_name(docs, "_words"), free_name(docs, "_grams")
     # a column of its own: an expression inside the lambda would be worked out for every element
-    out = with_measures(rows).withColumn("_words", F.transform("_words", F.lower))
-    out = out.withColumn("_grams", ngram_buckets(F.col("_words"), buckets)).drop("_words")
-    mean = F.aggregate(F.col("_grams"), F.lit(0.0), lambda a, b: a + F.get(weights, b)) / F.size("_grams")
-    out = out.withColumn("score", F.when(F.size("_grams") > 0, F.round(mean, 9)).otherwise(0.0)).drop("_grams")
+    out = with_measures(rows, tokens).withColumn(tokens, F.transform(tokens, F.lower))
+    out = out.withColumn(grams, ngram_buckets(F.col(tokens), buckets)).drop(tokens)
+    mean = F.aggregate(F.col(grams), F.lit(0.0), lambda a, b: a + F.get(weights, b)) / F.size(grams)
+    out = out.withColumn("score", F.when(F.size(grams) > 0, F.round(mean, 9)).otherwise(0.0)).drop(grams)
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))

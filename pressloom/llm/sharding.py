@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pressloom.llm.stages import staged
+from pressloom.llm.stages import free_name, staged
 
 GROUP = 1024  # partitions whose rows of the matrix one task draws
 ROW_BITS = 33  # of monotonically_increasing_id: the place within a partition
@@ -80,9 +80,10 @@ def shuffle_into_shards(docs: DataFrame, shards: int, seed: int = 1, bucket_rows
     """``docs`` with ``shard`` (int) and ``slot`` (long, gapless from 0 in each shard), sizes at most one row apart."""
     keep = [c for c in docs.columns if c.lower() not in ("shard", "slot")]
     # the local permutation; written, so that counting and dealing out see the same rows in the same order
-    permuted = docs.select(*keep).withColumn("_key", F.rand(seed)).sortWithinPartitions("_key").drop("_key")
-    rows = staged(permuted.withColumn("_row", F.monotonically_increasing_id()), "shards")
-    place = rows.select("_row", F.shiftright("_row", ROW_BITS).alias("_part"), F.col("_row").bitwiseAND(F.lit((1 << ROW_BITS) - 1)).alias("_at"))
+    key, row = free_name(docs, "_key"), free_name(docs, "_row")
+    permuted = docs.select(*keep).withColumn(key, F.rand(seed)).sortWithinPartitions(key).drop(key)
+    rows = staged(permuted.withColumn(row, F.monotonically_increasing_id()), "shards")
+    place = rows.select(F.col(row).alias("_row"), F.shiftright(row, ROW_BITS).alias("_part"), F.col(row).bitwiseAND(F.lit((1 << ROW_BITS) - 1)).alias("_at"))
 
     parts = place.groupBy("_part").agg(F.count("*").alias("n"))
     groups = parts.withColumn("_group", F.floor(F.col("_part") / GROUP))
@@ -108,7 +109,7 @@ def shuffle_into_shards(docs: DataFrame, shards: int, seed: int = 1, bucket_rows
     first = held.select("shard", "_bucket", (F.sum("_n").over(Window.partitionBy("shard").orderBy("_bucket")) - F.col("_n")).alias("_first"))
     rank = F.row_number().over(Window.partitionBy("shard", "_bucket").orderBy("_key", "_row")) - 1
     slots = dealt.withColumn("_rank", rank).join(first, ["shard", "_bucket"]).select("_row", "shard", (F.col("_first") + F.col("_rank")).cast("long").alias("slot"))
-    return rows.join(slots, "_row").select(*keep, "shard", "slot")
+    return rows.join(slots.withColumnRenamed("_row", row), row).select(*keep, "shard", "slot")
 
 
 def shard_digests(docs: DataFrame, shards: int = 8) -> DataFrame:

@@ -7,12 +7,13 @@ block of 4,096 bits) makes rank constant-time and select a binary search, so fro
 the one file come a token at a place, how often an id occurs before a place, and
 where its k-th occurrence stands.
 
-File format (little endian): magic ``PLWM``, version u16, bits u16, tokens u64,
-then per plane: zeros u64, bytes of the deflated plane u32, the deflated bits
-(numpy packbits order), then the deflated rank directory's bytes u32 and itself
-(u32 per block).  In the table, each shard's row carries the file in ``payload``
-next to its documents' ids, lengths and place, so Spark alone reads and writes it
-in any store.
+File format (little endian): magic ``PLWM``, version u16, bits u16, tokens u64, then
+per plane: zeros u64, the rank directory (u32 per block and one for the total), the end
+of each deflated chunk (u32, counted from the first chunk), and the chunks: CHUNK bytes
+of the plane's bits (numpy packbits order), deflated one by one, so that a question
+inflates one or two chunks per plane and not the file.  In the table, each shard's row
+carries the file in ``payload`` next to its documents' ids, lengths and place, so Spark
+alone reads and writes it in any store.
 
 Rows: a null text is empty and holds the end id only.  Documents stand by doc_id,
 null ids last; repeated ids by text.  Repeated rows are repeated documents.  Other
@@ -36,14 +37,48 @@ from pressloom.llm.arrays import offsets, parts, worker_cache
 from pressloom.llm.bpe import encode_texts
 from pressloom.llm.stages import staged
 
-MAGIC, VERSION, BLOCK = b"PLWM", 1, 4096
+MAGIC, VERSION, BLOCK = b"PLWM", 2, 4096
+CHUNK, HELD_CHUNKS = 1 << 14, 64
 SHARD_SCHEMA = "part int, seq int, n_docs int, n_ids long, doc_ids array<long>, lengths array<long>, payload binary"
 
 
+class Bits:
+    """The bytes of a bit-plane: whole, or deflated in chunks that are inflated as they are asked for."""
+
+    def __init__(self, whole: np.ndarray | None = None, packed: memoryview | None = None, ends: np.ndarray | None = None, size: int = 0):
+        self.whole, self.packed, self.ends = whole, packed, ends
+        self.size = size if whole is None else len(whole)
+        self.held: dict[int, np.ndarray] = {}
+        self.inflated = 0
+
+    def _chunk(self, k: int) -> np.ndarray:
+        if self.whole is not None:
+            return self.whole[k * CHUNK : (k + 1) * CHUNK]
+        if k not in self.held:
+            if len(self.held) >= HELD_CHUNKS:
+                self.held.clear()
+            start = int(self.ends[k - 1]) if k else 0
+            self.held[k] = np.frombuffer(zlib.decompress(self.packed[start : int(self.ends[k])]), np.uint8)
+            self.inflated += 1
+        return self.held[k]
+
+    def read(self, start: int, stop: int) -> np.ndarray:
+        """Bytes start .. stop - 1."""
+        first, last = start // CHUNK, max(start, stop - 1) // CHUNK
+        if start >= min(stop, self.size):
+            return np.zeros(0, np.uint8)
+        some = [self._chunk(k) for k in range(first, last + 1) if k * CHUNK < self.size]
+        found = some[0] if len(some) == 1 else np.concatenate(some)
+        return found[start - first * CHUNK : stop - first * CHUNK]
+
+    def chunks(self) -> Iterator[np.ndarray]:
+        return (self._chunk(k) for k in range(-(-self.size // CHUNK)))
+
+
 class WaveletMatrix:
     """Succinct sequence of ids: ``access``, ``rank`` (count) and ``select`` (occurrence lookup)."""
 
-    def __init__(self, n: int, bits: int, planes: list[np.ndarray], zeros: list[int], ones: list[np.ndarray]):
+    def __init__(self, n: int, bits: int, planes: list[Bits], zeros: list[int], ones: list[np.ndarray]):
         self.n, self.bits, self.planes, self.zeros, self.ones = n, bits, planes, zeros, ones
 
     @classmethod
@@ -52,9 +87,9 @@ class WaveletMatrix:
         rest = ids.astype(np.uint16 if bits <= 16 else np.uint32)
         planes, zeros, ones = [], [], []
         for b in range(bits - 1, -1, -1):
-            bit = (rest >> rest.dtype.type(b)) & rest.dtype.type(1) != 0
-            planes.append(np.packbits(bit))
-            ones.append(block_ones(planes[-1]))
+            bit = (rest & rest.dtype.type(1 << b)) != 0
+            planes.append(Bits(np.packbits(bit)))
+            ones.append(block_ones(planes[-1].whole))
             low = rest[~bit]
             zeros.append(len(low))
             rest = np.concatenate((low, rest[bit]))
@@ -63,8 +98,9 @@ class WaveletMatrix:
     def to_bytes(self) -> bytes:
         out = [struct.pack("<4sHHQ", MAGIC, VERSION, self.bits, self.n)]
         for plane, zeros, ones in zip(self.planes, self.zeros, self.ones):
-            bits, ranks = zlib.compress(plane.tobytes(), 1), zlib.compress(ones.astype("<u4").tobytes(), 1)
-            out += [struct.pack("<QI", zeros, len(bits)), bits, struct.pack("<I", len(ranks)), ranks]
+            packed = [zlib.compress(chunk, 1) for chunk in plane.chunks()]
+            ends = np.cumsum([len(x) for x in packed]).astype("<u4")
+            out += [struct.pack("<Q", zeros), ones.astype("<u4").tobytes(), ends.tobytes(), *packed]
         return b"".join(out)
 
     @classmethod
@@ -73,21 +109,23 @@ class WaveletMatrix:
         if magic != MAGIC or version != VERSION:
             raise ValueError("not a token file")
         at, planes, zeros, ones = struct.calcsize("<4sHHQ"), [], [], []
+        size = -(-n // 8)
+        chunks, blocks = -(-size // CHUNK), -(-size // (BLOCK // 8)) + 1
         for _ in range(bits):
-            zero, size = struct.unpack_from("<QI", data, at)
-            at += 12
-            planes.append(np.frombuffer(zlib.decompress(data[at : at + size]), np.uint8))
-            at += size
-            (size,) = struct.unpack_from("<I", data, at)
-            ones.append(np.frombuffer(zlib.decompress(data[at + 4 : at + 4 + size]), "<u4").astype(np.int64))
-            at += 4 + size
-            zeros.append(zero)
+            zeros.append(struct.unpack_from("<Q", data, at)[0])
+            ones.append(np.frombuffer(data, "<u4", blocks, at + 8).astype(np.int64))
+            at += 8 + 4 * blocks
+            ends = np.frombuffer(data, "<u4", chunks, at)
+            at += 4 * chunks
+            stop = at + (int(ends[-1]) if chunks else 0)
+            planes.append(Bits(packed=memoryview(data)[at:stop], ends=ends, size=size))
+            at = stop
         return cls(n, bits, planes, zeros, ones)
 
     def rank1(self, plane: int, i: int) -> int:
         """Ones among the first i bits of a plane."""
         block = i // BLOCK
-        piece = np.unpackbits(self.planes[plane][block * BLOCK // 8 : (i + 7) // 8])
+        piece = np.unpackbits(self.planes[plane].read(block * BLOCK // 8, (i + 7) // 8))
         return int(self.ones[plane][block]) + int(piece[: i - block * BLOCK].sum())
 
     def select(self, plane: int, one: bool, k: int) -> int:
@@ -95,11 +133,11 @@ class WaveletMatrix:
         ones = self.ones[plane]
         before = ones if one else np.arange(len(ones)) * BLOCK - ones
         block = int(np.searchsorted(before, k, side="right")) - 1
-        piece = np.unpackbits(self.planes[plane][block * BLOCK // 8 : (block + 1) * BLOCK // 8])
+        piece = np.unpackbits(self.planes[plane].read(block * BLOCK // 8, (block + 1) * BLOCK // 8))
         return block * BLOCK + int(np.flatnonzero(piece == one)[k - int(before[block])])
 
     def _bit(self, plane: int, i: int) -> int:
-        return int(self.planes[plane][i >> 3] >> (7 - (i & 7))) & 1
+        return int(self.planes[plane].read(i >> 3, (i >> 3) + 1)[0] >> (7 - (i & 7))) & 1
 
     def access(self, i: int) -> int:
         """The id at place i."""
@@ -141,7 +179,7 @@ class WaveletMatrix:
         """All ids, from the lowest plane up."""
         rest = np.zeros(self.n, np.uint16 if self.bits <= 16 else np.uint32)
         for p in range(self.bits - 1, -1, -1):
-            bit = np.unpackbits(self.planes[p], count=self.n).view(np.bool_) if self.n else np.zeros(0, np.bool_)
+            bit = np.unpackbits(self.planes[p].read(0, self.planes[p].size), count=self.n).view(np.bool_)
             out = np.empty_like(rest)
             out[~bit] = rest[: self.zeros[p]]
             out[bit] = rest[self.zeros[p] :] | rest.dtype.type(1 << (self.bits - 1 - p))
@@ -156,14 +194,31 @@ def block_ones(plane: np.ndarray) -> np.ndarray:
 
 
 def tokenizer(path: str) -> Tokenizer:
-    """The worker's tokenizer of a ``tokenizers`` file.  Special tokens' strings in a text are ordinary text."""
+    """The worker's tokenizer of a ``tokenizers`` file."""
     held = worker_cache("tokenizers", 8)
     if path not in held:
         held[path] = Tokenizer.from_file(path)
-        held[path].encode_special_tokens = True
     return held[path]
 
 
+def library_ids(texts: list[str], encoder: Tokenizer, key: str) -> Iterator[np.ndarray]:
+    """Ids of each text as the library gives them without special tokens of its own; ``key`` names the worker's memory of pieces.
+
+    A text that holds the string of an added token goes to the library whole, which
+    finds such tokens before it splits; of all others each piece is encoded once.
+    """
+    added = [t.content for t in encoder.get_added_tokens_decoder().values()]
+
+    def encode(new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [x.ids for a in range(0, len(new), 4096) for x in encoder.encode_batch_fast(new[a : a + 4096], add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(found), np.uint32), offsets([len(x) for x in found])
+
+    special = [any(a in t for a in added) for t in texts]
+    plain = encode_texts(["" if s else t for t, s in zip(texts, special)], encode, key)
+    for text, is_special, ids in zip(texts, special, plain):
+        yield np.array(encoder.encode(text, add_special_tokens=False).ids, np.uint32) if is_special else ids
+
+
 def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, shard_ids: int = 4_000_000, partitions: int | None = None) -> DataFrame:
     """Encode ``docs`` (doc_id, text) and write the shards below ``spark.checkpoint.dir``; returns their table.
 
@@ -185,10 +240,6 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, shard_i
         docs_in: list[int | None] = []
         held = 0
 
-        def encode(new: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            found = [x.ids for a in range(0, len(new), 4096) for x in encoder.encode_batch_fast(new[a : a + 4096], add_special_tokens=False)]
-            return np.fromiter(chain.from_iterable(found), np.uint32), offsets([len(x) for x in found])
-
         def shard() -> pa.RecordBatch:
             flat = np.concatenate(ids)
             values = [part, seq, len(ids), len(flat), list(docs_in), [len(x) for x in ids], WaveletMatrix.build(flat).to_bytes()]
@@ -198,7 +249,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, shard_i
 
         for part_of in (p for batch in batches for p in parts(batch, "text")):
             texts = [t or "" for t in part_of.column("text").to_pylist()]
-            for doc_id, found in zip(part_of.column("doc_id").to_pylist(), encode_texts(texts, encode, f"pieces:{tokenizer_path}")):
+            for doc_id, found in zip(part_of.column("doc_id").to_pylist(), library_ids(texts, encoder, f"pieces:{tokenizer_path}")):
                 ids.append(np.append(found, np.uint32(end_id)))
                 docs_in.append(doc_id)
                 held += len(ids[-1])

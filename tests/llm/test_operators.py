@@ -162,6 +162,42 @@ def test_jaccard_join_with_frequent_tokens(spark, some, monkeypatch):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute.jaccard_components(docs)
 
 
+def changed(i, k=120):
+    """A text of ``k`` words, and the same with one word changed."""
+    w = [f"own{i}x{j}" for j in range(k)]
+    return " ".join(w), " ".join([*w[:60], f"other{i}", *w[61:]])
+
+
+def test_rows_of_one_id_keep_all_their_links(spark):
+    """Twelve rows of id 500 (or none), each a near copy of another document."""
+    docs = [(i, changed(i)[0], "s") for i in range(1, 13)]
+    for again in range(2):
+        got = ngram_join.jaccard_components(frame(spark, docs + [(500, changed(i)[1], "s") for i in range(1, 13)]).repartition(3 + again)).collect()
+        assert {(r["doc_id"], r["component_id"]) for r in got} == {(i, 1) for i in [*range(1, 13), 500]} and len(got) == 24
+        got = ngram_join.jaccard_components(frame(spark, docs + [(None, changed(i)[1], "s") for i in range(1, 13)]).repartition(3 + again)).collect()
+        assert sorted((r["doc_id"] or 0, r["component_id"]) for r in got) == sorted([(i, i) for i in range(1, 13)] + [(0, i) for i in range(1, 13)])
+
+
+def test_one_row_of_a_group_stays(spark):
+    docs = [(i, changed(i)[0], "s") for i in range(1, 13)] + [(500, changed(i)[1], "s") for i in range(1, 7)] + [(None, changed(i)[1], "s") for i in range(4, 13)]
+    docs += [(7, "seven words that stand here alone twice", "s")] * 2 + [(None, "eight words that stand without any id twice", "s")] * 2
+    docs += [(600, None, "a"), (600, None, "a"), (None, " ", "b"), (None, "", "b"), (None, "", "b")]
+    kept = ngram_join.drop_near_copies(frame(spark, docs).withColumns({"_doc": F.lit(1), "least": F.lit(2)}), 3, 90).collect()
+    want = [(i, changed(i)[0]) for i in range(1, 13)] + [(7, docs[-9][1]), (None, docs[-7][1])] + [(i, t) for i, t, _ in docs[-5:]]
+    assert sorted(map(repr, want)) == sorted(repr((r["doc_id"], r["text"])) for r in kept)
+    assert all(r["_doc"] == 1 and r["least"] == 2 for r in kept)
+
+
+def test_large_groups_of_copies(spark):
+    """A third of all rows is one text, a third near copies of another."""
+    docs = [(i, "one text that very many rows have in common") for i in range(400)]
+    docs += [(1000 + i, " ".join([f"w{j}" for j in range(100)] + [f"end{i}"])) for i in range(150)]
+    docs += [(2000 + i, f"a text of its own number {i} and nothing else {i * 7}") for i in range(300)]
+    got = ngram_join.jaccard_components(frame(spark, [(i, t, "s") for i, t in docs])).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {i: 0 if i < 400 else 1000 if i < 2000 else i for i, _ in docs}
+    assert ngram_join.drop_near_copies(frame(spark, [(i, t, "s") for i, t in docs]), 3, 90).count() == 302
+
+
 def test_jaccard_edges(edges, empty):
     got = {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in ngram_join.jaccard_components(edges).collect()}
     assert {(1, 0, 1), (2, 0, 2), (3, 0, 3), (4, 1, 4), (5, 1, 4), (None, 3, None)} <= got
@@ -188,10 +224,24 @@ def test_wavelet_matrix_against_the_plain_sequence():
         assert m.locate(int(ids[0]), n) == -1 and m.rank(1 << 20, n) == 0
 
 
+def test_a_question_inflates_few_chunks():
+    ids = np.random.default_rng(6).integers(0, 50257, 1_500_000).astype(np.uint32)
+    data = token_files.WaveletMatrix.build(ids).to_bytes()
+    whole = 16 * -(-len(ids) // 8 // token_files.CHUNK)
+    for ask in (lambda m: m.access(777_777), lambda m: m.rank(int(ids[5]), 1_234_567), lambda m: m.locate(int(ids[5]), 3)):
+        m = token_files.WaveletMatrix.from_bytes(data)
+        ask(m)
+        assert 0 < sum(p.inflated for p in m.planes) <= 64 < whole
+
+
+def test_wavelet_matrix_of_no_ids():
+    m = token_files.WaveletMatrix.from_bytes(token_files.WaveletMatrix.build(np.zeros(0, np.uint32)).to_bytes())
+    assert m.decode().tolist() == [] and m.rank(3, 0) == 0 and m.locate(3, 0) == -1
+
+
 def test_token_files_round_trip(spark, some, edges, empty):
     tokenizer = Tokenizer.from_file(TOKENIZER)
-    tokenizer.encode_special_tokens = True
-    docs = [(i, t) for i, t in some] + [(-5, None), (10**9, "<|endoftext|> it's")]
+    docs = [(i, t) for i, t in some] + [(-5, None), (10**9, "<|endoftext|> it's"), (10**9 + 1, "a <|endoftext|> b"), (10**9 + 2, "x" * 9000 + "<|endoftext|><|endoftext|>")]
     files = token_files.write_token_files(frame(spark, [(i, t, "s") for i, t in docs]), TOKENIZER, 2, shard_ids=5000)
     got = {r["doc_id"]: (r["start"], list(r["ids"])) for r in token_files.read_token_files(files).collect()}
     at = 0
@@ -199,6 +249,7 @@ def test_token_files_round_trip(spark, some, edges, empty):
         ids = tokenizer.encode(t or "", add_special_tokens=False).ids + [2]
         assert got[i] == (at, ids)
         at += len(ids)
+    assert got[10**9 + 1][1] == [64, 220, 50256, 275, 2]
     assert files.count() > 3
     assert token_files.token_file_digests(edges, TOKENIZER).count() == edges.count()
     assert token_files.token_file_digests(empty, TOKENIZER).count() == 0
@@ -328,6 +379,28 @@ def test_quality_tells_trusted_text_from_junk(spark):
     assert kept == set(range(40))
 
 
+def test_columns_of_any_name_pass_through(spark, some):
+    """Names that the operators use inside themselves."""
+    inner = ["_key", "_row", "_part", "_at", "_source", "_mark", "_class", "_salt", "_rank", "_before", "_each", "_offset", "_rows", "_words", "_size", "_copy", "_lines", "_windows", "_places", "_grams", "_id", "_trusted", "_weight", "_cap", "_level", "_doc", "_same", "_starts", "bucket", "n", "t"]
+    plain = frame(spark, [(i, t, "s" if i % 2 else "r") for i, t in some[:50]])
+    docs = plain.withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in inner})
+    trusted = plain.select("doc_id").limit(20)
+    mixed = mixing.mix_sources(docs)
+    made = {
+        "shards": (sharding.shuffle_into_shards(docs, 3), None, ()),
+        "mix": (mixed, mixing.mix_sources(plain), ("size", "source_size", "target", "copies", "taken")),
+        "copies": (mixing.emit_copies(mixed).distinct(), None, ()),
+        "quality": (quality.with_quality(docs, trusted), quality.with_quality(plain, trusted), quality.MEASURES),
+        "repeats": (substring_dedup.remove_repeats(docs), substring_dedup.remove_repeats(plain), ("n_words", "n_removed")),
+    }
+    for name, (out, want, results) in made.items():
+        rows = out.collect()
+        assert len(rows) > (10 if name == "copies" else 49) and set(inner) <= set(out.columns), name
+        assert all(r[c] == f"{c}{r['doc_id']}" for r in rows for c in inner), name
+        if want is not None:
+            assert sorted((r["doc_id"], *(r[c] for c in results)) for r in rows) == sorted((r["doc_id"], *(r[c] for c in results)) for r in want.collect()), name
+
+
 def test_native_operators_use_no_python(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet")
     for df in (mixing.mix_sources(docs), quality.with_quality(docs, docs.select("doc_id"))):
@@ -366,6 +439,31 @@ def unit(x):
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def test_every_vector_searches_the_graph(monkeypatch):
+    """Also where links are so sparse that the audit ends with the last vector."""
+    rng = np.random.default_rng(4)
+    x = unit(rng.normal(size=(700, 24)))
+    x[650:] = unit(x[:50] + 0.02 * rng.normal(size=(50, 24)))
+    graph, searches = embedding_dedup.Graph.build(x, 0), []
+    plain = embedding_dedup.Graph.within
+    monkeypatch.setattr(embedding_dedup.Graph, "within", lambda self, q, least, width: searches.append(width) or plain(self, q, least, width))
+    found = embedding_dedup.linked(graph, x, 0.93, True)
+    truth = (x @ x.T >= 0.93) & ~np.eye(700, dtype=bool)
+    assert (found == truth).all() and truth.sum() == 100
+    assert len(searches) >= 700 and max(searches) < 700
+    # without what the audit saw
+    hits = sum(int((truth[i] & np.isin(np.arange(700), plain(graph, x[i], 0.93, 16))).sum()) for i in range(700))
+    assert hits >= 0.98 * truth.sum()
+
+
+def test_vectors_without_id_and_repeated_rows(spark):
+    v = [float(np.float32(a)) for a in np.random.default_rng(2).normal(size=8)]
+    rows = [(None, v, 1), (None, v, 1), (4, v, 1), (4, v, 1), (5, [-a for a in v], 1), (None, None, None)]
+    out = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").withColumns({"point": F.lit(1), "copies": F.lit(2), "fine": F.lit("x")})
+    got = sorted(((r["vec_id"] or -1, r["n_links"], r["component_id"] or -1, r["kept"]) for r in embedding_dedup.embedding_components(out).collect()))
+    assert got == [(-1, 0, -1, True), (-1, 3, 4, False), (-1, 3, 4, False), (4, 3, 4, True), (4, 3, 4, True), (5, 0, 5, True)]
+
+
 def test_a_group_wider_than_the_beam_is_found_across_shards():
     rng = np.random.default_rng(0)
     x = unit(np.concatenate([rng.normal(size=16) + rng.normal(size=(400, 16)) * 0.22, rng.normal(size=(600, 16))]))[rng.permutation(1000)]
