@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pressloom.llm.bpe import decode_bpe, encode_bpe
 from pressloom.llm.mixing import emit_copies, mix_sources
-from pressloom.llm.ngram_join import jaccard_components
+from pressloom.llm.ngram_join import drop_near_copies
 from pressloom.llm.queries import RANKS
 from pressloom.llm.stages import staged
 from pressloom.llm.substring_dedup import remove_repeats
@@ -29,9 +29,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group that shares at least 0.8 of its five-word shingles, the smallest doc_id stays."""
-    groups = jaccard_components(docs, size=5, num=80, den=100)
-    gone = groups.filter("component_id < doc_id").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    return drop_near_copies(docs, size=5, num=80, den=100).select(*COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
