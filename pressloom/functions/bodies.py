@@ -31,7 +31,7 @@ def rule_literal(rule: SiteRule) -> Sql:
         prune_struct(rule.prune).alias("prune"), selector_array(rule.bodies).alias("bodies"),
         strings(rule.tags).alias("tags"), strings(rule.wrappers).alias("wrappers"),
         F.lit(rule.min_chars).alias("min_chars"), F.lit(rule.min_total).alias("min_total"),
-        strings(rule.skip_like).alias("skip_like"),
+        strings(rule.skip_like).alias("skip_like"), F.lit(rule.climb).alias("climb"),
     )
 
 
@@ -87,7 +87,7 @@ def headline_box_body(nodes: Sql, rule: Sql) -> Sql:
     def around(page: Sql) -> Sql:
         h1 = F.get(F.filter(page, lambda n: n.getField("tag") == "h1"), F.lit(0))
         span = lambda n: F.struct(F.lit(0).alias("rank"), n.getField("id").alias("id"), n.getField("end").alias("end"))
-        up = let(h1, lambda h: F.when(h.isNotNull(), let(climb(page, h, ["article", "section", "div", "main"], 6), span)))
+        up = let(h1, lambda h: F.when(h.isNotNull(), let(climb(page, h, ["article", "section", "div", "main"], rule.getField("climb")), span)))
         box = F.coalesce(up, select_first(page, rule.getField("containers")), whole(page))
         title = F.coalesce(let(h1, lambda h: node_text(page, h)), F.lit(""))
         clean = prune(page, rule.getField("prune"))
@@ -110,6 +110,7 @@ def descriptions(nodes: Sql, twitter: bool = False) -> Sql:
                       first(F.transform(stated, strip), lambda t: t != ""))
 
 
+# Boxes of lead texts and of captions.
 LEAD_BOXES = [
     "[itemprop='description']", "article .article__lead, article .o-article__lead", ".article__summary, .t-content__body",
     "article",
@@ -158,6 +159,7 @@ def video_body(nodes: Sql, rule: Sql) -> Sql:
     return cl.caption_pattern(visible_text(nodes, " "))
 
 
+# Places of photo captions.
 CAPTION_PARAGRAPHS = ["figure figcaption", ".image__caption", ".image-caption", ".photo__caption", ".photo-caption",
                       ".figure__caption", ".caption"]
 
@@ -189,7 +191,7 @@ def news_body(nodes: Sql, rule: Sql) -> Sql:
     def story(page: Sql) -> Sql:
         title = F.coalesce(let(_heading(page), lambda h: node_text(page, h)), F.lit(""))
         near = let(_heading(page), lambda h: F.when(h.isNotNull(), let(
-            climb(page, h, ["div", "section", "article"], 4), lambda b: node_text(page, b, "\n"))))
+            climb(page, h, ["div", "section", "article"], rule.getField("climb")), lambda b: node_text(page, b, "\n"))))
         box = let(select_first(page, rule.getField("bodies")), lambda b: F.when(
             b.isNotNull(), node_text(page, b, "\n")))
         return let(title, lambda t: F.coalesce(
@@ -219,7 +221,7 @@ def audio_body(nodes: Sql, rule: Sql) -> Sql:
 
     def parts(page: Sql) -> Sql:
         near = let(_heading(page), lambda h: F.when(h.isNotNull(), let(
-            climb(page, h, ["div", "section", "article"], 3), lambda b: let(before(node_text(page, b, "\n")), lambda t: F.when(
+            climb(page, h, ["div", "section", "article"], rule.getField("climb")), lambda b: let(before(node_text(page, b, "\n")), lambda t: F.when(
                 F.length(t) > 80, _at_least(F.regexp_replace(
                     cl.drop_leading(t, node_text(page, h)), r"(?s)^.*?Advanced Embed Example.*?\z", ""), F.lit(81)))))))
         named = F.filter(page, lambda n: F.coalesce(
@@ -309,6 +311,7 @@ def release_raw(nodes: Sql) -> Sql:
 @column_function
 def late_date(nodes: Sql, text: Sql, rule: Sql, url: Sql, last_modified: Sql) -> Sql:
     """Sources tried when the page itself gave no date: site habits, then the HTTP header."""
+    # fixed values: how single sites print a date
     name = rule.getField("name")
     slashed = F.regexp_extract(text, r"(?U)\b\d{1,2}/\d{1,2}/\d{4}\b", 0)
     spelled = F.regexp_extract(text, r"(?U)\b\d{1,2}\s+[A-Z][a-z]{2}\s+\d{4}(?:\s+\d{1,2}:\d{2})?\b", 0)

@@ -63,7 +63,12 @@ def order_lines(lines: Column, index: str = "index") -> Column:
 
 
 def keep_body_lines(df: DataFrame, lines: str, title: str, out: str) -> DataFrame:
-    """Add ``out``, the lines that belong to the body: label, confidence, no noise, not the title."""
+    """Add ``out``, the lines that belong to the body: label, confidence, no noise, not the title.
+
+    To get a row per line, take ``explode_outer`` and filter above it: ``explode`` makes
+    Spark test the array's size below the Arrow step as well, with copies of all that
+    the array is made from.
+    """
     df = df.withColumns({
         "_norms": nfkc_all(F.transform(F.col(lines), lambda e: e.getField("text"))),
         "_title": nfkc(F.col(title)),

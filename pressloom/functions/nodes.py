@@ -17,6 +17,7 @@ _SIMPLE = re.compile(
 )
 SELECTOR = "struct<rank:int,tag:string,attr:string,op:string,val:string,above:array<string>>"
 ABOVE_SEPARATOR = "\t"
+SPAN = "struct<id:int,end:int>"
 
 
 # ---- selectors ---------------------------------------------------------------------------
@@ -42,8 +43,6 @@ def selectors(ranked: Iterable[str]) -> list[tuple]:
     for rank, group in enumerate(ranked):
         for css in (c.strip() for c in group.split(",")):
             *above, last = css.split()
-            if len(above) > 2:
-                raise ValueError(f"{css!r}: at most two outer selectors")
             tag, attr, op, val = simple_selector(last)
             outer = [ABOVE_SEPARATOR.join(x or "" for x in simple_selector(a)) for a in above]
             rows.append((rank, tag, attr, op, val, outer))
@@ -95,16 +94,24 @@ def _fits_above(node: Sql, packed: Sql) -> Sql:
 
 
 def matches(nodes: Sql, node: Sql, sel: Sql) -> Sql:
-    """Whether ``node`` fits ``sel``, its (at most two) outer selectors included."""
+    """Whether ``node`` fits ``sel``, its outer selectors included.
+
+    A node that fits climbs from parent to parent, the nearest outer selector first, so
+    the work follows its depth and not the page's size.
+    """
     own = _fits(node, *[sel.getField(k) for k in ("tag", "attr", "op", "val")])
     above = sel.getField("above")
-    outermost = lambda inner: (F.size(above) < 2) | F.exists(
-        nodes, lambda a: _inside(inner, a) & _fits_above(a, F.get(above, F.size(above) - 2))
-    )
-    chain = (F.size(above) == 0) | F.exists(
-        nodes, lambda a: _inside(node, a) & _fits_above(a, F.get(above, F.size(above) - 1)) & outermost(a)
-    )
-    return own & chain
+
+    def climbed(state: Sql, _: Sql) -> Sql:
+        met = lambda outer: (state.getField("left") > 0) & _fits_above(
+            outer, F.get(above, state.getField("left") - 1))
+        return let(F.get(nodes, state.getField("at")), lambda outer: F.struct(
+            outer.getField("parent").alias("at"),
+            (state.getField("left") - F.when(F.coalesce(met(outer), F.lit(False)), 1).otherwise(0)).alias("left")))
+
+    start = F.struct(node.getField("parent").alias("at"), F.size(above).alias("left"))
+    met_all = F.aggregate(F.sequence(F.lit(1), node.getField("depth")), start, climbed).getField("left") == 0
+    return own & ((F.size(above) == 0) | ((node.getField("depth") > 0) & met_all))
 
 
 @column_function
@@ -138,7 +145,7 @@ def ancestors(nodes: Sql, node: Sql) -> Sql:
     return F.reverse(F.filter(nodes, lambda a: _inside(node, a)))
 
 
-def climb(nodes: Sql, node: Sql, tags: list[str], steps: int) -> Sql:
+def climb(nodes: Sql, node: Sql, tags: list[str], steps: int | Sql) -> Sql:
     """The topmost of the node's unbroken chain of ``tags`` parents (at most ``steps``), else the node."""
     def top(chain: Sql) -> Sql:
         fits = F.transform(chain, lambda a: a.getField("tag").isin(tags))
@@ -174,6 +181,9 @@ def prune_sets(css: Iterable[str]) -> dict[str, list]:
     """Selectors of a prune list sorted into sets, so that most nodes need a few look-ups only."""
     out = {"tags": [], "classes": [], "ids": [], "class_like": [], "id_like": [], "other": []}
     for one in (c.strip() for group in css for c in group.split(",")):
+        if len(one.split()) > 1:
+            out["other"].append(one)
+            continue
         tag, key, op, val = simple_selector(one)
         if key is None:
             out["tags"].append(tag)
@@ -223,16 +233,27 @@ def prune(nodes: Sql, p: Sql) -> Sql:
     """Blank every node inside a pruned element (tag, attributes and text become NULL)."""
     roots = F.filter(nodes, lambda n: (n.getField("tag") != "#text") & _is_pruned(nodes, n, p))
     spans = F.transform(roots, lambda n: F.struct(n.getField("id").alias("id"), n.getField("end").alias("end")))
+    # roots stand in document order, so one that starts inside the last outermost one is part of it
+    outermost = F.aggregate(spans, F.struct(F.lit(-1).alias("end"), F.empty(SPAN).alias("spans")), lambda s, c: F.when(
+        c.getField("id") > s.getField("end"),
+        F.struct(c.getField("end").alias("end"), F.concat(s.getField("spans"), F.array(c)).alias("spans"))).otherwise(s))
 
     def blank(n: Sql) -> Sql:
         return F.struct(
             n.getField("id").alias("id"), n.getField("end").alias("end"), n.getField("depth").alias("depth"),
-            F.nothing().alias("tag"), F.nothing("map<string,string>").alias("attr"),
-            F.nothing().alias("text"),
+            F.nothing().alias("tag"), F.nothing("map<string,string>").alias("attr"), F.nothing().alias("text"),
+            n.getField("parent").alias("parent"), n.getField("upto").alias("upto"),
         )
 
-    return let(spans, lambda s: F.transform(nodes, lambda n: F.when(
-        F.exists(s, lambda c: n.getField("id").between(c.getField("id"), c.getField("end"))), blank(n)).otherwise(n)))
+    def cut(s: Sql) -> Sql:
+        """The nodes before each span as they are, the span's blanked, and what follows the last."""
+        end_before = lambda i: F.coalesce(F.get(s, i - 1).getField("end"), F.lit(-1))
+        pieces = F.transform(s, lambda c, i: F.concat(
+            F.slice(nodes, end_before(i) + 2, c.getField("id") - end_before(i) - 1), F.transform(subtree(nodes, c), blank)))
+        last = end_before(F.size(s))
+        return F.concat(F.flatten(pieces), F.slice(nodes, last + 2, F.size(nodes) - last - 1))
+
+    return let(outermost.getField("spans"), lambda s: F.when(F.size(s) == 0, nodes).otherwise(cut(s)))
 
 
 # ---- blocks ------------------------------------------------------------------------------
@@ -276,15 +297,22 @@ def paragraphs(
 def largest_block(nodes: Sql, min_block: int = 120, min_part: int = 25) -> Sql:
     """Parts of the longest ``div``/``section``/``article``/``main`` text, at least two, or NULL.
 
-    Blocks that look like interface elements by class or id are left out.
+    Blocks that look like interface elements by class or id are left out.  The shredder's
+    running text lengths tell each block's size, so only the longest one's text is put
+    together; ``nodes`` is a page as shredded, not a pruned one.
     """
     ui = "|".join(UI_TOKENS)
     blocks = F.filter(nodes, lambda n: n.getField("tag").isin("div", "section", "article", "main")
                       & ~_class_and_id(n).rlike(ui))
-    sized = F.transform(blocks, lambda n: node_text(nodes, n))
-    best = F.array_max(F.transform(
-        F.filter(sized, lambda t: F.length(t) > min_block), lambda t: F.struct(F.length(t).alias("n"), t.alias("t"))))
-    pieces = F.transform(F.split(best.getField("t"), r"(?U)\n+|\s{2,}"), strip)
+    after = lambda n: F.get(nodes, n.getField("end")).getField("upto")
+    sized = F.transform(blocks, lambda n: F.struct(
+        (after(n) - n.getField("upto") - 1).alias("n"), n.getField("upto").alias("before"), after(n).alias("after")))
+    # boxes around one and the same text are one candidate
+    longest = let(sized, lambda all_sizes: let(F.array_max(F.transform(all_sizes, lambda b: b.getField("n"))), lambda most: F.when(
+        most > min_block, F.array_distinct(F.filter(all_sizes, lambda b: b.getField("n") == most)))))
+    text = F.array_max(F.transform(longest, lambda b: visible_text(F.filter(
+        nodes, lambda n: (n.getField("upto") > b.getField("before")) & (n.getField("upto") <= b.getField("after"))), " ")))
+    pieces = F.transform(F.split(text, r"(?U)\n+|\s{2,}"), strip)
     return let(F.filter(pieces, lambda p: F.length(p) >= min_part),
                lambda parts: F.when(F.size(parts) >= 2, F.array_join(parts, "\n")))
 

@@ -7,7 +7,7 @@ parameters.  Users add rules by extending the list; no code changes.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pressloom.functions.nodes import PRUNE, SELECTOR, UI_TOKENS, prune_sets, selectors
 
@@ -30,6 +30,7 @@ class SiteRule:
     min_chars: int = 1
     min_total: int = 1
     skip_like: tuple[str, ...] = ()            # elements with one of these in class or id are no paragraphs
+    climb: int = 4                             # steps up from the headline to the box around its text, at most
 
 
 # ---- fixed values: selector lists and rules of the known sites ------------------------------
@@ -40,13 +41,19 @@ _TAGS = (".tags", ".post-tags", ".entry-tags")
 _META = (".meta", ".post-meta", ".entry-meta", ".byline")
 _COMMENTS = (".comments", "#comments", ".comment", ".comment-list", ".comment-form")
 _LETTERS = (".newsletter", ".subscribe", ".subscription")
-_MEDIA = ("figure", "figcaption", "iframe", "noscript")
 _ADS = (".ad", ".advertisement", "[id*='ad-']", "[class*='ad-']")
-_PLAYERS = (".inline-video", ".video-player", ".audio-player", ".gallery", ".slideshow")
-_STORIES = (".related", ".related-stories", ".more-stories", ".article-related", ".recommendations")
+# What several sites' article templates hold besides the text.
 _TEMPLATE = (
-    *_CHROME, ".breadcrumbs", ".breadcrumb", ".toolbar", *_SHARE, *_TAGS, ".tag-list", *_META, ".author", *_STORIES,
-    *_COMMENTS, *_LETTERS, *_PLAYERS, *_MEDIA, *_ADS,
+    "header", "nav", "footer", "aside", "form", "script", "style",
+    ".breadcrumbs", ".breadcrumb", ".toolbar",
+    ".share", ".share-tools", ".share-buttons", "[class*='share']",
+    ".tags", ".tag-list", ".post-tags", ".entry-tags", ".byline", ".author", ".meta", ".post-meta", ".entry-meta",
+    ".related", ".related-stories", ".more-stories", ".article-related", ".recommendations",
+    ".comments", "#comments", ".comment", ".comment-list", ".comment-form",
+    ".newsletter", ".subscribe", ".subscription",
+    ".inline-video", ".video-player", ".audio-player", ".gallery", ".slideshow",
+    "figure", "figcaption", "iframe", "noscript",
+    ".ad", ".advertisement", "[id*='ad-']", "[class*='ad-']",
 )
 _HUB_CHROME = (
     *_CHROME, ".site-header", ".site-footer", ".navbar", ".nav", ".menu", ".global-header", ".global-footer",
@@ -70,7 +77,7 @@ SITE_RULES = [
     SiteRule("dvids:image", _HUB, "image", "/image/", priority=90,
              containers=("div.caption, div#caption, div.image-details",)),
     SiteRule("dvids:video", _HUB, "video", "/video/", priority=90),
-    SiteRule("dvids:audio", _HUB, "audio", "/audio/", priority=90, page_prune=_HUB_CHROME, bodies=(
+    SiteRule("dvids:audio", _HUB, "audio", "/audio/", priority=90, page_prune=_HUB_CHROME, climb=3, bodies=(
         "div.field-name-body", "div[itemprop='description']", "div.description", "article .description", "article")),
     SiteRule("dvids:news", _HUB, "news", "/news/", priority=90, page_prune=_HUB_CHROME, bodies=(
         "div.field-name-body", "article .field--name-body", "div[itemprop='articleBody']", "article")),
@@ -80,7 +87,7 @@ SITE_RULES = [
     SiteRule("crntt", "crntt.com", "lines", priority=60),
     SiteRule("crntt:bj", "bj.crntt.com", "lines", priority=60),
     SiteRule(
-        "vietnam.vn", "vietnam.vn", "headline_box", priority=60,
+        "vietnam.vn", "vietnam.vn", "headline_box", priority=60, climb=6,
         page_prune=(*_CHROME, ".site-header", ".site-footer", ".navbar", ".breadcrumbs", ".breadcrumb", ".topbar",
                     ".top-nav", ".toolbar"),
         containers=("article", "main", "div.entry-content", "div.post-content", "div.single-content", "div.content"),
@@ -132,16 +139,9 @@ SITE_RULES = [
                 "[class*='rich'], [class*='text'], [class*='txt'], [class*='content']"),
         tags=("p", "li", "div", "span"), wrappers=("section", "article", "figure", "ul", "ol"), min_chars=25,
         min_total=160, skip_like=UI_TOKENS),
-    SiteRule(
-        "shobserver:detail", "shobserver.com", path_prefix="/staticsg/res/html/web/newsDetail.html", priority=80,
-        containers=("#newsDetail", "article", "main article", "[role='main'] article", "main"), prune=_TEMPLATE,
-        bodies=("#newsContent, #newscontent, [id*='news-content']", ".newsContent, .news-content, .news_content",
-                "[itemprop='articleBody']",
-                ".article-content, .article__content, .content__article, .content__body, .detail-content, "
-                ".detail__content, .content"),
-        tags=("p", "div", "li"), wrappers=("div", "section", "article", "figure", "ul", "ol"), min_chars=25,
-        min_total=160),
 ]
+# the same page under its direct address
+SITE_RULES.append(replace(SITE_RULES[0], name="shobserver:detail", path_prefix="/staticsg/res/html/web/newsDetail.html", priority=80))
 
 # The body of any other page: the paragraphs of its main container, without chrome.
 GENERIC = SiteRule(
@@ -153,7 +153,7 @@ GENERIC = SiteRule(
 RULE = (
     "struct<name:string,kind:string,path_prefix:string,path_regex:string,no_fallback:boolean,"
     f"page_prune:{PRUNE},containers:array<{SELECTOR}>,prune:{PRUNE},bodies:array<{SELECTOR}>,"
-    "tags:array<string>,wrappers:array<string>,min_chars:int,min_total:int,skip_like:array<string>>"
+    "tags:array<string>,wrappers:array<string>,min_chars:int,min_total:int,skip_like:array<string>,climb:int>"
 )
 
 
@@ -166,4 +166,5 @@ def rule_row(r: SiteRule) -> tuple:
     return (
         r.name, r.kind, r.path_prefix, r.path_regex, r.no_fallback, _prune_row(r.page_prune), selectors(r.containers),
         _prune_row(r.prune), selectors(r.bodies), list(r.tags), list(r.wrappers), r.min_chars, r.min_total, list(r.skip_like),
+        r.climb,
     )

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pressloom.functions.nodes import (
-    _inside, attr, first_tag_text, longest, meta_content, node_text, selector_array, select_first, visible_text,
+    _inside, attr, longest, matches, meta_content, node_text, selector_array, select_first, visible_text,
 )
 from pressloom.functions.sqltext import F, Sql, column_function, filled, first, let, strip
 
@@ -73,36 +73,48 @@ def strip_brand(title: Sql, tokens: Sql, strict: bool = False) -> Sql:
     return F.regexp_replace(F.regexp_replace(joined, SEPARATOR + "$", ""), r"(?U)\s{2,}", " ")
 
 
-def _headings(nodes: Sql) -> list[Sql]:
-    """First heading text per place, best place first."""
-    def heading(tag: str, *boxes: str) -> Sql:
-        def fits(n: Sql) -> Sql:
-            ok = n.getField("tag") == tag
-            if len(boxes) == 1:
-                ok &= F.exists(nodes, lambda a: (a.getField("tag") == boxes[0]) & _inside(n, a))
-            if len(boxes) == 2:
-                ok &= F.exists(nodes, lambda a: (a.getField("tag") == boxes[1]) & _inside(n, a) & F.exists(
-                    nodes, lambda m: (m.getField("tag") == boxes[0]) & _inside(a, m)))
-            return F.coalesce(ok, F.lit(False))
+HEADINGS = ["article h1", "main article h1", "main h1", "h1", "article h2", "h2"]
+TITLE_CLASS = "title|headline|subject"
+
+
+def title_nodes(nodes: Sql) -> Sql:
+    """The few nodes that titles come from: headings, ``<title>``, metas, elements of a title-like class."""
+    return F.filter(nodes, lambda n: F.coalesce(
+        n.getField("tag").isin("h1", "h2", "h3", "title", "meta") | attr(n, "class").rlike(TITLE_CLASS), F.lit(False)))
+
+
+def _text(nodes: Sql, node: Sql) -> Sql:
+    return let(node, lambda n: node_text(nodes, n))
+
 
-        return let(first(nodes, fits), lambda n: node_text(nodes, n))
+def _headings(nodes: Sql, marked: Sql) -> list[Sql]:
+    """First heading text per place, best place first."""
+    def heading(css: str) -> Sql:
+        return _text(nodes, first(marked, lambda n: matches(nodes, n, F.get(selector_array([css]), 0))))
 
-    places = [("h1", "article"), ("h1", "main", "article"), ("h1", "main"), ("h1",), ("h2", "article"), ("h2",)]
-    return [heading(*p) for p in places]
+    return [heading(css) for css in HEADINGS]
 
 
 @column_function
 def page_title(nodes: Sql, tokens: Sql) -> Sql:
     """A real heading, else a title meta, else ``<title>``; the last two without brand; NULL when none."""
+    return let(title_nodes(nodes), lambda marked: _page_title(nodes, marked, tokens))
+
+
+def _page_title(nodes: Sql, marked: Sql, tokens: Sql) -> Sql:
     def accepted(text: Sql) -> Sql:
         return let(text, lambda t: F.when(
             (F.length(t) >= MIN_HEADING) & ~F.array_contains(tokens, F.lower(strip(t))), t))
 
     declared = F.coalesce(
-        meta_content(nodes, "property", "og:title"), meta_content(nodes, "name", "twitter:title"),
-        meta_content(nodes, "name", "title"), first_tag_text(nodes, "title"),
+        meta_content(marked, "property", "og:title"), meta_content(marked, "name", "twitter:title"),
+        meta_content(marked, "name", "title"), _tag_text(nodes, marked, "title"),
     )
-    return F.coalesce(*[accepted(h) for h in _headings(nodes)], strip_brand(declared, tokens))
+    return F.coalesce(*[accepted(h) for h in _headings(nodes, marked)], strip_brand(declared, tokens))
+
+
+def _tag_text(nodes: Sql, marked: Sql, *tags: str) -> Sql:
+    return filled(_text(nodes, first(marked, lambda n: n.getField("tag").isin(*tags))))
 
 
 @column_function
@@ -111,63 +123,62 @@ def trim_prefix(title: Sql) -> Sql:
     return F.regexp_replace(title, rf"^(?:{'|'.join(LISTING_PREFIXES)})[ \-|–—]*", "")
 
 
-def _title_candidates(nodes: Sql) -> Sql:
+def _title_candidates(nodes: Sql, marked: Sql) -> Sql:
     """Longest heading-like text of at least six characters that is not the shell's ``<title>``."""
-    shell = first_tag_text(nodes, "title")
-    heads = F.filter(nodes, lambda n: F.coalesce(
-        n.getField("tag").isin("h1", "h2", "h3") | attr(n, "class").rlike("title|headline|subject"), F.lit(False)))
+    heads = F.filter(marked, lambda n: F.coalesce(
+        n.getField("tag").isin("h1", "h2", "h3") | attr(n, "class").rlike(TITLE_CLASS), F.lit(False)))
     texts = F.transform(heads, lambda n: node_text(nodes, n))
-    return let(shell, lambda title: longest(F.filter(
+    return let(_tag_text(nodes, marked, "title"), lambda title: longest(F.filter(
         texts, lambda t: (F.length(t) >= MIN_HEADING) & F.coalesce(t != title, F.lit(True)))))
 
 
-def _boxed_heading(nodes: Sql) -> Sql:
+def _boxed_heading(nodes: Sql, marked: Sql) -> Sql:
     """First ``h1`` inside the detail box, the article or the main part."""
     boxes = F.transform(F.array(*map(selector_array, [["#newsDetail"], ["article"], ["main article"], ["main"]])),
                         lambda s: select_first(nodes, s))
-    heads = F.transform(boxes, lambda box: let(
-        first(nodes, lambda n: (n.getField("tag") == "h1") & _inside(n, box)), lambda n: node_text(nodes, n)))
+    heads = F.transform(boxes, lambda box: _text(
+        nodes, first(marked, lambda n: (n.getField("tag") == "h1") & _inside(n, box))))
     return first(heads, lambda t: t != "")
 
 
-def _classed_heading(nodes: Sql) -> Sql:
-    named = F.filter(nodes, lambda n: F.coalesce(
+def _classed_heading(nodes: Sql, marked: Sql) -> Sql:
+    named = F.filter(marked, lambda n: F.coalesce(
         F.arrays_overlap(F.split(attr(n, "class"), r"\s+"), F.array("title", "news-title", "article-title"))
         | F.contains(attr(n, "class"), F.lit("headline")), F.lit(False)))
     return first(F.transform(named, lambda n: node_text(nodes, n)), lambda t: t != "")
 
 
-def _first_heading(nodes: Sql) -> Sql:
-    return filled(let(first(nodes, lambda n: n.getField("tag").isin("h1", "h2")), lambda n: node_text(nodes, n)))
+# Lines that are no title: interface tokens, print link, time row, site name.
+NO_TITLE_LINE = r"〖[^〗]+〗|打印|\d{4}-\d{2}-\d{2}\s+\d{2}:\d{2}:\d{2}|(?i:CRNTT)"
 
 
-def _first_line(nodes: Sql) -> Sql:
-    """First visible line that is no interface token, print link, time row or site name."""
-    ui = r"〖[^〗]+〗|打印|\d{4}-\d{2}-\d{2}\s+\d{2}:\d{2}:\d{2}|(?i:CRNTT)"
-    lines = F.filter(F.transform(F.split(visible_text(nodes, "\n"), "\n"), strip), lambda t: (t != "") & ~t.rlike(ui))
+def _first_line(nodes: Sql, marked: Sql) -> Sql:
+    """First visible line that may be a title."""
+    lines = F.filter(F.transform(F.split(visible_text(nodes, "\n"), "\n"), strip), lambda t: (t != "") & ~t.rlike(NO_TITLE_LINE))
     return F.get(lines, F.lit(0))
 
 
+# Every source reads the page's title nodes; the page itself only for the text of one it has chosen.
 TITLE_SOURCES = {
-    "og": lambda n: meta_content(n, "property", "og:title"),
-    "twitter": lambda n: meta_content(n, "name", "twitter:title"),
-    "meta": lambda n: meta_content(n, "name", "title"),
-    "h1": lambda n: first_tag_text(n, "h1"),
-    "title": lambda n: first_tag_text(n, "title"),
+    "og": lambda n, marked: meta_content(marked, "property", "og:title"),
+    "twitter": lambda n, marked: meta_content(marked, "name", "twitter:title"),
+    "meta": lambda n, marked: meta_content(marked, "name", "title"),
+    "h1": lambda n, marked: _tag_text(n, marked, "h1"),
+    "title": lambda n, marked: _tag_text(n, marked, "title"),
     "longest": _title_candidates,
     "boxed": _boxed_heading,
     "classed": _classed_heading,
-    "heading": _first_heading,
+    "heading": lambda n, marked: _tag_text(n, marked, "h1", "h2"),
     "line": _first_line,
 }
 
 
-def _by_order(nodes: Sql, order: Sql) -> Sql:
+def _by_order(nodes: Sql, marked: Sql, order: Sql) -> Sql:
     """First source of ``order`` (an array of source names) that yields a title."""
     def value(name: Sql) -> Sql:
         out = F.nothing()
         for source, expression in TITLE_SOURCES.items():
-            out = F.when(name == source, expression(nodes)).otherwise(out)
+            out = F.when(name == source, expression(nodes, marked)).otherwise(out)
         return out
 
     return first(F.transform(order, value))
@@ -187,8 +198,7 @@ def site_title(
     nodes: Sql, domain: Sql, tokens: Sql, site_titles: dict[str, list[str]] | None = None
 ) -> Sql:
     """Final title of a page: generic choice, prefix trim, site order, brand strip, late site order."""
-    generic = trim_prefix(F.coalesce(filled(page_title(nodes, tokens)), F.lit(NO_TITLE)))
-    own = _by_order(nodes, _order_of(domain, SITE_TITLES if site_titles is None else site_titles))
+    order = _order_of(domain, SITE_TITLES if site_titles is None else site_titles)
     is_late = F.lit(False)
     for site in LATE_TITLES:
         is_late |= domain.endswith(site)
@@ -201,5 +211,8 @@ def site_title(
         return let(early, lambda e: F.when(
             is_late & ((e == NO_TITLE) | (F.length(e) < LATE_MIN)), F.coalesce(o, e)).otherwise(e))
 
-    both = F.struct(generic.alias("generic"), own.alias("own"))
-    return let(both, lambda b: choose(b.getField("generic"), b.getField("own")))
+    def both(marked: Sql) -> Sql:
+        generic = trim_prefix(F.coalesce(filled(_page_title(nodes, marked, tokens)), F.lit(NO_TITLE)))
+        return F.struct(generic.alias("generic"), _by_order(nodes, marked, order).alias("own"))
+
+    return let(let(title_nodes(nodes), both), lambda b: choose(b.getField("generic"), b.getField("own")))

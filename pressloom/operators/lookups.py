@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from pressloom.functions.base import col, literal_table
 from pressloom.functions.urls import amp_candidates, host_suffixes, resolve_url, scrape_domain
+from pressloom.session import staged
 
 # Page checks of the fetch stage.
 BLOCKED_PAGE = r"(?i)(blocked|access denied|just a moment|cf-chl|cloudflare|perimeterx|you are being redirected)"
@@ -81,13 +82,37 @@ def top_unmatched(unmatched: DataFrame, publisher: str = "publisherName", n: int
 
 def attach_translations(df: DataFrame, translations: DataFrame, pairs: dict[str, str]) -> DataFrame:
     """Add translated columns from a table ``(text, translated)``; missing ones are ``''``.
+
+    However many columns there are, they take one join with the lookup: the rows are
+    written once with a number, their texts go out as (row, column, digest) and
+    the translations that were found come back per row.  Texts are told apart by a
+    128-bit digest and their length; the texts themselves stay where they are.
+    Repeated texts of the lookup count once, the smallest translation wins.
     """
-    lookup = translations.groupBy("text").agg(F.min("translated").alias("_ja")).withColumnRenamed("text", "_text")
-    for source, target in pairs.items():
-        wanted = F.when(F.length(F.trim(F.col(source))) > 0, F.col(source))
-        joined = spread_left_join(df, lookup, wanted, "_text")
-        df = joined.withColumn(target, F.coalesce(F.col("_ja"), F.lit(""))).drop("_text", "_ja")
-    return df
+    row, rest = free_names(df, "_row", "_found")
+    keep = [c for c in df.columns if c not in pairs.values()]
+    rows = staged(df.withColumn(row, F.monotonically_increasing_id()), "untranslated")
+    texts = F.array(*[F.struct(F.lit(i).alias("k"), F.col(c).cast("string").alias("t")) for i, c in enumerate(pairs)])
+    wanted = rows.select(row, F.explode(F.filter(texts, lambda x: F.length(F.trim(x["t"])) > 0)).alias("x"))
+    digest = lambda t: [F.md5(t.cast("binary")).alias("_digest"), F.length(t).alias("_length")]
+    wanted = wanted.select(row, F.col("x.k").alias("_k"), *digest(F.col("x.t")))
+    lookup = translations.select(*digest(F.col("text")), F.col("translated").alias("_ja"))
+    lookup = lookup.groupBy("_digest", "_length").agg(F.min("_ja").alias("_ja")).filter(F.col("_ja").isNotNull())
+    found = wanted.join(lookup, ["_digest", "_length"]).groupBy(row).agg(
+        F.map_from_entries(F.collect_list(F.struct("_k", "_ja"))).alias(rest))  # an entry per column at most
+    out = rows.join(found, row, "left")
+    made = {target: F.coalesce(F.col(rest)[F.lit(i)], F.lit("")) for i, target in enumerate(pairs.values())}
+    return out.select(*keep, *[v.alias(t) for t, v in made.items()])
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores added until no column of ``df`` has it (case is ignored)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
 
 
 def spread_left_join(df: DataFrame, right: DataFrame, key: Column, right_key: str) -> DataFrame:
@@ -157,7 +182,9 @@ def follow_redirects(pages: DataFrame, corpus: DataFrame) -> DataFrame:
 def amp_variants(pages: DataFrame, corpus: DataFrame) -> DataFrame:
     """First usable light-weight variant of each page: ``(page_id, amp_url, amp_html)``.
 
-    The choice is made on URLs alone; HTML is joined in for the winners only.
+    ``corpus(url, html)`` has distinct URLs.  Its pages are tested once, which leaves the
+    usable URLs; the choice is made on these alone.  A second read fetches the winners'
+    HTML by URL and tests nothing.
     """
     usable = corpus.filter(~is_blocked("html") & (F.length("html") >= VARIANT_MIN_CHARS))
     wanted = pages.select("page_id", F.posexplode(amp_candidates("url")).alias("_pos", "_cand"))
@@ -165,5 +192,6 @@ def amp_variants(pages: DataFrame, corpus: DataFrame) -> DataFrame:
         wanted.join(usable.select(F.col("url").alias("_url")), F.col("_cand") == F.col("_url"))
         .groupBy("page_id").agg(F.min_by("_url", "_pos").alias("amp_url"))
     )
-    html = usable.select(F.col("url").alias("_url"), F.col("html").alias("amp_html"))
+    best = staged(best, "variants")  # few and narrow; the test is not repeated for the second read
+    html = corpus.select(F.col("url").alias("_url"), F.col("html").alias("amp_html"))
     return best.join(html, F.col("amp_url") == F.col("_url")).select("page_id", "amp_url", "amp_html")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from pressloom.session import staged
 
 # monotonically_increasing_id: the task above this bit, the place within it below.
 PLACE_BITS = 33
+# Offsets, one per task of a ranged sort, that a plan may hold as a literal.
+MOST_OFFSETS = 20_000
 
 
 def number_rows(df: DataFrame, *order: str | Column, name: str = "no", start: int = 1) -> DataFrame:
@@ -16,15 +20,25 @@ def number_rows(df: DataFrame, *order: str | Column, name: str = "no", start: in
 
     A ranged sort spreads the rows over all tasks and is written to the shared
     folder; each task's rows are then counted and its offset added.  No task sees
-    all rows.  ``order`` must be unique, or equal rows are numbered in no fixed order.
+    all rows, and none moves after the sort: the offsets, one per task of the sort, are
+    read from a literal array.  With more than MOST_OFFSETS tasks they are joined.
+    ``order`` must be unique, or equal rows are numbered in no fixed order.
     """
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
     placed = staged(ranged.withColumn("_id", F.monotonically_increasing_id()), "numbered")
     placed = placed.withColumn("_task", F.shiftright("_id", PLACE_BITS))
     counts = placed.groupBy("_task").agg(F.count("*").alias("_rows"))  # one row per task of the sort
-    before = counts.select("_task", (F.sum("_rows").over(Window.orderBy("_task")) - F.col("_rows")).alias("_before"))
-    number = F.col("_before") + F.col("_id").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)) + F.lit(start)
-    numbered = placed.join(before, "_task").withColumn("_number", number.cast("long"))
+    place = F.col("_id").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    held = {r["_task"]: r["_rows"] for r in counts.limit(MOST_OFFSETS + 1).collect()}
+    if len(held) <= MOST_OFFSETS:
+        sizes = [held.get(task, 0) for task in range(max(held, default=-1) + 1)]
+        before = [0, *accumulate(sizes)]
+        # one string, taken apart while the plan is made: a literal per number would be slow to plan
+        offsets = F.split(F.lit(",".join(map(str, before))), ",").cast("array<long>")
+        numbered = placed.withColumn("_number", (F.get(offsets, F.col("_task").cast("int")) + place + F.lit(start)).cast("long"))
+    else:
+        before = counts.select("_task", (F.sum("_rows").over(Window.orderBy("_task")) - F.col("_rows")).alias("_before"))
+        numbered = placed.join(before, "_task").withColumn("_number", (F.col("_before") + place + F.lit(start)).cast("long"))
     return numbered.select(F.col("_number").alias(name), *df.columns)
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,9 @@ from pyspark.sql import types as T
 
 from pressloom.functions.base import col
 from pressloom.functions.urls import host_suffixes
+from pressloom.operators.feed import dedup_feed
+from pressloom.operators.numbering import number_rows
+from pressloom.session import staged
 
 # Dimension names the spec treats specially, and histogram steps.
 LINK_DIMENSION = "PERMALINK"
@@ -24,6 +28,8 @@ MESSAGE_DIMENSION = "ES_MESSAGE_ID"
 TOPIC_DIMENSION = "TOPIC_IDS"
 QUERY_DIMENSION = "QUERY"
 INTERVALS = {"1d": "DAY", "1w": "WEEK"}
+PAGE_SIZE = 20
+ROW_NUMBER = "_row_no"
 
 
 
@@ -157,7 +163,8 @@ def report_query(
     page: int | None = None,
 ) -> DataFrame:
     """Evaluate ``spec``, its sorts included.  All pages by default; ``page`` asks for a single one
-    of the spec's ``pageSize``.
+    of the spec's ``pageSize``.  Where several pages are read, take :func:`report_pages`: it
+    sorts once.
 
     ``stream_fields`` adds one representative value per group, that of the row
     with the smallest ``first_by``.
@@ -178,4 +185,53 @@ def report_query(
     ties = out.columns[: len(groups)]
     if page is None:
         return out.orderBy(*sort_columns(spec, out.columns, ties)) if spec.get("sorts") else out
-    return page_of(out, sort_columns(spec, out.columns, ties), page, int(spec.get("pageSize", 20)))
+    return page_of(out, sort_columns(spec, out.columns, ties), page, int(spec.get("pageSize", PAGE_SIZE)))
+
+
+@dataclass(frozen=True)
+class Pages:
+    """A sorted report, written once in numbered rows; any page is read without sorting again."""
+
+    rows: DataFrame   # the report's columns after ROW_NUMBER, written in that order
+    n_rows: int
+    size: int
+    first: int        # the spec's ``page``
+
+    @property
+    def count(self) -> int:
+        """Pages in all, those before the spec's ``page`` included."""
+        return -(-self.n_rows // self.size)
+
+    def page(self, number: int) -> DataFrame:
+        """One page, from 0.  The range of numbers reaches the scan, which passes over all other parts."""
+        low = number * self.size
+        return self.rows.filter(F.col(ROW_NUMBER).between(low, low + self.size - 1))
+
+    def rest(self) -> DataFrame:
+        """All rows from the spec's page on, which is what asking for page after page gives."""
+        return self.rows.filter(F.col(ROW_NUMBER) >= self.first * self.size)
+
+
+def report_pages(df: DataFrame, spec: Mapping, dimensions: Mapping[str, Column | str], measures: Mapping[str, Column | str], **options) -> Pages:
+    """The pages of a spec: ``page`` and ``pageSize`` count, the options are those of :func:`report_query`.
+
+    Rows stand in the order of the spec's sorts, ties by the group columns.
+    """
+    size = int(spec.get("pageSize", PAGE_SIZE))
+    if size < 1:
+        raise ValueError("pageSize must be at least 1")
+    out = report_query(df, {**spec, "sorts": []}, dimensions, measures, **options)
+    ties = [c.get("heading") or c["dimensionName"] for c in spec.get("groupBys") or []]
+    ties += [c for c in out.columns if c not in ties and c in (LINK_DIMENSION, MESSAGE_DIMENSION)]
+    numbered = number_rows(out, *sort_columns(spec, out.columns, ties), name=ROW_NUMBER, start=0)
+    written = staged(numbered, "report")
+    return Pages(written, written.count(), size, int(spec.get("page") or 0))
+
+
+def report_feed(pages: Pages, key: Column | None = None) -> DataFrame:
+    """The report's rows as a feed: from the spec's page on, the first row of each key, in order of ``arrival``.
+
+    ``key`` defaults to the identity of a feed row.
+    """
+    rows = pages.rest().withColumnRenamed(ROW_NUMBER, "arrival")
+    return dedup_feed(rows, "arrival", key)

@@ -7,6 +7,7 @@ nothing about articles; every rule is a column expression on the node array.
 from __future__ import annotations
 
 from html.parser import HTMLParser
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -19,6 +20,8 @@ NODE = T.StructType([
     T.StructField("tag", T.StringType()),      # lower case, '#text' for text
     T.StructField("attr", T.MapType(T.StringType(), T.StringType())),
     T.StructField("text", T.StringType()),     # of text nodes, scripts and styles
+    T.StructField("parent", T.IntegerType()),  # id of the element around it, -1 outside of all
+    T.StructField("upto", T.IntegerType()),    # characters of visible text up to here, one more per piece
 ])
 
 # HTML's nesting facts.
@@ -33,6 +36,8 @@ SIBLINGS = {
     "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
+# The code points with the Unicode property White_Space.
+WHITE_SPACE = "".join(map(chr, [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 PARAGRAPH_SCOPE = frozenset(["table", "td", "th", "caption", "button", "object", "html"])
 
 
@@ -41,7 +46,7 @@ class _Nodes(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.tags, self.ends, self.depths, self.attrs, self.texts = [], [], [], [], []
+        self.tags, self.ends, self.depths, self.attrs, self.texts, self.parents = [], [], [], [], [], []
         self.open: list[tuple[str, int]] = []
 
     def _add(self, tag, attr, text):
@@ -50,6 +55,7 @@ class _Nodes(HTMLParser):
         self.depths.append(len(self.open))
         self.attrs.append(attr)
         self.texts.append(text)
+        self.parents.append(self.open[-1][1] if self.open else -1)
 
     def _pop_to(self, level):
         last = len(self.tags) - 1
@@ -98,11 +104,16 @@ class _Nodes(HTMLParser):
         self.close()
         self._pop_to(0)
 
+    def text_sums(self):
+        """Running length of the trimmed, non-empty texts, each one longer for a separator."""
+        pieces = [len(x.strip(WHITE_SPACE)) if tag == "#text" else 0 for tag, x in zip(self.tags, self.texts)]
+        return accumulate(n + 1 if n else 0 for n in pieces)
+
 
 @F.arrow_udf(T.ArrayType(NODE))
 def shred(html: pa.Array) -> pa.Array:
     """Node array of each page; NULL for NULL."""
-    offsets, ids, ends, depths, tags, attrs, texts = [0], [], [], [], [], [], []
+    offsets, ids, ends, depths, tags, attrs, texts, parents, sums = [0], [], [], [], [], [], [], [], []
     for page in html.to_pylist():
         if page is not None:
             p = _Nodes()
@@ -114,12 +125,14 @@ def shred(html: pa.Array) -> pa.Array:
             tags += p.tags
             attrs += p.attrs
             texts += p.texts
+            parents += p.parents
+            sums += p.text_sums()
         offsets.append(len(ids))
     nodes = pa.StructArray.from_arrays(
         [
             pa.array(ids, pa.int32()), pa.array(ends, pa.int32()), pa.array(depths, pa.int32()),
             pa.array(tags, pa.string()), pa.array(attrs, pa.map_(pa.string(), pa.string())),
-            pa.array(texts, pa.string()),
+            pa.array(texts, pa.string()), pa.array(parents, pa.int32()), pa.array(sums, pa.int32()),
         ],
         names=[f.name for f in NODE],
     )

@@ -301,24 +301,44 @@ def strip_brand(spark, folder):
     return df.select("page_id", titles.strip_brand(F.col("long"), F.col("toks")).alias("title"))
 
 
-SITES = ["rfi.fr", "ct.moreover.com", "cankaoxiaoxi.com", "shobserver.com", "vietnam.vn", "elsewhere.example"]
+# One page in eleven per title source: site, what is changed, and the SQL of the title that the source then gives.
+H4 = [("<h1>", "<h4>"), ("</h1>", "</h4>")]
+HEAD = "<head>"
+TITLE_CASES = [
+    ("rfi.fr", [(HEAD, '<head><meta property="og:title" content="OG headline #">')], "'OG headline ' || page_id"),
+    ("rfi.fr", [*H4, (HEAD, '<head><meta name="twitter:title" content="TW headline #">')], "'TW headline ' || page_id"),
+    ("ct.moreover.com", [(HEAD, '<head><meta name="title" content="MT headline #">')], "'MT headline ' || page_id"),
+    ("ct.moreover.com", [], "h1"),
+    ("idahostatesman.com", H4, "declared"),
+    ("cankaoxiaoxi.com", [("<article>", '<article><p class="subject">The longest # of the lines that look like a heading here, longer than any headline of the page, by far and without a doubt</p>')],
+     "'The longest ' || page_id || ' of the lines that look like a heading here, longer than any headline of the page, by far and without a doubt'"),
+    ("shobserver.com", [("<body>", "<body><h1>Outside #</h1>")], "h1"),
+    ("shobserver.com", [*H4, ("<article>", '<article><p class="x news-title y">Classed headline #</p>')], "'Classed headline ' || page_id"),
+    ("bj.crntt.com", [*H4, ("<title>", "<i>"), ("</title>", "</i>"), ("<article>", "<article><h2>H#</h2>")], None),
+    ("www.crntt.com", [*H4, ("<title>", "<i>"), ("</title>", "</i>"), (HEAD, "<head><div>〖 大 中 小 〗</div><div>Line of #</div>")], None),
+    ("elsewhere.example", [], "h1"),
+]
+# the late sources are not stripped of brands
+LATE_SQL = {8: "'H' || page_id", 9: "'Line of ' || page_id"}
 
 
 @check("site_title", f"""
-WITH src AS (SELECT page_id, 'https://' || CASE page_id % 6 {' '.join(f"WHEN {i} THEN '{s}'" for i, s in enumerate(SITES))} END || '/x' AS url,
+WITH src AS (SELECT page_id, 'https://' || CASE page_id % 11 {' '.join(f"WHEN {i} THEN '{s}'" for i, (s, *_) in enumerate(TITLE_CASES))} END || '/x' AS url,
                     html FROM pages),
-{TOKENS_SQL}, h AS (SELECT *, CASE WHEN page_id % 6 < 4 AND page_id % 12 < 6 THEN 'OG headline ' || CAST(page_id AS VARCHAR) END AS og,
-  {H1_SQL} AS h1, {DECLARED_SQL} AS declared FROM tokens),
-g AS (SELECT *, CASE WHEN length(h1) >= 6 AND NOT list_contains(toks, lower(h1)) THEN h1 ELSE coalesce(og, {strip_brand_sql('declared')}) END AS gen FROM h),
-s AS (SELECT *, CASE WHEN page_id % 6 < 2 OR page_id % 6 = 3 THEN coalesce(og, nullif(h1, ''), declared)
-              WHEN page_id % 6 = 2 THEN coalesce(og, CASE WHEN length(h1) >= 6 AND h1 <> declared THEN h1 END, declared) ELSE gen END AS t FROM g)
-SELECT page_id, {strip_brand_sql('t')} AS title FROM s""")
+{TOKENS_SQL}, h AS (SELECT *, {H1_SQL} AS h1, {DECLARED_SQL} AS declared FROM tokens),
+s AS (SELECT *, CASE page_id % 11 {' '.join(f"WHEN {i} THEN {t}" for i, (_, _, t) in enumerate(TITLE_CASES) if t)} ELSE '' END AS t FROM h)
+SELECT page_id, CASE page_id % 11 {' '.join(f"WHEN {i} THEN {t}" for i, t in LATE_SQL.items())} ELSE {strip_brand_sql('t')} END AS title FROM s""")
 def site_title(spark, folder):
+    """Every title source decides one page in eleven; ``#`` stands for the page's number."""
     pid = F.col("page_id")
-    domain = F.element_at(F.array(*map(F.lit, SITES)), (pid % 6 + 1).cast("int"))
-    og = F.concat(F.lit('<head><meta property="og:title" content="OG headline '), pid.cast("string"), F.lit('">'))
-    html = F.when((pid % 6 < 4) & (pid % 12 < 6), F.replace("html", F.lit("<head>"), og)).otherwise(F.col("html"))
-    df = shredded(pages(spark, folder).withColumn("html", html)).withColumn("domain", domain)
+    html, domain = F.col("html"), F.lit("")
+    for i, (site, changes, _) in enumerate(TITLE_CASES):
+        new = F.col("html")
+        for old, put in changes:
+            new = F.replace(new, F.lit(old), F.replace(F.lit(put), F.lit("#"), pid.cast("string")))
+        html = F.when(pid % len(TITLE_CASES) == i, new).otherwise(html)
+        domain = F.when(pid % len(TITLE_CASES) == i, F.lit(site)).otherwise(domain)
+    df = shredded(pages(spark, folder).withColumn("html", html)).withColumn("domain", F.replace(domain, F.lit("www."), F.lit("")))
     df = df.withColumn("toks", titles.brand_tokens(F.col("domain"), F.col(NODES)))
     return df.select("page_id", titles.site_title(F.col(NODES), F.col("domain"), F.col("toks")).alias("title"))
 
@@ -511,6 +531,69 @@ def articles(spark, folder):
     return out.select("page_id", "url", "rule", "title", "content", "status", stamp("published").alias("published"))
 
 
+# One page in eighteen per site rule: the rule, a URL of its, what is changed in the page (``#`` stands for its
+# number), and the SQL of the body that the rule's kind then finds.  Every article ends with MORE.
+MORE = "One more paragraph stands at the end of every article, so that none of them is too short to be taken for a body of its own " \
+       "kind, whatever its site asks for at the least, and that is more than two hundred characters."
+MORE_SQL = f"({ARTICLE_SQL} || '<p>{MORE}</p>')"
+OPEN, SHUT = "<article>", "</article>"
+STORY = "MANILA, Philippines — A story of the wire service that goes on until it holds more than the one hundred and twenty " \
+        "characters that a story needs, and ends."
+FILM = "U.S. Marines train with allies at the range (U.S. Marine Corps video by Sgt. Jane Doe)"
+PHOTO = "Photo of page # shows allied ships during an exercise at sea."
+PARAGRAPHS, TEXTS, PAGE = "array_to_string(ps, chr(10))", "array_to_string(ts, chr(10))", "array_to_string(ws, chr(10))"
+LINES_HEAD = [(HEAD, "<head><div>Line of title</div><div>2025-06-02 CRNTT</div>")]
+
+
+def _boxed(start: str, end: str) -> list[tuple[str, str]]:
+    return [(OPEN, start), (SHUT, end)]
+
+
+KIND_CASES = [
+    ("shobserver", "https://www.shobserver.com/a/#", [(OPEN, OPEN + '<div class="share">Share this with all of your friends</div>')], PARAGRAPHS),
+    ("shobserver:detail", "https://www.shobserver.com/staticsg/res/html/web/newsDetail.html?id=#",
+     _boxed('<div id="newsDetail"><div class="newsContent">', "</div><p>This is no part of the body of the page</p></div>"), PARAGRAPHS),
+    ("defensenews", "https://www.defensenews.com/a/#", _boxed('<div class="article-body"><div class="tags">Some tags</div>', "</div>"), TEXTS),
+    ("dvids:image", "https://www.dvidshub.net/image/#", _boxed('<div class="caption">', "</div>"), "array_to_string(ts, ' ')"),
+    ("dvids:video", "https://www.dvidshub.net/video/#", [(OPEN, f"{OPEN}<p>{FILM}</p>")], f"'{FILM}'"),
+    ("dvids:audio", "https://www.dvidshub.net/audio/#",
+     [("<h1>", '<iframe src="/audio/embed/1"></iframe><h1>'), (SHUT, f"<div>Audio Info</div><p>more</p>{SHUT}")], TEXTS),
+    ("dvids:news", "https://www.dvidshub.net/news/#", [("</h1>", f"</h1><p>{STORY}</p><p>News Info</p>")], f"'{STORY}'"),
+    ("dvids:generic", "https://www.dvidshub.net/feature/#", _boxed('<div class="page-content">', "</div>"), TEXTS),
+    ("defense:igphoto", "https://www.defense.gov/Multimedia/Photos/igphoto/#",
+     [(OPEN, f"{OPEN}<figure><figcaption><p>{PHOTO} Download: full size</p></figcaption></figure>")], f"replace('{PHOTO}', '#', page_id::VARCHAR)"),
+    ("defense:generic", "https://www.defense.gov/News/#", _boxed("<b>", "</b>"), PAGE),
+    ("crntt", "https://www.crntt.com/doc/#", LINES_HEAD, PAGE),
+    ("crntt:bj", "https://bj.crntt.com/doc/#", LINES_HEAD, PAGE),
+    ("vietnam.vn", "https://www.vietnam.vn/#", [], "regexp_replace(array_to_string(ts[2:], chr(10)), '\\s{2,}', ' ', 'g')"),
+    ("rfi", "https://www.rfi.fr/#", _boxed('<article><div class="article__content">', f"</div><p>tail</p>{SHUT}"), TEXTS),
+    ("france24", "https://www.france24.com/#", _boxed('<article><div class="t-content__body">', f"</div><p>This is no part of the body</p>{SHUT}"), PARAGRAPHS),
+    ("moreover:ct", "https://ct.moreover.com/?a=#", [(OPEN, f'{OPEN}<div class="meta">By somebody at some place on some day</div>')], PARAGRAPHS),
+    ("idahostatesman", "https://www.idahostatesman.com/#", _boxed('<article><div class="article-body">', f"</div><p>Read more of the same on the next pages</p>{SHUT}"), PARAGRAPHS),
+    ("cankaoxiaoxi", "https://www.cankaoxiaoxi.com/#", _boxed('<article><div class="detail-content">', f'<div class="comment-box">Some comment by some reader of this</div></div>{SHUT}'), PARAGRAPHS),
+]
+
+
+@check("article_kinds", f"""
+WITH a AS (SELECT page_id, {paragraphs_sql(MORE_SQL)} AS ps, {texts_sql(MORE_SQL)} AS ts,
+                  {texts_sql(quiet_sql(f"replace(html, '{SHUT}', '<p>{MORE}</p>{SHUT}')"))} AS ws FROM pages)
+SELECT page_id, CASE page_id % 18 {' '.join(f"WHEN {i} THEN '{n}'" for i, (n, *_) in enumerate(KIND_CASES))} END AS rule,
+       CASE page_id % 18 {' '.join(f"WHEN {i} THEN {t}" for i, (*_, t) in enumerate(KIND_CASES))} END AS content FROM a""")
+def article_kinds(spark, folder):
+    """The registered rules, each on pages of the shape that its site has: all kinds of body."""
+    pid, number = F.col("page_id"), F.col("page_id").cast("string")
+    url, html = F.lit(""), F.lit("")
+    whole = F.replace(F.col("html"), F.lit(SHUT), F.lit(f"<p>{MORE}</p>{SHUT}"))
+    for i, (_, address, changes, _) in enumerate(KIND_CASES):
+        new = whole
+        for old, put in changes:
+            new = F.replace(new, F.lit(old), F.replace(F.lit(put), F.lit("#"), number))
+        url = F.when(pid % len(KIND_CASES) == i, F.replace(F.lit(address), F.lit("#"), number)).otherwise(url)
+        html = F.when(pid % len(KIND_CASES) == i, new).otherwise(html)
+    out = ar.extract_articles(pages(spark, folder).select("page_id", url.alias("url"), html.alias("html")), AS_OF)
+    return out.select("page_id", "rule", "content")
+
+
 @check("custom_rule", f"""
 SELECT page_id, CASE WHEN {DOMAIN_SQL} = 'spam-farm.example.org' THEN 'mine' END AS rule,
        CASE WHEN {DOMAIN_SQL} = 'spam-farm.example.org' THEN nullif(array_to_string(list_filter([{H1_SQL}], lambda x: length(x) >= 6), {NL}), '') END

@@ -174,25 +174,52 @@ def report_fields(spark, folder):
                       F.col("SHARES_1").alias("shares"), "title", "n")
 
 
-@check("report_query", f"""
-SELECT strftime(date_trunc('week', {JST_SQL}), '%Y-%m-%d') AS week, event_type AS media, CAST(user_id AS VARCHAR) AS link,
+QUERY_SQL = f"""
+q AS (SELECT strftime(date_trunc('week', {JST_SQL}), '%Y-%m-%d') AS week, event_type AS media, CAST(user_id AS VARCHAR) AS link,
        {REACH_SQL} AS reach, {SHARES_SQL} AS shares, arg_min(props, event_id) AS title
-FROM events WHERE {RANGE_SQL} AND event_type IN ('click', 'view', 'purchase') AND {TOPIC_SQL} GROUP BY 1, 2, 3""")
-def report_query(spark, folder):
-    s = spec(
+FROM events WHERE {RANGE_SQL} AND event_type IN ('click', 'view', 'purchase') AND {TOPIC_SQL} GROUP BY 1, 2, 3),
+numbered AS (SELECT *, row_number() OVER (ORDER BY shares DESC, week, media, link) - 1 AS no FROM q)"""
+
+
+def query_spec(**changes):
+    return spec(
         filters=[
             {"dimensionName": "LISTENING_MEDIA_TYPE", "filterType": "IN", "values": ["click", "view", "purchase"]},
             {"dimensionName": "TOPIC_IDS", "filterType": "IN", "values": TOPICS},
             {"dimensionName": "QUERY", "filterType": "IN", "values": []},
         ],
-        groupBys=[WEEKLY, *GROUPS], projections=SUMS, sorts=SORTS,
+        groupBys=[WEEKLY, *GROUPS], projections=SUMS, sorts=SORTS, **changes,
     )
-    out = report.report_query(
-        events(spark, folder), s, dimensions(), measures(), time_col="ts", stream_fields={"title": "props"},
+
+
+def query_pages(spark, folder, **changes):
+    return report.report_pages(
+        events(spark, folder), query_spec(**changes), dimensions(), measures(), time_col="ts", stream_fields={"title": "props"},
         first_by="event_id",
     )
-    return out.select(
-        F.date_format("SN_CREATED_TIME_1", "yyyy-MM-dd").alias("week"), F.col("MEDIA_SOURCE_NAME_2").alias("media"),
+
+
+def _query_columns(df, *keep):
+    return df.select(
+        *keep, F.date_format("SN_CREATED_TIME_1", "yyyy-MM-dd").alias("week"), F.col("MEDIA_SOURCE_NAME_2").alias("media"),
         F.col("PERMALINK_4").alias("link"), F.col("REACH_0").cast("double").alias("reach"),
         F.col("SHARES_1").alias("shares"), "title",
     )
+
+
+# all pages from the spec's page on, then the first row of each link
+@check("report_query", f"""WITH {QUERY_SQL}
+SELECT no AS arrival, week, media, link, reach, shares, title FROM numbered WHERE no >= 50
+QUALIFY row_number() OVER (PARTITION BY link, media ORDER BY no) = 1""")
+def report_query(spark, folder):
+    pages = query_pages(spark, folder, page=2, pageSize=25)
+    feed = report.report_feed(pages, key=F.concat_ws("|", "PERMALINK_4", "MEDIA_SOURCE_NAME_2"))
+    return _query_columns(feed, "arrival")
+
+
+@check("report_pages", f"""WITH {QUERY_SQL} SELECT no // 30 AS page, no, week, media, link, reach, shares, title FROM numbered""")
+def report_pages(spark, folder):
+    """The pages of a report, read one by one in numbered ranges and put together again."""
+    pages = query_pages(spark, folder, pageSize=30)
+    numbered = pages.rows.withColumn("page", F.floor(F.col(report.ROW_NUMBER) / pages.size).cast("long"))
+    return _query_columns(numbered, "page", F.col(report.ROW_NUMBER).alias("no"))

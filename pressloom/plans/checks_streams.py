@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from pressloom.operators.results import extractor_records
@@ -27,9 +29,20 @@ def stream_parts(spark, folder):
     return forms.run_to_table(_parts(spark, folder), "parts").select("event_id", "user_id", "event_type")
 
 
-@check("stream_dedup", "SELECT DISTINCT user_id::BIGINT AS user_id FROM events")
+# a first row drops its user's events of the next five days; decided is what lies two days back
+@check("stream_dedup", """
+WITH RECURSIVE e AS (SELECT event_id::BIGINT AS event_id, user_id::BIGINT AS user_id, event_type, ts,
+    row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k,
+    count(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 5 DAYS FOLLOWING) + 1 AS next
+  FROM events WHERE ts IS NOT NULL),
+firsts AS (SELECT * FROM e WHERE k = 1
+  UNION ALL SELECT e.* FROM firsts f JOIN e ON e.user_id = f.user_id AND e.k = f.next)
+SELECT event_id, user_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at FROM firsts
+WHERE date_trunc('millisecond', ts) < (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 2 DAY FROM events)""")
 def stream_dedup(spark, folder):
-    return forms.run_to_table(forms.stream_dedup(_parts(spark, folder), "user_id", "ts", "400 days"), "dedup").select("user_id")
+    firsts = forms.stream_dedup(_parts(spark, folder), "user_id", "ts", dt.timedelta(days=2), dt.timedelta(days=5), "event_id")
+    out = forms.run_to_table(firsts, "dedup")
+    return out.select("event_id", "user_id", "event_type", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at"))
 
 
 # a day is complete once two further days have been seen

@@ -432,8 +432,8 @@ def parse_labels(spark, folder):
 @check("keep_body_lines", f"WITH {LINES_SQL} SELECT doc_id, idx, line AS text FROM kept")
 def keep_body_lines(spark, folder):
     df = labelled(spark, folder).withColumn("lines", ln.parse_labels("raw"))
-    out = ln.keep_body_lines(df, "lines", "title", "kept").select("doc_id", F.explode("kept").alias("e"))
-    return out.select("doc_id", F.col("e.index").alias("idx"), "e.text")
+    out = ln.keep_body_lines(df, "lines", "title", "kept").select("doc_id", F.explode_outer("kept").alias("e"))
+    return out.filter(F.col("e").isNotNull()).select("doc_id", F.col("e.index").alias("idx"), "e.text")
 
 
 @check("body_from_labels", f"""WITH {LINES_SQL}

@@ -7,8 +7,15 @@ bound also limits the state.
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState
 
 from pressloom.session import shared_folder
 
@@ -18,9 +25,52 @@ def stream_parts(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(path)
 
 
-def stream_dedup(stream: DataFrame, key: str, time: str, lateness: str) -> DataFrame:
-    """First arrival per key; a key's copies within ``lateness`` of event time are dropped."""
-    return stream.withWatermark(time, lateness).dropDuplicatesWithinWatermark([key])
+def stream_dedup(stream: DataFrame, key: str, time: str, lateness: dt.timedelta, within: dt.timedelta, *order: str) -> DataFrame:
+    """First row per key by event time; a key's copies up to ``within`` after it are dropped, the next one is a first row again.
+
+    Rows may arrive in any order as long as they are no later than ``lateness``: a
+    key holds back what the watermark has not passed and decides in the order of ``time``,
+    then ``order``, so the result does not depend on files or batches.  A timer wakes the
+    key when its rows are due.  Once the last first row's time is over and
+    nothing is held back, the key's state goes.
+
+    What the watermark never passes is not emitted.  Rows without a time are left out.
+    """
+    at = next(n for n in ("_at", "_at_", "_at__") if n not in stream.columns)
+    schema, span = stream.schema, within // dt.timedelta(microseconds=1)
+    timed = stream.filter(F.col(time).isNotNull()).withWatermark(time, f"{lateness // dt.timedelta(milliseconds=1)} milliseconds")
+
+    def decide(_: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        last, held = state.get if state.exists else (None, None)
+        some = [f for f in ([pa.ipc.open_stream(held).read_pandas()] if held else []) + list(frames) if len(f)]
+        passed = state.getCurrentWatermarkMs()
+        rows = pd.concat(some).sort_values([at, *order], kind="stable") if some else pd.DataFrame(columns=[*schema.names, at])
+        due = rows[at].to_numpy(np.int64) // 1000 < passed
+        times, first = rows[at].to_numpy(np.int64)[due], []
+        i = 0 if last is None else int(np.searchsorted(times, last + span, side="right"))
+        while i < len(times):
+            first.append(i)
+            last = int(times[i])
+            i = int(np.searchsorted(times, last + span, side="right"))
+        rest = rows[~due]
+        if last is not None:  # no row that is still to come can change what ``last`` covers
+            rest = rest[rest[at] > last + span]
+        over = last is None or (last + span) // 1000 < passed
+        if len(rest) or not over:
+            table = pa.Table.from_pandas(rest, preserve_index=False)
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, table.schema) as writer:
+                writer.write_table(table)
+            state.update((last, sink.getvalue().to_pybytes() if len(rest) else None))
+            wake = int(rest[at].min()) if len(rest) else last + span
+            state.setTimeoutTimestamp(max(wake // 1000, passed + 1))
+        elif state.exists:
+            state.remove()
+        if first:
+            yield rows[due].iloc[first][schema.names]
+
+    return timed.withColumn(at, F.unix_micros(time)).groupBy(key).applyInPandasWithState(
+        decide, schema, "last long, held binary", "append", "EventTimeTimeout")
 
 
 def stream_histogram(stream: DataFrame, time: str, interval: str, lateness: str, *groups: str) -> DataFrame:

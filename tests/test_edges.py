@@ -5,8 +5,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from pressloom.functions import lines, nodes, sqltext, text
-from pressloom.functions.rules import SITE_RULES, SiteRule
+from pressloom.functions import lines, sqltext, text
+from pressloom.functions.rules import SiteRule
 from pressloom.operators import articles, feed, numbering, report
 from pressloom.sources import files
 
@@ -79,12 +79,6 @@ def test_instants_keep_zone_and_fraction():
     assert sqltext.literal(moment) == "TIMESTAMP '2024-05-01 00:00:00.250000+00:00'"
 
 
-def test_deep_selectors_are_refused():
-    with pytest.raises(ValueError, match="at most two"):
-        nodes.selectors(["a b c d"])
-    assert SITE_RULES
-
-
 def test_interface_elements_are_no_paragraphs(spark):
     html = "<html><body><article><p class='Byline'>By somebody of the paper, today</p><p>The first real paragraph of the text.</p><div id='toolbar-1'>Print this page or send it on</div></article></body></html>"
     rules = [

@@ -15,7 +15,8 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 CHECKED = [
     "scan_envelopes", "feed_pages", "scan_parts", "decode_pages", "flatten_feed", "row_key", "dedup_feed", "valid_urls", "report_in_filter",
     "topic_filter", "report_query", "chunk_ids", "number_rows", "shard_rows", "enrich_master", "recover_empty", "attach_translations",
-    "registered_domain", "keep_body_lines", "norm_key", "page_title", "articles", "parse_dates", "news_sheet", "stream_parts",
+    "registered_domain", "keep_body_lines", "norm_key", "page_title", "articles", "parse_dates", "news_sheet", "stream_parts", "site_title",
+    "article_kinds", "prune_chrome", "pick_container", "largest_block", "report_pages", "amp_variant",
     "stream_dedup", "stream_histogram", "udf_result_shapes",
 ]
 
