@@ -22,16 +22,17 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pressloom.llm.arrays import chunks, offsets, parts, worker_cache
+from pressloom.llm.arrays import chunks, gather, lean, offsets, parts, worker_cache
 from pressloom.llm.pretokens import pieces
 
-# Distinct pieces that a Python worker remembers, and characters it handles at a time.
-REMEMBERED_PIECES = 400_000
-CHUNK_CHARS = 800_000
+# Distinct pieces that a Python worker remembers (some 40 bytes each), and characters and ids it handles at a time.
+REMEMBERED_PIECES = 2_000_000
+CHUNK_CHARS, CHUNK_IDS = 800_000, 500_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -154,31 +155,61 @@ def encoder(path: str) -> Encoder:
     return held[path]
 
 
-def decoder(path: str) -> dict[int, bytes]:
-    """The worker's tokens of the rank file at ``path``, by rank."""
+def decoder(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The worker's tokens of the rank file at ``path``: all their bytes, and by rank where a token starts and its length (-1: no token)."""
     held = worker_cache("decoders", 8)
     if path not in held:
-        held[path] = {rank: token for token, rank in read_ranks(path).items()}
+        tokens = {rank: token for token, rank in read_ranks(path).items()}
+        lengths = np.array([len(tokens[r]) if r in tokens else -1 for r in range(max(tokens) + 1)], np.int64)
+        data = np.frombuffer(b"".join(tokens.get(r, b"") for r in range(len(lengths))), np.uint8)
+        held[path] = data, offsets(np.maximum(lengths, 0))[:-1], lengths
     return held[path]
 
 
+def ranges(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of consecutive rows of about ``most`` in all; a larger row stands alone."""
+    stops = np.flatnonzero(np.diff(np.cumsum(sizes) // most, prepend=0)).tolist()
+    for a, b in zip([0, *stops], [*stops, len(sizes)]):
+        if a < b:
+            yield a, b
+
+
+class PieceMemory:
+    """Ids of pieces by the pieces' hashes: sorted keys, and where in one row of ids each one's stand."""
+
+    def __init__(self):
+        self.keys, self.flat = np.zeros(0, np.uint64), np.zeros(0, np.uint32)
+        self.first, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Places of the keys, -1 for unknown ones."""
+        at = np.searchsorted(self.keys, keys)
+        known = np.append(self.keys, np.uint64(0))[at] == keys
+        return np.where(known & (at < len(self.keys)), at, -1)
+
+    def add(self, keys: np.ndarray, ids: np.ndarray, stops: np.ndarray) -> None:
+        """New pieces: ``keys`` rise, piece i has the ids stops[i]..stops[i+1]."""
+        at = np.searchsorted(self.keys, keys)
+        self.first = np.insert(self.first, at, stops[:-1] + len(self.flat))
+        self.size = np.insert(self.size, at, np.diff(stops))
+        self.keys = np.insert(self.keys, at, keys)
+        self.flat = np.concatenate((self.flat, ids.astype(np.uint32)))
+
+
 def encode_texts(texts: list[str], encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], key: str) -> Iterator[np.ndarray]:
     """Ids of each text, in order.  ``encode`` gives new pieces' ids and their offsets; ``key`` names the worker's memory of them."""
     for a, b in chunks(texts, CHUNK_CHARS):
         some = pieces(texts[a:b])
-        known = worker_cache(key, REMEMBERED_PIECES)
-        new = [p for p in some.distinct if p not in known]
-        ids, stops = encode(new)
-        packed, stops = ids.tobytes(), (4 * stops).tolist()
-        for piece, i, j in zip(new, stops[:-1], stops[1:]):
-            known[piece] = packed[i:j]
-        parts = [known[p] for p in some.distinct]
-        flat = np.frombuffer(b"".join(parts), np.uint32)
-        size = np.array([len(p) // 4 for p in parts], np.int64)
-        first = offsets(size)[:-1]
-        lengths = size[some.number]
+        held = worker_cache(key, 2)
+        memory = held.setdefault("pieces", PieceMemory())
+        if len(memory.keys) >= REMEMBERED_PIECES:
+            memory = held["pieces"] = PieceMemory()
+        new = np.flatnonzero(memory.find(some.keys) < 0)
+        memory.add(some.keys[new], *encode(some.texts(new)))
+        at = memory.find(some.keys)[some.number]
+        lengths = memory.size[at]
         stop = offsets(lengths)
-        ids = flat[np.repeat(first[some.number] - stop[:-1], lengths) + np.arange(stop[-1])] if len(lengths) else flat[:0]
+        ids = gather(memory.flat, memory.first[at], lengths)
         edges = stop[some.rows]
         for t in range(b - a):
             yield ids[edges[t] : edges[t + 1]]
@@ -205,7 +236,7 @@ def encode_bpe(docs: DataFrame, ranks_path: str, text: str = "text", ids: str =
                 column = pa.ListArray.from_arrays(pa.array(offsets([len(x) for x in found]), pa.int32()), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in keep), column], names=schema.fieldNames())
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def decode_bpe(encoded: DataFrame, ranks_path: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
@@ -218,13 +249,20 @@ def decode_bpe(encoded: DataFrame, ranks_path: str, ids: str = "ids", into: str
     schema = T.StructType([*keep, T.StructField(into, T.BinaryType(), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = decoder(ranks_path).__getitem__
+        data, starts, lengths = decoder(ranks_path)
         for batch in batches:
-            # one row's ids at a time as Python integers
-            column = pa.array([b"".join(map(token, x.as_py() or ())) for x in batch.column(ids)], pa.binary())
-            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in keep), column], names=schema.fieldNames())
-
-    return encoded.mapInArrow(run, schema)
+            counts = pc.fill_null(pc.list_value_length(batch.column(ids)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            for a, b in ranges(counts, CHUNK_IDS):
+                some = batch.slice(a, b - a)
+                numbers = some.column(ids).flatten().to_numpy(zero_copy_only=False)
+                if len(numbers) and (numbers.min() < 0 or numbers.max() >= len(lengths) or lengths[numbers].min() < 0):
+                    raise ValueError("an id that the vocabulary lacks")
+                size = lengths[numbers]
+                ends = offsets(size)[offsets(counts[a:b])]
+                column = pa.BinaryArray.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(gather(data, starts[numbers], size)))])
+                yield pa.RecordBatch.from_arrays([*(some.column(f.name) for f in keep), column], names=schema.fieldNames())
+
+    return encoded.mapInArrow(lean(run), schema)
 
 
 def bpe_digests(docs: DataFrame, ranks_path: str) -> DataFrame:

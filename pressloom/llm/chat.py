@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pressloom.llm.arrays import lean
+
 TRAINED_ROLE = "assistant"
 BATCH_CHARS = 8_000_000
 CONTROL = re.compile(r"\\|###|</turn>")
@@ -102,7 +104,7 @@ def format_chats(conversations: DataFrame) -> DataFrame:
         if rows:
             yield out(rows)
 
-    return grouped.select(F.col("conv_id").cast("long").alias("conv_id"), "turns").mapInArrow(run, EXAMPLES)
+    return grouped.select(F.col("conv_id").cast("long").alias("conv_id"), "turns").mapInArrow(lean(run), EXAMPLES)
 
 
 def chat_digests(conversations: DataFrame) -> DataFrame:
@@ -121,7 +123,7 @@ def chat_digests(conversations: DataFrame) -> DataFrame:
             names = ["conv_id", "example", "n_turns", "turns_sha256", "loss", "formatted_chars"]
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out) if out else [[]] * 6, kinds)], names=names)
 
-    parts = format_chats(conversations).mapInArrow(read, schema)
+    parts = format_chats(conversations).mapInArrow(lean(read), schema)
     loss = F.sort_array(F.collect_list(F.when(F.col("loss").isNotNull(), F.struct("example", "loss"))))
     whole = parts.groupBy("conv_id").agg(
         F.max("n_turns").alias("n_turns"),

@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pressloom.llm.arrays import lean
 from pressloom.llm.components import components
 from pressloom.llm.stages import staged
 
@@ -313,7 +314,7 @@ def embedding_components(vectors: DataFrame, least: float = 0.93, shard_rows: in
                     left, right = ids[some], asking["ids"][first[some]]
                     yield pa.RecordBatch.from_arrays([pa.array(left), pa.array(right), pa.nulls(len(left), pa.int64())], names=["a", "b", "n"])
 
-    found = staged(pairs.select("shard", "its", "graph", "queries").mapInArrow(search, "a long, b long, n long"), "vector-links")
+    found = staged(pairs.select("shard", "its", "graph", "queries").mapInArrow(lean(search), "a long, b long, n long"), "vector-links")
     counts = found.filter("n IS NOT NULL").groupBy(F.col("a").alias("point")).agg(F.sum("n").alias("n"))
     of = components(found.filter("n IS NULL").select("a", "b")).withColumnRenamed("node", "point")
     known = points.join(counts, "point", "left").join(of, "point", "left")

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressloom.llm.arrays import mix, offsets, parts, slice_hashes, text_bytes, word_spans
+from pressloom.llm.arrays import lean, mix, offsets, parts, slice_hashes, text_bytes, word_spans
 from pressloom.llm.components import components
 from pressloom.llm.stages import free_name, join_groups, staged
 
@@ -93,7 +93,7 @@ def survey(docs: DataFrame, size: int) -> DataFrame:
         if filled:
             yield out(slice=[i for i, _ in filled], counts=[zlib.compress(x.tobytes(), 1) for _, x in filled])
 
-    return docs.mapInArrow(run, "doc long, same long, n long, node long, slice int, counts binary")
+    return docs.mapInArrow(lean(run), "doc long, same long, n long, node long, slice int, counts binary")
 
 
 def histogram(surveyed: DataFrame) -> np.ndarray:
@@ -110,7 +110,7 @@ def histogram(surveyed: DataFrame) -> np.ndarray:
     slices = 1 << (BUCKET_BITS - SLICE_BITS)
     out = np.zeros((slices, 1 << SLICE_BITS), np.uint64)
     sent = surveyed.filter("slice IS NOT NULL").select("slice", "counts").repartitionById(slices, "slice")
-    for row in sent.mapInArrow(run, "slice int, counts binary").toLocalIterator():
+    for row in sent.mapInArrow(lean(run), "slice int, counts binary").toLocalIterator():
         out[row["slice"]] = np.frombuffer(row["counts"], np.uint64)
     # float32 keeps the order well enough and halves what is broadcast
     return out.ravel().astype(np.float32)
@@ -158,7 +158,7 @@ def signatures(docs: DataFrame, size: int, num: int, den: int, counts: np.ndarra
                     values = (key[some].view(np.int64), node[row[some]], n[row[some]], place[some])
                     yield pa.RecordBatch.from_arrays([pa.array(v, k, safe=False) for v, k in zip(values, kinds)], names=["key", "node", "n", "place"])
 
-    return docs.select("text").mapInArrow(run, "key long, node long, n int, place int")
+    return docs.select("text").mapInArrow(lean(run), "key long, node long, n int, place int")
 
 
 def may_link(num: int, den: int) -> Column:
@@ -191,7 +191,7 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, num: int, den: int)
                 linked = pa.array(den * both_have >= num * (n + m - both_have))
                 yield some.select(["a", "b"]).filter(linked)
 
-    return both.select("a", "b", "of_a", "of_b").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "of_a", "of_b").mapInArrow(lean(run), "a long, b long")
 
 
 def packed_texts(docs: DataFrame, of: DataFrame) -> DataFrame:
@@ -202,7 +202,7 @@ def packed_texts(docs: DataFrame, of: DataFrame) -> DataFrame:
             packed = pa.array([zlib.compress((x.as_py() or "").encode(), 1) for x in batch.column("text")], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("node"), packed], names=["node", "packed"])
 
-    return docs.join(of, ["doc", "same"]).select("node", "text").mapInArrow(run, "node long, packed binary")
+    return docs.join(of, ["doc", "same"]).select("node", "text").mapInArrow(lean(run), "node long, packed binary")
 
 
 def keyed_texts(docs: DataFrame) -> DataFrame:

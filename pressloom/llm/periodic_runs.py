@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pressloom.llm.arrays import gather, mix, offsets, parts, powers, slice_hashes, text_bytes, word_spans, worker_cache
+from pressloom.llm.arrays import gather, lean, mix, offsets, parts, powers, slice_hashes, text_bytes, word_spans, worker_cache
 
 # 15 * 2**27 + 1: has transforms of up to 2**27 numbers; 31 generates its units.
 PRIME, GENERATOR = 2013265921, 31
@@ -240,7 +240,7 @@ def with_runs(docs: DataFrame, text: str = "text", least: int = LEAST_WORDS, tim
                 made = [pa.array(counts), runs, joined(data, starts[kept], ends[kept], np.append(0, np.cumsum(kept))[rows])]
                 yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in keep), *made], names=schema.fieldNames())
 
-    return docs.mapInArrow(work, schema)
+    return docs.mapInArrow(lean(work), schema)
 
 
 def covered(low: np.ndarray, high: np.ndarray, n: int) -> np.ndarray:

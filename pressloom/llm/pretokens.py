@@ -33,11 +33,25 @@ def classes() -> np.ndarray:
 
 @dataclass
 class Pieces:
-    """Pieces of some texts: ``number[i]`` is the place of piece i in ``distinct``; text t owns pieces rows[t]..rows[t+1]."""
+    """Pieces of some texts: piece i is the distinct piece ``number[i]``; text t owns pieces rows[t]..rows[t+1].
 
-    distinct: list[str]
+    A distinct piece is known by its hash in ``keys``; its characters are ``whole[start:end]``.
+    """
+
+    keys: np.ndarray
     number: np.ndarray
     rows: np.ndarray
+    whole: str
+    starts: np.ndarray
+    ends: np.ndarray
+
+    def texts(self, which: np.ndarray) -> list[str]:
+        """The characters of some distinct pieces."""
+        return [self.whole[a:b] for a, b in zip(self.starts[which].tolist(), self.ends[which].tolist())]
+
+    @property
+    def distinct(self) -> list[str]:
+        return self.texts(np.arange(len(self.keys)))
 
 
 def split_points(points: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -88,9 +102,9 @@ def pieces(texts: list[str]) -> Pieces:
     rows = offsets([len(t) for t in texts])
     points = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32)
     if not len(points):
-        return Pieces([], np.zeros(0, np.int64), np.zeros(len(texts) + 1, np.int64))
+        none = np.zeros(0, np.int64)
+        return Pieces(none.astype(np.uint64), none, np.zeros(len(texts) + 1, np.int64), whole, none, none)
     start = split_points(points, rows)
     end = np.append(start[1:], len(points))
-    _, first, number = np.unique(slice_hashes(points, start, end), return_index=True, return_inverse=True)
-    distinct = [whole[a:b] for a, b in zip(start[first].tolist(), end[first].tolist())]
-    return Pieces(distinct, number, np.searchsorted(start, rows))
+    keys, first, number = np.unique(slice_hashes(points, start, end), return_index=True, return_inverse=True)
+    return Pieces(keys, number, np.searchsorted(start, rows), whole, start[first], end[first])

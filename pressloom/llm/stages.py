@@ -1,22 +1,13 @@
-"""Tables that jobs write to the shared folder and read again."""
+"""Helpers of the operators' jobs: written tables, free column names, joins with groups of any size."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressloom.session import shared_folder
+from pressloom.session import staged
 
-
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written below ``spark.checkpoint.dir`` and read back.
-
-    Cuts the lineage: what follows sees one fixed set of rows, and a lost
-    executor costs a read of the table, not the work before it.
-    """
-    path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+__all__ = ["free_name", "join_groups", "staged"]
 
 
 def free_name(df: DataFrame, name: str) -> str:

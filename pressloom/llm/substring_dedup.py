@@ -28,11 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pressloom.llm.arrays import offsets, parts, slice_hashes, text_bytes, word_spans
+from pressloom.llm.arrays import lean, offsets, parts, slice_hashes, text_bytes, word_spans
 from pressloom.llm.stages import free_name
 
 # Windows that a task holds before it sends them on.
 HELD_WINDOWS = 2_000_000
+# Text behind one task that counts windows: some three million windows, a hundred MB of arrays.
+SLOT_BYTES = 16_000_000
 LAST_ID = (1 << 63) - 1
 
 BLOCKS = "slot int, payload binary, repeats binary"
@@ -104,9 +106,14 @@ def repeated_windows(docs: DataFrame, window: int = 20, partitions: int | None =
     """``doc, same, starts`` (packed int32 places), a row per document with windows that start earlier elsewhere.
 
     ``docs`` has the columns doc, text and same (hash of the text).  A document may
-    have several rows.  Give ``partitions`` so that about 20 million windows fall to each.
+    have several rows.  Windows are dealt to ``partitions`` tasks by their hash; by default
+    so many that about SLOT_BYTES of text stand behind each, at least the session's
+    shuffle partitions, so a task's memory does not follow the corpus.
     """
-    slots = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slots = partitions
+    if not slots:
+        size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        slots = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // SLOT_BYTES))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -200,9 +207,9 @@ def repeated_windows(docs: DataFrame, window: int = 20, partitions: int | None =
             columns = [pa.array(doc, pa.int64()), pa.array(same, pa.int64()), pa.array([b"".join(v) for v in values], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc", "same", "starts"])
 
-    sent = docs.select("doc", "same", "text").mapInArrow(send, BLOCKS)
-    counted = sent.repartitionById(slots, "slot").mapInArrow(count, "slot int, repeats binary")
-    return counted.repartitionById(slots, "slot").mapInArrow(deliver, REPEATS)
+    sent = docs.select("doc", "same", "text").mapInArrow(lean(send), BLOCKS)
+    counted = sent.repartitionById(slots, "slot").mapInArrow(lean(count), "slot int, repeats binary")
+    return counted.repartitionById(slots, "slot").mapInArrow(lean(deliver), REPEATS)
 
 
 def merged(starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -254,7 +261,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, partitions: int | None = N
             made["removed"] = pa.array(removed, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
             yield pa.RecordBatch.from_arrays([made.get(n, None) if n in made else batch.column(n) for n in schema.fieldNames()], names=schema.fieldNames())
 
-    return joined.mapInArrow(cut, schema)
+    return joined.mapInArrow(lean(cut), schema)
 
 
 def repeat_digests(docs: DataFrame, window: int = 20) -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from pressloom.llm.arrays import offsets, parts, worker_cache
+from pressloom.llm.arrays import lean, offsets, parts, worker_cache
 from pressloom.llm.bpe import encode_texts
 from pressloom.llm.stages import staged
 
@@ -259,7 +259,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, shard_i
         if ids:
             yield shard()
 
-    return staged(ranged.mapInArrow(run, SHARD_SCHEMA), "token-files")
+    return staged(ranged.mapInArrow(lean(run), SHARD_SCHEMA), "token-files")
 
 
 def with_starts(files: DataFrame) -> DataFrame:
@@ -289,7 +289,7 @@ def read_token_files(files: DataFrame) -> DataFrame:
                     first = pa.array(of["start"] + edges[:-1], pa.int64())
                     yield pa.RecordBatch.from_arrays([pa.array(of["doc_ids"][a : a + step], pa.int64()), first, ids], names=["doc_id", "start", "ids"])
 
-    return with_starts(files).select("doc_ids", "lengths", "payload", "start").mapInArrow(run, schema)
+    return with_starts(files).select("doc_ids", "lengths", "payload", "start").mapInArrow(lean(run), schema)
 
 
 def token_file_digests(docs: DataFrame, tokenizer_path: str, end_id: int = 2) -> DataFrame:
@@ -307,4 +307,4 @@ def token_file_digests(docs: DataFrame, tokenizer_path: str, end_id: int = 2) ->
                 names=["doc_id", "start", "n_tokens", "ids_crc32"],
             )
 
-    return read_token_files(write_token_files(docs, tokenizer_path, end_id)).mapInArrow(run, schema)
+    return read_token_files(write_token_files(docs, tokenizer_path, end_id)).mapInArrow(lean(run), schema)

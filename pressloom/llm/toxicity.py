@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressloom.llm.arrays import parts, worker_cache
+from pressloom.llm.arrays import lean, parts, worker_cache
 
 # Bounds of the classifier's training.
 LABELLED_ROWS = 40_000
@@ -95,7 +95,7 @@ def summed_tables(tables: DataFrame, kinds: int, size: int) -> np.ndarray:
             yield slices_batch([k for k, _ in keys], [i for _, i in keys], [zlib.compress(v.tobytes(), 1) for v in values])
 
     out = np.zeros((kinds, size // SLICE, SLICE), np.uint64)
-    total = tables.repartitionById(kinds * size // SLICE, F.col("kind") * (size // SLICE) + F.col("slice")).mapInArrow(run, SLICES)
+    total = tables.repartitionById(kinds * size // SLICE, F.col("kind") * (size // SLICE) + F.col("slice")).mapInArrow(lean(run), SLICES)
     for row in total.toLocalIterator():
         out[row["kind"], row["slice"]] = np.frombuffer(zlib.decompress(row["packed"]), np.uint64)
     return out.reshape(kinds, size)
@@ -139,7 +139,7 @@ def count_grams(docs: DataFrame) -> np.ndarray:
                     counts[k] += np.bincount(gram_buckets(points, k + 1), minlength=1 << GRAM_BITS).astype(np.uint32)
         yield table_slices(counts)
 
-    return summed_tables(docs.select("text").mapInArrow(run, SLICES), ORDERS, 1 << GRAM_BITS)
+    return summed_tables(docs.select("text").mapInArrow(lean(run), SLICES), ORDERS, 1 << GRAM_BITS)
 
 
 class Decoder:
@@ -332,7 +332,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS)
             np.add.at(counts[kind], np.array(found[kind], np.int64), 1)
         yield table_slices(counts)
 
-    counts = summed_tables(taught.mapInArrow(count, SLICES), 2, size)
+    counts = summed_tables(taught.mapInArrow(lean(count), SLICES), 2, size)
     kinds = {r["toxic"] > 0: r["n"] for r in taught.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_clean, n_toxic = float(kinds.get(False, 0)), float(kinds.get(True, 0))
     best = np.flatnonzero(counts[1] >= 2)
@@ -356,7 +356,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS)
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), batch.column("toxic").cast(pa.int32())], names=["found", "toxic"])
 
     # documents without a feature are all alike: their number is enough
-    sample = taught.mapInArrow(rows_of, "found binary, toxic int").groupBy("found", "toxic").agg(F.count("*").alias("n")).collect()
+    sample = taught.mapInArrow(lean(rows_of), "found binary, toxic int").groupBy("found", "toxic").agg(F.count("*").alias("n")).collect()
     sample.sort(key=lambda r: (bytes(r["found"]), r["toxic"]))
     rows_in = [np.frombuffer(bytes(r["found"]), np.int32) for r in sample for _ in range(r["n"])]
     weights, intercept = fit(rows_in, np.array([float(r["toxic"] > 0) for r in sample for _ in range(r["n"])]), len(wanted))
@@ -383,7 +383,7 @@ def with_toxicity(docs: DataFrame, model: ToxicityModel, restored: str | None =
                 columns.append(pa.array([decoder.restore(t) for t in texts], pa.string()))
             yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
