@@ -13,9 +13,9 @@ from pressloom.llm.bpe import decode_bpe, encode_bpe
 from pressloom.llm.mixing import emit_copies, mix_sources
 from pressloom.llm.ngram_join import drop_near_copies
 from pressloom.llm.queries import RANKS
-from pressloom.llm.stages import staged
 from pressloom.llm.substring_dedup import remove_repeats
 from pressloom.llm.toxicity import REJECT_FROM, fit_toxicity, with_toxicity
+from pressloom.session import drop_folders, made_folders, staged
 from pressloom.sources.tables import table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -61,7 +61,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """The stages one after the other.  What a stage wrote for itself goes once its result is written, and so does its input."""
+    docs, before = table(spark, sf_dir, "documents"), []
+    for name, stage in STAGES:
+        with made_folders() as made:
+            docs = staged(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+        drop_folders(spark, [*before, *made[:-1]])
+        before = made[-1:]
+    return docs
