@@ -41,15 +41,14 @@ def _at_least(text: Sql, limit: Sql) -> Sql:
     return let(text, lambda t: F.when(F.length(t) >= limit, t))
 
 
-def _boxed(nodes: Sql, rule: Sql, use) -> Sql:
-    """``use(pruned nodes, container)`` after page pruning, container choice and inner pruning."""
-    return let(prune(nodes, rule.getField("page_prune")), lambda page: let(
-        F.coalesce(select_first(page, rule.getField("containers")), whole(page)),
-        lambda box: let(prune(page, rule.getField("prune")), lambda clean: use(clean, box))))
-
+def _boxed(nodes: Sql, rule: Sql) -> Sql:
+    """``struct<clean, box, body>``: the pruned nodes, the container, and the body box inside it or NULL."""
+    def inner(page: Sql, box: Sql) -> Sql:
+        return let(prune(page, rule.getField("prune")), lambda clean: F.struct(
+            clean.alias("clean"), box.alias("box"), select_first(inside(clean, box), rule.getField("bodies")).alias("body")))
 
-def _body_box(clean: Sql, box: Sql, rule: Sql) -> Sql:
-    return select_first(inside(clean, box), rule.getField("bodies"))
+    return let(prune(nodes, rule.getField("page_prune")), lambda page: let(
+        F.coalesce(select_first(page, rule.getField("containers")), whole(page)), lambda box: inner(page, box)))
 
 
 def _joined(clean: Sql, box: Sql, rule: Sql) -> Sql:
@@ -58,28 +57,50 @@ def _joined(clean: Sql, box: Sql, rule: Sql) -> Sql:
         skip_like=rule.getField("skip_like")), "\n")
 
 
-@column_function
-def blocks_body(nodes: Sql, rule: Sql) -> Sql:
-    """Paragraphs of the rule's body box, or NULL when together shorter than ``min_total``."""
-    return _boxed(nodes, rule, lambda clean, box: _at_least(
-        let(F.coalesce(_body_box(clean, box, rule), box), lambda b: _joined(clean, b, rule)), rule.getField("min_total")))
-
-
-def text_body(nodes: Sql, rule: Sql) -> Sql:
-    """Visible text of the container, one piece per line; NULL without a container."""
-    return _boxed(nodes, rule, lambda clean, box: F.when(
-        box.getField("rank") >= 0, filled(node_text(clean, box, "\n"))))
+BOXED_KINDS = ("blocks", "text", "text_or_page", "text_or_blocks", "lead", "blocks_or_script")
 
 
-def text_or_page_body(nodes: Sql, rule: Sql) -> Sql:
-    return F.coalesce(text_body(nodes, rule), visible_text(nodes, "\n"))
+def boxed_body(nodes: Sql, rule: Sql, kinds: Iterable[str]) -> Sql:
+    """Body of the kinds that read a container.  Pruning, container and paragraphs are one expression that all share.
 
+    ``blocks``: paragraphs of the body box (or container), NULL when together shorter than
+    ``min_total``.  ``blocks_or_script``: else the largest block, else a script's body.
+    ``text``: visible text of the container, one piece per line, NULL without one.
+    ``text_or_page``: else that of the page.  ``text_or_blocks``: text of the body box, else the
+    container's paragraphs, else its text.  ``lead``: paragraphs of a proper body box, else
+    a description, else the lead text.
+    """
+    kind = rule.getField("kind")
 
-def text_or_blocks_body(nodes: Sql, rule: Sql) -> Sql:
-    """Text of the body box, else the container's paragraphs, else the container's text."""
-    return _boxed(nodes, rule, lambda clean, box: let(_body_box(clean, box, rule), lambda b: F.when(
-        b.isNotNull(), node_text(clean, b, "\n")).otherwise(F.coalesce(
-            filled(_joined(clean, box, rule)), node_text(clean, box, "\n")))))
+    def by_kind(b: Sql) -> Sql:
+        clean, box, body = (b.getField(k) for k in ("clean", "box", "body"))
+        needed = (
+            kind.isin("blocks", "blocks_or_script") | ((kind == "lead") & body.isNotNull())
+            | ((kind == "text_or_blocks") & body.isNull())
+        )
+        text = F.when(box.getField("rank") >= 0, filled(node_text(clean, box, "\n")))
+        lead = let(select_first(nodes, selector_array(LEAD_BOXES)), lambda x: F.when(
+            x.isNotNull(), strip(F.regexp_replace(node_text(nodes, x, "\n"), FALLBACK_TAIL, ""))))
+
+        def choose(joined: Sql) -> Sql:
+            long = F.when(F.length(joined) >= rule.getField("min_total"), joined)
+            cases = {
+                "blocks": lambda: long,
+                "blocks_or_script": lambda: F.coalesce(long, largest_block(nodes), script_json_body(nodes)),
+                "text": lambda: text,
+                "text_or_page": lambda: F.coalesce(text, visible_text(nodes, "\n")),
+                "text_or_blocks": lambda: F.when(body.isNotNull(), node_text(clean, body, "\n")).otherwise(
+                    F.coalesce(filled(joined), node_text(clean, box, "\n"))),
+                "lead": lambda: F.coalesce(F.when(body.isNotNull(), long), descriptions(nodes), filled(lead)),
+            }
+            out = F.nothing()
+            for k in kinds:
+                out = F.when(kind == k, cases[k]()).otherwise(out)
+            return out
+
+        return let(F.when(needed, _joined(clean, F.coalesce(body, box), rule)), choose)
+
+    return let(_boxed(nodes, rule), by_kind)
 
 
 def headline_box_body(nodes: Sql, rule: Sql) -> Sql:
@@ -117,15 +138,6 @@ LEAD_BOXES = [
 ]
 
 
-def lead_body(nodes: Sql, rule: Sql) -> Sql:
-    """Paragraphs of a proper body box, else a description, else the lead text."""
-    body = _boxed(nodes, rule, lambda clean, box: let(_body_box(clean, box, rule), lambda b: F.when(
-        b.isNotNull(), _at_least(_joined(clean, b, rule), rule.getField("min_total")))))
-    lead = let(select_first(nodes, selector_array(LEAD_BOXES)), lambda b: F.when(
-        b.isNotNull(), strip(F.regexp_replace(node_text(nodes, b, "\n"), FALLBACK_TAIL, ""))))
-    return F.coalesce(body, descriptions(nodes), filled(lead))
-
-
 @column_function
 def script_json_body(nodes: Sql) -> Sql:
     """Text of the first HTML-bearing value under a body key in any script, at least 160 characters."""
@@ -144,10 +156,6 @@ def script_json_body(nodes: Sql) -> Sql:
     return first(F.transform(bearing, plain), lambda t: F.length(t) >= MIN_SCRIPT_BODY)
 
 
-def blocks_or_script_body(nodes: Sql, rule: Sql) -> Sql:
-    return F.coalesce(blocks_body(nodes, rule), largest_block(nodes), script_json_body(nodes))
-
-
 def image_body(nodes: Sql, rule: Sql) -> Sql:
     """The declared description, else the caption box."""
     box = select_first(nodes, rule.getField("containers"))
@@ -263,25 +271,28 @@ def lines_raw(nodes: Sql) -> Sql:
 
 
 BODIES = {
-    "blocks": blocks_body, "text": text_body, "text_or_page": text_or_page_body, "text_or_blocks": text_or_blocks_body,
-    "headline_box": headline_box_body, "lead": lead_body, "blocks_or_script": blocks_or_script_body,
-    "image": image_body, "video": video_body, "photo": photo_body, "news": news_body, "audio": audio_body,
-    "lines": lines_body,
+    "headline_box": headline_box_body, "image": image_body, "video": video_body, "photo": photo_body, "news": news_body,
+    "audio": audio_body, "lines": lines_body,
 }
 
 
 @column_function
 def rule_body(nodes: Sql, rule: Sql, kinds: Iterable[str] | None = None) -> Sql:
     """Body by the rule's kind; NULL without a rule.  Only the rule's own branch is evaluated."""
+    kinds = [*BOXED_KINDS, *BODIES] if kinds is None else list(kinds)
+    boxed = [k for k in kinds if k in BOXED_KINDS]
     out = F.nothing()
-    for kind in BODIES if kinds is None else kinds:
-        out = F.when(rule.getField("kind") == kind, BODIES[kind](nodes, rule)).otherwise(out)
+    for kind in kinds:
+        if kind not in BOXED_KINDS:
+            out = F.when(rule.getField("kind") == kind, BODIES[kind](nodes, rule)).otherwise(out)
+    if boxed:
+        out = F.when(rule.getField("kind").isin(*boxed), boxed_body(nodes, rule, boxed)).otherwise(out)
     return filled(out)
 
 
 @column_function
 def generic_body(nodes: Sql) -> Sql:
-    return let(rule_literal(GENERIC), lambda rule: filled(blocks_body(nodes, rule)))
+    return let(rule_literal(GENERIC), lambda rule: filled(boxed_body(nodes, rule, ["blocks"])))
 
 
 # ---- dates of single sites --------------------------------------------------------------------

@@ -98,21 +98,23 @@ def scan_parts(spark, folder):
     return feed.part_scan(spark, path)
 
 
-CHARSETS_SQL = """CASE page_id % 5 WHEN 0 THEN 'utf-8' WHEN 1 THEN 'utf-8' WHEN 2 THEN 'iso-8859-1'
-                  WHEN 3 THEN 'utf-16' ELSE 'utf-8' END"""
+CHARSETS_SQL = """CASE page_id % 7 WHEN 0 THEN 'utf-8' WHEN 1 THEN 'utf-8' WHEN 2 THEN 'iso-8859-1'
+                  WHEN 3 THEN 'utf-16' WHEN 5 THEN 'iso-8859-1' ELSE 'utf-8' END"""
+META = '<meta charset="utf-8">'
 
 
 @check("decode_pages", f"""
-SELECT page_id, {CHARSETS_SQL} AS charset, md5(html) AS digest FROM pages""")
+SELECT page_id, {CHARSETS_SQL} AS charset, md5(CASE WHEN page_id % 7 >= 5 THEN replace(html, '{META}', '') ELSE html END) AS digest FROM pages""")
 def decode_pages(spark, folder):
-    kind = F.col("page_id") % 5
-    html = F.col("html")
+    """The header's charset, the page's, and none at all: a text is Latin-1 then, anything else UTF-8."""
+    kind = F.col("page_id") % 7
+    html = F.when(kind >= 5, F.replace("html", F.lit(META), F.lit(""))).otherwise(F.col("html"))
     pages = table(spark, folder, "pages").select(
         "page_id",
-        F.when(kind == 2, F.encode(html, "ISO-8859-1")).when(kind == 3, F.encode(html, "UTF-16"))
+        F.when(kind.isin(2, 5), F.encode(html, "ISO-8859-1")).when(kind == 3, F.encode(html, "UTF-16"))
         .otherwise(F.encode(html, "UTF-8")).alias("raw"),
         F.when(kind == 0, "text/html; charset=UTF-8").when(kind == 2, "text/html;charset = ISO-8859-1")
-        .when(kind == 3, "text/html; charset=utf-16").when(kind == 4, "").alias("content_type"),
+        .when(kind == 3, "text/html; charset=utf-16").when(kind == 4, "").when(kind == 5, "text/html").when(kind == 6, "application/xhtml+xml").alias("content_type"),
     )
     return files.decode_pages(pages).select("page_id", "charset", F.md5(F.col("html").cast("binary")).alias("digest"))
 

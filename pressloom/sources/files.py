@@ -60,13 +60,29 @@ def read_url_list(
     return out
 
 
+def header_guess(content_type: Column | str) -> Column:
+    """What HTTP holds of a text without a charset: ISO-8859-1.  NULL for other types."""
+    return F.when(F.contains(F.lower(col(content_type)), F.lit("text")), F.lit("iso-8859-1"))
+
+
+def bytes_guess(raw: Column | str) -> Column:
+    """By the byte order mark, else UTF-8 where the bytes are valid as that, else NULL."""
+    raw = col(raw)
+    mark = F.hex(F.substring(raw, 1, 3))
+    marked = F.when(mark == "EFBBBF", F.lit("utf-8-sig")).when(mark.startswith("FFFE") | mark.startswith("FEFF"), F.lit("utf-16"))
+    return F.coalesce(marked, F.when(F.is_valid_utf8(raw.cast("string")), F.lit("utf-8")))
+
+
 def page_charset(raw: Column | str, content_type: Column | str, guess: Column | None = None, scan_bytes: int = CHARSET_SCAN_BYTES) -> Column:
-    """Charset of a page: the header's, else the one in its first ``scan_bytes``, else a guess, else UTF-8."""
+    """Charset of a page: the header's, else the one in its first ``scan_bytes``, else a guess, else UTF-8.
+
+    The guess is the header's by default; ``bytes_guess`` looks at the page instead.
+    """
     head = F.decode(F.substring(col(raw), 1, scan_bytes), "ISO-8859-1")
     header = F.regexp_extract(col(content_type), r"(?i)charset\s*=\s*([A-Za-z0-9_\-]+)", 1)
     inside = F.regexp_extract(head, r"""(?i)charset=['"]?\s*([A-Za-z0-9_\-]+)""", 1)
-    found = [F.nullif(header, F.lit("")), F.nullif(inside, F.lit(""))] + ([guess] if guess is not None else [])
-    return F.lower(F.coalesce(*found, F.lit("utf-8")))
+    guess = header_guess(content_type) if guess is None else guess
+    return F.lower(F.coalesce(F.nullif(header, F.lit("")), F.nullif(inside, F.lit("")), guess, F.lit("utf-8")))
 
 
 @F.pandas_udf(T.StringType())
@@ -84,12 +100,12 @@ def _decode_other(raw: pd.Series, charset: pd.Series) -> pd.Series:
     return pd.Series([one(d, n) for d, n in zip(raw, charset)], dtype=object)
 
 
-def decode_pages(pages: DataFrame, raw: str = "raw", content_type: str = "content_type") -> DataFrame:
-    """Add ``charset`` and ``html``; bytes that do not decode become U+FFFD.
+def decode_pages(pages: DataFrame, raw: str = "raw", content_type: str = "content_type", guess: Column | None = None) -> DataFrame:
+    """Add ``charset`` and ``html``; bytes that do not decode become U+FFFD.  ``guess``: see ``page_charset``.
 
     One scan.  UTF-8 and Latin-1 are decoded in the JVM; of such pages Python gets no bytes.
     """
-    named = pages.withColumn("charset", page_charset(raw, content_type))
+    named = pages.withColumn("charset", page_charset(raw, content_type, guess))
     common = F.col("charset").isin(UTF8_NAMES + LATIN1_NAMES)
     named = named.withColumn("_other", _decode_other(F.when(~common, F.col(raw)), "charset"))
     html = F.when(F.col("charset").isin(LATIN1_NAMES), F.decode(raw, "ISO-8859-1")).when(

@@ -19,6 +19,8 @@ from pyspark.sql.streaming.state import GroupState
 
 from pressloom.session import shared_folder
 
+END_OF_TIME = dt.datetime(9999, 1, 1)
+
 
 def stream_parts(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A folder of part files as a stream; each file is taken once."""
@@ -80,23 +82,27 @@ def stream_histogram(stream: DataFrame, time: str, interval: str, lateness: str,
 
 
 def whole_histogram(stream: DataFrame, name: str, time: str, interval: str, lateness: str, *groups: str) -> DataFrame:
-    """The histogram of all that is there: intervals that were emitted, and those still open as they stand in the state."""
-    spark = stream.sparkSession
-    state = shared_folder(spark, f"{name}-state")
-    closed = run_to_table(stream_histogram(stream, time, interval, lateness, *groups), name, state)
-    held = spark.read.format("statestore").load(state)
-    still = held.select(F.col("key.window.start").alias("start"), *[F.col(f"key.{g}").alias(g) for g in groups], F.col("value.count").alias("n"))
-    return closed.unionByName(still)
+    """The histogram of all that is there, the intervals that are still open included.
+
+    One row at the end of time follows the stream's, so the watermark passes every other
+    row and all their intervals are emitted; its own never is.
+    """
+    spark, kinds = stream.sparkSession, dict(stream.dtypes)
+    path = shared_folder(spark, f"{name}-end")
+    spark.createDataFrame([(END_OF_TIME,)], "at timestamp").write.parquet(path)
+    end = spark.readStream.schema("at timestamp").parquet(path)
+    closing = end.select(F.col("at").cast(kinds[time]).alias(time), *[F.lit(None).cast(kinds[g]).alias(g) for g in groups])
+    return run_to_table(stream_histogram(stream.select(time, *groups).unionByName(closing), time, interval, lateness, *groups), name)
 
 
-def run_to_table(stream: DataFrame, name: str, state: str | None = None) -> DataFrame:
+def run_to_table(stream: DataFrame, name: str) -> DataFrame:
     """Run ``stream`` over all that is there and return what it wrote.
 
     All files are one batch, so their order doesn't decide what is late.
     """
     spark, path = stream.sparkSession, shared_folder(stream.sparkSession, name)
     query = (
-        stream.writeStream.format("parquet").option("checkpointLocation", state or shared_folder(spark, f"{name}-state"))
+        stream.writeStream.format("parquet").option("checkpointLocation", shared_folder(spark, f"{name}-state"))
         .trigger(availableNow=True).start(path)
     )
     query.awaitTermination()

@@ -42,6 +42,16 @@ def test_charsets(spark):
     assert tuple(name) == ("utf-8", "gbk")
 
 
+def test_guessed_charsets(spark):
+    rows = [(1, "é".encode(), "text/html"), (2, "é".encode(), "image/svg"), (3, "é".encode("latin-1"), None), (4, b"\xef\xbb\xbf\xc3\xa9", "TEXT/plain"), (5, "é".encode("utf-16"), None), (6, b"", None), (7, None, "text/html")]
+    df = spark.createDataFrame(rows, "k int, raw binary, content_type string")
+    told = {r["k"]: (r["charset"], r["html"]) for r in files.decode_pages(df).collect()}
+    assert told[1] == ("iso-8859-1", "Ã©") and told[2] == ("utf-8", "é") and told[3] == ("utf-8", "�") and told[7] == ("iso-8859-1", None)
+    seen = {r["k"]: (r["charset"], r["html"]) for r in files.decode_pages(df, guess=files.bytes_guess("raw")).collect()}
+    assert [seen[k] for k in (1, 2, 4, 5, 6)] == [("utf-8", "é"), ("utf-8", "é"), ("utf-8-sig", "é"), ("utf-16", "é"), ("utf-8", "")]
+    assert seen[3] == ("utf-8", "�") and seen[7][1] is None
+
+
 def test_whole_row_keys(spark):
     df = spark.createDataFrame([(1, None, "b", "a"), (2, "l", "b", "a"), (3, "", "b", "a")], "arrival int, PERMALINK string, zed string, alpha string")
     keys = [r[0] for r in df.select(feed.row_key(df, ignore=("arrival",))).collect()]
