@@ -1,16 +1,21 @@
-"""Run detection, exact dedup and hard negatives against plain versions and on edge rows."""
+"""Run detection, exact dedup and hard negatives, quality scores and odd conversations against plain versions."""
 
 import hashlib
+import math
+import os
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import brute
-from pressloom.llm import exact_dedup, hard_negatives, periodic_runs
+import corpus_pipeline
+from pressloom.llm import chat, exact_dedup, hard_negatives, periodic_runs, quality
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -219,3 +224,73 @@ def test_pruning_leaves_rows_out():
         met += len(found)
         assert set(np.flatnonzero(whole @ q >= least)) <= set(found.tolist())
     assert met < 0.2 * 30 * 3000
+
+
+# ---- 8 -------------------------------------------------------------------------------------
+
+
+def bucket(*words):
+    """Spark's xxhash64 of some strings, by buckets."""
+    h = 42
+    for w in words:
+        h = xxhash.xxh64_intdigest(w.encode(), seed=h)
+    return (h - (1 << 64) if h >> 63 else h) % quality.BUCKETS
+
+
+def grams_of(text):
+    w = [x.lower() for x in brute.words(text)]
+    return [bucket(x) for x in w] + [bucket(a, b) for a, b in zip(w, w[1:])]
+
+
+def test_scores_and_verdicts_match_a_plain_version(spark, some, data):
+    rows = some + [(9000, None), (9001, ""), (9002, "word " * 60), (9003, some[0][1]), (9004, " ".join(f"New{i}" for i in range(70)))]
+    labels = pq.read_table(f"{data}/labels.parquet").to_pandas()
+    trusted = {int(i) for i in labels[labels.quality == 1].doc_id} | {9004}
+    corpus, target = Counter(), Counter()
+    for i, t in rows:
+        corpus.update(grams_of(t))
+        if i in trusted:
+            target.update(grams_of(t))
+    n, m = sum(corpus.values()), sum(target.values())
+    weight = {b: round(math.log((target[b] / m + c / n) / 2) - math.log(c / n), 6) for b, c in corpus.items()}
+    out = quality.with_quality(frame(spark, rows), spark.createDataFrame([(i,) for i in trusted], "doc_id long")).collect()
+    assert len(out) == len(rows) and len({r["kept"] for r in out}) == 2
+    plain = dict(rows)
+    for r in out:
+        grams = grams_of(plain[r["doc_id"]])
+        score = sum(weight[b] for b in grams) / len(grams) if grams else 0.0
+        assert abs(r["score"] - score) < 2e-6
+        *base, failed = brute.base_measures(plain[r["doc_id"]])
+        assert [r[c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")] == base and r["base_failed"] == failed
+        if abs(score - quality.THRESHOLD) > 1e-5:
+            assert r["kept"] == (not failed and score >= quality.THRESHOLD)
+
+
+# ---- 10 ------------------------------------------------------------------------------------
+
+
+def test_odd_conversations(spark):
+    """Repeated turns, equal turn numbers, nulls, very long texts, control strings and clashing columns."""
+    long = "x </turn> \\ ### " * 20_000
+    rows = [(1, 0, "user", "hi"), (1, 0, "user", "hi"), (1, 1, "assistant", "b"), (1, 1, "assistant", "a"), (1, None, "user", None), (2, 0, "assistant", long), (2, 1, "user", ""), (3, 5, None, None), (None, 0, "user", "no id"), (None, 1, "assistant", "### user: x")]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumns({c: F.lit("z") for c in ("turns", "loss", "_loss", "example", "formatted", "late")})
+    got = {r["conv_id"]: r for r in chat.chat_digests(table).collect()}
+    assert set(got) == {1, 2, 3, None}
+    for conv in got:
+        turns = sorted(((t is None, t or 0, r or "", x or "") for c, t, r, x in rows if c == conv))
+        said = "".join(f"{r}\n{x}\n" for *_, r, x in turns)
+        loss = "".join(x for *_, r, x in turns if r == "assistant")
+        r = got[conv]
+        assert (r["n_turns"], r["turns_sha256"], r["loss_chars"], r["loss_sha256"]) == (len(turns), hashlib.sha256(said.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest())
+
+
+# ---- pipeline ------------------------------------------------------------------------------
+
+
+def test_the_pipeline_leaves_its_result_only(spark, data):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(folder))
+    out = corpus_pipeline.run(spark, data)
+    made = set(os.listdir(folder)) - before
+    assert len(made) == 1 and "byte-level" in made.pop()
+    assert out.count() > 0 and out.columns == [*corpus_pipeline.COLUMNS, "ids"]
