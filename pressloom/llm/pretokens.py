@@ -25,7 +25,10 @@ def classes() -> np.ndarray:
     held = worker_cache("char-classes", 4)
     if "table" not in held:
         kinds = {"L": LETTER, "N": NUMBER}
-        table = np.array([kinds.get(unicodedata.category(chr(c))[0], OTHER) for c in range(0x110000)], np.uint8)
+        table = np.full(0x110000, OTHER, np.uint8)
+        # of the planes after these, only 14 is assigned: neither letters nor numbers in the others
+        for first, stop in ((0, 0x40000), (0xE0000, 0xF0000)):
+            table[first:stop] = [kinds.get(unicodedata.category(chr(c))[0], OTHER) for c in range(first, stop)]
         table[WHITE_SPACE] = SPACE
         held["table"] = table
     return held["table"]
