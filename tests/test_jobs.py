@@ -151,3 +151,20 @@ def test_stream_keeps_the_first_arrival_in_any_order(spark):
         got, held = run(spark, files if order else [[r for f in files[::-1] for r in f]], 2 * DAY, 3 * DAY)
         assert got == want
         assert held[-1] == 1  # all that is left is the key that closes the others
+
+
+def test_keys_of_a_stream_share_states(spark):
+    keys = 3000
+    rows = [(START + k * DAY / keys, None if k == 7 else k * 2**50 + 1, None if k % 5 == 0 else 2**60 + k) for k in range(keys)]
+    rows += [(at + DAY, key, no) for at, key, no in rows] + [(START + 5 * DAY, rows[8][1], 1), (START + 60 * DAY, 1, 0)]
+    path, target = shared_folder(spark, "arrivals"), shared_folder(spark, "firsts")
+    schema = "ts timestamp, key long, no long"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(path)
+    out = forms.stream_dedup(spark.readStream.schema(schema).parquet(path), "key", "ts", 2 * DAY, 3 * DAY, "no")
+    query = out.writeStream.format("parquet").option("checkpointLocation", shared_folder(spark, "state")).trigger(availableNow=True).start(target)
+    query.awaitTermination()
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert 1 <= max(held) <= forms.GROUPS and held[-1] == 1
+    got = {(r["ts"], r["key"], r["no"]) for r in spark.read.schema(schema).parquet(target).collect()}
+    # whole numbers stay exact next to nulls, and no key sees another one's rows
+    assert got == {*rows[:keys], rows[-2]}
