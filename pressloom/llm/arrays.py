@@ -70,7 +70,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def slice_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = 1 << 20) -> np.ndarray:
+def slice_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = 1 << 16) -> np.ndarray:
     """Rabin-Karp hash of every slice values[start:end], equal for equal slices wherever they stand.
 
     ``starts`` and ``ends`` rise.  Works on about ``block`` values at a time, so memory doesn't follow the text's length.

@@ -30,9 +30,9 @@ from pyspark.sql import types as T
 from pressloom.llm.arrays import chunks, gather, lean, offsets, parts, worker_cache
 from pressloom.llm.pretokens import pieces
 
-# Distinct pieces that a Python worker remembers (some 40 bytes each), and characters and ids it handles at a time.
+# Distinct pieces that a Python worker remembers (some 40 bytes each), and characters, bytes to merge (some 150 each) and ids it handles at a time.
 REMEMBERED_PIECES = 2_000_000
-CHUNK_CHARS, CHUNK_IDS = 800_000, 500_000
+CHUNK_CHARS, MERGED_BYTES, CHUNK_IDS = 800_000, 200_000, 100_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -77,8 +77,13 @@ class Encoder:
         return self.encode_many([piece])[0].tolist()
 
     def encode_many(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all pieces, one after the other, and their offsets."""
-        return self._merge(np.frombuffer(b"".join(pieces), np.uint8), offsets([len(p) for p in pieces]))
+        """Ids of all pieces, one after the other, and their offsets; about MERGED_BYTES share a queue."""
+        ids, counts, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)], offsets([len(p) for p in pieces])
+        for a, b in ranges(np.diff(sizes), MERGED_BYTES):
+            some, stops = self._merge(np.frombuffer(b"".join(pieces[a:b]), np.uint8), sizes[a : b + 1] - sizes[a])
+            ids.append(some)
+            counts.append(np.diff(stops))
+        return np.concatenate(ids), offsets(np.concatenate(counts))
 
     def _merge(self, data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``edges``: offsets of the pieces in ``data``."""

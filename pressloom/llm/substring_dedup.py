@@ -32,7 +32,7 @@ from pressloom.llm.arrays import lean, offsets, parts, slice_hashes, text_bytes,
 from pressloom.llm.stages import free_name
 
 # Windows that a task holds before it sends them on.
-HELD_WINDOWS = 2_000_000
+HELD_WINDOWS = 1_000_000
 # Text behind one task that counts windows: some three million windows, a hundred MB of arrays.
 SLOT_BYTES = 16_000_000
 LAST_ID = (1 << 63) - 1
@@ -50,7 +50,7 @@ def windows_of(column: pa.Array, window: int) -> tuple[np.ndarray, np.ndarray, n
     row = np.repeat(np.arange(len(n)), count)
     place = np.arange(len(row)) - np.repeat(offsets(count)[:-1], count)
     first = words[row] + place
-    return slice_hashes(slice_hashes(data, starts, ends), first, first + window), row, place
+    return slice_hashes(slice_hashes(data, starts, ends), first, first + window), row.astype(np.int32), place.astype(np.int32)
 
 
 def pack(hashes: np.ndarray, row: np.ndarray, place: np.ndarray, doc: np.ndarray, same: np.ndarray) -> bytes:
@@ -63,6 +63,11 @@ def pack(hashes: np.ndarray, row: np.ndarray, place: np.ndarray, doc: np.ndarray
     return np.array([len(hashes), len(rows)], np.int64).tobytes() + hashes.tobytes() + zlib.compress(rest, 1)
 
 
+def block_hashes(block: bytes) -> np.ndarray:
+    """The hashes of a block's windows."""
+    return np.frombuffer(block, np.uint64, int(np.frombuffer(block, np.int64, 1)[0]), 16)
+
+
 def unpack(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hash, doc, same and place of each window of a block."""
     n, r = np.frombuffer(block, np.int64, 2)
@@ -127,12 +132,12 @@ def repeated_windows(docs: DataFrame, window: int = 20, partitions: int | None =
             doc, same = (np.concatenate([x[i] for x in held]) for i in (0, 1))
             before = offsets([len(x[0]) for x in held])
             hashes, place = (np.concatenate([x[i] for x in held]) for i in (2, 4))
-            row = np.concatenate([x[3] + b for x, b in zip(held, before)])
+            row = np.concatenate([x[3] + np.int32(b) for x, b in zip(held, before)])
             held.clear()
             # documents in their order, so that a smaller place in the arrays is an earlier start
             order = np.lexsort((same, doc))
             doc, same = doc[order], same[order]
-            rank = np.empty(len(order), np.int64)
+            rank = np.empty(len(order), np.int32)
             rank[order] = np.arange(len(order))
             again = np.append(False, (doc[1:] == doc[:-1]) & (same[1:] == same[:-1]))  # rows that repeat a document
             row = rank[row]
@@ -159,7 +164,8 @@ def repeated_windows(docs: DataFrame, window: int = 20, partitions: int | None =
         many = 0
         for part in (p for batch in batches for p in parts(batch, "text")):
             hashes, row, place = windows_of(part.column("text"), window)
-            held.append((part.column("doc").to_numpy(), part.column("same").to_numpy(), hashes, row, place))
+            # copies: a view would keep the whole batch with its texts
+            held.append((part.column("doc").to_numpy().copy(), part.column("same").to_numpy().copy(), hashes, row, place))
             many += len(hashes)
             if many >= HELD_WINDOWS:
                 yield from flush()
@@ -173,18 +179,24 @@ def repeated_windows(docs: DataFrame, window: int = 20, partitions: int | None =
             known = batch.filter(pc.is_valid(batch.column("repeats")))
             if known.num_rows:
                 yield known.select(["slot", "repeats"])
-            blocks += [unpack(x) for x in batch.column("payload").drop_null().to_pylist()]
+            blocks += batch.column("payload").drop_null().to_pylist()
         if not blocks:
             return
-        hashes, doc, same, place = (np.concatenate(x) for x in zip(*blocks))
-        del blocks
+        # blocks stay packed: only windows whose hash comes again are unpacked
+        hashes = np.concatenate([block_hashes(x) for x in blocks])
         order = np.argsort(hashes)
         ranked = hashes[order]
         equal = ranked[1:] == ranked[:-1]
-        order = order[np.append(False, equal) | np.append(equal, False)]
-        if not len(order):
+        shared = np.zeros(len(hashes), np.bool_)
+        shared[order[np.append(False, equal) | np.append(equal, False)]] = True
+        edges = offsets([len(block_hashes(x)) for x in blocks]).tolist()
+        del hashes, order, ranked, equal
+        found = [[c[part] for c in unpack(x)] for x, a, b in zip(blocks, edges[:-1], edges[1:]) if (part := shared[a:b]).any()]
+        if not found:
             return
-        hashes, doc, same, place = hashes[order], doc[order], same[order], place[order]
+        del blocks, shared
+        hashes, doc, same, place = (np.concatenate(x) for x in zip(*found))
+        del found
         order = np.lexsort((place, same, doc, hashes))
         hashes, doc, same, place = hashes[order], doc[order], same[order], place[order]
         # the first place of each hash; a row that repeats a document repeats its places, which are no earlier

@@ -1,11 +1,13 @@
 """What the operators hold and ask for at a time."""
 
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 
-from pressloom.llm import pretokens, token_files
-from pressloom.llm.queries import TOKENIZER
+from pressloom.llm import arrays, bpe, pretokens, substring_dedup, token_files
+from pressloom.llm.queries import RANKS, TOKENIZER
 
 
 class Counted:
@@ -50,3 +52,34 @@ def test_character_classes_are_the_categories():
     table = pretokens.classes()
     differ = np.flatnonzero(table != np.array(want, np.uint8))
     assert set(differ.tolist()) <= set(pretokens.WHITE_SPACE)
+
+
+def test_hashes_need_little_beside_the_text():
+    rng = np.random.default_rng(5)
+    values = rng.integers(0, 256, 1_000_000).astype(np.uint8)
+    starts = np.arange(0, 999_000, 10)
+    arrays.worker_cache("none", 1)
+    tracemalloc.start()
+    got = arrays.slice_hashes(values, starts, starts + 15)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 12_000_000
+    assert got.tolist()[:50] == [int(arrays.slice_hashes(values[a : a + 15], np.array([0]), np.array([15]))[0]) for a in starts[:50]]
+
+
+def test_windows_take_sixteen_bytes():
+    hashes, row, place = substring_dedup.windows_of(pa.array([" ".join(f"w{i}" for i in range(500)), None, "a b"]), 20)
+    assert len(hashes) == 481 and hashes.itemsize + row.itemsize + place.itemsize == 16
+
+
+def test_merges_share_queues_of_bounded_size(monkeypatch):
+    encoder, rng, sizes = bpe.encoder(RANKS), random.Random(2), []
+    pieces = [bytes(rng.choice(b"abcde fgh'01") for _ in range(rng.randrange(14))) for _ in range(3000)]
+    pieces[7] = b"x" * 5000
+    ids, stops = encoder._merge(np.frombuffer(b"".join(pieces), np.uint8), arrays.offsets([len(p) for p in pieces]))
+    merge = encoder._merge
+    monkeypatch.setattr(bpe, "MERGED_BYTES", 1000)
+    monkeypatch.setattr(encoder, "_merge", lambda data, edges: sizes.append(len(data)) or merge(data, edges))
+    got, at = encoder.encode_many(pieces)
+    assert (got == ids).all() and (at == stops).all() and sorted(sizes)[-2] < 2000 and len(sizes) > 15
+    assert encoder.encode_many([])[1].tolist() == [0] and encoder.encode(b"") == []
