@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressloom.llm.arrays import lean, parts, worker_cache
+from pressloom.llm.arrays import lean, offsets, parts, worker_cache
 
 # Bounds of the classifier's training.
 LABELLED_ROWS = 40_000
@@ -44,7 +44,7 @@ SELECTED_FEATURES = 20_000
 GRAM_BITS, FEATURE_BITS, SLICE = 18, 22, 1 << 16
 ORDERS = 4
 SMOOTHING = 4.0
-REMEMBERED_WORDS = 300_000
+REMEMBERED_WORDS = 100_000
 REJECT_FROM = 0.7
 
 # Signs and the letters that leetspeak writes with them.
@@ -60,19 +60,30 @@ SIGN = r"(?:[^\W_]|[@$!|+€(])"
 SPACED = re.compile(rf"(?<!\S){SIGN}(?:\s+{SIGN}){{2,}}(?!\S)")
 PULLED = re.compile(r"([^\W\d_])\1\1+")
 REPEATED = re.compile(rf"({SIGN})\1\1+")
-DOUBLED = re.compile(rf"(?:({SIGN})\1+){{2,}}")
+# each sign's whole row at once: no other way to divide it up is tried when the rest doesn't fit
+DOUBLED = re.compile(rf"(?:({SIGN})\1++){{2,}}|({SIGN})\2{{3,}}")
 SPELLED = re.compile(rf"{SIGN}(?:[.\-_*'~/]+{SIGN})+")
 LAST_SIGNS = re.compile(r"[$@]{1,2}(?![$@])")  # may be letters; a longer row of them is decoration
 RIGHT_EDGE = "!?.,;:)]}\"'*%&#~|+<>=/-_$@€("
 LEFT_EDGE = "([{\"'*%&#~<>=/-_.,;:?"
+# Bits of character_kinds().  Longer words, and words between more marks, are read one by one.
+ALPHA, SPACE, LEFT, RIGHT, LAST = 1, 2, 4, 8, 16
+LONGEST_PLAIN, MOST_MARKS = 40, 8
+CRC_STEPS = np.array([zlib.crc32(bytes([i]), 0xFFFFFFFF) ^ 0xFFFFFFFF for i in range(256)], np.uint32)
 
 
-def gram_buckets(points: np.ndarray, order: int) -> np.ndarray:
-    """Table places of all runs of ``order`` characters."""
-    h = np.zeros(len(points) - order + 1, np.uint64)
-    for k in range(order):
-        h = h * np.uint64(0x9E3779B97F4A7C15) + points[k : len(points) - order + 1 + k].astype(np.uint64) + np.uint64(1)
-    return (h * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(64 - GRAM_BITS)).astype(np.int64)
+def count_runs(points: np.ndarray, counts: np.ndarray, block: int = 1 << 14) -> None:
+    """Adds all runs of 1 to len(counts) characters to the tables ``counts``.
+
+    A run's hash goes on from that of the run without its last character; blocks stay in the processor's cache.
+    """
+    points = points.astype(np.uint64) + np.uint64(1)
+    for a in range(0, len(points), block):
+        h = np.zeros(block, np.uint64)
+        for k, row in enumerate(counts):
+            more = points[a + k : a + k + block]
+            h = h[: len(more)] * np.uint64(0x9E3779B97F4A7C15) + more
+            np.add.at(row, (h * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(64 - GRAM_BITS)).view(np.int64), np.uint32(1))
 
 
 def gram_bucket(text: str) -> int:
@@ -96,7 +107,8 @@ def summed_tables(tables: DataFrame, kinds: int, size: int) -> np.ndarray:
 
     out = np.zeros((kinds, size // SLICE, SLICE), np.uint64)
     total = tables.repartitionById(kinds * size // SLICE, F.col("kind") * (size // SLICE) + F.col("slice")).mapInArrow(lean(run), SLICES)
-    for row in total.toLocalIterator():
+    # all at once: an iterator would run a job for each slice, one after the other
+    for row in total.collect():
         out[row["kind"], row["slice"]] = np.frombuffer(zlib.decompress(row["packed"]), np.uint64)
     return out.reshape(kinds, size)
 
@@ -120,11 +132,11 @@ def letters_only(text: str) -> np.ndarray:
     if "table" not in held:
         held["table"] = np.array([chr(c).isalpha() for c in range(0x110000)])
     points = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), np.uint32)
-    alpha = held["table"][points]
+    alpha = held["table"].take(points)
     keep = alpha.copy()
     keep[0] = True
     keep[1:] |= alpha[:-1]
-    return np.where(alpha, points, 32)[keep]
+    return np.where(alpha, points, np.uint32(32))[keep]
 
 
 def count_grams(docs: DataFrame) -> np.ndarray:
@@ -133,10 +145,7 @@ def count_grams(docs: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((ORDERS, 1 << GRAM_BITS), np.uint32)
         for part in (p for batch in batches for p in parts(batch, "text")):
-            points = letters_only(" ".join([t for t in part.column("text").to_pylist() if t]))
-            for k in range(ORDERS):
-                if len(points) > k:
-                    counts[k] += np.bincount(gram_buckets(points, k + 1), minlength=1 << GRAM_BITS).astype(np.uint32)
+            count_runs(letters_only(" ".join([t for t in part.column("text").to_pylist() if t])), counts)
         yield table_slices(counts)
 
     return summed_tables(docs.select("text").mapInArrow(lean(run), SLICES), ORDERS, 1 << GRAM_BITS)
@@ -248,22 +257,116 @@ def word_features(restored: str) -> list[int]:
     return out
 
 
-def text_features(text: str, decoder: Decoder, known: dict[str, tuple[int, ...]], wanted: dict[int, int] | None = None) -> set[int]:
-    """Distinct features of a whole text.  ``wanted``: only these, by their numbers.  ``known``: words met before."""
-    text = decoder.unspaced(text.lower())
-    out: set[int] = set()
-    for word in set(text.split()):
-        if (found := known.get(word)) is None:
-            found = word_features(decoder.word(word))
-            found = tuple(found if wanted is None else [wanted[x] for x in found if x in wanted])
-            if len(known) >= REMEMBERED_WORDS:
-                known.clear()
-            known[word] = found
-        if found:
-            out.update(found)
+def known_features(word: str, decoder: Decoder, known: dict[str, tuple[int, ...]]) -> tuple[int, ...]:
+    """Table places of the features of a lower-case word.  ``known``: those of words met before."""
+    if (found := known.get(word)) is None:
+        if len(known) >= REMEMBERED_WORDS:
+            known.clear()
+        found = known[word] = tuple(word_features(decoder.word(word)))
+    return found
+
+
+def character_kinds() -> np.ndarray:
+    """What every character is: the sum of the bits that hold for it."""
+    held = worker_cache("kinds", 2)
+    if "table" not in held:
+        table = np.zeros(0x110000, np.uint8)
+        for bit, of in ((ALPHA, str.isalpha), (SPACE, str.isspace)):
+            table[np.fromiter(map(of, map(chr, range(len(table)))), np.bool_, len(table))] |= bit
+        for bit, signs in ((LEFT, LEFT_EDGE), (RIGHT, RIGHT_EDGE), (LAST, "$@")):
+            table[[ord(c) for c in signs]] |= bit
+        held["table"] = table
+    return held["table"]
+
+
+def crc_fed(states: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """crc32 states after one more character each, in UTF-8."""
+    out = CRC_STEPS[(states ^ points) & 255] ^ states >> 8
+    if len(wide := np.flatnonzero(points > 127)):
+        c, s = points[wide], states[wide]
+        size = 2 + (c > 0x7FF) + (c > 0xFFFF)
+        s = CRC_STEPS[(s ^ (0xF00 >> size & 0xFF | c >> 6 * (size - 1))) & 255] ^ s >> 8
+        for k in (2, 1, 0):
+            more = np.flatnonzero(size > k + 1)
+            s[more] = CRC_STEPS[(s[more] ^ (0x80 | c[more] >> 6 * k & 0x3F)) & 255] ^ s[more] >> 8
+        out[wide] = s
     return out
 
 
+def plain_features(points: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """word_features of the words points[start:start+length], all of 3 to LONGEST_PLAIN letters: their numbers and the places."""
+    order = np.argsort(-lengths, kind="stable")
+    at, lengths = starts[order], lengths[order]
+    # longer words stand first: so many have a character k
+    longer = len(lengths) - np.searchsorted(lengths[::-1], np.arange(LONGEST_PLAIN + 1), side="right")
+    whole, begun = (np.full(n, zlib.crc32(c) ^ 0xFFFFFFFF, np.uint32) for n, c in ((len(at), b"w"), (longer[3], b"b")))
+    for k, n in enumerate(longer.tolist()):
+        if not n:
+            break
+        c = points[at[:n] + k]
+        whole[:n] = crc_fed(whole[:n], c)
+        if k < 6:
+            n = min(n, len(begun))
+            begun[:n] = crc_fed(begun[:n], c[:n])
+        if 3 <= k < 6:
+            yield order[:n], ~begun[:n] & (1 << FEATURE_BITS) - 1
+    yield order, ~whole & (1 << FEATURE_BITS) - 1
+
+
+def text_features(texts: list[str], decoder: Decoder, known: dict[str, tuple[int, ...]], numbers: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and features of whole texts, each pair once and in order.  ``numbers``: by table places, the features' numbers; those below 0 are left out.
+
+    Words of letters are read from all texts at once, marks around them cut off.  Words that may hide something, and
+    texts with rows of single signs, are decoded one by one.
+    """
+    lowered = [t.lower() for t in texts]
+    joined = "\n".join([*lowered, ""])
+    points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+    kinds = character_kinds().take(points)
+    inside = np.zeros(len(points) + 1, np.bool_)
+    np.equal(kinds & SPACE, 0, out=inside[1:])
+    bounds = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = bounds[::2], bounds[1::2]
+    row = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(starts, offsets([len(t) + 1 for t in lowered]))))
+
+    # words between marks
+    first, last = starts.copy(), ends.copy()
+    for place, step, back, edge in ((first, 1, 0, LEFT), (last, -1, 1, RIGHT)):
+        i = np.flatnonzero(kinds[place - back] & edge)
+        for _ in range(MOST_MARKS):
+            i = i[first[i] < last[i]]
+            place[i] += step
+            i = i[kinds[place[i] - back] & edge > 0]
+    letters = np.zeros(len(points) + 1, np.int32)
+    np.cumsum(kinds & ALPHA, dtype=np.int32, out=letters[1:])
+    lengths = last - first
+    plain = (lengths > 0) & (lengths <= LONGEST_PLAIN) & (letters[ends] - letters[starts] == lengths)
+    plain &= (last == ends) | (kinds[last] & LAST == 0)
+    # no letter three times in a row, none twice at both ends
+    alike = points[1:] == points[:-1]
+    thrice = np.flatnonzero(alike[1:] & alike[:-1] & (kinds[2:] & ALPHA > 0))
+    plain[np.searchsorted(starts, thrice, side="right") - 1] = False
+    i = np.flatnonzero(plain & (lengths > 3))
+    plain[i[alike[first[i]] & alike[last[i] - 2]]] = False
+
+    single = ends - starts == 1
+    spaced = np.unique(row[2:][single[2:] & single[1:-1] & single[:-2] & (row[2:] == row[:-2])])
+    left = ~plain
+    if len(spaced):
+        alone = np.isin(row, spaced)
+        plain, left = plain & ~alone, left & ~alone
+    words = [(r, w) for r in spaced.tolist() for w in set(decoder.unspaced(lowered[r]).split())]
+    words += [(r, joined[a:b]) for r, a, b in zip(*(x[left].tolist() for x in (row, starts, ends)))]
+    read = [(r, x) for r, w in words for x in known_features(w, decoder, known)]
+    found = [tuple(np.array(read, np.int64).reshape(-1, 2).T)]
+    i = np.flatnonzero(plain & (lengths > 2))
+    found += [(row[i[k]], x) for k, x in plain_features(points, first[i], lengths[i])]
+    if numbers is not None:
+        found = [(r[hit], n[hit]) for r, x in found for n in (numbers[x],) for hit in (np.flatnonzero(n >= 0),)]
+    pairs = np.unique(np.concatenate([r << 32 | x for r, x in found]))
+    return pairs >> 32, pairs & 0xFFFFFFFF
+
+
 @dataclass
 class ToxicityModel:
     grams: np.ndarray
@@ -272,6 +375,13 @@ class ToxicityModel:
     intercept: float
 
 
+def feature_numbers(wanted: dict[int, int]) -> np.ndarray:
+    """The number of the feature at each table place, or -1."""
+    out = np.full(1 << FEATURE_BITS, -1, np.int32)
+    out[list(wanted)] = list(wanted.values())
+    return out
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows that teach nothing: crc32 of the id's text leaves 1 when divided by 3."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
@@ -317,19 +427,12 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder, known = Decoder(held.value), {}
-        found: dict[int, list[int]] = {0: [], 1: []}
         counts = np.zeros((2, size), np.uint32)
-        many = [0, 0]
-        for batch in batches:
-            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-                kind = int(toxic > 0)
-                many[kind] += 1
-                found[kind] += text_features(text or "", decoder, known)
-                if len(found[kind]) > 1_000_000:
-                    np.add.at(counts[kind], found[kind], 1)
-                    found[kind] = []
-        for kind in (0, 1):
-            np.add.at(counts[kind], np.array(found[kind], np.int64), 1)
+        for part in (p for batch in batches for p in parts(batch, "text")):
+            rows, found = text_features([t or "" for t in part.column("text").to_pylist()], decoder, known)
+            toxic = np.array([x > 0 for x in part.column("toxic").to_pylist()])[rows]
+            for kind in (0, 1):
+                np.add.at(counts[kind], found[toxic == kind], np.uint32(1))
         yield table_slices(counts)
 
     counts = summed_tables(taught.mapInArrow(lean(count), SLICES), 2, size)
@@ -350,10 +453,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS)
     sent = context.broadcast(wanted)
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder, known = Decoder(held.value), {}
-        for batch in batches:
-            found = [np.array(sorted(text_features(t or "", decoder, known, sent.value)), np.int32).tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), batch.column("toxic").cast(pa.int32())], names=["found", "toxic"])
+        decoder, known, numbers = Decoder(held.value), {}, feature_numbers(sent.value)
+        for part in (p for batch in batches for p in parts(batch, "text")):
+            rows, found = text_features([t or "" for t in part.column("text").to_pylist()], decoder, known, numbers)
+            each = np.split(found.astype(np.int32), np.searchsorted(rows, np.arange(1, part.num_rows)))
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in each], pa.binary()), part.column("toxic").cast(pa.int32())], names=["found", "toxic"])
 
     # documents without a feature are all alike: their number is enough
     sample = taught.mapInArrow(lean(rows_of), "found binary, toxic int").groupBy("found", "toxic").agg(F.count("*").alias("n")).collect()
@@ -374,10 +478,11 @@ def with_toxicity(docs: DataFrame, model: ToxicityModel, restored: str | None =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, wanted, weights, intercept = held.value
-        decoder, known = Decoder(grams), {}
+        decoder, known, numbers = Decoder(grams), {}, feature_numbers(wanted)
         for part in (p for batch in batches for p in parts(batch, "text")):
             texts = [t or "" for t in part.column("text").to_pylist()]
-            sums = [intercept + sum(weights[i] for i in sorted(text_features(t, decoder, known, wanted))) for t in texts]
+            rows, found = text_features(texts, decoder, known, numbers)
+            sums = intercept + np.bincount(rows, weights[found], minlength=len(texts))
             columns = [*(part.column(f.name) for f in keep), pa.array(1 / (1 + np.exp(-np.clip(sums, -700, 700))), pa.float64())]
             if restored:
                 columns.append(pa.array([decoder.restore(t) for t in texts], pa.string()))

@@ -116,6 +116,38 @@ def test_words_of_signs_only(spark, hidden):
     assert decoder.restore(f"{hidden} and") == "ass and" and decoder.restore("2017") == "2017"
 
 
+def test_features_of_many_texts_are_those_of_their_words(model):
+    odd = ["", " \n", "a", "The (idiot), 1d10t! $tupid$ a$$ word$$$ --end--", "i d i o t and a b c", "llamall ssoo aaah aaaah é éé ééé", "ΟΔΟΣ İstanbul Straße ﬁne 日本語 𝒳𝒴𝒵𝒳𝒴𝒵𝒳 ciónasbo"]
+    odd += ["x" * 3, "ab" * 20, "ab" * 21, "." * 9 + "far" + "!" * 9, "one\u00a0two\u2003three\x1cfour\x85five", "4.0 555-7713 mail@host.example password=15959ad93"]
+    decoder, r = toxicity.Decoder(model.grams), random.Random(3)
+    odd += [" ".join(r.choice(["", "(", "--"]) + "".join(r.choices("aabeost1éñ日", k=r.randint(1, 9))) + r.choice(["", ".", ",\"", "$"]) for _ in range(30)) for _ in range(40)]
+    plain = [(i, x) for i, t in enumerate(odd) for x in {y for w in decoder.unspaced(t.lower()).split() for y in toxicity.word_features(decoder.word(w))}]
+    assert [*zip(*(x.tolist() for x in toxicity.text_features(odd, decoder, {})))] == sorted(plain)
+    numbers = toxicity.feature_numbers(model.wanted)
+    assert [*zip(*(x.tolist() for x in toxicity.text_features(odd, decoder, {}, numbers)))] == sorted((i, model.wanted[x]) for i, x in plain if x in model.wanted)
+
+
+def test_grams_are_summed_in_a_few_jobs(spark):
+    texts = ["One two, 3", None, "", "é l'été ", "a"]
+    spark.sparkContext.setJobGroup("grams", "grams")
+    try:
+        counts = toxicity.count_grams(spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("grams")) <= 3
+    seen, wanted = " one two é l été a ", np.zeros_like(counts)
+    for k in range(toxicity.ORDERS):
+        for i in range(len(seen) - k):
+            wanted[k, toxicity.gram_bucket(seen[i : i + k + 1])] += 1
+    assert (counts == wanted).all()
+
+
+def test_long_rows_of_a_sign_are_decoded_in_time(model):
+    decoder = toxicity.Decoder(model.grams)
+    assert decoder.word("o" * 300 + "h1") and not toxicity.DOUBLED.fullmatch("o" * 300 + "h")
+    assert [bool(toxicity.DOUBLED.fullmatch(x)) for x in ("aa", "aaa", "aaaa", "aabb", "aabbc", "aab", "$$00")] == [False, False, True, True, False, False, True]
+
+
 def test_toxicity_edges(spark, edges, empty, model):
     rows = toxicity.with_toxicity(edges, model, restored="restored").collect()
     assert len(rows) == edges.count() and all(0 <= r["score"] <= 1 for r in rows)
