@@ -69,6 +69,7 @@ LEFT_EDGE = "([{\"'*%&#~<>=/-_.,;:?"
 # Bits of character_kinds().  Longer words, and words between more marks, are read one by one.
 ALPHA, SPACE, LEFT, RIGHT, LAST = 1, 2, 4, 8, 16
 LONGEST_PLAIN, MOST_MARKS = 40, 8
+FIT_BLOCK = 1 << 16
 CRC_STEPS = np.array([zlib.crc32(bytes([i]), 0xFFFFFFFF) ^ 0xFFFFFFFF for i in range(256)], np.uint32)
 
 
@@ -396,21 +397,33 @@ def labelled(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
 
 
 def fit(rows: list[np.ndarray], toxic: np.ndarray, features: int, penalty: float = 0.3, steps: int = 300) -> tuple[np.ndarray, float]:
-    """Weights and intercept of a logistic regression with an L2 penalty, by accelerated gradient steps."""
-    of = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    at = np.concatenate(rows).astype(np.int64) if rows else np.zeros(0, np.int64)
+    """Weights and intercept of a logistic regression with an L2 penalty, by accelerated gradient steps.
+
+    A step goes through blocks of rows of about FIT_BLOCK features, which stay in the processor's cache.
+    """
     share = (toxic.sum() + 0.5) / (len(toxic) + 1.0)
     w, b = np.zeros(features), math.log(share / (1 - share))
     if not len(toxic) or not 0 < toxic.sum() < len(toxic):
         return w, b
+    at, lengths = np.concatenate(rows).astype(np.int64), np.array([len(r) for r in rows])
+    ends = offsets(lengths)
+    cuts = sorted({0, *np.searchsorted(ends, range(FIT_BLOCK, int(ends[-1]), FIT_BLOCK)).tolist(), len(rows)})
+    blocks = []
+    for x, y in zip(cuts, cuts[1:]):
+        some = np.flatnonzero(lengths[x:y])
+        blocks.append((slice(x, y), at[ends[x] : ends[y]], lengths[x:y], some, (ends[x:y] - ends[x])[some]))
     seen = np.bincount(at, minlength=features) + penalty
-    longest = max(1.0, float(np.mean([len(r) for r in rows])))
-    v, vb = w.copy(), b
+    step = 1.0 / max(1.0, float(lengths.mean()))
+    v, vb, gap = w.copy(), b, np.empty(len(rows))
     for k in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(np.bincount(of, v[at], minlength=len(rows)) + vb, -30, 30)))
-        gap = p - toxic
-        step = 1.0 / longest
-        new = v - step * (np.bincount(at, gap[of], minlength=features) + penalty * v) / seen
+        pull = penalty * v
+        for block, found, each, some, first in blocks:
+            sums = np.full(len(each), vb)
+            if len(found):
+                sums[some] += np.add.reduceat(v.take(found), first)
+            gap[block] = 1 / (1 + np.exp(-np.clip(sums, -30, 30))) - toxic[block]
+            pull += np.bincount(found, np.repeat(gap[block], each), minlength=features)
+        new = v - step * pull / seen
         new_b = vb - step * 4 * gap.mean()
         v, vb = new + k / (k + 3) * (new - w), new_b + k / (k + 3) * (new_b - b)
         w, b = new, new_b

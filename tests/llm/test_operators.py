@@ -127,6 +127,21 @@ def test_features_of_many_texts_are_those_of_their_words(model):
     assert [*zip(*(x.tolist() for x in toxicity.text_features(odd, decoder, {}, numbers)))] == sorted((i, model.wanted[x]) for i, x in plain if x in model.wanted)
 
 
+def test_fit_goes_through_blocks_of_rows(monkeypatch):
+    r = np.random.default_rng(2)
+    rows = [np.unique(r.integers(0, 20, r.integers(0, 9))).astype(np.int32) if i % 7 else np.zeros(0, np.int32) for i in range(500)]
+    toxic = np.array([float(3 in x or 5 in x or not i % 11) for i, x in enumerate(rows)])
+    whole = toxicity.fit(rows, toxic, 20)
+    monkeypatch.setattr(toxicity, "FIT_BLOCK", 40)
+    parted = toxicity.fit(rows, toxic, 20)
+    assert np.allclose(whole[0], parted[0], atol=1e-10) and abs(whole[1] - parted[1]) < 1e-10
+    # near the least of the penalised loss no weight is pulled far
+    p = 1 / (1 + np.exp(-np.array([whole[0][x].sum() + whole[1] for x in rows])))
+    pull = 0.3 * whole[0] + np.bincount(np.concatenate(rows), np.repeat(p - toxic, [len(x) for x in rows]), minlength=20)
+    assert np.abs(pull).max() < 0.05
+    assert toxicity.fit([np.zeros(0, np.int32)] * 4, np.array([0.0, 1, 0, 0]), 0)[0].shape == (0,)
+
+
 def test_grams_are_summed_in_a_few_jobs(spark):
     texts = ["One two, 3", None, "", "é l'été ", "a"]
     spark.sparkContext.setJobGroup("grams", "grams")
